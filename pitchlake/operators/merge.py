@@ -128,3 +128,18 @@ def change_feed(old: DataFrame, new: DataFrame, keys, compare=None) -> DataFrame
                             for c in cols],
                    kind.alias("_change_type"))
     return out.filter(F.col("_change_type").isNotNull())
+
+
+def overwrite_recent(existing: DataFrame, fresh: DataFrame, part_col: str, n: int) -> DataFrame:
+    """Rebuild the newest ``n`` partitions of ``existing`` from ``fresh``.
+
+    Returns the table as it is after a dynamic partition overwrite: rows of
+    older partitions are untouched, the newest ``n`` come from ``fresh``.
+    Written with ``replace_partitions`` only the rebuilt partitions are
+    rewritten.
+    """
+    bound = existing.agg(F.max(part_col).alias("_hi"))
+    lo = F.date_sub(F.col("_hi"), n - 1)
+    old = existing.crossJoin(F.broadcast(bound)).filter(F.col(part_col) < lo).drop("_hi")
+    new = fresh.crossJoin(F.broadcast(bound)).filter(F.col(part_col) >= lo).drop("_hi")
+    return old.unionByName(new)
