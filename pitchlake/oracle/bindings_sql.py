@@ -21,6 +21,15 @@ def _scout_json() -> str:
     return " || ".join(parts) + " || '}'"
 
 
+def sround(expr: str, digits: int) -> str:
+    """HALF_UP rounding of a DOUBLE on its shortest decimal text.
+
+    This is how Spark's ``round`` treats doubles; DuckDB's own ``round``
+    multiplies in binary and can round an exact tie such as 2.0581875 down.
+    """
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
+
+
 CTES: dict[str, tuple[str, tuple[str, ...]]] = {}
 
 
@@ -110,12 +119,12 @@ SELECT o_custkey AS key_id, o_orderdate AS captured_at, o_orderkey AS capture_se
 FROM orders""")
 
 _cte("mp_base", """
-SELECT atleta_id, rodada_id, posicao_id, pontos_num / CAST(40 AS DOUBLE) AS real FROM ar""", "ar")
+SELECT atleta_id, rodada_id, posicao_id, pontos_num, pontos_num / CAST(40 AS DOUBLE) AS real FROM ar""", "ar")
 
 _cte("mp_pos", """
 SELECT posicao_id, rodada_id,
-       sum(s) OVER w / sum(n) OVER w AS p_poisson
-FROM (SELECT posicao_id, rodada_id, sum(real) AS s, count(real) AS n
+       round(sum(s) OVER w, 2) / (CAST(40 AS DOUBLE) * sum(n) OVER w) AS p_poisson
+FROM (SELECT posicao_id, rodada_id, round(sum(pontos_num), 2) AS s, count(pontos_num) AS n
       FROM mp_base GROUP BY posicao_id, rodada_id)
 WINDOW w AS (PARTITION BY posicao_id ORDER BY rodada_id
              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""", "mp_base")
@@ -123,12 +132,12 @@ WINDOW w AS (PARTITION BY posicao_id ORDER BY rodada_id
 _cte("mp_wide", """
 SELECT b.atleta_id, b.rodada_id AS rodada_alvo, b.posicao_id,
        CASE WHEN b.rodada_id = (SELECT max(rodada_id) FROM mp_base) THEN NULL ELSE b.real END AS pontuacao_real,
-       avg(b.real) OVER (PARTITION BY b.atleta_id ORDER BY b.rodada_id
-                         RANGE BETWEEN 3 PRECEDING AND 1 PRECEDING) AS p_xgboost,
-       avg(b.real) OVER (PARTITION BY b.atleta_id ORDER BY b.rodada_id
-                         RANGE BETWEEN 5 PRECEDING AND 1 PRECEDING) AS p_lightgbm,
+       round(sum(b.pontos_num) OVER w3, 2) / (CAST(40 AS DOUBLE) * count(b.pontos_num) OVER w3) AS p_xgboost,
+       round(sum(b.pontos_num) OVER w5, 2) / (CAST(40 AS DOUBLE) * count(b.pontos_num) OVER w5) AS p_lightgbm,
        p.p_poisson
-FROM mp_base b LEFT JOIN mp_pos p ON b.posicao_id = p.posicao_id AND b.rodada_id = p.rodada_id""",
+FROM mp_base b LEFT JOIN mp_pos p ON b.posicao_id = p.posicao_id AND b.rodada_id = p.rodada_id
+WINDOW w3 AS (PARTITION BY b.atleta_id ORDER BY b.rodada_id RANGE BETWEEN 3 PRECEDING AND 1 PRECEDING),
+       w5 AS (PARTITION BY b.atleta_id ORDER BY b.rodada_id RANGE BETWEEN 5 PRECEDING AND 1 PRECEDING)""",
      "mp_base", "mp_pos")
 
 _cte("mp", """

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pitchlake.oracle.bindings_sql import _cte
+from pitchlake.oracle.bindings_sql import _cte, sround
 
 _SCOUT_COLS = (
     ("G", "scout_gol"), ("A", "scout_assistencia"), ("FT", "scout_finalizacao_trave"),
@@ -104,7 +104,7 @@ SELECT clube_id, rodada_id,
                          ORDER BY pontos DESC, gols_pro - gols_contra DESC, gols_pro DESC) AS INTEGER) AS posicao,
        pontos, jogos, vitorias, empates, derrotas, gols_pro, gols_contra,
        gols_pro - gols_contra AS saldo_gols,
-       CASE WHEN jogos > 0 THEN round(CAST(pontos AS DOUBLE) / (jogos * 3) * 100, 1) END
+       CASE WHEN jogos > 0 THEN {sround("CAST(pontos AS DOUBLE) / (jogos * 3) * 100", 1)} END
            AS aproveitamento_percentual
 FROM {src}"""
 

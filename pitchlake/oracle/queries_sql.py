@@ -7,7 +7,7 @@ views.  Double columns are rounded to 6 digits, like the Spark side.
 from __future__ import annotations
 
 from pitchlake.oracle import model_sql  # noqa: F401  (registers the model CTEs)
-from pitchlake.oracle.bindings_sql import with_ctes
+from pitchlake.oracle.bindings_sql import sround, with_ctes
 
 ORACLE: dict[str, str] = {}
 
@@ -15,7 +15,7 @@ ORACLE: dict[str, str] = {}
 def oracle(key: str, body: str, *ctes: str, doubles: tuple[str, ...] = (),
            extra: list[tuple[str, str]] | None = None) -> None:
     if doubles:
-        rep = ", ".join(f"round({c}, 6) AS {c}" for c in doubles)
+        rep = ", ".join(f"{sround(c, 6)} AS {c}" for c in doubles)
         body = f"SELECT * REPLACE ({rep}) FROM ({body}) _q"
     ORACLE[key] = with_ctes(body, *ctes, extra=extra)
 

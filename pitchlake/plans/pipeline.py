@@ -101,6 +101,60 @@ class Pipeline:
     def feature_store(self) -> DataFrame:
         return feature_store(self)
 
+    # ------------------------------------------------------------ predictions
+    @cached_property
+    def mp_wide(self) -> DataFrame:
+        return B.model_predictions_wide(self.t)
+
+    @cached_property
+    def mp_long(self) -> DataFrame:
+        return B.model_predictions(self.t)
+
+    @cached_property
+    def realised(self) -> DataFrame:
+        """Realised scores (feature rows with a target)."""
+        return self.mp_wide.filter(F.col("pontuacao_real").isNotNull()).select(
+            "atleta_id", "rodada_alvo", "posicao_id", "pontuacao_real")
+
+    def model_table(self, name: str) -> DataFrame:
+        return self.mp_long.filter(F.col("modelo") == name).select(
+            "atleta_id", "rodada_alvo", "pontuacao_prevista")
+
+    @cached_property
+    def history(self) -> DataFrame:
+        """J11 + U02: every model's predictions joined to the realised scores."""
+        from pitchlake.operators import ensemble as EN
+        out = None
+        for m in EN.MODELS:
+            h = EN.with_actuals(self.model_table(m), self.realised, m)
+            out = h if out is None else out.unionByName(h)
+        return out
+
+    @cached_property
+    def next_rows(self) -> DataFrame:
+        """Rows to predict: the round whose score is not known yet."""
+        return self.mp_wide.filter(F.col("pontuacao_real").isNull()).select(
+            "atleta_id", "rodada_alvo", "posicao_id")
+
+    @cached_property
+    def selection(self) -> DataFrame:
+        from pitchlake.operators import ensemble as EN
+        return EN.select_model(EN.coverage_by_position(self.history), self.dim_posicoes)
+
+    @cached_property
+    def previsao_final(self) -> DataFrame:
+        from pitchlake.operators import ensemble as EN
+        preds = self.mp_long.join(self.next_rows.select("atleta_id", "rodada_alvo"),
+                                  ["atleta_id", "rodada_alvo"], "left_semi")
+        return EN.ensemble_predict(self.next_rows, preds, EN.model_coverage(self.history),
+                                   self.selection)
+
+    @cached_property
+    def previsao_final_ranked(self) -> DataFrame:
+        from pitchlake.operators import ensemble as EN
+        return EN.final_ranked(self.previsao_final, self.metricas_atleta, self.dim_posicoes,
+                               self.dim_clubes)
+
 
 def club_round_metrics(fact: DataFrame, matches: DataFrame, table: DataFrame) -> DataFrame:
     """Club fantasy metrics (A07) + round result + table row, by (club, round).

@@ -199,37 +199,54 @@ def capture_history(t: Tables) -> DataFrame:
 MODEL_NAMES = ("xgboost", "lightgbm", "poisson")
 
 
-def model_predictions(t: Tables) -> DataFrame:
-    """MP: three deterministic predictors with realised scores (long form).
+def model_predictions_wide(t: Tables) -> DataFrame:
+    """MP (wide): one row per (athlete, round) with the three predictions.
 
     real = pontos/40; xgboost = athlete mean over the previous 3 rounds,
     lightgbm = over the previous 5 rounds, poisson = position mean over all
-    previous rounds.  No history -> no prediction.  The newest round keeps
-    real = NULL (it plays the "next round").
+    previous rounds.  The newest round keeps real = NULL (it plays the
+    "next round").
     """
+    # Means are taken as round(sum of 2-decimal scores, 2) / (40 n): the sum of
+    # 2-decimal values is exact after rounding, so the result does not depend
+    # on the order in which a distributed sum adds its terms.
     ar = athlete_rounds(t).select(
-        "atleta_id", "rodada_id", "posicao_id",
+        "atleta_id", "rodada_id", "posicao_id", "pontos_num",
         (F.col("pontos_num") / PREDICTION_SCALE).alias("real"))
     w = Window.partitionBy("atleta_id").orderBy("rodada_id")
+
+    def prior_mean(frame):
+        return (F.round(F.sum("pontos_num").over(frame), 2)
+                / (F.lit(PREDICTION_SCALE) * F.count("pontos_num").over(frame)))
     per_athlete = ar.select(
         "*",
-        F.avg("real").over(w.rangeBetween(-3, -1)).alias("p_xgboost"),
-        F.avg("real").over(w.rangeBetween(-5, -1)).alias("p_lightgbm"),
+        prior_mean(w.rangeBetween(-3, -1)).alias("p_xgboost"),
+        prior_mean(w.rangeBetween(-5, -1)).alias("p_lightgbm"),
     )
     # position prior: pre-aggregate to (position, round) -- at most 6 x 38 rows
     pos = ar.groupBy("posicao_id", "rodada_id").agg(
-        F.sum("real").alias("s"), F.count("real").alias("n"))
+        F.round(F.sum("pontos_num"), 2).alias("s"), F.count("pontos_num").alias("n"))
     wp = Window.partitionBy("posicao_id").orderBy("rodada_id").rowsBetween(
         Window.unboundedPreceding, -1)
     pos = pos.select("posicao_id", "rodada_id",
-                     (F.sum("s").over(wp) / F.sum("n").over(wp)).alias("p_poisson"))
+                     (F.round(F.sum("s").over(wp), 2)
+                      / (F.lit(PREDICTION_SCALE) * F.sum("n").over(wp))).alias("p_poisson"))
     last = ar.agg(F.max("rodada_id").alias("_last"))
     j = (per_athlete.join(F.broadcast(pos), ["posicao_id", "rodada_id"], "left")
          .crossJoin(F.broadcast(last)))
-    long = j.select(
+    return j.select(
         "atleta_id", F.col("rodada_id").alias("rodada_alvo"), "posicao_id",
         F.when(F.col("rodada_id") == F.col("_last"), F.lit(None))
          .otherwise(F.col("real")).alias("pontuacao_real"),
+        *[F.col(f"p_{m}") for m in MODEL_NAMES])
+
+
+def model_predictions(t: Tables) -> DataFrame:
+    """MP (long): (athlete, round, position, real, model, prediction); no
+    history -> no prediction row."""
+    wide = model_predictions_wide(t)
+    long = wide.select(
+        "atleta_id", "rodada_alvo", "posicao_id", "pontuacao_real",
         F.explode(F.array(*[F.struct(F.lit(m).alias("modelo"),
                                      F.col(f"p_{m}").alias("pontuacao_prevista"))
                             for m in MODEL_NAMES])).alias("p"),
