@@ -20,8 +20,8 @@ def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def dedupe_source(source: DataFrame, keys, order: list[Column] | None = None) -> DataFrame:
-    """Keep one row per key (newest by ``order``) before a merge."""
+def dedupe_source(source: DataFrame, keys, order: list | None = None) -> DataFrame:
+    """Keep one row per key (newest by the ``order`` columns) before a merge."""
     keys = _keys(keys)
     if not order:
         return source.dropDuplicates(keys)

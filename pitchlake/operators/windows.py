@@ -6,43 +6,84 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def latest_per_key(df: DataFrame, keys, order: list[Column]) -> DataFrame:
-    """``row_number() over (partition by keys order by ...) = 1``.
+def latest_per_key(df: DataFrame, keys, order, newest: bool = True) -> DataFrame:
+    """The newest (or oldest) row of each key.
 
-    Spark has no QUALIFY; this is the window + filter form.  ``order`` must
-    end in a tie-break column so the pick is deterministic.
+    Same result as ``row_number() over (partition by keys order by ...) = 1``
+    (Spark has no QUALIFY), but written as a ``max_by`` / ``min_by``
+    aggregate over the row struct: it is combined map-side, so a key that
+    holds a third of the rows is reduced inside every input task instead of
+    being sorted in one.  ``order`` lists the ordering columns, most
+    significant first, and must end in a tie-break so the pick is
+    deterministic.
     """
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return (df.withColumn("_rn", F.row_number().over(w))
-            .filter(F.col("_rn") == 1).drop("_rn"))
+    keys = list(keys)
+    others = [c for c in df.columns if c not in keys]
+    by = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order])
+    row = F.struct(*[F.col(c) for c in others])
+    pick = F.max_by(row, by) if newest else F.min_by(row, by)
+    return df.groupBy(*keys).agg(pick.alias("_row")).select(*keys, "_row.*").select(*df.columns)
 
 
-def rest_days(df: DataFrame, key: str, ts: str, tie: str) -> DataFrame:
+def previous_in_sequence(df: DataFrame, key: str, order: list[str], cols: list[str],
+                         bucket: Column) -> DataFrame:
+    """``lag`` of ``cols`` per key in ``order``, without one task per key.
+
+    Rows are windowed per (key, bucket) where ``bucket`` is a coarse,
+    order-monotonic slice of the ordering (e.g. the day of a timestamp).
+    The first row of a bucket takes the last row of the key's previous
+    non-empty bucket from a one-row-per-bucket summary, so only that small
+    summary is windowed per key.  Adds ``_prev_<col>`` for every column.
+    """
+    st = F.struct(*[F.col(c) for c in cols])
+    h = df.withColumn("_b", bucket)
+    wb = Window.partitionBy(key, "_b").orderBy(*order)
+    h = h.select("*", F.lag(st).over(wb).alias("_pin"), F.row_number().over(wb).alias("_rn"))
+    last = h.groupBy(key, "_b").agg(F.max_by(st, F.struct(*order)).alias("_last"))
+    last = last.select(key, "_b", F.lag("_last").over(Window.partitionBy(key).orderBy("_b")).alias("_pb"))
+    h = h.join(last, [key, "_b"], "left")
+    prev = F.when(F.col("_rn") == 1, F.col("_pb")).otherwise(F.col("_pin"))
+    return h.select(*df.columns, *[prev[c].alias(f"_prev_{c}") for c in cols])
+
+
+def rest_days(df: DataFrame, key: str, ts: str, tie: str, bucket: Column | None = None) -> DataFrame:
     """Days since the previous event of the same key (NULL for the first)."""
-    w = Window.partitionBy(key).orderBy(F.col(ts), F.col(tie))
-    prev = F.lag(ts).over(w)
-    return df.withColumn("dias_desde_ultimo", F.datediff(F.col(ts), prev))
+    b = bucket if bucket is not None else F.date_trunc("month", F.col(ts))
+    x = previous_in_sequence(df, key, [ts, tie], [ts], b)
+    return x.withColumn("dias_desde_ultimo", F.datediff(F.col(ts), F.col(f"_prev_{ts}"))) \
+        .drop(f"_prev_{ts}")
 
 
-def run_anomalies(runs: DataFrame) -> DataFrame:
-    """Runs in a streak of >= 3 consecutive failures of the same job, and
-    runs longer than twice their job's average duration.
+def run_anomalies(runs: DataFrame, bucket: Column | None = None) -> DataFrame:
+    """Runs inside a streak of >= 3 consecutive failures of the same job,
+    and runs longer than twice their job's average duration.
 
-    Gaps-and-islands: a new island starts at each change of the failed flag;
-    the island id is a running sum of the start markers.
+    Islands without a per-job window: a failed run whose predecessor did not
+    fail starts a block; each failed run belongs to the newest block start at
+    or before it (running max per (job, day) plus a carry from earlier days);
+    block sizes are a group-by.  A job holding a third of all runs is spread
+    over its days.
     """
-    w = Window.partitionBy("job_id").orderBy("start_time", "run_id")
+    b = bucket if bucket is not None else F.date_trunc("day", F.col("start_time"))
     failed = (F.col("result_state") == "FAILED").cast("int")
-    x = runs.select("job_id", "run_id", "start_time", "result_state",
-                    "duration_minutes", failed.alias("_f"))
-    x = x.withColumn("_chg", F.when(F.lag("_f").over(w).isNull()
-                                    | (F.lag("_f").over(w) != F.col("_f")), 1).otherwise(0))
-    x = x.withColumn("_island", F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    wi = Window.partitionBy("job_id", "_island")
-    wj = Window.partitionBy("job_id")
-    x = x.select("*",
-                 F.count(F.lit(1)).over(wi).alias("_len"),
-                 F.avg("duration_minutes").over(wj).alias("_avg"))
+    x = runs.select("job_id", "run_id", "start_time", "result_state", "duration_minutes",
+                    failed.alias("_f"))
+    x = previous_in_sequence(x, "job_id", ["start_time", "run_id"], ["_f"], b).withColumn("_b", b)
+    starts = (F.col("_f") == 1) & (F.coalesce(F.col("_prev__f"), F.lit(0)) == 0)
+    x = x.withColumn("_sk", F.when(starts, F.struct("start_time", "run_id")))
+    wb = (Window.partitionBy("job_id", "_b").orderBy("start_time", "run_id")
+          .rowsBetween(Window.unboundedPreceding, 0))
+    x = x.withColumn("_in_b", F.max("_sk").over(wb))
+    carry = x.groupBy("job_id", "_b").agg(F.max("_sk").alias("_bmax"))
+    wk = Window.partitionBy("job_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = carry.select("job_id", "_b", F.max("_bmax").over(wk).alias("_carry"))
+    x = x.join(carry, ["job_id", "_b"], "left")
+    blk = F.when(F.col("_f") == 1, F.coalesce(F.col("_in_b"), F.col("_carry")))
+    x = x.select("*", blk["start_time"].alias("_bt"), blk["run_id"].alias("_br"))
+    sizes = (x.filter(F.col("_f") == 1).groupBy("job_id", "_bt", "_br")
+             .agg(F.count(F.lit(1)).alias("_len")))
+    avg = runs.groupBy("job_id").agg(F.avg("duration_minutes").alias("_avg"))
+    x = x.join(sizes, ["job_id", "_bt", "_br"], "left").join(avg, "job_id")
     return x.select(
         "job_id", "run_id", "start_time", "result_state", "duration_minutes",
         ((F.col("_f") == 1) & (F.col("_len") >= 3)).alias("in_failure_streak"),

@@ -195,7 +195,7 @@ def next_opponents(matches_next: DataFrame, target_round: DataFrame) -> DataFram
                  F.col("clube_visitante_id").alias("adversario_id")),
         F.struct(F.col("clube_visitante_id").alias("clube_id"), F.lit("fora").alias("mando_campo"),
                  F.col("clube_casa_id").alias("adversario_id")))).alias("s")).select("partida_id", "s.*")
-    return latest_per_key(sides, ["clube_id"], [F.col("partida_id").asc()]).drop("partida_id")
+    return latest_per_key(sides, ["clube_id"], ["partida_id"], newest=False).drop("partida_id")
 
 
 def derby_flag(pairs_df: DataFrame, club: str, opp: str, derbies: DataFrame) -> DataFrame:
@@ -222,7 +222,7 @@ def feature_store(p: Pipeline) -> DataFrame:
     slope = ATH.trend_slope(fact).select("atleta_id", "tendencia_slope")
     adv = next_opponents(p.fct_partidas_proxima, target)
     # Latest table row per club, latest club metrics round
-    tab = latest_per_key(p.tabela_brasileirao, ["clube_id"], [F.col("rodada_id").desc()]) \
+    tab = latest_per_key(p.tabela_brasileirao, ["clube_id"], ["rodada_id"]) \
         .select("clube_id", "posicao", "aproveitamento_percentual")
     mc_all = p.metricas_clube_rodada
     mc_last = mc_all.agg(F.max("rodada_id").alias("_r"))

@@ -149,14 +149,13 @@ def _(p):
 @query("w01_latest_per_key")
 def _(p):
     """W01 on EV: newest event per user (tie-break on event id)."""
-    return latest_per_key(p.t.events, ["user_id"], [F.col("ts").desc(), F.col("event_id").desc()])
+    return latest_per_key(p.t.events, ["user_id"], ["ts", "event_id"])
 
 
 @query("w02_qualify_filter")
 def _(p):
     """W02 on OR: newest order per customer (QUALIFY as window + filter)."""
-    return latest_per_key(p.t.orders, ["o_custkey"],
-                          [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()])
+    return latest_per_key(p.t.orders, ["o_custkey"], ["o_orderdate", "o_orderkey"])
 
 
 # ----------------------------------------------------------------- A: athlete metrics

@@ -67,7 +67,7 @@ def _(p):
     px = B.capture_history(p.t)
     snap = H.scd2_build(px.filter(F.col("captured_at") < F.lit(SNAPSHOT_BEFORE).cast("timestamp_ntz")),
                         "key_id", ["status", "priority"], "captured_at", "capture_seq")
-    latest = latest_per_key(px, ["key_id"], [F.col("captured_at").desc(), F.col("capture_seq").desc()])
+    latest = latest_per_key(px, ["key_id"], ["captured_at", "capture_seq"])
     return H.scd2_apply(snap, latest, "key_id", ["status", "priority"],
                         F.lit(SCD_ASOF).cast("timestamp_ntz"), tie="capture_seq")
 
@@ -86,7 +86,7 @@ def _(p):
 @query("m11_merge_source_guard")
 def _(p):
     ev = p.t.events.withColumn("dia", F.to_date("ts"))
-    return M.dedupe_source(ev, ["user_id", "dia"], [F.col("ts").desc(), F.col("event_id").desc()])
+    return M.dedupe_source(ev, ["user_id", "dia"], ["ts", "event_id"])
 
 
 @query("m11_duplicate_source_keys")

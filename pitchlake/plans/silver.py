@@ -81,8 +81,7 @@ def fct_atletas_rodada(market: DataFrame, scored: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- dimensions
 def dim_atletas(market: DataFrame, status_seed: DataFrame) -> DataFrame:
     """W01 + J02: newest market row per athlete, status label from the seed."""
-    latest = latest_per_key(market, ["atleta_id"],
-                            [F.col("_ingestao_timestamp").desc(), F.col("_rodada_captura").desc()])
+    latest = latest_per_key(market, ["atleta_id"], ["_ingestao_timestamp", "_rodada_captura"])
     st = F.broadcast(status_seed.select("status_id", "descricao"))  # 5-row seed
     return latest.join(st, "status_id", "left").select(
         "atleta_id", "nome", "apelido", "posicao_id", "clube_id", "status_id",
@@ -95,7 +94,7 @@ def dim_clubes(clubs: DataFrame) -> DataFrame:
     """W01 + P06: newest row per club, first available badge URL."""
     src = clubs
     if "_ingestao_timestamp" in src.columns:
-        src = latest_per_key(src, ["clube_id"], [F.col("_ingestao_timestamp").desc()])
+        src = latest_per_key(src, ["clube_id"], ["_ingestao_timestamp"])
     return src.select(
         "clube_id", "nome", "abreviacao", "slug",
         X.first_non_null(F.col("escudo_60x60"), F.col("escudo_45x45"),
