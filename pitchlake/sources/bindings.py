@@ -333,3 +333,136 @@ def merge_target(t: Tables) -> DataFrame:
 def merge_source(t: Tables) -> DataFrame:
     o = t.orders.filter(F.col("o_orderdate") >= F.lit(MERGE_SOURCE_FROM).cast("timestamp_ntz"))
     return o.withColumn("o_totalprice", F.col("o_totalprice") + F.lit(1.0))
+
+
+# ------------------------------------------------------------- landed JSON (LJ)
+# The API pages its lists; payload builders group rows into pages of a fixed
+# size so no payload (and no collect_list group) grows with the data.
+ATHLETE_PAGE = 100
+SMALL_PAGE = 10
+
+
+def _fmt_ts(c: Column) -> Column:
+    return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+
+
+def landed_status(t: Tables) -> DataFrame:
+    """S01 payloads: one market-status document per round (day of events)."""
+    g = t.events.groupBy(F.dayofmonth("ts").cast("int").alias("r")).agg(
+        F.max("ts").alias("last"), F.count(F.lit(1)).cast("int").alias("n"))
+    r = F.col("r")
+    doc = F.struct(
+        r.alias("rodada_atual"), (r % 4 + 1).cast("int").alias("status_mercado"),
+        F.lit(2024).alias("temporada"), F.lit(False).alias("game_over"),
+        F.col("n").alias("times_escalados"), (r % 2 == 0).alias("mercado_pos_rodada"),
+        F.lit(None).cast("boolean").alias("bola_rolando"),
+        F.concat(F.lit("Rodada "), r.cast("string")).alias("nome_rodada"),
+        F.lit(38).alias("rodada_final"),
+        F.when(r % 2 == 0, F.lit(None)).otherwise(F.lit(100.0)).cast("double").alias("cartoleta_inicial"),
+        F.lit(4).alias("esquema_default_id"),
+        F.struct(F.dayofmonth("last").alias("dia"), F.month("last").alias("mes"),
+                 F.year("last").alias("ano"), F.hour("last").alias("hora"),
+                 F.minute("last").alias("minuto"),
+                 F.unix_seconds(F.col("last").cast("timestamp")).alias("timestamp")).alias("fechamento"))
+    return g.select(r.alias("_rodada_captura"), F.to_json(doc).alias("payload"))
+
+
+def landed_athletes(t: Tables) -> DataFrame:
+    """S02 payloads: ``{"atletas": [...]}`` per (round, page of athletes)."""
+    m = market_athletes(t)
+    item = F.struct("atleta_id", "nome", "apelido", "foto", "clube_id", "posicao_id", "status_id",
+                    "rodada_id", "pontos_num", "media_num", "preco_num", "variacao_num", "jogos_num",
+                    "entrou_em_campo", F.from_json("scout_json", "map<string,int>").alias("scout"))
+    return m.groupBy("_rodada_captura", (F.col("atleta_id") / ATHLETE_PAGE).cast("int").alias("_page")) \
+        .agg(F.to_json(F.struct(F.collect_list(item).alias("atletas"))).alias("payload"))
+
+
+def landed_scored(t: Tables) -> DataFrame:
+    """S03 payloads: ``{"rodada": r, "atletas": {"<id>": {...}}}`` per (round, page)."""
+    s = scored_athletes(t)
+    v = F.struct(F.concat(F.lit("A"), F.col("atleta_id").cast("string")).alias("apelido"),
+                 "pontuacao", F.from_json("scout_json", "map<string,int>").alias("scout"),
+                 "posicao_id", "clube_id", "entrou_em_campo")
+    return s.groupBy("rodada_id", (F.col("atleta_id") / ATHLETE_PAGE).cast("int").alias("_page")).agg(
+        F.to_json(F.struct(F.col("rodada_id").alias("rodada"),
+                           F.map_from_entries(F.collect_list(F.struct(F.col("atleta_id").cast("string"), v)))
+                           .alias("atletas"))).alias("payload")).withColumnRenamed("rodada_id", "_rodada_captura")
+
+
+def landed_matches(t: Tables) -> DataFrame:
+    """S04 payloads: ``{"rodada": r|null, "partidas": [...]}`` per round."""
+    from pitchlake.functions.expressions import match_result
+    pm = raw_matches(t)
+    h, a = F.col("placar_oficial_mandante"), F.col("placar_oficial_visitante")
+    item = F.struct(
+        "partida_id", "clube_casa_id", "clube_visitante_id",
+        F.lit(None).cast("int").alias("clube_casa_posicao"), F.lit(None).cast("int").alias("clube_visitante_posicao"),
+        "placar_oficial_mandante", "placar_oficial_visitante",
+        _fmt_ts(F.col("partida_data")).alias("partida_data"),
+        F.unix_seconds(F.col("partida_data").cast("timestamp")).alias("timestamp"),
+        F.col("estadio").alias("local"),
+        F.when(F.col("partida_id") % 2 == 0, F.lit(True)).alias("valida"),
+        F.lit(26).alias("campeonato_id"),
+        F.array(F.lower(match_result(h, a)), F.lower(match_result(a, h))).alias("aproveitamento_mandante"),
+        F.array(F.lower(match_result(a, h)), F.lower(match_result(h, a))).alias("aproveitamento_visitante"))
+    r = F.col("rodada_id")
+    return pm.groupBy(r.alias("_rodada_captura")).agg(F.to_json(F.struct(
+        F.when(r % 2 == 0, F.lit(None)).otherwise(r).cast("int").alias("rodada"),
+        F.collect_list(item).alias("partidas"))).alias("payload"))
+
+
+def landed_clubs(t: Tables) -> DataFrame:
+    """S05 payloads: map club id -> club with nested ``escudos`` (pages of clubs)."""
+    c = clubs(t)
+    v = F.struct("nome", "abreviacao", "slug", F.col("nome").alias("apelido"),
+                 F.col("nome").alias("nome_fantasia"),
+                 F.concat(F.lit("https://clubes/"), F.col("slug")).alias("url_editoria"),
+                 F.struct(F.col("escudo_60x60").alias("60x60"), F.col("escudo_45x45").alias("45x45"),
+                          F.col("escudo_30x30").alias("30x30")).alias("escudos"))
+    return c.groupBy((F.col("clube_id") / SMALL_PAGE).cast("int").alias("_page")).agg(
+        F.to_json(F.map_from_entries(F.collect_list(F.struct(F.col("clube_id").cast("string"), v))))
+        .alias("payload"))
+
+
+def landed_rounds(t: Tables) -> DataFrame:
+    """S06 payloads: arrays of rounds (pages of rounds)."""
+    g = t.events.groupBy(F.dayofmonth("ts").cast("int").alias("rodada_id")).agg(
+        F.min("ts").alias("i"), F.max("ts").alias("f"))
+    item = F.struct("rodada_id", F.concat(F.lit("Rodada "), F.col("rodada_id").cast("string")).alias("nome_rodada"),
+                    _fmt_ts(F.col("i")).alias("inicio"), _fmt_ts(F.col("f")).alias("fim"))
+    return g.groupBy((F.col("rodada_id") / SMALL_PAGE).cast("int").alias("_page")).agg(
+        F.to_json(F.collect_list(item)).alias("payload"))
+
+
+def landed_highlights(t: Tables) -> DataFrame:
+    """S07 payloads: the round's best athlete ("mito") and two averages."""
+    m = market_athletes(t)
+    g = m.groupBy("rodada_id").agg(
+        F.max_by(F.struct("atleta_id", "apelido", "nome", "clube_id"),
+                 F.struct("pontos_num", "atleta_id")).alias("best"),
+        (F.round(F.sum("preco_num"), 2) / F.count("preco_num")).alias("mc"),
+        (F.round(F.sum("pontos_num"), 2) / F.count("pontos_num")).alias("mp"))
+    r = F.col("rodada_id")
+    doc = F.struct(r.alias("rodada_id"),
+                   F.struct(F.col("best.atleta_id").alias("time_id"), F.col("best.nome").alias("nome"),
+                            F.col("best.apelido").alias("nome_cartola"),
+                            F.lower(F.col("best.apelido")).alias("slug"),
+                            F.col("best.clube_id").alias("clube_id")).alias("mito_rodada"),
+                   F.when(r % 2 == 0, F.lit(None)).otherwise(F.col("mc")).alias("media_cartoletas"),
+                   F.col("mp").alias("media_pontos"))
+    return g.select(r.alias("_rodada_captura"), F.to_json(doc).alias("payload"))
+
+
+def landed_leagues(t: Tables) -> DataFrame:
+    """S08 payloads: arrays of leagues (one per region, pages of leagues)."""
+    n = t.nation.groupBy("n_regionkey").agg(F.count(F.lit(1)).cast("int").alias("k"))
+    reg = t.region
+    r = reg.join(n, reg.r_regionkey == n.n_regionkey)
+    lid = F.col("r_regionkey").cast("int")
+    item = F.struct(lid.alias("liga_id"), F.lower("r_name").alias("slug"), F.col("r_name").alias("nome"),
+                    F.concat(F.lit("Liga "), F.col("r_name")).alias("descricao"), F.lit("F").alias("tipo"),
+                    F.lit(None).cast("string").alias("imagem"), F.lit("2024-01-01").alias("criacao"),
+                    F.col("k").alias("quantidade_times"), (F.lit(100) - F.col("k")).alias("vagas_restantes"),
+                    F.when(lid % 2 == 1, F.lit(True)).alias("mata_mata"), (lid % 2 == 0).alias("sem_capitao"))
+    return r.groupBy((lid / SMALL_PAGE).cast("int").alias("_page")).agg(
+        F.to_json(F.collect_list(item)).alias("payload"))
