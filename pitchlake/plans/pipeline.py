@@ -149,6 +149,10 @@ class Pipeline:
         return EN.ensemble_predict(self.next_rows, preds, EN.model_coverage(self.history),
                                    self.selection)
 
+    @cached_property
+    def training_features(self) -> DataFrame:
+        return training_features(self)
+
     @cached_property
     def previsao_final_ranked(self) -> DataFrame:
         from pitchlake.operators import ensemble as EN
@@ -262,3 +266,60 @@ def feature_store(p: Pipeline) -> DataFrame:
         "tendencia_slope",
         "pontuacao_real",
     )
+
+
+def training_features(p: Pipeline) -> DataFrame:
+    """Feature rows for model training: one per (athlete, round), built only
+    from what was known before that round; target = the round's score
+    (NULL for the newest round, which is the one to predict).
+
+    Means are round(sum, 2) / count so they do not depend on summation order.
+    """
+    f = p.fct_atletas_rodada
+    w = Window.partitionBy("atleta_id").orderBy("rodada_id")
+    prev = w.rowsBetween(Window.unboundedPreceding, -1)
+    pp = F.when(F.col("entrou_em_campo"), F.col("pontos_num"))
+
+    def mean(c, frame):
+        return F.round(F.sum(c).over(frame), 2) / F.count(c).over(frame)
+    x = f.select(
+        "atleta_id", "rodada_id", "clube_id", "posicao_id", "pontos_num",
+        mean(pp, prev).alias("media_pontos_geral"),
+        mean(F.col("pontos_num"), w.rowsBetween(-5, -1)).alias("media_ultimas_5"),
+        mean(F.col("pontos_num"), w.rowsBetween(-3, -1)).alias("media_ultimas_3"),
+        F.stddev_samp(pp).over(prev).alias("desvio_padrao_pontos"),
+        F.count(pp).over(prev).alias("total_jogos"),
+        F.avg(F.col("entrou_em_campo").cast("int")).over(prev).alias("aproveitamento_campo"),
+        F.lag("preco_num").over(w).alias("preco_atual"),
+        F.lag("variacao_num").over(w).alias("variacao_preco"))
+    x = x.withColumn("consistencia_score", ATH.consistency(F.col("media_pontos_geral"),
+                                                          F.col("desvio_padrao_pontos")))
+    # the club's first match of each round: side and opponent
+    m = p.fct_partidas.select("partida_id", "rodada_id", "clube_casa_id", "clube_visitante_id")
+    sides = m.select("partida_id", "rodada_id", F.explode(F.array(
+        F.struct(F.col("clube_casa_id").alias("clube_id"), F.lit("casa").alias("mando_campo"),
+                 F.col("clube_visitante_id").alias("adversario_id")),
+        F.struct(F.col("clube_visitante_id").alias("clube_id"), F.lit("fora").alias("mando_campo"),
+                 F.col("clube_casa_id").alias("adversario_id")))).alias("s")).select(
+        "partida_id", "rodada_id", "s.*")
+    opp = latest_per_key(sides, ["clube_id", "rodada_id"], ["partida_id"], newest=False).drop("partida_id")
+    tab = p.tabela_brasileirao.select("clube_id", "rodada_id", "posicao", "aproveitamento_percentual")
+    t1 = tab.select(F.col("clube_id").alias("_c1"), (F.col("rodada_id") + 1).alias("_r1"),
+                    F.col("posicao").alias("clube_posicao_tabela"),
+                    F.col("aproveitamento_percentual").alias("clube_aproveitamento"))
+    t2 = tab.select(F.col("clube_id").alias("_c2"), (F.col("rodada_id") + 1).alias("_r2"),
+                    F.col("posicao").alias("adversario_posicao_tabela"))
+    last = f.agg(F.max("rodada_id").alias("_last"))
+    j = (x.join(opp, ["clube_id", "rodada_id"], "left")
+         .join(t1, (F.col("clube_id") == F.col("_c1")) & (F.col("rodada_id") == F.col("_r1")), "left")
+         .join(t2, (F.col("adversario_id") == F.col("_c2")) & (F.col("rodada_id") == F.col("_r2")), "left")
+         .crossJoin(F.broadcast(last)))
+    j = derby_flag(j, "clube_id", "adversario_id", p.classicos)
+    return j.select(
+        "atleta_id", F.col("rodada_id").alias("rodada_alvo"), "clube_id", "posicao_id",
+        "media_pontos_geral", "media_ultimas_5", "media_ultimas_3", "desvio_padrao_pontos",
+        "consistencia_score", "total_jogos", "aproveitamento_campo", "preco_atual", "variacao_preco",
+        "clube_posicao_tabela", "clube_aproveitamento", "adversario_id", "adversario_posicao_tabela",
+        "mando_campo", "eh_classico",
+        F.when(F.col("rodada_id") == F.col("_last"), F.lit(None)).otherwise(F.col("pontos_num"))
+        .alias("pontuacao_real"))

@@ -46,7 +46,7 @@ def query(key: str, digits: int | None = 6):
 # Importing the query modules fills the registry.
 def load_all() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from pitchlake.plans import q_core  # noqa: F401
-    for mod in ("q_more", "q_meta", "q_ops", "q_io"):
+    for mod in ("q_more", "q_meta", "q_ops", "q_io", "q_ml", "q_stream"):
         try:
             __import__(f"pitchlake.plans.{mod}")
         except ModuleNotFoundError as e:
