@@ -55,8 +55,8 @@ def stack_models(frames: dict[str, DataFrame]) -> DataFrame:
 def coverage_by_position(hist: DataFrame, window: int = COVERAGE_WINDOW) -> DataFrame:
     """Coverage and n per (model, position) over the last ``window`` rounds
     (``rodada_alvo >= max - window + 1``, inclusive, as coded)."""
-    last = hist.agg(F.max("rodada_alvo").alias("_max"))
-    h = hist.crossJoin(F.broadcast(last)).filter(F.col("rodada_alvo") >= F.col("_max") - (window - 1))
+    last = hist.agg(F.max("rodada_alvo")).scalar()
+    h = hist.filter(F.col("rodada_alvo") >= last - (window - 1))
     thr = threshold_for(F.col("posicao_id"))
     return h.groupBy("modelo", "posicao_id").agg(
         F.avg(hit(F.col("pontuacao_prevista"), F.col("pontuacao_real"), thr)).alias("coverage"),
@@ -135,12 +135,11 @@ def ensemble_predict(rows: DataFrame, preds: DataFrame, model_cov: DataFrame,
         F.first("pontuacao_prevista"))
     for m in MODELS:
         wide = wide.withColumnRenamed(m, f"prev_{SHORT[m]}")
-    covs = model_cov.groupBy().pivot("modelo", list(MODELS)).agg(F.first("coverage_score"))
-    for m in MODELS:
-        covs = covs.withColumnRenamed(m, f"mcov_{SHORT[m]}")
+    covs = [model_cov.filter(F.col("modelo") == m).select(F.max("coverage_score")).scalar()
+            .alias(f"mcov_{SHORT[m]}") for m in MODELS]            # three scalar subqueries
     pos = F.coalesce(F.col("posicao_id"), F.lit(4))
     x = (rows.join(wide, ["atleta_id", "rodada_alvo"], "left")
-         .crossJoin(F.broadcast(covs))                          # one row
+         .select("*", *covs)
          .withColumn("_pos", pos)
          .join(F.broadcast(selection.withColumnRenamed("posicao_id", "_pos")
                            .drop(*[f"cov_{SHORT[m]}" for m in MODELS])), "_pos", "left"))

@@ -81,15 +81,14 @@ def incremental(source: DataFrame, target: DataFrame | None, col: str,
     """Rows of ``source`` at/after ``max(target.col) - lookback`` (or
     strictly after with ``strict``); empty/absent target -> all rows.
 
-    The bound is a one-row aggregate broadcast into the filter; when the
-    target is partitioned on ``col`` the scan is pruned by the literal.
+    The bound is a scalar subquery (evaluated once, before the scan of the
+    source); on a table partitioned by ``col`` the filter prunes partitions.
     """
     if target is None:
         return source
-    bound = target.agg((F.max(col) - F.lit(lookback)).alias("_bound"))
-    j = source.crossJoin(F.broadcast(bound))
-    cond = (F.col(col) > F.col("_bound")) if strict else (F.col(col) >= F.col("_bound"))
-    return j.filter(F.col("_bound").isNull() | cond).drop("_bound")
+    bound = target.agg(F.max(col) - F.lit(lookback)).scalar()
+    cond = (F.col(col) > bound) if strict else (F.col(col) >= bound)
+    return source.filter(bound.isNull() | cond)
 
 
 def run_incremental(build, target: DataFrame | None, keys, col: str,
@@ -138,8 +137,5 @@ def overwrite_recent(existing: DataFrame, fresh: DataFrame, part_col: str, n: in
     Written with ``replace_partitions`` only the rebuilt partitions are
     rewritten.
     """
-    bound = existing.agg(F.max(part_col).alias("_hi"))
-    lo = F.date_sub(F.col("_hi"), n - 1)
-    old = existing.crossJoin(F.broadcast(bound)).filter(F.col(part_col) < lo).drop("_hi")
-    new = fresh.crossJoin(F.broadcast(bound)).filter(F.col(part_col) >= lo).drop("_hi")
-    return old.unionByName(new)
+    lo = F.date_sub(existing.agg(F.max(part_col)).scalar(), n - 1)
+    return existing.filter(F.col(part_col) < lo).unionByName(fresh.filter(F.col(part_col) >= lo))

@@ -116,8 +116,8 @@ def validate_copy(a: DataFrame, b: DataFrame) -> DataFrame:
                F.sum(F.xxhash64(*[F.col(c) for c in cols]).cast("decimal(38,0)")).alias("h"))
     hb = b.agg(F.count(F.lit(1)).alias("n"),
                F.sum(F.xxhash64(*[F.col(c) for c in sorted(b.columns)]).cast("decimal(38,0)")).alias("h"))
-    j = ha.crossJoin(hb.select(F.col("n").alias("nb"), F.col("h").alias("hb")))
-    return j.select(F.col("n").alias("linhas_origem"), F.col("nb").alias("linhas_copia"),
-                    F.lit(sorted(a.columns) == sorted(b.columns)).alias("colunas_iguais"),
-                    (F.col("n") == F.col("nb")).alias("contagem_igual"),
-                    F.col("h").eqNullSafe(F.col("hb")).alias("conteudo_igual"))
+    nb, hb_ = hb.select("n").scalar(), hb.select("h").scalar()
+    return ha.select(F.col("n").alias("linhas_origem"), nb.alias("linhas_copia"),
+                     F.lit(sorted(a.columns) == sorted(b.columns)).alias("colunas_iguais"),
+                     (F.col("n") == nb).alias("contagem_igual"),
+                     F.col("h").eqNullSafe(hb_).alias("conteudo_igual"))

@@ -72,13 +72,13 @@ def standings_round(matches: DataFrame) -> DataFrame:
 def club_round_grid(persp: DataFrame) -> DataFrame:
     """Every club x every round between the first and the last played round.
 
-    Built per club with ``sequence`` (no cross join); bounds come from a
-    one-row aggregate.
+    Built per club with ``sequence`` (no cross join); the bounds are scalar
+    subqueries evaluated once.
     """
-    bounds = persp.agg(F.min("rodada_id").alias("_lo"), F.max("rodada_id").alias("_hi"))
+    lo = persp.agg(F.min("rodada_id")).scalar()
+    hi = persp.agg(F.max("rodada_id")).scalar()
     clubs_ = persp.select("clube_id").distinct()
-    return (clubs_.crossJoin(F.broadcast(bounds))
-            .select("clube_id", F.explode(F.sequence("_lo", "_hi")).alias("rodada_id")))
+    return clubs_.select("clube_id", F.explode(F.sequence(lo, hi)).alias("rodada_id"))
 
 
 def standings_cumulative(matches: DataFrame) -> DataFrame:

@@ -24,10 +24,10 @@ from pitchlake.sources.tables import Tables
 
 
 class Pipeline:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, share: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.t = Tables(spark, sf_dir)
+        self.t = Tables(spark, sf_dir, share=share)
 
     # ------------------------------------------------------------ bronze
     @cached_property
@@ -179,7 +179,7 @@ def club_round_metrics(fact: DataFrame, matches: DataFrame, table: DataFrame) ->
                     "pontos_campeonato", "aproveitamento_percentual")
 
 
-def next_opponents(matches_next: DataFrame, target_round: DataFrame) -> DataFrame:
+def next_opponents(matches_next: DataFrame, target_round) -> DataFrame:
     """Each club's opponent and side in the target round.
 
     The reference's ``club IN (home, away)`` theta join is re-shaped: each
@@ -189,11 +189,9 @@ def next_opponents(matches_next: DataFrame, target_round: DataFrame) -> DataFram
     round keeps the one with the lowest match id.
     """
     m = matches_next.select("partida_id", "rodada_id", "clube_casa_id", "clube_visitante_id")
-    rounds = m.agg(F.max("rodada_id").alias("_max_round"))
-    pick = (target_round.crossJoin(rounds)
-            .select(F.when(F.col("_max_round") >= F.col("rodada_alvo"), F.col("rodada_alvo"))
-                    .otherwise(F.col("_max_round")).alias("_pick")))
-    m = m.join(F.broadcast(pick), m.rodada_id == pick._pick)   # one-row filter
+    newest = m.agg(F.max("rodada_id")).scalar()
+    pick = F.when(newest >= target_round, target_round).otherwise(newest)
+    m = m.filter(F.col("rodada_id") == pick)
     sides = m.select("partida_id", F.explode(F.array(
         F.struct(F.col("clube_casa_id").alias("clube_id"), F.lit("casa").alias("mando_campo"),
                  F.col("clube_visitante_id").alias("adversario_id")),
@@ -217,7 +215,7 @@ def feature_store(p: Pipeline) -> DataFrame:
     """One row per athlete for the target round (max fact round + 1)."""
     fact = p.fct_atletas_rodada
     m = p.metricas_atleta
-    target = fact.agg((F.max("rodada_id") + 1).alias("rodada_alvo"))       # J06 scalar
+    target = fact.agg(F.max("rodada_id") + 1).scalar()       # J06: scalar subquery
     # W05 (ascending frame): mean of the athlete's last 3 rows at its latest round
     w = Window.partitionBy("atleta_id").orderBy(F.col("rodada_id").desc())
     last3 = (fact.select("atleta_id", "pontos_num", F.row_number().over(w).alias("_rn"))
@@ -229,10 +227,9 @@ def feature_store(p: Pipeline) -> DataFrame:
     tab = latest_per_key(p.tabela_brasileirao, ["clube_id"], ["rodada_id"]) \
         .select("clube_id", "posicao", "aproveitamento_percentual")
     mc_all = p.metricas_clube_rodada
-    mc_last = mc_all.agg(F.max("rodada_id").alias("_r"))
-    mc = mc_all.join(F.broadcast(mc_last), mc_all.rodada_id == mc_last._r) \
+    mc = mc_all.filter(F.col("rodada_id") == mc_all.agg(F.max("rodada_id")).scalar()) \
         .select("clube_id", "media_pontos_cartola")
-    base = (m.crossJoin(F.broadcast(target))
+    base = (m.withColumn("rodada_alvo", target)
             .join(last3, "atleta_id", "left")
             .join(slope, "atleta_id", "left")
             .join(adv, "clube_id", "left"))
@@ -309,11 +306,10 @@ def training_features(p: Pipeline) -> DataFrame:
                     F.col("aproveitamento_percentual").alias("clube_aproveitamento"))
     t2 = tab.select(F.col("clube_id").alias("_c2"), (F.col("rodada_id") + 1).alias("_r2"),
                     F.col("posicao").alias("adversario_posicao_tabela"))
-    last = f.agg(F.max("rodada_id").alias("_last"))
+    last = f.agg(F.max("rodada_id")).scalar()
     j = (x.join(opp, ["clube_id", "rodada_id"], "left")
          .join(t1, (F.col("clube_id") == F.col("_c1")) & (F.col("rodada_id") == F.col("_r1")), "left")
-         .join(t2, (F.col("adversario_id") == F.col("_c2")) & (F.col("rodada_id") == F.col("_r2")), "left")
-         .crossJoin(F.broadcast(last)))
+         .join(t2, (F.col("adversario_id") == F.col("_c2")) & (F.col("rodada_id") == F.col("_r2")), "left"))
     j = derby_flag(j, "clube_id", "adversario_id", p.classicos)
     return j.select(
         "atleta_id", F.col("rodada_id").alias("rodada_alvo"), "clube_id", "posicao_id",
@@ -321,5 +317,5 @@ def training_features(p: Pipeline) -> DataFrame:
         "consistencia_score", "total_jogos", "aproveitamento_campo", "preco_atual", "variacao_preco",
         "clube_posicao_tabela", "clube_aproveitamento", "adversario_id", "adversario_posicao_tabela",
         "mando_campo", "eh_classico",
-        F.when(F.col("rodada_id") == F.col("_last"), F.lit(None)).otherwise(F.col("pontos_num"))
+        F.when(F.col("rodada_id") == last, F.lit(None)).otherwise(F.col("pontos_num"))
         .alias("pontuacao_real"))

@@ -256,7 +256,7 @@ def _(p):
 def _(p):
     from pitchlake.plans.pipeline import next_opponents
     fact = p.fct_atletas_rodada
-    target = fact.agg((F.max("rodada_id") + 1).alias("rodada_alvo"))
+    target = fact.agg(F.max("rodada_id") + 1).scalar()
     adv = next_opponents(p.fct_partidas_proxima, target)
     return p.dim_atletas.select("atleta_id", "clube_id").join(adv, "clube_id", "left")
 
@@ -264,8 +264,8 @@ def _(p):
 @query("j06_cross_scalar")
 def _(p):
     fact = p.fct_atletas_rodada
-    target = fact.agg((F.max("rodada_id") + 1).alias("rodada_alvo"))
-    return p.dim_atletas.select("atleta_id").crossJoin(F.broadcast(target))
+    target = fact.agg(F.max("rodada_id") + 1).scalar()      # scalar subquery, run once
+    return p.dim_atletas.select("atleta_id", target.alias("rodada_alvo"))
 
 
 @query("j07_role_playing")

@@ -136,15 +136,15 @@ def _(p):
 def _(p):
     """Next-round predictions of each model with its history metrics."""
     metrics = EN.error_metrics(p.history).join(EN.model_coverage(p.history), "modelo")
-    last = p.mp_long.agg(F.max("rodada_alvo").alias("_r"))
+    last = p.mp_long.agg(F.max("rodada_alvo")).scalar()
     nxt = p.mp_long.join(p.next_rows.select("atleta_id", "rodada_alvo"),
                          ["atleta_id", "rodada_alvo"], "left_semi")
-    j = nxt.join(F.broadcast(metrics), "modelo").crossJoin(F.broadcast(last))
+    j = nxt.join(F.broadcast(metrics), "modelo")      # 3 rows: one per model
     return j.select("atleta_id", "rodada_alvo", "modelo",
                     F.greatest(F.col("pontuacao_prevista"), F.lit(0.0)).alias("pontuacao_prevista"),
                     "rmse", "mae", F.col("r2").alias("r2_score"), "coverage_score",
                     F.concat(F.lit("pitchlake_"), F.col("modelo")).alias("modelo_versao"),
-                    F.concat(F.col("modelo"), F.lit("-r"), F.col("_r").cast("string")).alias("run_id"))
+                    F.concat(F.col("modelo"), F.lit("-r"), last.cast("string")).alias("run_id"))
 
 
 @query("l13_select_model")

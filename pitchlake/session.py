@@ -16,6 +16,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    # checkpoint files of frames that are no longer referenced are removed
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

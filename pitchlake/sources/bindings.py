@@ -36,6 +36,10 @@ def _count_if(cond: Column) -> Column:
 # ---------------------------------------------------------------- athletes (AR)
 def athlete_rounds(t: Tables) -> DataFrame:
     """AR: market-side athlete x round rows from ``events`` (user x day)."""
+    return t.shared("athlete_rounds", lambda: _athlete_rounds(t))
+
+
+def _athlete_rounds(t: Tables) -> DataFrame:
     ev = t.events.select("user_id", "ts", "event_type", "value")
     counts = [_count_if(F.col("event_type") == et).alias(f"n_{code}")
               for code, et in SCOUT_EVENT_CODES]
@@ -105,6 +109,10 @@ def raw_matches(t: Tables) -> DataFrame:
     home = supplier nation, away = customer nation, home goals = returned
     lines ('R'), away goals = accepted lines ('A'); round = quarter since 1995.
     """
+    return t.shared("raw_matches", lambda: _raw_matches(t))
+
+
+def _raw_matches(t: Tables) -> DataFrame:
     li = t.lineitem.select("l_orderkey", "l_suppkey", "l_returnflag")
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
     s = t.supplier.select("s_suppkey", "s_nationkey")
@@ -134,12 +142,9 @@ def raw_matches(t: Tables) -> DataFrame:
 def raw_matches_unplayed(t: Tables) -> DataFrame:
     """PM-null: the newest round is not played yet (both scores NULL)."""
     pm = raw_matches(t)
-    last = pm.agg(F.max("rodada_id").alias("_last"))  # one row: bounded broadcast
-    pm = pm.crossJoin(F.broadcast(last))
-    unplayed = F.col("rodada_id") == F.col("_last")
+    unplayed = F.col("rodada_id") == pm.agg(F.max("rodada_id")).scalar()
     return pm.select(
-        *[c for c in pm.columns if c not in ("placar_oficial_mandante",
-                                             "placar_oficial_visitante", "_last")],
+        *[c for c in pm.columns if c not in ("placar_oficial_mandante", "placar_oficial_visitante")],
         F.when(unplayed, F.lit(None)).otherwise(F.col("placar_oficial_mandante"))
          .cast("int").alias("placar_oficial_mandante"),
         F.when(unplayed, F.lit(None)).otherwise(F.col("placar_oficial_visitante"))
@@ -231,12 +236,11 @@ def model_predictions_wide(t: Tables) -> DataFrame:
     pos = pos.select("posicao_id", "rodada_id",
                      (F.round(F.sum("s").over(wp), 2)
                       / (F.lit(PREDICTION_SCALE) * F.sum("n").over(wp))).alias("p_poisson"))
-    last = ar.agg(F.max("rodada_id").alias("_last"))
-    j = (per_athlete.join(F.broadcast(pos), ["posicao_id", "rodada_id"], "left")
-         .crossJoin(F.broadcast(last)))
+    last = ar.agg(F.max("rodada_id")).scalar()
+    j = per_athlete.join(F.broadcast(pos), ["posicao_id", "rodada_id"], "left")
     return j.select(
         "atleta_id", F.col("rodada_id").alias("rodada_alvo"), "posicao_id",
-        F.when(F.col("rodada_id") == F.col("_last"), F.lit(None))
+        F.when(F.col("rodada_id") == last, F.lit(None))
          .otherwise(F.col("real")).alias("pontuacao_real"),
         *[F.col(f"p_{m}") for m in MODEL_NAMES])
 

@@ -15,11 +15,29 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 class Tables:
-    """Attribute access to the driver tables of one scale-factor folder."""
+    """Attribute access to the driver tables of one scale-factor folder.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    ``shared(name, build)`` memoises a derived frame that several branches of
+    one plan consume.  With ``share=True`` it is checkpointed (reliable
+    checkpoint in ``spark.checkpoint.dir``): computed once, lineage cut, and
+    every consumer reads the same files -- otherwise column pruning gives
+    each branch its own variant of the aggregate and the input is scanned
+    once per branch.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, share: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.share = share
+        self._memo: dict[str, DataFrame] = {}
+
+    def shared(self, name: str, build) -> DataFrame:
+        if name not in self._memo:
+            df = build()
+            if self.share:
+                df = df.checkpoint(eager=True)
+            self._memo[name] = df
+        return self._memo[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
