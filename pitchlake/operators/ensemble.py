@@ -316,3 +316,18 @@ def time_folds(df: DataFrame, col: str = "rodada_alvo", n_splits: int = 5) -> Da
     role = (F.when((F.col("_i") > test_lo) & (F.col("_i") <= test_hi), "test")
             .when(F.col("_i") <= test_lo, "train"))
     return folds.select("fold", col, role.alias("papel")).filter(F.col("papel").isNotNull())
+
+
+def merge_models(info: DataFrame, models: dict[str, DataFrame]) -> DataFrame:
+    """Left-merge each model's output onto the rows to predict, with the
+    model's short name as column suffix (prev_xgb, cov_xgb, ...).  Each model
+    frame has one row per (athlete, round), so the chain of left joins on the
+    same key never fans out."""
+    out = info
+    for name, df in models.items():
+        s = SHORT.get(name, name)
+        out = out.join(df.select("atleta_id", "rodada_alvo",
+                                 F.col("pontuacao_prevista").alias(f"prev_{s}"),
+                                 F.col("coverage_score").alias(f"cov_{s}")),
+                       ["atleta_id", "rodada_alvo"], "left")
+    return out

@@ -250,3 +250,34 @@ SELECT s.posicao_id, s.nome, s.abreviacao, c.atletas
 FROM positions_seed s
 LEFT JOIN (SELECT posicao_id, count(*) AS atletas FROM dim_atletas GROUP BY posicao_id) c
   ON s.posicao_id = c.posicao_id""", "positions_seed", "dim_atletas")
+
+oracle("w06_recent_row_number", """
+SELECT atleta_id, rodada_id, CAST(row_number() OVER (PARTITION BY atleta_id ORDER BY rodada_id DESC) AS INTEGER)
+           AS rn_desc
+FROM played""", "played")
+
+oracle("j03_round_calendar", """
+SELECT r.rodada_id, r.nome_rodada, r.data_inicio, r.data_fim,
+       coalesce(s.temporada, CAST(year(r.data_inicio) AS INTEGER)) AS temporada
+FROM (SELECT CAST(dayofmonth(ts) AS INTEGER) AS rodada_id,
+             'Rodada ' || CAST(CAST(dayofmonth(ts) AS INTEGER) AS VARCHAR) AS nome_rodada,
+             CAST(strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS data_inicio,
+             CAST(strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS data_fim
+      FROM events GROUP BY CAST(dayofmonth(ts) AS INTEGER)) r
+LEFT JOIN (SELECT rodada_atual, temporada FROM (
+             SELECT CAST(dayofmonth(ts) AS INTEGER) AS rodada_atual,
+                    CASE WHEN CAST(dayofmonth(ts) AS INTEGER) % 5 = 0 THEN NULL ELSE 2024 END AS temporada,
+                    max(ts) AS cap
+             FROM events GROUP BY CAST(dayofmonth(ts) AS INTEGER), hour(ts))
+           QUALIFY row_number() OVER (PARTITION BY rodada_atual ORDER BY cap DESC) = 1) s
+  ON r.rodada_id = s.rodada_atual""")
+
+oracle("f02_row_key", """
+SELECT o_orderkey, sha256(concat_ws('||', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR),
+                                    strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'))) AS row_key
+FROM orders""")
+
+oracle("f03_surrogate_key", """
+SELECT o_orderkey, md5(concat_ws('-', coalesce(CAST(o_custkey AS VARCHAR), ''), coalesce(o_orderstatus, ''),
+                                 coalesce(o_orderpriority, ''))) AS sk
+FROM orders""")

@@ -99,3 +99,16 @@ SELECT * FROM (VALUES
    (SELECT count(*) FROM market WHERE _ingestao_timestamp IS NOT NULL
                                   AND TRY_CAST(_ingestao_timestamp AS TIMESTAMP) IS NULL)))
   t(coluna, problema, esperado, encontrado, linhas_invalidas)""", "market")
+
+_EV = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
+oracle("s11_stream_load", _EV, doubles=("value",))
+oracle("s13_append_sink", _EV, doubles=("value",))
+oracle("s14_overwrite_sink", "SELECT * FROM orders", doubles=("o_totalprice",))
+oracle("s15_replace_partitions", "SELECT atleta_id, rodada_id, pontos_num, preco_num FROM fct", "fct",
+       doubles=("pontos_num", "preco_num"))
+oracle("s18_bucketed_write", """
+SELECT o_custkey, o_orderkey, o_totalprice, c_name FROM orders JOIN customer ON o_custkey = c_custkey""",
+       doubles=("o_totalprice",))
+oracle("s19_batched_copy", """
+SELECT count(*) AS linhas_origem, count(*) AS linhas_copia, TRUE AS colunas_iguais, TRUE AS contagem_igual,
+       TRUE AS conteudo_igual FROM orders""")

@@ -295,3 +295,15 @@ FROM feature_store""", "feature_store")
 oracle("f05_one_hot", "SELECT atleta_id, rodada_alvo, "
        + ", ".join(f"CASE WHEN posicao_id = {v} THEN 1 ELSE 0 END AS pos_{v}" for v in (2, 3, 4, 5, 6))
        + " FROM mp_real", "mp_real")
+
+oracle("j12_three_way_left", """
+SELECT n.atleta_id, n.rodada_alvo, n.posicao_id,
+       x.pontuacao_prevista AS prev_xgb, (SELECT coverage_score FROM model_cov WHERE modelo = 'xgboost') AS cov_xgb,
+       l.pontuacao_prevista AS prev_lgb, (SELECT coverage_score FROM model_cov WHERE modelo = 'lightgbm') AS cov_lgb,
+       p.pontuacao_prevista AS prev_poi, (SELECT coverage_score FROM model_cov WHERE modelo = 'poisson') AS cov_poi
+FROM nxt n
+LEFT JOIN (SELECT * FROM mp WHERE modelo = 'xgboost') x ON n.atleta_id = x.atleta_id AND n.rodada_alvo = x.rodada_alvo
+LEFT JOIN (SELECT * FROM mp WHERE modelo = 'lightgbm') l ON n.atleta_id = l.atleta_id AND n.rodada_alvo = l.rodada_alvo
+LEFT JOIN (SELECT * FROM mp WHERE modelo = 'poisson') p ON n.atleta_id = p.atleta_id AND n.rodada_alvo = p.rodada_alvo""",
+       "nxt", "mp", "model_cov",
+       doubles=("prev_xgb", "cov_xgb", "prev_lgb", "cov_lgb", "prev_poi", "cov_poi"))

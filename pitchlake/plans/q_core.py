@@ -298,3 +298,29 @@ def _(p):
     from pitchlake.sources import seeds
     cnt = p.dim_atletas.groupBy("posicao_id").agg(F.count(F.lit(1)).alias("atletas"))
     return F.broadcast(seeds.positions(p.spark)).join(cnt, "posicao_id", "left")
+
+
+@query("w06_recent_row_number")
+def _(p):
+    """Rounds of each athlete numbered newest first (played rounds)."""
+    w = Window.partitionBy("atleta_id").orderBy(F.col("rodada_id").desc())
+    return ATH.played(p.fct_atletas_rodada).select("atleta_id", "rodada_id",
+                                                   F.row_number().over(w).alias("rn_desc"))
+
+
+@query("j03_round_calendar")
+def _(p):
+    from pitchlake.plans.silver import dim_rodadas
+    from pitchlake.sources import landing as L
+    return dim_rodadas(L.explode_rounds(B.landed_rounds(p.t)), B.status_captures(p.t))
+
+
+@query("f02_row_key")
+def _(p):
+    return p.t.orders.select("o_orderkey", X.row_key("o_orderkey", "o_custkey", "o_orderdate").alias("row_key"))
+
+
+@query("f03_surrogate_key")
+def _(p):
+    return p.t.orders.select("o_orderkey",
+                             X.surrogate_key("o_custkey", "o_orderstatus", "o_orderpriority").alias("sk"))

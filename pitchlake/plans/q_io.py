@@ -86,3 +86,85 @@ def _(p):
 @query("s20_enforce_contract")
 def _(p):
     return C.enforce_contract(p.raw_atletas_mercado, C.RAW_ATLETAS_MERCADO)
+
+
+# ------------------------------------------------------------------ sinks (write, then read back)
+def _scratch(p, name):
+    from pitchlake.streaming.pipeline import scratch
+    return scratch(p.spark, name)
+
+
+@query("s11_stream_load")
+def _(p):
+    """Incremental file ingest (parquet drops, one folder per day) with a
+    checkpoint and a run-to-completion trigger; the bronze table is read back."""
+    import os
+    from pitchlake.streaming.pipeline import EVENT_SCHEMA, bronze_stream
+    base = _scratch(p, "s11")
+    src = os.path.join(base, "landing")
+    p.t.events.withColumn("dia", F.date_format("ts", "yyyy-MM-dd")).write.partitionBy("dia").parquet(src)
+    out = os.path.join(base, "bronze")
+    bronze_stream(p.spark, src, EVENT_SCHEMA + ", dia STRING", out, os.path.join(base, "_ckpt"),
+                  fmt="parquet", max_files=8).awaitTermination()
+    return p.spark.read.parquet(out).select("event_id", "ts", "user_id", "event_type", "value", "props")
+
+
+@query("s13_append_sink")
+def _(p):
+    """Two partitioned appends (first and second half of the month)."""
+    from pitchlake.sources.io import append
+    out = _scratch(p, "s13")
+    ev = p.t.events.withColumn("event_date", F.to_date("ts"))
+    append(ev.filter(F.dayofmonth("ts") <= 15), out, ["event_date"])
+    append(ev.filter(F.dayofmonth("ts") > 15), out, ["event_date"])
+    return p.spark.read.parquet(out).select("event_id", "ts", "user_id", "event_type", "value", "props")
+
+
+@query("s14_overwrite_sink")
+def _(p):
+    """A full overwrite replaces an earlier, different table (schema too)."""
+    from pitchlake.sources.io import overwrite
+    out = _scratch(p, "s14")
+    overwrite(p.t.orders.select("o_orderkey").limit(10), out)
+    overwrite(p.t.orders, out)
+    return p.spark.read.parquet(out)
+
+
+@query("s15_replace_partitions")
+def _(p):
+    """The athlete fact partitioned by round; the last two rounds are
+    rebuilt from a fresh computation and replaced partition-wise."""
+    from pitchlake.sources.io import replace_partitions
+    out = _scratch(p, "s15")
+    f = p.fct_atletas_rodada.drop("_ingestao_timestamp")
+    replace_partitions(f.withColumn("pontos_num", F.lit(-1.0)), out, ["rodada_id"])      # stale first load
+    last = f.agg(F.max("rodada_id")).collect()[0][0]
+    replace_partitions(f, out, ["rodada_id"])                                              # full reload
+    replace_partitions(f.filter(F.col("rodada_id") >= last - 1), out, ["rodada_id"])      # idempotent re-run
+    return p.spark.read.parquet(out).select("atleta_id", "rodada_id", "pontos_num", "preco_num")
+
+
+@query("s18_bucketed_write")
+def _(p):
+    """Orders and customers bucketed (and sorted) by customer key into
+    external tables; the join of the two reads matching buckets without a
+    shuffle."""
+    import os
+    import uuid
+    from pitchlake.sources.io import write_bucketed
+    base = _scratch(p, "s18")
+    suffix = uuid.uuid4().hex[:8]
+    o_t, c_t = f"pl_orders_b_{suffix}", f"pl_customer_b_{suffix}"
+    o = p.t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    c = p.t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    write_bucketed(o, o_t, ["o_custkey"], 8, ["o_custkey"], path=os.path.join(base, "orders"))
+    write_bucketed(c, c_t, ["o_custkey"], 8, ["o_custkey"], path=os.path.join(base, "customer"))
+    return p.spark.table(o_t).join(p.spark.table(c_t), "o_custkey")
+
+
+@query("s19_batched_copy")
+def _(p):
+    """Partition-by-partition copy as one partitioned write, validated."""
+    from pitchlake.sources.io import copy_by_partition
+    o = p.t.orders.withColumn("o_ano", F.year("o_orderdate"))
+    return copy_by_partition(o, _scratch(p, "s19"), ["o_ano"])

@@ -219,3 +219,16 @@ def _(p):
     r = p.realised
     return r.select("atleta_id", "rodada_alvo",
                     *X.one_hot(F.col("posicao_id"), [1, 2, 3, 4, 5, 6], "pos", drop_first=True))
+
+
+@query("j12_three_way_left")
+def _(p):
+    """Next-round rows with each model's prediction and coverage side by side."""
+    cov = EN.model_coverage(p.history)
+    models = {}
+    for m in EN.MODELS:
+        t = p.model_table(m).join(p.next_rows.select("atleta_id", "rodada_alvo"),
+                                  ["atleta_id", "rodada_alvo"], "left_semi")
+        models[m] = t.withColumn("coverage_score", cov.filter(F.col("modelo") == m)
+                                 .select(F.max("coverage_score")).scalar())
+    return EN.merge_models(p.next_rows, models)

@@ -100,3 +100,16 @@ def dim_clubes(clubs: DataFrame) -> DataFrame:
         X.first_non_null(F.col("escudo_60x60"), F.col("escudo_45x45"),
                          F.col("escudo_30x30")).alias("escudo_url"),
     )
+
+
+def dim_rodadas(rounds: DataFrame, status: DataFrame) -> DataFrame:
+    """J03 (+W02): round calendar; season from the newest status capture of
+    the round, else the year the round starts."""
+    st = latest_per_key(status.select("rodada_atual", "temporada", "_ingestao_timestamp"),
+                        ["rodada_atual"], ["_ingestao_timestamp"])
+    r = rounds.select("rodada_id", "nome_rodada",
+                      F.to_timestamp("inicio").cast("timestamp_ntz").alias("data_inicio"),
+                      F.to_timestamp("fim").cast("timestamp_ntz").alias("data_fim"))
+    j = r.join(st, r.rodada_id == st.rodada_atual, "left")
+    return j.select("rodada_id", "nome_rodada", "data_inicio", "data_fim",
+                    F.coalesce(F.col("temporada"), F.year("data_inicio")).alias("temporada"))

@@ -56,11 +56,18 @@ def replace_partitions(df: DataFrame, path: str, partition_by: list[str], fmt: s
        .format(fmt).partitionBy(*partition_by).save(path))
 
 
-def write_bucketed(df: DataFrame, table: str, cols: list[str], n: int, sort_cols: list[str] | None = None) -> None:
-    """Bucket (and sort) a table for repeated joins on ``cols``."""
+def write_bucketed(df: DataFrame, table: str, cols: list[str], n: int, sort_cols: list[str] | None = None,
+                   path: str | None = None) -> None:
+    """Bucket (and sort) a table for repeated joins on ``cols``.
+
+    With ``path`` the table is external (files in a shared folder, not the
+    local warehouse directory).
+    """
     w = df.write.mode("overwrite").format("parquet").bucketBy(n, *cols)
     if sort_cols:
         w = w.sortBy(*sort_cols)
+    if path:
+        w = w.option("path", path)
     w.saveAsTable(table)
 
 
