@@ -42,6 +42,14 @@ def with_actuals(pred: DataFrame, real: DataFrame, name: str) -> DataFrame:
             .withColumn("modelo", F.lit(name)))
 
 
+def with_actuals_long(preds: DataFrame, real: DataFrame) -> DataFrame:
+    """J11 for all models at once: long predictions (atleta_id, rodada_alvo,
+    modelo, pontuacao_prevista) joined once to the realised scores."""
+    return (preds.select("atleta_id", "rodada_alvo", "pontuacao_prevista", "modelo")
+            .join(real.select("atleta_id", "rodada_alvo", "pontuacao_real", "posicao_id"),
+                  ["atleta_id", "rodada_alvo"]))
+
+
 def stack_models(frames: dict[str, DataFrame]) -> DataFrame:
     """Concatenate model outputs with a label column (missing columns -> NULL)."""
     out = None

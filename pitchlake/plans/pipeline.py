@@ -24,7 +24,7 @@ from pitchlake.sources.tables import Tables
 
 
 class Pipeline:
-    def __init__(self, spark: SparkSession, sf_dir: str, share: bool = False):
+    def __init__(self, spark: SparkSession, sf_dir: str, share: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
         self.t = Tables(spark, sf_dir, share=share)
@@ -122,13 +122,9 @@ class Pipeline:
 
     @cached_property
     def history(self) -> DataFrame:
-        """J11 + U02: every model's predictions joined to the realised scores."""
+        """Every model's predictions joined (once) to the realised scores."""
         from pitchlake.operators import ensemble as EN
-        out = None
-        for m in EN.MODELS:
-            h = EN.with_actuals(self.model_table(m), self.realised, m)
-            out = h if out is None else out.unionByName(h)
-        return out
+        return EN.with_actuals_long(self.mp_long, self.realised)
 
     @cached_property
     def next_rows(self) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql.types import DoubleType, FloatType
 from pitchlake.plans.pipeline import Pipeline
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+BUILDERS: dict[str, Callable] = {}     # key -> fn(Pipeline) (unwrapped, for plan studies)
 
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -30,12 +31,18 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*cols)
 
 
-def query(key: str, digits: int | None = 6):
-    """Register ``fn(p: Pipeline) -> DataFrame`` under ``key``."""
+def query(key: str, digits: int | None = 6, share: bool = True):
+    """Register ``fn(p: Pipeline) -> DataFrame`` under ``key``.
+
+    ``share=True`` for plans whose shared inputs feed many branches: those
+    frames are checkpointed once (``Tables.shared``) instead of being
+    recomputed -- and their raw inputs rescanned -- per branch.
+    """
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            df = fn(Pipeline(spark, sf_dir))
+            df = fn(Pipeline(spark, sf_dir, share=share))
             return round_doubles(df, digits) if digits is not None else df
+        BUILDERS[key] = fn
         run.__name__ = f"q_{key}"
         run.__doc__ = fn.__doc__
         REGISTRY[key] = run

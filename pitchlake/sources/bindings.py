@@ -205,6 +205,11 @@ MODEL_NAMES = ("xgboost", "lightgbm", "poisson")
 
 
 def model_predictions_wide(t: Tables) -> DataFrame:
+    """MP (wide), memoised per plan (see ``Tables.shared``)."""
+    return t.shared("mp_wide", lambda: _model_predictions_wide(t))
+
+
+def _model_predictions_wide(t: Tables) -> DataFrame:
     """MP (wide): one row per (athlete, round) with the three predictions.
 
     real = pontos/40; xgboost = athlete mean over the previous 3 rounds,
@@ -248,6 +253,10 @@ def model_predictions_wide(t: Tables) -> DataFrame:
 def model_predictions(t: Tables) -> DataFrame:
     """MP (long): (athlete, round, position, real, model, prediction); no
     history -> no prediction row."""
+    return t.shared("mp_long", lambda: _model_predictions(t))
+
+
+def _model_predictions(t: Tables) -> DataFrame:
     wide = model_predictions_wide(t)
     long = wide.select(
         "atleta_id", "rodada_alvo", "posicao_id", "pontuacao_real",
