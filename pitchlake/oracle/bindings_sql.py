@@ -107,11 +107,14 @@ SELECT CAST(n_nationkey AS INTEGER) AS clube_id, n_name AS nome,
 FROM nation JOIN region ON n_regionkey = r_regionkey""")
 
 _cte("cx", """
-SELECT CAST(a.n_nationkey AS INTEGER) AS clube_id_a, CAST(b.n_nationkey AS INTEGER) AS clube_id_b,
-       a.n_name || ' x ' || b.n_name AS nome_classico, r_name AS regiao
-FROM nation a
-JOIN nation b ON a.n_regionkey = b.n_regionkey AND a.n_nationkey < b.n_nationkey
-JOIN region ON a.n_regionkey = r_regionkey""")
+SELECT DISTINCT CAST(least(a, b) AS INTEGER) AS clube_id_a, CAST(greatest(a, b) AS INTEGER) AS clube_id_b,
+       CASE WHEN a < b THEN na || ' x ' || nb ELSE nb || ' x ' || na END AS nome_classico, r_name AS regiao
+FROM (SELECT n_regionkey, n_nationkey AS a, n_name AS na,
+             coalesce(lead(n_nationkey) OVER w, first_value(n_nationkey) OVER w) AS b,
+             coalesce(lead(n_name) OVER w, first_value(n_name) OVER w) AS nb
+      FROM nation WINDOW w AS (PARTITION BY n_regionkey ORDER BY n_nationkey))
+JOIN region ON n_regionkey = r_regionkey
+WHERE a <> b""")
 
 _cte("px", """
 SELECT o_custkey AS key_id, o_orderdate AS captured_at, o_orderkey AS capture_seq,

@@ -174,17 +174,29 @@ def clubs(t: Tables) -> DataFrame:
 
 
 def derbies(t: Tables) -> DataFrame:
-    """CX: every pair of nations in the same region (a < b) is a derby."""
-    a = t.nation.alias("a")
-    b = t.nation.alias("b")
-    r = t.region
-    return (a.join(b, (F.col("a.n_regionkey") == F.col("b.n_regionkey"))
-                   & (F.col("a.n_nationkey") < F.col("b.n_nationkey")))
-            .join(r, F.col("a.n_regionkey") == r.r_regionkey)
-            .select(F.col("a.n_nationkey").cast("int").alias("clube_id_a"),
-                    F.col("b.n_nationkey").cast("int").alias("clube_id_b"),
-                    F.concat_ws(" x ", F.col("a.n_name"), F.col("b.n_name")).alias("nome_classico"),
-                    F.col("r_name").alias("regiao")))
+    """CX: each nation's derby is against the next nation of its region
+    (circularly), stored once per pair as (lower id, higher id).
+
+    One window over the 25 nations -- no pairing of every nation with every
+    other nation of its region.
+    """
+    n = t.nation.select("n_nationkey", "n_name", "n_regionkey")
+    w = Window.partitionBy("n_regionkey").orderBy("n_nationkey")
+    nxt = n.select("n_regionkey", F.col("n_nationkey").alias("a"), F.col("n_name").alias("na"),
+                   F.coalesce(F.lead("n_nationkey").over(w),
+                              F.first("n_nationkey").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+                   .alias("b"),
+                   F.coalesce(F.lead("n_name").over(w),
+                              F.first("n_name").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+                   .alias("nb"))
+    pairs = nxt.filter(F.col("a") != F.col("b")).select(
+        "n_regionkey",
+        F.least("a", "b").cast("int").alias("clube_id_a"), F.greatest("a", "b").cast("int").alias("clube_id_b"),
+        F.when(F.col("a") < F.col("b"), F.concat_ws(" x ", "na", "nb"))
+         .otherwise(F.concat_ws(" x ", "nb", "na")).alias("nome_classico")).distinct()
+    r = t.region.select("r_regionkey", F.col("r_name").alias("regiao"))
+    return pairs.join(r, pairs.n_regionkey == r.r_regionkey).select(
+        "clube_id_a", "clube_id_b", "nome_classico", "regiao")
 
 
 # ---------------------------------------------------------- capture history (PX)
@@ -409,7 +421,8 @@ def landed_scored(t: Tables) -> DataFrame:
 
 
 def landed_matches(t: Tables) -> DataFrame:
-    """S04 payloads: ``{"rodada": r|null, "partidas": [...]}`` per round."""
+    """S04 payloads: ``{"rodada": r|null, "partidas": [...]}`` per round and
+    page of matches (the match id encodes round * 1000 + pairing)."""
     from pitchlake.functions.expressions import match_result
     pm = raw_matches(t)
     h, a = F.col("placar_oficial_mandante"), F.col("placar_oficial_visitante")
@@ -425,8 +438,10 @@ def landed_matches(t: Tables) -> DataFrame:
         F.array(F.lower(match_result(h, a)), F.lower(match_result(a, h))).alias("aproveitamento_mandante"),
         F.array(F.lower(match_result(a, h)), F.lower(match_result(h, a))).alias("aproveitamento_visitante"))
     r = F.col("rodada_id")
-    return pm.groupBy(r.alias("_rodada_captura")).agg(F.to_json(F.struct(
-        F.when(r % 2 == 0, F.lit(None)).otherwise(r).cast("int").alias("rodada"),
+    page = (F.col("partida_id") % 1000 / ATHLETE_PAGE).cast("int")      # pages of matches
+    return pm.groupBy(r.alias("_rodada_captura"), page.alias("_page")).agg(F.to_json(F.struct(
+        F.when(F.col("_rodada_captura") % 2 == 0, F.lit(None)).otherwise(F.col("_rodada_captura"))
+        .cast("int").alias("rodada"),
         F.collect_list(item).alias("partidas"))).alias("payload"))
 
 
