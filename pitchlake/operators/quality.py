@@ -121,3 +121,125 @@ def validate_copy(a: DataFrame, b: DataFrame) -> DataFrame:
                      F.lit(sorted(a.columns) == sorted(b.columns)).alias("colunas_iguais"),
                      (F.col("n") == nb).alias("contagem_igual"),
                      F.col("h").eqNullSafe(hb_).alias("conteudo_igual"))
+
+
+# ----------------------------------------------------------------------------
+# The column tests the reference declares on its models
+# (model, column, test, argument).  accepted_values carries (values, where).
+DECLARED_TESTS = (
+    ("dim_clubes", "clube_id", "unique", None),
+    ("dim_clubes", "clube_id", "not_null", None),
+    ("dim_clubes", "nome", "not_null", None),
+    ("dim_clubes", "abreviacao", "not_null", None),
+    ("dim_posicoes", "posicao_id", "unique", None),
+    ("dim_posicoes", "posicao_id", "not_null", None),
+    ("dim_posicoes", "abreviacao", "accepted_values", (("GOL", "LAT", "ZAG", "MEI", "ATA", "TEC"), None)),
+    ("dim_atletas", "atleta_id", "unique", None),
+    ("dim_atletas", "atleta_id", "not_null", None),
+    ("dim_atletas", "posicao_id", "not_null", None),
+    ("dim_atletas", "posicao_id", "relationships", ("dim_posicoes", "posicao_id")),
+    ("dim_atletas", "clube_id", "not_null", None),
+    ("dim_atletas", "clube_id", "relationships", ("dim_clubes", "clube_id")),
+    ("dim_atletas", "status_id", "accepted_values", ((2, 3, 5, 6, 7), None)),
+    ("dim_rodadas", "rodada_id", "unique", None),
+    ("dim_rodadas", "rodada_id", "not_null", None),
+    ("dim_rodadas", "data_inicio", "not_null", None),
+    ("fct_atletas_rodada", "atleta_id", "not_null", None),
+    ("fct_atletas_rodada", "rodada_id", "not_null", None),
+    ("fct_atletas_rodada", "posicao_id", "relationships", ("dim_posicoes", "posicao_id")),
+    ("fct_atletas_rodada", "clube_id", "relationships", ("dim_clubes", "clube_id")),
+    ("fct_partidas", "partida_id", "unique", None),
+    ("fct_partidas", "partida_id", "not_null", None),
+    ("fct_partidas", "rodada_id", "not_null", None),
+    ("fct_partidas", "resultado_mandante", "accepted_values", (("V", "E", "D"), "placar_mandante is not null")),
+    ("fct_mercado_status", "rodada_atual", "not_null", None),
+    ("fct_mercado_status", "status_descricao", "accepted_values",
+     (("Aberto", "Fechado", "Em Manutenção", "Fim de Rodada", "Desconhecido"), None)),
+    ("fct_destaques_rodada", "rodada_id", "not_null", None),
+    ("metricas_atleta_acumulado", "atleta_id", "unique", None),
+    ("metricas_atleta_acumulado", "atleta_id", "not_null", None),
+    ("metricas_atleta_acumulado", "tendencia_pontos", "accepted_values", (("subindo", "estavel", "caindo"), None)),
+    ("tabela_brasileirao", "clube_id", "not_null", None),
+    ("tabela_brasileirao", "rodada_id", "not_null", None),
+    ("tabela_brasileirao", "posicao", "not_null", None),
+    ("tabela_brasileirao", "aproveitamento_percentual", "expression_is_true", "between 0 and 100"),
+    ("metricas_clube_rodada", "clube_id", "not_null", None),
+    ("metricas_clube_rodada", "rodada_id", "not_null", None),
+    ("feature_store_previsao", "atleta_id", "not_null", None),
+    ("feature_store_previsao", "rodada_alvo", "not_null", None),
+    ("feature_store_previsao", "mando_campo", "accepted_values", (("casa", "fora"), "mando_campo is not null")),
+    ("previsao_final", "atleta_id", "not_null", None),
+    ("previsao_final", "rodada_alvo", "not_null", None),
+    ("previsao_final", "pontuacao_prevista", "expression_is_true", ">= 0"),
+    ("previsao_final", "modelo_selecionado", "accepted_values", (("xgboost", "lightgbm", "poisson", "ensemble"), None)),
+)
+# The reference's singular tests: (name, model, predicate of a failing row or
+# the columns that must be unique together).
+SINGULAR_TESTS = (
+    ("assert_atleta_unicidade", "fct_atletas_rodada", ("unique", ("atleta_id", "rodada_id"))),
+    ("assert_placar_nao_negativo", "fct_partidas",
+     ("fails_when", "(placar_mandante is not null and placar_mandante < 0) "
+                    "or (placar_visitante is not null and placar_visitante < 0)")),
+    ("assert_rodada_range", "fct_atletas_rodada", ("distinct_fails_when", "rodada_id", "rodada_id < 1 or rodada_id > 38")),
+)
+# ----------------------------------------------------------------------------
+
+
+def run_declared_tests(models: dict[str, DataFrame], tests=DECLARED_TESTS,
+                       singular=SINGULAR_TESTS) -> DataFrame:
+    """Q11: every declared test of every model -> (modelo, coluna, teste, falhas).
+
+    Per model, all row-level tests (not_null, accepted_values,
+    expression_is_true) are one aggregate of conditional counts -- one scan;
+    unique is a partially aggregated group-by and relationships an anti-join.
+    """
+    out = []
+    by_model: dict[str, list] = {}
+    for m, c, t, arg in tests:
+        by_model.setdefault(m, []).append((c, t, arg))
+    for m, ts in by_model.items():
+        df = models[m]
+        row_aggs, names = [], []
+        for i, (c, t, arg) in enumerate(ts):
+            if t == "not_null":
+                fail = F.col(c).isNull()
+            elif t == "accepted_values":
+                vals, where = arg
+                fail = ~F.coalesce(F.col(c).isin(list(vals)), F.lit(False)) & F.col(c).isNotNull()
+                if where:
+                    fail = fail & F.coalesce(F.expr(where), F.lit(False))
+            elif t == "expression_is_true":
+                fail = ~F.coalesce(F.expr(f"`{c}` {arg}"), F.lit(True))
+            else:
+                continue
+            row_aggs.append(F.count(F.when(fail, 1)).alias(f"t{i}"))
+            names.append((i, c, t))
+        if row_aggs:
+            a = df.agg(*row_aggs)
+            pairs = ", ".join(f"'{c}', '{t}', t{i}" for i, c, t in names)
+            out.append(a.select(F.expr(f"stack({len(names)}, {pairs}) as (coluna, teste, falhas)"))
+                       .select(F.lit(m).alias("modelo"), "coluna", "teste", "falhas"))
+        for c, t, arg in ts:
+            if t == "unique":      # failures = duplicated values
+                u = unique(df.filter(F.col(c).isNotNull()), c).agg(F.count(F.lit(1)).alias("falhas"))
+            elif t == "relationships":
+                parent, key = arg
+                u = relationships(df, c, models[parent], key).agg(F.count(F.lit(1)).alias("falhas"))
+            else:
+                continue
+            out.append(u.select(F.lit(m).alias("modelo"), F.lit(c).alias("coluna"), F.lit(t).alias("teste"),
+                                "falhas"))
+    for name, m, spec in singular:
+        df = models[m]
+        if spec[0] == "unique":
+            u = unique(df, list(spec[1])).agg(F.count(F.lit(1)).alias("falhas"))
+        elif spec[0] == "fails_when":
+            u = df.agg(F.count(F.when(F.expr(spec[1]), 1)).alias("falhas"))
+        else:
+            u = df.filter(F.expr(spec[2])).select(spec[1]).distinct().agg(F.count(F.lit(1)).alias("falhas"))
+        out.append(u.select(F.lit(m).alias("modelo"), F.lit("*").alias("coluna"), F.lit(name).alias("teste"),
+                            "falhas"))
+    res = out[0]
+    for o in out[1:]:
+        res = res.unionByName(o)
+    return res

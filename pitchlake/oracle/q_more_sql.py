@@ -155,3 +155,4 @@ oracle("j18_orphan_anti", """
 SELECT l_orderkey, count(*) AS linhas_orfas FROM lineitem
 WHERE l_orderkey IS NOT NULL AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')
 GROUP BY l_orderkey""")
+

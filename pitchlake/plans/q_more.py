@@ -202,3 +202,21 @@ def _(p):
     parent = p.t.orders.filter(F.col("o_orderstatus") != "P")
     return Q.relationships(p.t.lineitem, "l_orderkey", parent, "o_orderkey") \
         .groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("linhas_orfas"))
+
+
+@query("q11_declared_model_tests")
+def _(p):
+    """Q11 on the pipeline's own models: every column test and singular test
+    the reference declares, as (model, column, test, failures)."""
+    from pitchlake.sources import landing as L
+    models = {
+        "dim_clubes": p.dim_clubes, "dim_posicoes": p.dim_posicoes, "dim_atletas": p.dim_atletas,
+        "dim_rodadas": silver.dim_rodadas(L.explode_rounds(B.landed_rounds(p.t)), B.status_captures(p.t)),
+        "fct_atletas_rodada": p.fct_atletas_rodada, "fct_partidas": p.fct_partidas_proxima,
+        "fct_mercado_status": silver.fct_mercado_status(L.flatten_status(B.landed_status(p.t))),
+        "fct_destaques_rodada": L.flatten_highlights(B.landed_highlights(p.t)),
+        "metricas_atleta_acumulado": p.metricas_atleta, "tabela_brasileirao": p.tabela_brasileirao,
+        "metricas_clube_rodada": p.metricas_clube_rodada, "feature_store_previsao": p.feature_store,
+        "previsao_final": p.previsao_final_ranked,
+    }
+    return Q.run_declared_tests(models)

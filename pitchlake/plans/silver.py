@@ -113,3 +113,10 @@ def dim_rodadas(rounds: DataFrame, status: DataFrame) -> DataFrame:
     j = r.join(st, r.rodada_id == st.rodada_atual, "left")
     return j.select("rodada_id", "nome_rodada", "data_inicio", "data_fim",
                     F.coalesce(F.col("temporada"), F.year("data_inicio")).alias("temporada"))
+
+
+def fct_mercado_status(status: DataFrame) -> DataFrame:
+    """Market-status fact: decoded status (P04) per capture."""
+    return status.select("rodada_atual", "status_mercado",
+                         X.decode_market_status(F.col("status_mercado")).alias("status_descricao"),
+                         "temporada", "game_over", "times_escalados", "bola_rolando", "mercado_pos_rodada")
