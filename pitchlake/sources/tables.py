@@ -35,6 +35,8 @@ class Tables:
         if name not in self._memo:
             df = build()
             if self.share:
+                from pitchlake.session import ensure_checkpoint_dir
+                ensure_checkpoint_dir(self.spark)      # the session's shared folder
                 df = df.checkpoint(eager=True)
             self._memo[name] = df
         return self._memo[name]

@@ -69,3 +69,15 @@ def test_batch_twins_on_streaming_frames(spark, tmpdir_path):
     q.awaitTermination()
     got = spark.sql("SELECT sum(eventos) AS n FROM gold_daily_t").collect()[0].n
     assert got >= ev.count()
+
+
+def test_derbies_are_a_window_not_all_pairs(spark):
+    d = B.derbies(Tables(spark, SF_SMALL)).collect()
+    assert 0 < len(d) <= 25 and all(r.clube_id_a < r.clube_id_b for r in d)
+
+
+def test_dag_runner_writes_every_layer(spark, tmpdir_path):
+    from pitchlake.plans.run import LAYERS, run_dag
+    paths = run_dag(spark, SF_SMALL, os.path.join(tmpdir_path, "dag"))
+    assert set(paths) == {n for n, _ in LAYERS}
+    assert spark.read.parquet(paths["previsao_final_ranked"]).count() > 0

@@ -50,3 +50,13 @@ def test_contract_and_migration(spark):
     assert out.columns == ["a", "b", "c", "extra"] and out.collect()[0].c is None
     assert C.migrated_type("NUMBER(12,2)") == "DECIMAL(12,2)" and C.migrated_type("varchar(10)") == "STRING"
     assert C.migrated_type("NUMBER(38,0)") == "decimal(38,10)" and C.migrated_type("DATE") == "DATE"
+
+
+def test_declared_tests_suite_counts(spark):
+    m = {"a": spark.createDataFrame([(1, "x"), (1, None), (None, "y")], "k int, v string"),
+         "b": spark.createDataFrame([(1,)], "k int")}
+    tests = (("a", "k", "unique", None), ("a", "k", "not_null", None),
+             ("a", "v", "accepted_values", (("x",), None)), ("a", "k", "relationships", ("b", "k")))
+    got = {(r.coluna, r.teste): r.falhas for r in Q.run_declared_tests(m, tests, singular=()).collect()}
+    assert got == {("k", "unique"): 1, ("k", "not_null"): 1, ("v", "accepted_values"): 1,
+                   ("k", "relationships"): 0}
