@@ -67,7 +67,8 @@ def failure_alert(runs: DataFrame, asof: str, hours: int = 24) -> DataFrame:
 def daily_metrics(orders: DataFrame, region: DataFrame) -> DataFrame:
     """Orders per day and region: count, sum and mean amount."""
     o = orders.join(region, "o_custkey")
-    return o.groupBy(F.date_trunc("day", "o_orderdate").alias("dia"), "region").agg(
+    # date_trunc returns a zoned TIMESTAMP; back to wall-clock NTZ like the input
+    return o.groupBy(F.date_trunc("day", "o_orderdate").cast("timestamp_ntz").alias("dia"), "region").agg(
         F.count(F.lit(1)).alias("pedidos"), money_sum("o_totalprice").alias("receita"),
         money_avg("o_totalprice").alias("ticket_medio"))
 
@@ -78,7 +79,7 @@ def aggregate_to_gold(df: DataFrame, groups: list[str], aggs: dict[str, str],
     aggregate expressions (parsed by Spark's ``expr``; no Python eval)."""
     keys = [F.col(g) for g in groups]
     if grain and ts:
-        keys = [F.date_trunc(grain, F.col(ts)).alias(f"{grain}_bucket")] + keys
+        keys = [F.date_trunc(grain, F.col(ts)).cast("timestamp_ntz").alias(f"{grain}_bucket")] + keys
     return df.groupBy(*keys).agg(*[F.expr(e).alias(name) for name, e in aggs.items()])
 
 
