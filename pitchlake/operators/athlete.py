@@ -13,6 +13,16 @@ from pyspark.sql import functions as F
 from pitchlake.functions import expressions as X
 
 SEASON = 2024          # value of the season column in the gold table
+
+
+def _exact_sum(c):
+    """Sum of 2-decimal scores, rounded back to 2 decimals: exact, so it does
+    not depend on the order a distributed sum adds its terms."""
+    return F.round(F.sum(c), 2)
+
+
+def _exact_mean(c):
+    return _exact_sum(c) / F.count(c)
 SEASON_ROUNDS = 38
 
 
@@ -28,9 +38,9 @@ def recent_means(fact_played: DataFrame) -> DataFrame:
     x = fact_played.select("atleta_id", "pontos_num", "preco_num",
                            F.row_number().over(w).alias("rn_desc"))
     return x.groupBy("atleta_id").agg(
-        F.avg(F.when(F.col("rn_desc") <= 5, F.col("pontos_num"))).alias("media_ultimas_5"),
+        _exact_mean(F.when(F.col("rn_desc") <= 5, F.col("pontos_num"))).alias("media_ultimas_5"),
         F.max(F.when(F.col("rn_desc") <= 5, F.col("preco_num"))).alias("preco_atual"),
-        F.avg(F.when(F.col("rn_desc") <= 3, F.col("pontos_num"))).alias("media_ultimas_3"),
+        _exact_mean(F.when(F.col("rn_desc") <= 3, F.col("pontos_num"))).alias("media_ultimas_3"),
     )
 
 
@@ -39,8 +49,8 @@ def season_totals(fact_played: DataFrame) -> DataFrame:
     p = F.col("pontos_num")
     return fact_played.groupBy("atleta_id", "clube_id", "posicao_id").agg(
         F.count(F.lit(1)).alias("total_jogos"),
-        F.sum(p).alias("total_pontos"),
-        F.avg(p).alias("media_pontos"),
+        _exact_sum(p).alias("total_pontos"),
+        _exact_mean(p).alias("media_pontos"),
         F.stddev_samp(p).alias("desvio_padrao_pontos"),
         F.max(p).alias("max_pontos"),
         F.min(p).alias("min_pontos"),
@@ -54,7 +64,7 @@ def season_totals(fact_played: DataFrame) -> DataFrame:
         F.sum("scout_defesa").alias("total_defesas"),
         F.sum("scout_finalizacao_trave").alias("total_finalizacoes_trave"),
         F.avg(F.col("entrou_em_campo").cast("int")).alias("aproveitamento_campo"),
-        F.sum("variacao_num").alias("variacao_preco_acumulada"),
+        _exact_sum("variacao_num").alias("variacao_preco_acumulada"),
     )
 
 
@@ -113,8 +123,8 @@ def athlete_metrics(fact: DataFrame, dim: DataFrame, season: int = SEASON) -> Da
 def club_round_scores(fact: DataFrame) -> DataFrame:
     """Per (club, round) fantasy totals of the athletes who played."""
     return played(fact).groupBy("clube_id", "rodada_id").agg(
-        F.sum("pontos_num").alias("total_pontos_cartola"),
-        F.avg("pontos_num").alias("media_pontos_cartola"),
+        _exact_sum("pontos_num").alias("total_pontos_cartola"),
+        _exact_mean("pontos_num").alias("media_pontos_cartola"),
         F.countDistinct("atleta_id").alias("atletas_pontuaram"),
     )
 
@@ -130,7 +140,8 @@ def rolling_mean(fact: DataFrame, n: int = 3, literal: bool = False) -> DataFram
     w = Window.partitionBy("atleta_id").orderBy(order).rowsBetween(-(n - 1), 0)
     wa = Window.partitionBy("atleta_id")
     return fact.select("atleta_id", "rodada_id",
-                       F.coalesce(F.avg("pontos_num").over(w), F.avg("pontos_num").over(wa))
+                       F.coalesce(F.round(F.sum("pontos_num").over(w), 2) / F.count("pontos_num").over(w),
+                                  F.round(F.sum("pontos_num").over(wa), 2) / F.count("pontos_num").over(wa))
                        .alias(f"media_ultimas_{n}"))
 
 

@@ -133,9 +133,11 @@ _cte("tabela_cum", finish_sql("cum_totals"), "cum_totals")
 
 _cte("recent", """
 SELECT atleta_id,
-       avg(CASE WHEN rn <= 5 THEN pontos_num END) AS media_ultimas_5,
+       round(sum(CASE WHEN rn <= 5 THEN pontos_num END), 2) / count(CASE WHEN rn <= 5 THEN pontos_num END)
+           AS media_ultimas_5,
        max(CASE WHEN rn <= 5 THEN preco_num END) AS preco_atual,
-       avg(CASE WHEN rn <= 3 THEN pontos_num END) AS media_ultimas_3
+       round(sum(CASE WHEN rn <= 3 THEN pontos_num END), 2) / count(CASE WHEN rn <= 3 THEN pontos_num END)
+           AS media_ultimas_3
 FROM (SELECT atleta_id, pontos_num, preco_num,
              row_number() OVER (PARTITION BY atleta_id ORDER BY rodada_id DESC) AS rn
       FROM played)
@@ -144,8 +146,8 @@ GROUP BY atleta_id""", "played")
 _cte("totals", """
 SELECT atleta_id, clube_id, posicao_id,
        count(*) AS total_jogos,
-       sum(pontos_num) AS total_pontos,
-       avg(pontos_num) AS media_pontos,
+       round(sum(pontos_num), 2) AS total_pontos,
+       round(sum(pontos_num), 2) / count(pontos_num) AS media_pontos,
        stddev_samp(pontos_num) AS desvio_padrao_pontos,
        max(pontos_num) AS max_pontos,
        min(pontos_num) AS min_pontos,
@@ -159,7 +161,7 @@ SELECT atleta_id, clube_id, posicao_id,
        CAST(sum(scout_defesa) AS BIGINT) AS total_defesas,
        CAST(sum(scout_finalizacao_trave) AS BIGINT) AS total_finalizacoes_trave,
        avg(CAST(entrou_em_campo AS INTEGER)) AS aproveitamento_campo,
-       sum(variacao_num) AS variacao_preco_acumulada
+       round(sum(variacao_num), 2) AS variacao_preco_acumulada
 FROM played GROUP BY atleta_id, clube_id, posicao_id""", "played")
 
 PER_GAME_SQL = """
@@ -198,8 +200,9 @@ JOIN dim_atletas d ON a.atleta_id = d.atleta_id
 LEFT JOIN recent m ON a.atleta_id = m.atleta_id""", "totals", "dim_atletas", "recent")
 
 _cte("club_scores", """
-SELECT clube_id, rodada_id, sum(pontos_num) AS total_pontos_cartola,
-       avg(pontos_num) AS media_pontos_cartola, count(DISTINCT atleta_id) AS atletas_pontuaram
+SELECT clube_id, rodada_id, round(sum(pontos_num), 2) AS total_pontos_cartola,
+       round(sum(pontos_num), 2) / count(pontos_num) AS media_pontos_cartola,
+       count(DISTINCT atleta_id) AS atletas_pontuaram
 FROM played GROUP BY clube_id, rodada_id""", "played")
 
 _cte("club_results", f"""
@@ -229,7 +232,7 @@ PHASE_SQL = ("CASE WHEN CAST({r} AS DOUBLE) / 38 <= CAST(1 AS DOUBLE) / 3 THEN '
 
 _cte("fs_target", "SELECT max(rodada_id) + 1 AS rodada_alvo FROM fct", "fct")
 _cte("fs_last3", """
-SELECT atleta_id, avg(pontos_num) AS m3
+SELECT atleta_id, round(sum(pontos_num), 2) / count(pontos_num) AS m3
 FROM (SELECT atleta_id, pontos_num,
              row_number() OVER (PARTITION BY atleta_id ORDER BY rodada_id DESC) AS rn FROM fct)
 WHERE rn <= 3 GROUP BY atleta_id""", "fct")

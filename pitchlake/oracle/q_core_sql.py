@@ -161,16 +161,18 @@ oracle("j10_club_result_join", "SELECT * FROM metricas_clube", "metricas_clube",
 
 oracle("w05_rolling_mean_3", """
 SELECT atleta_id, rodada_id,
-       coalesce(avg(pontos_num) OVER (PARTITION BY atleta_id ORDER BY rodada_id
-                                      ROWS BETWEEN 2 PRECEDING AND CURRENT ROW),
-                avg(pontos_num) OVER (PARTITION BY atleta_id)) AS media_ultimas_3
-FROM fct""", "fct", doubles=("media_ultimas_3",))
+       coalesce(round(sum(pontos_num) OVER w, 2) / count(pontos_num) OVER w,
+                round(sum(pontos_num) OVER (PARTITION BY atleta_id), 2)
+                    / count(pontos_num) OVER (PARTITION BY atleta_id)) AS media_ultimas_3
+FROM fct WINDOW w AS (PARTITION BY atleta_id ORDER BY rodada_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""",
+       "fct", doubles=("media_ultimas_3",))
 oracle("w05_rolling_mean_literal", """
 SELECT atleta_id, rodada_id,
-       coalesce(avg(pontos_num) OVER (PARTITION BY atleta_id ORDER BY rodada_id DESC
-                                      ROWS BETWEEN 2 PRECEDING AND CURRENT ROW),
-                avg(pontos_num) OVER (PARTITION BY atleta_id)) AS media_ultimas_3
-FROM fct""", "fct", doubles=("media_ultimas_3",))
+       coalesce(round(sum(pontos_num) OVER w, 2) / count(pontos_num) OVER w,
+                round(sum(pontos_num) OVER (PARTITION BY atleta_id), 2)
+                    / count(pontos_num) OVER (PARTITION BY atleta_id)) AS media_ultimas_3
+FROM fct WINDOW w AS (PARTITION BY atleta_id ORDER BY rodada_id DESC ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""",
+       "fct", doubles=("media_ultimas_3",))
 
 oracle("w07_linear_trend_5", "SELECT * FROM fs_slope", "fs_slope", doubles=("tendencia_slope",))
 

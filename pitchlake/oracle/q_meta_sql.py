@@ -175,7 +175,8 @@ FROM poi_tab t LEFT JOIN pq q ON t.pontuacao_prevista = q.mu""", "mp", "poi_tab"
        doubles=("pontuacao_prevista",))
 
 oracle("a10_position_priors", """
-SELECT posicao_id, avg(pontuacao_real) AS prior_media, stddev_samp(pontuacao_real) AS prior_std
+SELECT posicao_id, round(sum(pontuacao_real), 5) / count(pontuacao_real) AS prior_media,
+       stddev_samp(pontuacao_real) AS prior_std
 FROM mp_real GROUP BY posicao_id""", "mp_real", doubles=("prior_media", "prior_std"))
 oracle("a11_coverage_macro", "SELECT * FROM model_cov", "model_cov", doubles=("coverage_score",))
 oracle("a12_coverage_by_position", "SELECT * FROM cov_pos", "cov_pos", doubles=("coverage",))
@@ -298,9 +299,12 @@ oracle("f05_one_hot", "SELECT atleta_id, rodada_alvo, "
 
 oracle("j12_three_way_left", """
 SELECT n.atleta_id, n.rodada_alvo, n.posicao_id,
-       x.pontuacao_prevista AS prev_xgb, (SELECT coverage_score FROM model_cov WHERE modelo = 'xgboost') AS cov_xgb,
-       l.pontuacao_prevista AS prev_lgb, (SELECT coverage_score FROM model_cov WHERE modelo = 'lightgbm') AS cov_lgb,
-       p.pontuacao_prevista AS prev_poi, (SELECT coverage_score FROM model_cov WHERE modelo = 'poisson') AS cov_poi
+       x.pontuacao_prevista AS prev_xgb,
+       CASE WHEN x.atleta_id IS NOT NULL THEN (SELECT coverage_score FROM model_cov WHERE modelo = 'xgboost') END AS cov_xgb,
+       l.pontuacao_prevista AS prev_lgb,
+       CASE WHEN l.atleta_id IS NOT NULL THEN (SELECT coverage_score FROM model_cov WHERE modelo = 'lightgbm') END AS cov_lgb,
+       p.pontuacao_prevista AS prev_poi,
+       CASE WHEN p.atleta_id IS NOT NULL THEN (SELECT coverage_score FROM model_cov WHERE modelo = 'poisson') END AS cov_poi
 FROM nxt n
 LEFT JOIN (SELECT * FROM mp WHERE modelo = 'xgboost') x ON n.atleta_id = x.atleta_id AND n.rodada_alvo = x.rodada_alvo
 LEFT JOIN (SELECT * FROM mp WHERE modelo = 'lightgbm') l ON n.atleta_id = l.atleta_id AND n.rodada_alvo = l.rodada_alvo

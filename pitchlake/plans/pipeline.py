@@ -216,7 +216,7 @@ def feature_store(p: Pipeline) -> DataFrame:
     w = Window.partitionBy("atleta_id").orderBy(F.col("rodada_id").desc())
     last3 = (fact.select("atleta_id", "pontos_num", F.row_number().over(w).alias("_rn"))
              .filter(F.col("_rn") <= 3).groupBy("atleta_id")
-             .agg(F.avg("pontos_num").alias("_m3")))
+             .agg((F.round(F.sum("pontos_num"), 2) / F.count("pontos_num")).alias("_m3")))
     slope = ATH.trend_slope(fact).select("atleta_id", "tendencia_slope")
     adv = next_opponents(p.fct_partidas_proxima, target)
     # Latest table row per club, latest club metrics round

@@ -31,7 +31,8 @@ def _(p):
 @query("a10_position_priors")
 def _(p):
     return p.realised.groupBy("posicao_id").agg(
-        F.avg("pontuacao_real").alias("prior_media"),
+        # real = score / 40: multiples of 0.00025, so a 5-decimal sum is exact
+        (F.round(F.sum("pontuacao_real"), 5) / F.count("pontuacao_real")).alias("prior_media"),
         F.stddev_samp("pontuacao_real").alias("prior_std"))
 
 
