@@ -1,15 +1,13 @@
 """File sources and sinks.
 
 Writers never read and overwrite the same path in one job: a merge result
-is written to a new version folder (``write_version``) and readers follow
-the newest committed version, so a lost executor or a failed job leaves the
-previous version intact.
+is written as a new version (``write_version``: a ``_v=<n>`` partition) and
+readers follow the newest committed version, so a lost executor or a failed
+job leaves the previous version intact.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -82,23 +80,38 @@ def copy_by_partition(df: DataFrame, out: str, partition_by: list[str], fmt: str
     return validate_copy(df, copy.select(*df.columns))
 
 
-def latest_version(base: str) -> str | None:
-    """Newest committed version folder under ``base`` (v000001, v000002, ...)."""
-    if not os.path.isdir(base):
+VERSION_COL = "_v"
+
+
+def versions(spark: SparkSession, base: str) -> list[int]:
+    """Committed versions of a versioned table (partition values of ``_v``).
+
+    Uses Spark's partition discovery, so it works on any file system the
+    cluster mounts (no local directory listing).  The list is bounded by the
+    number of versions, not by the data.
+    """
+    try:
+        df = spark.read.parquet(base)
+    except Exception:  # noqa: BLE001  (no table yet)
+        return []
+    return sorted(r[0] for r in df.select(VERSION_COL).distinct().collect())
+
+
+def read_version(spark: SparkSession, base: str, version: int | None = None) -> DataFrame | None:
+    """One version (default: the newest); the filter prunes to its partition."""
+    vs = versions(spark, base)
+    if not vs:
         return None
-    vs = sorted(d for d in os.listdir(base)
-                if d.startswith("v") and os.path.exists(os.path.join(base, d, "_SUCCESS")))
-    return os.path.join(base, vs[-1]) if vs else None
+    v = vs[-1] if version is None else version
+    return spark.read.parquet(base).filter(F.col(VERSION_COL) == v).drop(VERSION_COL)
 
 
-def write_version(df: DataFrame, base: str, partition_by: list[str] | None = None) -> str:
-    """Write ``df`` as the next version of the table under ``base``.
+def write_version(df: DataFrame, base: str, version: int) -> None:
+    """Add ``df`` as version ``version`` of the table under ``base``.
 
-    The Hadoop committer writes ``_SUCCESS`` last, so a version becomes
-    visible to ``latest_version`` only once complete.
+    Each version is its own ``_v=<n>`` partition written by one job; the
+    output committer publishes it only when the job commits, so readers never
+    see half a version and a failed attempt leaves the older versions intact.
     """
-    cur = latest_version(base)
-    n = int(os.path.basename(cur)[1:]) + 1 if cur else 1
-    path = os.path.join(base, f"v{n:06d}")
-    overwrite(df, path, partition_by=partition_by)
-    return path
+    df.withColumn(VERSION_COL, F.lit(version)).write.mode("append") \
+        .partitionBy(VERSION_COL).parquet(base)

@@ -9,7 +9,6 @@ failed driver) resumes from its checkpoint without duplicating rows.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -76,7 +75,7 @@ def stream_merge(df: DataFrame, out: str, keys: list[str], ckpt: str,
     """ST3: upsert every micro-batch into a versioned silver table.
 
     Each batch is de-duplicated (M11), merged with the newest version (M01)
-    and written as a new version whose folder name carries the batch id; a
+    and written as version ``batch_id`` of the table (a ``_v`` partition); a
     replayed batch id (restart after a failure) finds its version and is
     skipped, so the sink is idempotent.  With ``order`` the merge keeps the
     newest row per key across batches, so late files cannot overwrite
@@ -85,42 +84,27 @@ def stream_merge(df: DataFrame, out: str, keys: list[str], ckpt: str,
     from pitchlake.operators.windows import latest_per_key
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        if _version_for_batch(out, batch_id):
+        spark = batch.sparkSession
+        done = IO.versions(spark, out)
+        if batch_id in done:                 # replayed batch after a restart
             return
         src = M.dedupe_source(batch, keys, order) if order else batch.dropDuplicates(keys)
-        cur = _latest(out)
-        spark = batch.sparkSession
+        cur = IO.read_version(spark, out, done[-1]) if done else None
         if cur is None:
             merged = src
         elif order:
-            merged = latest_per_key(spark.read.parquet(cur).unionByName(src), keys, order)
+            merged = latest_per_key(cur.unionByName(src), keys, order)
         else:
-            merged = M.merge_upsert(spark.read.parquet(cur), src, keys)
-        n = len([d for d in os.listdir(out) if d.startswith("v")]) + 1 if os.path.isdir(out) else 1
-        IO.overwrite(merged, os.path.join(out, f"v{n:06d}_b{batch_id}"))
+            merged = M.merge_upsert(cur, src, keys)
+        IO.write_version(merged, out, batch_id)
 
     return (df.writeStream.foreachBatch(upsert).option("checkpointLocation", ckpt)
             .trigger(availableNow=True).start())
 
 
-def _latest(out: str) -> str | None:
-    if not os.path.isdir(out):
-        return None
-    vs = sorted(d for d in os.listdir(out)
-                if d.startswith("v") and os.path.exists(os.path.join(out, d, "_SUCCESS")))
-    return os.path.join(out, vs[-1]) if vs else None
-
-
 def latest_table(spark: SparkSession, out: str) -> DataFrame:
     """The newest committed version written by :func:`stream_merge`."""
-    return spark.read.parquet(_latest(out))
-
-
-def _version_for_batch(out: str, batch_id: int) -> bool:
-    if not os.path.isdir(out):
-        return False
-    return any(d.endswith(f"_b{batch_id}") and os.path.exists(os.path.join(out, d, "_SUCCESS"))
-               for d in os.listdir(out))
+    return IO.read_version(spark, out)
 
 
 # ------------------------------------------------------------------ ST4 / ST5
