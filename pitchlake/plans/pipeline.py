@@ -69,7 +69,9 @@ class Pipeline:
 
     @cached_property
     def fct_atletas_rodada(self) -> DataFrame:
-        return silver.fct_atletas_rodada(self.stg_atletas_mercado, self.stg_atletas_pontuados)
+        # several gold branches read the fact; parse the scout JSON once
+        return self.t.shared("fct_atletas_rodada", lambda: silver.fct_atletas_rodada(
+            self.stg_atletas_mercado, self.stg_atletas_pontuados))
 
     @cached_property
     def dim_atletas(self) -> DataFrame:
