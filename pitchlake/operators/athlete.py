@@ -123,8 +123,8 @@ def athlete_metrics(fact: DataFrame, dim: DataFrame, season: int = SEASON) -> Da
 def club_round_scores(fact: DataFrame) -> DataFrame:
     """Per (club, round) fantasy totals of the athletes who played."""
     return played(fact).groupBy("clube_id", "rodada_id").agg(
-        _exact_sum("pontos_num").alias("total_pontos_cartola"),
-        _exact_mean("pontos_num").alias("media_pontos_cartola"),
+        _exact_sum("pontos_num").alias("total_pontos_fantasy"),
+        _exact_mean("pontos_num").alias("media_pontos_fantasy"),
         F.countDistinct("atleta_id").alias("atletas_pontuaram"),
     )
 

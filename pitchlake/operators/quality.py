@@ -159,10 +159,10 @@ DECLARED_TESTS = (
     ("metricas_atleta_acumulado", "atleta_id", "unique", None),
     ("metricas_atleta_acumulado", "atleta_id", "not_null", None),
     ("metricas_atleta_acumulado", "tendencia_pontos", "accepted_values", (("subindo", "estavel", "caindo"), None)),
-    ("tabela_brasileirao", "clube_id", "not_null", None),
-    ("tabela_brasileirao", "rodada_id", "not_null", None),
-    ("tabela_brasileirao", "posicao", "not_null", None),
-    ("tabela_brasileirao", "aproveitamento_percentual", "expression_is_true", "between 0 and 100"),
+    ("tabela_liga", "clube_id", "not_null", None),
+    ("tabela_liga", "rodada_id", "not_null", None),
+    ("tabela_liga", "posicao", "not_null", None),
+    ("tabela_liga", "aproveitamento_percentual", "expression_is_true", "between 0 and 100"),
     ("metricas_clube_rodada", "clube_id", "not_null", None),
     ("metricas_clube_rodada", "rodada_id", "not_null", None),
     ("feature_store_previsao", "atleta_id", "not_null", None),

@@ -200,8 +200,8 @@ JOIN dim_atletas d ON a.atleta_id = d.atleta_id
 LEFT JOIN recent m ON a.atleta_id = m.atleta_id""", "totals", "dim_atletas", "recent")
 
 _cte("club_scores", """
-SELECT clube_id, rodada_id, round(sum(pontos_num), 2) AS total_pontos_cartola,
-       round(sum(pontos_num), 2) / count(pontos_num) AS media_pontos_cartola,
+SELECT clube_id, rodada_id, round(sum(pontos_num), 2) AS total_pontos_fantasy,
+       round(sum(pontos_num), 2) / count(pontos_num) AS media_pontos_fantasy,
        count(DISTINCT atleta_id) AS atletas_pontuaram
 FROM played GROUP BY clube_id, rodada_id""", "played")
 
@@ -216,7 +216,7 @@ FROM (SELECT clube_casa_id AS clube_id, rodada_id, placar_mandante AS gm, placar
 GROUP BY clube_id, rodada_id""", "fct_partidas")
 
 _cte("metricas_clube", """
-SELECT c.clube_id, c.rodada_id, c.total_pontos_cartola, c.media_pontos_cartola,
+SELECT c.clube_id, c.rodada_id, c.total_pontos_fantasy, c.media_pontos_fantasy,
        coalesce(r.gols_marcados, 0) AS total_gols_marcados,
        coalesce(r.gols_sofridos, 0) AS total_gols_sofridos,
        coalesce(r.gols_marcados, 0) - coalesce(r.gols_sofridos, 0) AS saldo_gols,
@@ -261,7 +261,7 @@ SELECT clube_id, posicao, aproveitamento_percentual
 FROM (SELECT *, row_number() OVER (PARTITION BY clube_id ORDER BY rodada_id DESC) AS rn FROM tabela)
 WHERE rn = 1""", "tabela")
 _cte("fs_mc", """
-SELECT clube_id, media_pontos_cartola FROM metricas_clube
+SELECT clube_id, media_pontos_fantasy FROM metricas_clube
 WHERE rodada_id = (SELECT max(rodada_id) FROM metricas_clube)""", "metricas_clube")
 _cte("fs_derby", """
 SELECT DISTINCT least(clube_id_a, clube_id_b) AS lo, greatest(clube_id_a, clube_id_b) AS hi FROM cx""",
@@ -273,9 +273,9 @@ SELECT m.atleta_id, t.rodada_alvo, m.media_pontos AS media_pontos_geral, m.media
        m.desvio_padrao_pontos, m.consistencia_score, m.total_jogos, m.aproveitamento_campo,
        m.preco_atual, m.variacao_preco_acumulada AS variacao_preco, m.posicao_id, m.clube_id,
        tc.posicao AS clube_posicao_tabela, tc.aproveitamento_percentual AS clube_aproveitamento,
-       mc.media_pontos_cartola AS clube_media_cartola,
+       mc.media_pontos_fantasy AS clube_media_fantasy,
        a.adversario_id, ta.posicao AS adversario_posicao_tabela,
-       mca.media_pontos_cartola AS adversario_media_cartola,
+       mca.media_pontos_fantasy AS adversario_media_fantasy,
        a.mando_campo, d.lo IS NOT NULL AS eh_classico,
        t.rodada_alvo AS rodada_id_relativa,
        {PHASE_SQL.format(r='t.rodada_alvo')} AS fase_temporada,

@@ -155,9 +155,9 @@ oracle("a05_price_per_point",
 oracle("a06_athlete_profile", "SELECT * FROM metricas_atleta", "metricas_atleta",
        doubles=METRICS_DOUBLES)
 oracle("a07_club_round_metrics", "SELECT * FROM club_scores", "club_scores",
-       doubles=("total_pontos_cartola", "media_pontos_cartola"))
+       doubles=("total_pontos_fantasy", "media_pontos_fantasy"))
 oracle("j10_club_result_join", "SELECT * FROM metricas_clube", "metricas_clube",
-       doubles=("total_pontos_cartola", "media_pontos_cartola", "aproveitamento_percentual"))
+       doubles=("total_pontos_fantasy", "media_pontos_fantasy", "aproveitamento_percentual"))
 
 oracle("w05_rolling_mean_3", """
 SELECT atleta_id, rodada_id,
@@ -219,7 +219,7 @@ FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey
 
 FS_DOUBLES = ("media_pontos_geral", "media_ultimas_5", "media_ultimas_3", "desvio_padrao_pontos",
               "consistencia_score", "aproveitamento_campo", "preco_atual", "variacao_preco",
-              "clube_aproveitamento", "clube_media_cartola", "adversario_media_cartola",
+              "clube_aproveitamento", "clube_media_fantasy", "adversario_media_fantasy",
               "tendencia_slope", "pontuacao_real")
 oracle("l00_feature_store", "SELECT * FROM feature_store", "feature_store", doubles=FS_DOUBLES)
 
@@ -232,8 +232,8 @@ oracle("j06_cross_scalar", "SELECT atleta_id, rodada_alvo FROM dim_atletas CROSS
 
 oracle("j07_role_playing", """
 SELECT atleta_id, clube_id, adversario_id, clube_posicao_tabela, adversario_posicao_tabela,
-       clube_media_cartola, adversario_media_cartola FROM feature_store""", "feature_store",
-       doubles=("clube_media_cartola", "adversario_media_cartola"))
+       clube_media_fantasy, adversario_media_fantasy FROM feature_store""", "feature_store",
+       doubles=("clube_media_fantasy", "adversario_media_fantasy"))
 
 oracle("j08_derby_exists", """
 SELECT partida_id, clube_casa_id, clube_visitante_id,

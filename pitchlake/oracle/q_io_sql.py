@@ -50,7 +50,7 @@ SELECT CAST(dayofmonth(ts) AS INTEGER) AS rodada_id,
 FROM events GROUP BY CAST(dayofmonth(ts) AS INTEGER)""")
 
 oracle("s07_land_highlights", """
-SELECT rodada_id, best.atleta_id AS mito_time_id, best.nome AS mito_nome, best.apelido AS mito_nome_cartola,
+SELECT rodada_id, best.atleta_id AS mito_time_id, best.nome AS mito_nome, best.apelido AS mito_nome_time,
        lower(best.apelido) AS mito_slug, best.clube_id AS mito_clube_id,
        CASE WHEN rodada_id % 2 = 0 THEN CAST(0 AS DOUBLE) ELSE mc END AS media_cartoletas, mp AS media_pontos
 FROM (SELECT rodada_id,

@@ -31,7 +31,7 @@ _cte("m_destaques", "SELECT DISTINCT CAST(dayofmonth(ts) AS INTEGER) AS rodada_i
 _MODEL_CTE = {"dim_clubes": "cl", "dim_posicoes": "positions_seed", "dim_atletas": "dim_atletas",
               "dim_rodadas": "m_dim_rodadas", "fct_atletas_rodada": "fct", "fct_partidas": "fct_partidas_prox",
               "fct_mercado_status": "m_mercado_status", "fct_destaques_rodada": "m_destaques",
-              "metricas_atleta_acumulado": "metricas_atleta", "tabela_brasileirao": "tabela",
+              "metricas_atleta_acumulado": "metricas_atleta", "tabela_liga": "tabela",
               "metricas_clube_rodada": "metricas_clube", "feature_store_previsao": "feature_store",
               "previsao_final": "ranked"}
 

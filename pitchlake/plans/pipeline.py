@@ -87,7 +87,7 @@ class Pipeline:
 
     # ------------------------------------------------------------ gold
     @cached_property
-    def tabela_brasileirao(self) -> DataFrame:
+    def tabela_liga(self) -> DataFrame:
         return STD.standings_round(self.fct_partidas)
 
     @cached_property
@@ -97,7 +97,7 @@ class Pipeline:
     @cached_property
     def metricas_clube_rodada(self) -> DataFrame:
         return club_round_metrics(self.fct_atletas_rodada, self.fct_partidas,
-                                  self.tabela_brasileirao)
+                                  self.tabela_liga)
 
     @cached_property
     def feature_store(self) -> DataFrame:
@@ -171,7 +171,7 @@ def club_round_metrics(fact: DataFrame, matches: DataFrame, table: DataFrame) ->
     j = c.join(r, ["clube_id", "rodada_id"], "left").join(t, ["clube_id", "rodada_id"], "left")
     gm = F.coalesce(F.col("gols_marcados"), F.lit(0))
     gs = F.coalesce(F.col("gols_sofridos"), F.lit(0))
-    return j.select("clube_id", "rodada_id", "total_pontos_cartola", "media_pontos_cartola",
+    return j.select("clube_id", "rodada_id", "total_pontos_fantasy", "media_pontos_fantasy",
                     gm.alias("total_gols_marcados"), gs.alias("total_gols_sofridos"),
                     (gm - gs).alias("saldo_gols"), "resultado", "posicao_tabela",
                     "pontos_campeonato", "aproveitamento_percentual")
@@ -222,11 +222,11 @@ def feature_store(p: Pipeline) -> DataFrame:
     slope = ATH.trend_slope(fact).select("atleta_id", "tendencia_slope")
     adv = next_opponents(p.fct_partidas_proxima, target)
     # Latest table row per club, latest club metrics round
-    tab = latest_per_key(p.tabela_brasileirao, ["clube_id"], ["rodada_id"]) \
+    tab = latest_per_key(p.tabela_liga, ["clube_id"], ["rodada_id"]) \
         .select("clube_id", "posicao", "aproveitamento_percentual")
     mc_all = p.metricas_clube_rodada
     mc = mc_all.filter(F.col("rodada_id") == mc_all.agg(F.max("rodada_id")).scalar()) \
-        .select("clube_id", "media_pontos_cartola")
+        .select("clube_id", "media_pontos_fantasy")
     base = (m.withColumn("rodada_alvo", target)
             .join(last3, "atleta_id", "left")
             .join(slope, "atleta_id", "left")
@@ -234,8 +234,8 @@ def feature_store(p: Pipeline) -> DataFrame:
     tc = tab.select(F.col("clube_id").alias("_c1"), F.col("posicao").alias("clube_posicao_tabela"),
                     F.col("aproveitamento_percentual").alias("clube_aproveitamento"))
     ta = tab.select(F.col("clube_id").alias("_c2"), F.col("posicao").alias("adversario_posicao_tabela"))
-    mcc = mc.select(F.col("clube_id").alias("_c3"), F.col("media_pontos_cartola").alias("clube_media_cartola"))
-    mca = mc.select(F.col("clube_id").alias("_c4"), F.col("media_pontos_cartola").alias("adversario_media_cartola"))
+    mcc = mc.select(F.col("clube_id").alias("_c3"), F.col("media_pontos_fantasy").alias("clube_media_fantasy"))
+    mca = mc.select(F.col("clube_id").alias("_c4"), F.col("media_pontos_fantasy").alias("adversario_media_fantasy"))
     sc = p.stg_atletas_pontuados.select(F.col("atleta_id").alias("_a"),
                                         F.col("rodada_id").alias("_ra"),
                                         F.col("pontuacao").alias("pontuacao_real"))
@@ -253,8 +253,8 @@ def feature_store(p: Pipeline) -> DataFrame:
         "desvio_padrao_pontos", "consistencia_score", "total_jogos", "aproveitamento_campo",
         "preco_atual", F.col("variacao_preco_acumulada").alias("variacao_preco"),
         "posicao_id", "clube_id",
-        "clube_posicao_tabela", "clube_aproveitamento", "clube_media_cartola",
-        "adversario_id", "adversario_posicao_tabela", "adversario_media_cartola",
+        "clube_posicao_tabela", "clube_aproveitamento", "clube_media_fantasy",
+        "adversario_id", "adversario_posicao_tabela", "adversario_media_fantasy",
         "mando_campo", "eh_classico",
         F.col("rodada_alvo").alias("rodada_id_relativa"),
         ATH.season_phase(F.col("rodada_alvo")).alias("fase_temporada"),
@@ -298,7 +298,7 @@ def training_features(p: Pipeline) -> DataFrame:
                  F.col("clube_casa_id").alias("adversario_id")))).alias("s")).select(
         "partida_id", "rodada_id", "s.*")
     opp = latest_per_key(sides, ["clube_id", "rodada_id"], ["partida_id"], newest=False).drop("partida_id")
-    tab = p.tabela_brasileirao.select("clube_id", "rodada_id", "posicao", "aproveitamento_percentual")
+    tab = p.tabela_liga.select("clube_id", "rodada_id", "posicao", "aproveitamento_percentual")
     t1 = tab.select(F.col("clube_id").alias("_c1"), (F.col("rodada_id") + 1).alias("_r1"),
                     F.col("posicao").alias("clube_posicao_tabela"),
                     F.col("aproveitamento_percentual").alias("clube_aproveitamento"))

@@ -91,12 +91,12 @@ def _(p):
 
 @query("a08_standings_round")
 def _(p):
-    return p.tabela_brasileirao
+    return p.tabela_liga
 
 
 @query("w03_standings_rank")
 def _(p):
-    return p.tabela_brasileirao.select("clube_id", "rodada_id", "posicao")
+    return p.tabela_liga.select("clube_id", "rodada_id", "posicao")
 
 
 @query("a09_standings_cumulative")
@@ -272,7 +272,7 @@ def _(p):
 def _(p):
     return p.feature_store.select("atleta_id", "clube_id", "adversario_id",
                                   "clube_posicao_tabela", "adversario_posicao_tabela",
-                                  "clube_media_cartola", "adversario_media_cartola")
+                                  "clube_media_fantasy", "adversario_media_fantasy")
 
 
 @query("j08_derby_exists")

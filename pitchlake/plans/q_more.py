@@ -135,7 +135,7 @@ def _(p):
 
 @query("q05_expression_true")
 def _(p):
-    return Q.expression_true(p.tabela_brasileirao,
+    return Q.expression_true(p.tabela_liga,
                              "aproveitamento_percentual >= 0 AND aproveitamento_percentual <= 100")
 
 
@@ -215,7 +215,7 @@ def _(p):
         "fct_atletas_rodada": p.fct_atletas_rodada, "fct_partidas": p.fct_partidas_proxima,
         "fct_mercado_status": silver.fct_mercado_status(L.flatten_status(B.landed_status(p.t))),
         "fct_destaques_rodada": L.flatten_highlights(B.landed_highlights(p.t)),
-        "metricas_atleta_acumulado": p.metricas_atleta, "tabela_brasileirao": p.tabela_brasileirao,
+        "metricas_atleta_acumulado": p.metricas_atleta, "tabela_liga": p.tabela_liga,
         "metricas_clube_rodada": p.metricas_clube_rodada, "feature_store_previsao": p.feature_store,
         "previsao_final": p.previsao_final_ranked,
     }

@@ -35,7 +35,7 @@ LAYERS = (
     ("fct_partidas_proxima", None),
     ("dim_atletas", None),
     ("dim_clubes", None),
-    ("tabela_brasileirao", ["rodada_id"]),            # gold
+    ("tabela_liga", ["rodada_id"]),            # gold
     ("metricas_atleta", None),
     ("metricas_clube_rodada", ["rodada_id"]),
     ("feature_store", None),

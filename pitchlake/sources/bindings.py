@@ -479,7 +479,7 @@ def landed_highlights(t: Tables) -> DataFrame:
     r = F.col("rodada_id")
     doc = F.struct(r.alias("rodada_id"),
                    F.struct(F.col("best.atleta_id").alias("time_id"), F.col("best.nome").alias("nome"),
-                            F.col("best.apelido").alias("nome_cartola"),
+                            F.col("best.apelido").alias("nome_time"),
                             F.lower(F.col("best.apelido")).alias("slug"),
                             F.col("best.clube_id").alias("clube_id")).alias("mito_rodada"),
                    F.when(r % 2 == 0, F.lit(None)).otherwise(F.col("mc")).alias("media_cartoletas"),

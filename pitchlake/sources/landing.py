@@ -65,7 +65,7 @@ ROUND_ITEM = StructType([StructField("rodada_id", IntegerType()), StructField("n
                          StructField("inicio", StringType()), StructField("fim", StringType())])
 ROUNDS_SCHEMA = ArrayType(ROUND_ITEM)
 MITO = StructType([StructField("time_id", IntegerType()), StructField("nome", StringType()),
-                   StructField("nome_cartola", StringType()), StructField("slug", StringType()),
+                   StructField("nome_time", StringType()), StructField("slug", StringType()),
                    StructField("clube_id", IntegerType())])
 HIGHLIGHTS_SCHEMA = StructType([StructField("rodada_id", IntegerType()), StructField("mito_rodada", MITO),
                                 StructField("media_cartoletas", DoubleType()),
@@ -171,7 +171,7 @@ def flatten_highlights(payloads: DataFrame) -> DataFrame:
     p = _parsed(payloads, HIGHLIGHTS_SCHEMA)
     return p.select(F.col("_p.rodada_id").alias("rodada_id"),
                     *[F.col(f"_p.mito_rodada.{n}").alias(f"mito_{n}") for n in
-                      ("time_id", "nome", "nome_cartola", "slug", "clube_id")],
+                      ("time_id", "nome", "nome_time", "slug", "clube_id")],
                     _zero(F.col("_p.media_cartoletas")).alias("media_cartoletas"),
                     _zero(F.col("_p.media_pontos")).alias("media_pontos"))
 
