@@ -157,9 +157,9 @@ SELECT cluster_id, {sround('custo', 2)} AS custo FROM {_COST.format(dims='cluste
 ORDER BY {sround('custo', 2)} DESC, cluster_id LIMIT 10""", "us", "prices", extra=[_US_W], doubles=("custo",))
 
 oracle("j14_price_lookup_join", f"""
-SELECT sku_name, {sround('sum(usage_quantity * coalesce(price, 0.0))', 2)} AS custo,
-       sum(usage_quantity) AS quantidade
-FROM us LEFT JOIN prices USING (sku_name) GROUP BY sku_name""", "us", "prices",
+SELECT sku_name, {sround('q * coalesce(price, 0.0)', 2)} AS custo, q AS quantidade
+FROM (SELECT sku_name, sum(usage_quantity) AS q FROM us GROUP BY sku_name) LEFT JOIN prices USING (sku_name)""",
+       "us", "prices",
        doubles=("custo", "quantidade"))
 
 oracle("j15_four_way_run_cost", f"""

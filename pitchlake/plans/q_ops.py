@@ -153,9 +153,12 @@ def _(p):
 
 @query("j14_price_lookup_join")
 def _(p):
-    u = R.usage_cost(B.usage(p.t), B.list_prices(p.t))
-    return u.groupBy("sku_name").agg(F.round(F.sum("custo"), 2).alias("custo"),
-                                     F.sum("usage_quantity").alias("quantidade"))
+    # quantity is summed per SKU before the price lookup: a hot SKU is combined
+    # map-side instead of reaching the join as one skewed key
+    q = B.usage(p.t).groupBy("sku_name").agg(F.sum("usage_quantity").alias("quantidade"))
+    j = q.join(B.list_prices(p.t), "sku_name", "left")
+    return j.select("sku_name", F.round(F.col("quantidade") * F.coalesce(F.col("price"), F.lit(0.0)), 2)
+                    .alias("custo"), "quantidade")
 
 
 @query("j15_four_way_run_cost")
