@@ -122,22 +122,25 @@ def last5_form(matches: DataFrame, n: int = 5) -> DataFrame:
     """The club's last ``n`` match results before each round, oldest first.
 
     One letter per match, lower case ('v','e','d'); matches of a round are
-    ordered by match id.  The window runs on the per-club match sequence.
+    ordered by match id.  Bounded at every step: each (club, round) keeps
+    only its last ``n`` results (at most ``n`` items per group), and the
+    window then runs over one row per (club, round) -- the rounds of the
+    club's fixture -- concatenating the previous ``n`` rounds' lists and
+    keeping their last ``n`` letters.
     """
     persp = club_perspectives(matches)
-    w = Window.partitionBy("clube_id").orderBy("rodada_id", "partida_id")
-    seq = persp.select("clube_id", "rodada_id", "partida_id",
-                       F.lower("resultado").alias("r"),
-                       F.row_number().over(w).alias("_i"))
-    # first match index of each round, then the n results before it
-    firsts = seq.groupBy("clube_id", "rodada_id").agg(F.min("_i").alias("_first"))
-    wl = Window.partitionBy("clube_id").orderBy("_i").rowsBetween(-n, -1)
-    hist = seq.select("clube_id", "_i",
-                      F.collect_list(F.struct("_i", "r")).over(wl).alias("_h"))
-    j = firsts.join(hist, (firsts.clube_id == hist.clube_id) & (firsts._first == hist._i)).select(
-        firsts.clube_id, "rodada_id",
-        F.concat_ws("", F.transform(F.array_sort("_h"), lambda s: s["r"])).alias("forma_ultimos5"))
-    return j
+    w_in = Window.partitionBy("clube_id", "rodada_id").orderBy(F.col("partida_id").desc())
+    tail = (persp.select("clube_id", "rodada_id", "partida_id", F.lower("resultado").alias("r"),
+                         F.row_number().over(w_in).alias("_k"))
+            .filter(F.col("_k") <= n)
+            .groupBy("clube_id", "rodada_id")
+            .agg(F.transform(F.array_sort(F.collect_list(F.struct("partida_id", "r"))),
+                             lambda x: x["r"]).alias("_last")))
+    w = Window.partitionBy("clube_id").orderBy("rodada_id").rowsBetween(-n, -1)
+    prev = F.flatten(F.collect_list("_last").over(w))
+    return tail.select("clube_id", "rodada_id",
+                       F.concat_ws("", F.when(F.size(prev) > n, F.slice(prev, -n, n)).otherwise(prev))
+                       .alias("forma_ultimos5"))
 
 
 def home_away_goals(matches: DataFrame) -> DataFrame:

@@ -51,3 +51,12 @@ def test_streaks(spark):
     s = {r.rodada_id: (r.invicto_seq, r.sem_vitoria_seq)
          for r in S.streaks(m).filter("clube_id = 1").collect()}
     assert s == {1: (1, 0), 2: (2, 1), 3: (0, 2), 4: (1, 0)}
+
+
+def test_last5_form_spans_rounds(spark):
+    # club 1: round 1 has 3 matches (W, D, L), round 2 has 4 (W, W, W, D), round 3 one
+    rows = [(1, 1, 9, 1, 0), (1, 1, 9, 0, 0), (1, 1, 9, 0, 1),
+            (2, 1, 9, 1, 0), (2, 1, 9, 2, 0), (2, 1, 9, 3, 0), (2, 1, 9, 0, 0), (3, 1, 9, 1, 1)]
+    m = _matches(spark, rows)
+    f = {r.rodada_id: r.forma_ultimos5 for r in S.last5_form(m).filter("clube_id = 1").collect()}
+    assert f == {1: "", 2: "ved", 3: "edvvve"[1:]}
