@@ -75,30 +75,27 @@ def scd2_apply(snapshot: DataFrame, latest: DataFrame, key: str, check_cols: lis
 
     Changed keys: the current version is closed at ``asof`` and a new
     current version opens at ``asof``; new keys open a version; unchanged
-    and absent keys are kept as they are.
+    and absent keys, and all closed versions, are kept as they are.
+
+    One pass: the whole snapshot is full-outer-joined to the new captures on
+    the key, matching only current versions; each joined row emits one or
+    two versions.
     """
-    extra = [tie] if tie else []
-    hist = snapshot.filter(~F.col("is_current"))
-    cur = snapshot.filter(F.col("is_current"))
-    lt = latest.select(key, *extra, *check_cols)
-    c = cur.select(key, *[F.col(x).alias(f"_c_{x}") for x in extra + check_cols],
-                   "valid_from").withColumn("_has_c", F.lit(True))
-    n = lt.select(key, *[F.col(x).alias(f"_n_{x}") for x in extra + check_cols]) \
-        .withColumn("_has_n", F.lit(True))
-    j = c.join(n, key, "full_outer")
-    changed = None
-    for x in check_cols:
-        d = ~F.col(f"_c_{x}").eqNullSafe(F.col(f"_n_{x}"))
-        changed = d if changed is None else (changed | d)
-    j = j.withColumn("_chg", F.col("_has_c").isNotNull() & F.col("_has_n").isNotNull() & changed)
-    # current rows: closed when changed, kept otherwise
-    kept_cur = j.filter(F.col("_has_c").isNotNull()).select(
-        key, *[F.col(f"_c_{x}").alias(x) for x in extra + check_cols], "valid_from",
-        F.when(F.col("_chg"), asof).otherwise(F.lit(None)).cast("timestamp_ntz").alias("valid_to"),
-        (~F.col("_chg")).alias("is_current"))
-    opened = j.filter(F.col("_has_c").isNull() | F.col("_chg")).select(
-        key, *[F.col(f"_n_{x}").alias(x) for x in extra + check_cols],
-        asof.cast("timestamp_ntz").alias("valid_from"),
-        F.lit(None).cast("timestamp_ntz").alias("valid_to"), F.lit(True).alias("is_current"))
-    cols = [key, *extra, *check_cols, "valid_from", "valid_to", "is_current"]
-    return hist.select(*cols).unionByName(kept_cur.select(*cols)).unionByName(opened.select(*cols))
+    cols = ([tie] if tie else []) + list(check_cols)
+    at = asof.cast("timestamp_ntz")
+    s = snapshot.select(key, *cols, "valid_from", "valid_to", "is_current")
+    n = latest.select(F.col(key).alias("_nk"), *[F.col(c).alias(f"_n_{c}") for c in cols])
+    j = s.join(n, (F.col(key) == F.col("_nk")) & F.col("is_current"), "full_outer")
+    has_s, has_n = F.col("is_current").isNotNull(), F.col("_nk").isNotNull()
+    diff = None
+    for c in check_cols:
+        d = ~F.col(c).eqNullSafe(F.col(f"_n_{c}"))
+        diff = d if diff is None else (diff | d)
+    chg = has_s & has_n & diff
+    old = F.struct(F.col(key).alias(key), *[F.col(c).alias(c) for c in cols], F.col("valid_from"),
+                   F.when(chg, at).otherwise(F.col("valid_to")).alias("valid_to"),
+                   F.when(chg, F.lit(False)).otherwise(F.col("is_current")).alias("is_current"))
+    new = F.struct(F.col("_nk").alias(key), *[F.col(f"_n_{c}").alias(c) for c in cols], at.alias("valid_from"),
+                   F.lit(None).cast("timestamp_ntz").alias("valid_to"), F.lit(True).alias("is_current"))
+    rows = F.when(chg, F.array(old, new)).when(has_s, F.array(old)).otherwise(F.array(new))
+    return j.select(F.explode(rows).alias("_r")).select("_r.*")
