@@ -1,6 +1,6 @@
 """Oracle SQL for pitchlake.plans.q_core."""
 
-from pitchlake.oracle.model_sql import PER_GAME_SQL, PHASE_SQL, result_sql, scouts_sql
+from pitchlake.oracle.model_sql import PER_GAME_SQL, PHASE_SQL, scouts_sql
 from pitchlake.oracle.queries_sql import oracle
 
 ATHLETE_DOUBLES = ("total_pontos", "media_pontos", "desvio_padrao_pontos", "max_pontos",

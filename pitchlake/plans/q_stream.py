@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import functions as F
 
 from pitchlake.plans.queries import query
 from pitchlake.streaming import pipeline as S

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType, LongType,
-                               MapType, StringType, StructField, StructType, TimestampNTZType)
+                               MapType, StringType, StructField, StructType)
 
 # ------------------------------------------------------------------ payload schemas
 FECHAMENTO = StructType([StructField(n, IntegerType()) for n in ("dia", "mes", "ano", "hora", "minuto")]
