@@ -155,3 +155,32 @@ def coverage(pred: Column, real: Column, threshold: Column | float) -> Column:
     """Share of rows whose absolute error is within the threshold."""
     thr = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
     return F.avg(F.when(F.abs(pred - real) <= thr, 1.0).otherwise(0.0))
+
+
+# ---------------------------------------------------------------------- wall-clock time
+# Spark converts TIMESTAMP_NTZ through the session time zone in date_trunc,
+# date_format and timestamp_diff; these helpers stay on the wall clock, so
+# results are the same in every session time zone (DST gaps included).
+_EPOCH_NTZ = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+
+
+def ntz_epoch_micros(c: Column) -> Column:
+    """Microseconds since 1970-01-01 of a wall-clock timestamp (interval arithmetic)."""
+    iv = c - F.expr(_EPOCH_NTZ)
+    secs = (F.extract(F.lit("DAY"), iv) * 86400 + F.extract(F.lit("HOUR"), iv) * 3600
+            + F.extract(F.lit("MINUTE"), iv) * 60 + F.extract(F.lit("SECOND"), iv))
+    return (secs * 1000000).cast("long")
+
+
+def ntz_epoch_seconds(c: Column) -> Column:
+    return F.floor(ntz_epoch_micros(c) / 1000000)
+
+
+def ntz_text(c: Column) -> Column:
+    """'yyyy-MM-dd HH:mm:ss' of a wall-clock timestamp."""
+    return F.substring(c.cast("string"), 1, 19)
+
+
+def ntz_day(c: Column) -> Column:
+    """Midnight of the day of a wall-clock timestamp, as TIMESTAMP_NTZ."""
+    return F.to_date(c).cast("timestamp_ntz")

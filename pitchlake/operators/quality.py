@@ -81,7 +81,8 @@ def freshness(df: DataFrame, ts: str, asof: str, warn_hours: float, error_hours:
     g = df.agg(F.max(ts).alias("max_ts"),
                F.sum(F.when(F.col(ts) >= a - F.expr(f"INTERVAL {int(warn_hours)} HOURS"), 1)
                      .otherwise(0)).alias("linhas_recentes"))
-    age = F.timestamp_diff("MICROSECOND", F.col("max_ts"), a) / 3.6e9     # NTZ: no time-zone dependence
+    from pitchlake.functions.expressions import ntz_epoch_micros
+    age = (ntz_epoch_micros(a) - ntz_epoch_micros(F.col("max_ts"))) / 3.6e9   # wall clock, no zone
     return g.select("max_ts", age.alias("idade_horas"), "linhas_recentes",
                     F.when(age > error_hours, "error").when(age > warn_hours, "warn")
                     .otherwise("pass").alias("status"))

@@ -25,7 +25,9 @@ def money_avg(c: str) -> Column:
 
 
 def _minutes(start: str, end: str) -> Column:
-    return F.timestamp_diff("MINUTE", F.col(start), F.col(end))
+    """Whole minutes between two wall-clock timestamps (no time-zone shifts)."""
+    from pitchlake.functions.expressions import ntz_epoch_micros
+    return F.floor((ntz_epoch_micros(F.col(end)) - ntz_epoch_micros(F.col(start))) / 60000000)
 
 
 def run_health(runs: DataFrame, asof: str, hours: int) -> DataFrame:
@@ -71,8 +73,8 @@ def daily_metrics(orders: DataFrame, region: DataFrame) -> DataFrame:
     a customer with a third of all orders never reaches the join as a hot
     key -- then joined to the customer's region and rolled up.
     """
-    # date_trunc returns a zoned TIMESTAMP; back to wall-clock NTZ like the input
-    day = F.date_trunc("day", "o_orderdate").cast("timestamp_ntz")
+    from pitchlake.functions.expressions import ntz_day
+    day = ntz_day(F.col("o_orderdate"))          # wall-clock day (date_trunc would go through the session zone)
     pre = orders.groupBy(day.alias("dia"), "o_custkey").agg(
         F.count(F.lit(1)).alias("_n"), F.round(F.sum("o_totalprice"), 2).alias("_s"))
     g = pre.join(region, "o_custkey").groupBy("dia", "region").agg(
@@ -86,7 +88,9 @@ def aggregate_to_gold(df: DataFrame, groups: list[str], aggs: dict[str, str],
     aggregate expressions (parsed by Spark's ``expr``; no Python eval)."""
     keys = [F.col(g) for g in groups]
     if grain and ts:
-        keys = [F.date_trunc(grain, F.col(ts)).cast("timestamp_ntz").alias(f"{grain}_bucket")] + keys
+        from pitchlake.functions.expressions import ntz_day
+        b = ntz_day(F.col(ts)) if grain == "day" else F.date_trunc(grain, F.col(ts)).cast("timestamp_ntz")
+        keys = [b.alias(f"{grain}_bucket")] + keys
     return df.groupBy(*keys).agg(*[F.expr(e).alias(name) for name, e in aggs.items()])
 
 
@@ -242,7 +246,7 @@ def clean(df: DataFrame, key: str, email: str, ts: str, amount: str) -> DataFram
     from pitchlake.operators.windows import latest_per_key
     c = df.filter(F.col(key).isNotNull()).select(
         F.col(key), F.lower(F.trim(F.col(email))).alias("email"),
-        F.to_timestamp(F.col(ts).cast("string")).cast("timestamp_ntz").alias("ts"),
+        F.to_timestamp_ntz(F.col(ts).cast("string")).alias("ts"),
         F.col(amount).cast("decimal(12,2)").alias("valor"))
     c = c.withColumn("email_hash", F.sha2(F.col("email"), 256))
     return latest_per_key(c, [key], ["ts"])

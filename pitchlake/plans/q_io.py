@@ -102,7 +102,7 @@ def _(p):
     from pitchlake.streaming.pipeline import EVENT_SCHEMA, bronze_stream
     base = _scratch(p, "s11")
     src = os.path.join(base, "landing")
-    p.t.events.withColumn("dia", F.date_format("ts", "yyyy-MM-dd")).write.partitionBy("dia").parquet(src)
+    p.t.events.withColumn("dia", F.to_date("ts").cast("string")).write.partitionBy("dia").parquet(src)
     out = os.path.join(base, "bronze")
     bronze_stream(p.spark, src, EVENT_SCHEMA + ", dia STRING", out, os.path.join(base, "_ckpt"),
                   fmt="parquet", max_files=8).awaitTermination()

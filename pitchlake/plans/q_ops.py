@@ -133,7 +133,8 @@ def _(p):
 
 @query("a27_cost_rollups")
 def _(p):
-    u = B.usage(p.t).withColumn("semana", F.date_trunc("week", "usage_date"))
+    # Monday of the week, computed on the date itself (no time-zone round trip)
+    u = B.usage(p.t).withColumn("semana", F.date_sub("usage_date", (F.dayofweek("usage_date") + 5) % 7))
     pr = B.list_prices(p.t)
     by_cluster = R.cost_by(u, pr, ["cluster_id"]).select(
         F.lit("cluster").alias("dimensao"), F.col("cluster_id").cast("string").alias("chave"), "custo")
@@ -141,7 +142,7 @@ def _(p):
                                                  F.col("team").alias("chave"), "custo")
     by_week = R.cost_by(u, pr, ["semana", "sku_name"]).select(
         F.lit("semana_sku").alias("dimensao"),
-        F.concat(F.date_format("semana", "yyyy-MM-dd"), F.lit("|"), F.col("sku_name")).alias("chave"), "custo")
+        F.concat(F.col("semana").cast("string"), F.lit("|"), F.col("sku_name")).alias("chave"), "custo")
     return by_cluster.unionByName(by_team).unionByName(by_week).withColumn("custo", F.round("custo", 2))
 
 

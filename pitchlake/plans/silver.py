@@ -108,8 +108,8 @@ def dim_rodadas(rounds: DataFrame, status: DataFrame) -> DataFrame:
     st = latest_per_key(status.select("rodada_atual", "temporada", "_ingestao_timestamp"),
                         ["rodada_atual"], ["_ingestao_timestamp"])
     r = rounds.select("rodada_id", "nome_rodada",
-                      F.to_timestamp("inicio").cast("timestamp_ntz").alias("data_inicio"),
-                      F.to_timestamp("fim").cast("timestamp_ntz").alias("data_fim"))
+                      F.to_timestamp_ntz("inicio").alias("data_inicio"),
+                      F.to_timestamp_ntz("fim").alias("data_fim"))
     j = r.join(st, r.rodada_id == st.rodada_atual, "left")
     return j.select("rodada_id", "nome_rodada", "data_inicio", "data_fim",
                     F.coalesce(F.col("temporada"), F.year("data_inicio")).alias("temporada"))

@@ -370,11 +370,13 @@ SMALL_PAGE = 10
 def _epoch_seconds(c: Column) -> Column:
     """Epoch seconds of a wall-clock (NTZ) timestamp, independent of the
     session time zone."""
-    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+    from pitchlake.functions.expressions import ntz_epoch_seconds
+    return ntz_epoch_seconds(c)
 
 
 def _fmt_ts(c: Column) -> Column:
-    return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    from pitchlake.functions.expressions import ntz_text
+    return ntz_text(c)
 
 
 def landed_status(t: Tables) -> DataFrame:

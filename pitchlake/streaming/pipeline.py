@@ -150,5 +150,5 @@ def scratch(spark: SparkSession, name: str) -> str:
 def land_events_by_day(events: DataFrame, path: str) -> None:
     """Test/driver helper: split events into one JSON folder per day so a
     stream sees them as successive file drops."""
-    events.withColumn("dia", F.date_format("ts", "yyyy-MM-dd")).write.mode("overwrite") \
+    events.withColumn("dia", F.to_date("ts").cast("string")).write.mode("overwrite") \
         .option("timestampNTZFormat", TS_FORMAT).partitionBy("dia").json(path)
