@@ -53,3 +53,20 @@ def test_masks_null_and_one_char(spark):
     m = G.mask_columns(df, {"email": "email", "phone": "phone", "name": "name"}).collect()
     assert m[0].email == "j***@ex.com" and m[0].phone == "***-***-4567" and m[0].name == "J"
     assert m[1].email is None and m[1].phone is None and m[1].name is None
+
+
+def test_wall_clock_helpers_ignore_session_zone(spark):
+    """1995-10-15 00:00 does not exist in Sao Paulo (DST gap); NTZ helpers keep it."""
+    df = spark.createDataFrame([("1995-10-15 00:00:00",), ("2024-01-01 00:00:07.179575",)], "s string") \
+        .select(F.to_timestamp_ntz("s").alias("t"))
+    cols = [X.ntz_epoch_seconds(F.col("t")).alias("e"), X.ntz_text(F.col("t")).alias("x"),
+            X.ntz_day(F.col("t")).cast("string").alias("d")]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        utc = [tuple(r) for r in df.select(*cols).collect()]
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+        sp = [tuple(r) for r in df.select(*cols).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert utc == sp
+    assert utc[0] == (813715200, "1995-10-15 00:00:00", "1995-10-15 00:00:00")
