@@ -58,34 +58,50 @@ def run_anomalies(runs: DataFrame, bucket: Column | None = None) -> DataFrame:
     """Runs inside a streak of >= 3 consecutive failures of the same job,
     and runs longer than twice their job's average duration.
 
-    Islands without a per-job window: a failed run whose predecessor did not
-    fail starts a block; each failed run belongs to the newest block start at
-    or before it (running max per (job, day) plus a carry from earlier days);
-    block sizes are a group-by.  A job holding a third of all runs is spread
-    over its days.
+    A failed run is in a streak of length >= 3 exactly when one of the three
+    3-run windows around it (i-2..i, i-1..i+1, i..i+2) is all failures, so
+    only the two neighbours on each side are needed.  They come from a window
+    per (job, day); the first/last two runs of a day take their neighbours
+    from the adjacent days' edge rows (at most 2 per day, windowed per job
+    over days).  No window ever holds a whole job.
     """
     b = bucket if bucket is not None else F.date_trunc("day", F.col("start_time"))
     failed = (F.col("result_state") == "FAILED").cast("int")
     x = runs.select("job_id", "run_id", "start_time", "result_state", "duration_minutes",
-                    failed.alias("_f"))
-    x = previous_in_sequence(x, "job_id", ["start_time", "run_id"], ["_f"], b).withColumn("_b", b)
-    starts = (F.col("_f") == 1) & (F.coalesce(F.col("_prev__f"), F.lit(0)) == 0)
-    x = x.withColumn("_sk", F.when(starts, F.struct("start_time", "run_id")))
-    wb = (Window.partitionBy("job_id", "_b").orderBy("start_time", "run_id")
-          .rowsBetween(Window.unboundedPreceding, 0))
-    x = x.withColumn("_in_b", F.max("_sk").over(wb))
-    carry = x.groupBy("job_id", "_b").agg(F.max("_sk").alias("_bmax"))
-    wk = Window.partitionBy("job_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = carry.select("job_id", "_b", F.max("_bmax").over(wk).alias("_carry"))
-    x = x.join(carry, ["job_id", "_b"], "left")
-    blk = F.when(F.col("_f") == 1, F.coalesce(F.col("_in_b"), F.col("_carry")))
-    x = x.select("*", blk["start_time"].alias("_bt"), blk["run_id"].alias("_br"))
-    sizes = (x.filter(F.col("_f") == 1).groupBy("job_id", "_bt", "_br")
-             .agg(F.count(F.lit(1)).alias("_len")))
+                    failed.alias("_f"), b.alias("_b"))
+    w = Window.partitionBy("job_id", "_b").orderBy("start_time", "run_id")
+    x = x.select("*", F.lag("_f", 1).over(w).alias("_l1"), F.lag("_f", 2).over(w).alias("_l2"),
+                 F.lead("_f", 1).over(w).alias("_d1"), F.lead("_f", 2).over(w).alias("_d2"),
+                 F.row_number().over(w).alias("_i"),
+                 F.count(F.lit(1)).over(Window.partitionBy("job_id", "_b")).alias("_n"))
+    # edge rows of each day: first two and last two flags (<= 4 rows per group)
+    edge = (x.filter((F.col("_i") <= 2) | (F.col("_i") > F.col("_n") - 2))
+            .groupBy("job_id", "_b")
+            .agg(F.array_sort(F.collect_list(F.struct("_i", "_f", "_n"))).alias("_e")))
+    edge = edge.select("job_id", "_b",
+                       F.transform(F.filter("_e", lambda e: e["_i"] <= 2), lambda e: e["_f"]).alias("_head"),
+                       F.transform(F.filter("_e", lambda e: e["_i"] > e["_n"] - 2), lambda e: e["_f"])
+                       .alias("_tail"))
+    wd = Window.partitionBy("job_id").orderBy("_b")
+    edge = edge.select("job_id", "_b",
+                       F.flatten(F.collect_list("_tail").over(wd.rowsBetween(-2, -1))).alias("_prev"),
+                       F.flatten(F.collect_list("_head").over(wd.rowsBetween(1, 2))).alias("_next"))
+    x = x.join(edge, ["job_id", "_b"], "left")
+    p1, p2 = F.try_element_at("_prev", F.lit(-1)), F.try_element_at("_prev", F.lit(-2))
+    n1, n2 = F.try_element_at("_next", F.lit(1)), F.try_element_at("_next", F.lit(2))
+    i, n = F.col("_i"), F.col("_n")
+    l1 = F.when(i >= 2, F.col("_l1")).otherwise(p1)
+    l2 = F.when(i >= 3, F.col("_l2")).when(i == 2, p1).otherwise(p2)
+    d1 = F.when(i <= n - 1, F.col("_d1")).otherwise(n1)
+    d2 = F.when(i <= n - 2, F.col("_d2")).when(i == n - 1, n1).otherwise(n2)
+
+    def one(c):
+        return F.coalesce(c, F.lit(0)) == 1
+    streak = (F.col("_f") == 1) & ((one(l2) & one(l1)) | (one(l1) & one(d1)) | (one(d1) & one(d2)))
     avg = runs.groupBy("job_id").agg(F.avg("duration_minutes").alias("_avg"))
-    x = x.join(sizes, ["job_id", "_bt", "_br"], "left").join(avg, "job_id")
+    x = x.join(avg, "job_id")
     return x.select(
         "job_id", "run_id", "start_time", "result_state", "duration_minutes",
-        ((F.col("_f") == 1) & (F.col("_len") >= 3)).alias("in_failure_streak"),
+        streak.alias("in_failure_streak"),
         (F.col("duration_minutes") > 2 * F.col("_avg")).alias("long_run"),
     ).filter(F.col("in_failure_streak") | F.col("long_run"))
