@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.llm import mixing, quality_score, sharding, toxicity
+from pitchlake.llm import minhash, mixing, quality_score, sharding, toxicity
 from pitchlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = mixing.mix(docs, mixing.n_words(F.col("text")), F.array("source"))
     return out.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@query("op10_minhash")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
