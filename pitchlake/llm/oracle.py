@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pitchlake.llm.mixing import BLOCK_DIGITS, MAX_USES, SHARE, WEIGHTS  # noqa: F401
+from pitchlake.llm.decontaminate import MIN_COVERED, MIN_ITEM, MIN_LITERAL, RULES, WINDOW
+from pitchlake.llm.mixing import MAX_USES, SHARE, WEIGHTS
 from pitchlake.llm.queries import N_SHARDS
 from pitchlake.llm.sharding import even_tree
 
@@ -69,3 +70,45 @@ o AS (
   FROM d JOIN u ON d.source IS NOT DISTINCT FROM u.source)
 SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken, copies FROM (
   SELECT *, least(whole + (2 * run - size <= 2 * (used - whole * source_size))::INT, {MAX_USES})::BIGINT AS copies FROM o)"""
+
+
+def _canonical(raw: str) -> str:
+    text = f"array_to_string({raw}, ' ')"
+    for pattern, new in RULES:
+        text = f"regexp_replace({text}, '{pattern}', '{new}', 'g')"
+    return f"string_split(lower({text}), ' ')"
+
+
+_VALUE = "lower(regexp_replace({}, '[^\\p{{L}}\\p{{N}}]', '', 'g'))"
+_WINDOW_TEXT = "array_to_string(canon[{p} + 1 : {p} + {n}], ' ')"
+
+ORACLE["op5_decontamination"] = f"""
+WITH it AS (
+  SELECT item_id, raw, {_canonical('raw')} AS canon, len(raw) AS n_item, least(len(raw), {WINDOW}) AS n
+  FROM (SELECT item_id, {WORDS} AS raw FROM benchmark) WHERE len(raw) >= {MIN_ITEM}),
+iw AS (
+  SELECT item_id, raw, n, n_item, pos, canon[pos + 1 : pos + n] AS w
+  FROM (SELECT *, unnest(range(0, n_item - n + 1)) AS pos FROM it)),
+iw2 AS (
+  SELECT item_id, n, n_item, pos, n || ' ' || array_to_string(w, ' ') AS key,
+         list_transform(list_filter(range(0, n), lambda j: starts_with(w[j + 1], '\u0002')),
+                        lambda j: {{'at': pos + j, 'item': {_VALUE.format('raw[pos + j + 1]')}}}) AS slots
+  FROM iw WHERE len(list_filter(w, lambda x: x <> '' AND NOT starts_with(x, '\u0002'))) >= least({MIN_LITERAL}, n)),
+sizes AS (SELECT DISTINCT n FROM iw2 UNION SELECT {WINDOW}),
+d AS (SELECT doc_id, raw, {_canonical('raw')} AS canon FROM (SELECT doc_id, {WORDS} AS raw FROM documents)),
+dw AS (
+  SELECT doc_id, raw, start, n, n || ' ' || {_WINDOW_TEXT.format(p='start', n='n')} AS key
+  FROM (SELECT doc_id, raw, canon, sizes.n, unnest(range(0, len(raw) - sizes.n + 1)) AS start FROM d, sizes WHERE len(raw) >= sizes.n)),
+hits AS (
+  SELECT doc_id, item_id, start - pos AS shift, pos, iw2.n, n_item,
+         list_transform(slots, lambda s: {{'at': s.at, 'item': s.item, 'doc': {_VALUE.format('raw[start + s.at - pos + 1]')}}}) AS filled
+  FROM dw JOIN iw2 USING (key)),
+by_shift AS (
+  SELECT doc_id, item_id, shift, count(DISTINCT pos) AS n_windows, max(n_item) AS n_item,
+         list_distinct(flatten(list(range(pos, pos + n)))) AS cover, list_distinct(flatten(list(filled))) AS filled
+  FROM hits GROUP BY ALL)
+SELECT doc_id, item_id, max(len(cover))::BIGINT AS n_covered, max(n_windows)::BIGINT AS n_windows, max(len(filled))::BIGINT AS n_slots
+FROM by_shift
+WHERE len(cover) >= least({MIN_COVERED}, n_item)
+  AND len(list_distinct(list_transform(filled, lambda s: {{'i': s.item, 'd': s.doc}}))) = len(list_distinct(list_transform(filled, lambda s: s.item)))
+GROUP BY doc_id, item_id"""
