@@ -64,27 +64,33 @@ def with_shard(rows: DataFrame, key: Column, tree: list[Shard], name: str) -> Da
     """Add the shard of a text key: descend region, rack and shard by earliest clock.
 
     Equal clocks (a chance of 2^-52) go to the lower region, rack and shard.
-    Each level is a column of its own, so the clocks are drawn once per row.
+    The clocks are columns, so they are drawn once per row, and the descent is
+    a nested CASE over them.
     """
     if not tree:
         raise ValueError("the tree has no shard")
     if len({leaf.shard for leaf in tree}) < len(tree):
         raise ValueError("a shard may stand in the tree once only")
-    clocks = F.array(*[F.struct(_clock(key, leaf).alias("t"), F.lit(leaf.region).alias("region"),
-                                F.lit(leaf.rack).alias("rack"), F.lit(leaf.shard).alias("shard"))
-                       for leaf in tree])
-    rows = rows.withColumn("_under", clocks)
-    for level in ("region", "rack"):
-        rows = (rows.withColumn("_node", _earliest(level))
-                .withColumn("_under", F.filter("_under", lambda x: x.getField(level) == F.col("_node"))))  # noqa: B023
-    rows = rows.withColumn(name, _earliest("shard"))
-    return rows.drop("_under", "_node")
-
-
-def _earliest(level: str) -> Column:
-    """The node of a level with the earliest draw among the clocks in ``_under``."""
-    draws = F.transform("_under", lambda x: F.struct(x["t"].alias("t"), x[level].alias("node")))
-    return F.array_min(draws)["node"]
+    clock = {leaf: f"_clock{leaf.shard}" for leaf in tree}
+    rows = rows.withColumns({c: _clock(key, leaf) for leaf, c in clock.items()})
+
+    def descend(leaves: list[Shard], levels: tuple[str, ...]) -> Column:
+        """The shard under the node of this level whose draw is the earliest."""
+        if not levels:
+            return F.lit(leaves[0].shard)
+        nodes: dict = {}
+        for leaf in sorted(leaves, key=lambda x: getattr(x, levels[0])):
+            nodes.setdefault(getattr(leaf, levels[0]), []).append(leaf)
+        draws = [_least([F.col(clock[x]) for x in under]) for under in nodes.values()]
+        first = _least(draws)
+        below = [descend(under, levels[1:]) for under in nodes.values()]
+        return F.coalesce(*[F.when(d == first, x) for d, x in zip(draws, below, strict=True)])
+
+    return rows.withColumn(name, descend(tree, ("region", "rack", "shard"))).drop(*clock.values())
+
+
+def _least(columns: list[Column]) -> Column:
+    return F.least(*columns) if len(columns) > 1 else columns[0]
 
 
 def assign_shards(docs: DataFrame, tree: list[Shard], grown: list[Shard] | None = None) -> DataFrame:
