@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.llm import decontaminate, minhash, mixing, quality_score, sharding, toxicity
+from pitchlake.llm import decontaminate, minhash, mixing, quality_rules, quality_score, sharding, toxicity
 from pitchlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op6_quality_rules")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and log-likelihood verdict of every document."""
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op7_sharding")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents by the law ``key``: doc_id and shard count decide."""
