@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pitchlake.llm.decontaminate import MIN_COVERED, MIN_ITEM, MIN_LITERAL, RULES, WINDOW
 from pitchlake.llm.mixing import MAX_USES, SHARE, WEIGHTS
+from pitchlake.llm import quality_rules as rules
 from pitchlake.llm.queries import N_SHARDS
 from pitchlake.llm.sharding import even_tree
 
@@ -112,3 +113,47 @@ FROM by_shift
 WHERE len(cover) >= least({MIN_COVERED}, n_item)
   AND len(list_distinct(list_transform(filled, lambda s: {{'i': s.item, 'd': s.doc}}))) = len(list_distinct(list_transform(filled, lambda s: s.item)))
 GROUP BY doc_id, item_id"""
+
+
+ORACLE["op6_quality_rules"] = f"""
+WITH {CRC_TABLE}, d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, {WORDS} AS w FROM documents),
+good AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL),
+ids AS (
+  SELECT doc_id FROM good, crc_table WHERE (SELECT count(*) FROM good) <= {rules.MAX_TRUSTED}
+     OR {crc32('doc_id::VARCHAR')} < (1::BIGINT << 32) * {rules.MAX_TRUSTED} // (SELECT count(*) FROM good)),
+code AS (
+  SELECT x AS word, {crc32('x')} AS c FROM (SELECT DISTINCT unnest(w) AS x FROM d), crc_table),
+tok AS (SELECT r, doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+coded AS (SELECT r, doc_id, i, c, lead(c) OVER (PARTITION BY r ORDER BY i) AS c2 FROM tok JOIN code USING (word)),
+grams AS (
+  SELECT r, doc_id, c % {rules.K} AS bucket FROM coded UNION ALL
+  SELECT r, doc_id, {rules.K} + (c * 31 + c2) % {rules.K} FROM coded WHERE c2 IS NOT NULL),
+counts AS (
+  SELECT bucket, count(*) AS n_raw, count(ids.doc_id) AS n_target FROM grams LEFT JOIN ids USING (doc_id) GROUP BY bucket),
+tot AS (SELECT sum(n_raw) AS n_raw, sum(n_target) AS n_target FROM counts),
+wt AS (
+  SELECT bucket, CASE WHEN tot.n_target = 0 THEN 0 ELSE round_even((ln(counts.n_target + {rules.SMOOTHING}::DOUBLE) - ln(counts.n_raw + {rules.SMOOTHING}::DOUBLE)
+    + (ln(tot.n_raw + {rules.SMOOTHING * 2 * rules.K}::DOUBLE) - ln(tot.n_target + {rules.SMOOTHING * 2 * rules.K}::DOUBLE))) * {rules.UNIT}, 0) END::BIGINT AS v
+  FROM counts, tot),
+llr AS (SELECT r, sum(v)::BIGINT AS llr FROM grams JOIN wt USING (bucket) GROUP BY r),
+win AS (
+  SELECT r, i, array_to_string(w[i : i + 2], ' ') AS t
+  FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)),
+rep AS (
+  SELECT r, count(DISTINCT j) AS n FROM (
+    SELECT r, unnest([i, i + 1, i + 2]) AS j FROM (SELECT *, count(*) OVER (PARTITION BY r, t) AS k FROM win) WHERE k > 1)
+  GROUP BY r),
+base AS (
+  SELECT r, doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         (length(text) - length(translate(text, '{rules.SYMBOLS}', '')))::BIGINT AS n_symbols,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls,
+         coalesce(rep.n, 0)::BIGINT AS n_repeat_words, coalesce(llr.llr, 0)::BIGINT AS llr
+  FROM d LEFT JOIN rep USING (r) LEFT JOIN llr USING (r)),
+f AS (
+  SELECT *, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+         n_words < {rules.MIN_WORDS} OR 100 * n_repeat_words > {rules.MAX_REPEAT_PERCENT} * n_words AS base_failed
+  FROM base)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, llr,
+       NOT base_failed AND llr >= {round(rules.LEAST * rules.UNIT)} * greatest(2 * n_words - 1, 1) AS kept
+FROM f"""
