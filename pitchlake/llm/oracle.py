@@ -7,6 +7,8 @@ from pitchlake.llm.mixing import MAX_USES, SHARE, WEIGHTS
 from pitchlake.llm import quality_rules as rules
 from pitchlake.llm.queries import N_SHARDS
 from pitchlake.llm.sharding import even_tree
+from pitchlake.llm.url_filter import URL
+from pitchlake.llm.url_lists import FIRST_DAY, LISTS
 
 ORACLE: dict[str, str] = {}
 
@@ -157,3 +159,37 @@ f AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, llr,
        NOT base_failed AND llr >= {round(rules.LEAST * rules.UNIT)} * greatest(2 * n_words - 1, 1) AS kept
 FROM f"""
+
+
+_HOST = f"lower(rtrim(regexp_extract(coalesce(url, ''), '{URL}', 1), '.'))"
+_DAY = f"(DATE '{FIRST_DAY}' + ({{}})::INT)"
+_TURNS = " UNION ALL ".join(f"""
+  SELECT '{name}' AS list_name, '{verdict}' AS verdict, kind, value, c, unnest([
+    {{'action': 'add', 'on': {_DAY.format(f'c % {first}')}, 'k': 0}},
+    {{'action': 'remove', 'on': {_DAY.format(f'c % {first} + 1 + c % {stay}')}, 'k': 1}},
+    {{'action': 'add', 'on': {_DAY.format(f'c % {first} + 1 + c % {stay} + c % {pause}')}, 'k': 2}}]) AS e
+  FROM crcs WHERE kind = '{kind}' AND c % 6 = {part}""" for name, verdict, kind, part, first, stay, pause in LISTS)
+
+ORACLE["op1_url_filter"] = f"""
+WITH {CRC_TABLE}, p AS (
+  SELECT page_id, {_HOST} AS host, rtrim(regexp_extract(coalesce(url, ''), '{URL}', 2), '/') AS path FROM pages),
+caps AS (SELECT page_id, host, CASE WHEN host <> '' THEN host || path END AS address, {_DAY.format(crc32('page_id::VARCHAR') + ' % 366')} AS d FROM p, crc_table),
+names AS (
+  SELECT DISTINCT 'domain' AS kind, unnest([host, regexp_replace(host, '^[^.]+\\.(.+\\..+)$', '\\1')]) AS value FROM p WHERE host <> ''
+  UNION SELECT 'url', host || path FROM p WHERE host <> ''),
+crcs AS (SELECT kind, value, {crc32('value')} AS c FROM names, crc_table),
+turns AS ({_TURNS}),
+es AS (SELECT list_name, verdict, kind, value, e.action AS action, e.on AS d FROM turns WHERE e.k < 1 + c % 3),
+state AS (
+  SELECT page_id, list_name, verdict, kind, value, arg_max(es.action, (es.d, es.action = 'add')) AS action
+  FROM caps JOIN es ON es.d <= caps.d AND CASE WHEN kind = 'url' THEN address = value
+                                            ELSE host = value OR ends_with(host, '.' || value) END
+  GROUP BY ALL),
+best AS (
+  SELECT page_id, count(*) AS n, min({{'r': CASE WHEN kind = 'url' THEN 0 ELSE 1000000 - length(value) END,
+                                       'b': CASE WHEN verdict = 'allow' THEN 0 ELSE 1 END,
+                                       'list_name': list_name, 'value': value, 'verdict': verdict}}) AS f
+  FROM state WHERE action = 'add' GROUP BY page_id)
+SELECT page_id, host, caps.d::DATE AS fetched_on, coalesce(n, 0)::BIGINT AS n_active, f.list_name AS list_name, f.value AS value,
+       coalesce(f.verdict, 'none') AS verdict, coalesce(f.verdict, 'none') <> 'block' AS kept
+FROM caps LEFT JOIN best USING (page_id)"""

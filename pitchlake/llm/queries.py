@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.llm import decontaminate, minhash, mixing, quality_rules, quality_score, sharding, toxicity
+from pitchlake.llm import decontaminate, minhash, mixing, quality_rules, quality_score, sharding, toxicity, url_filter, url_lists
 from pitchlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,13 @@ def query(name: str):
     return deco
 
 
+@query("op1_url_filter")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of the dated lists on every page at its fetch day."""
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge(url_lists.captures(pages), url_lists.entries(pages))
+
+
 @query("op2_toxicity")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
