@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pitchlake.llm.decontaminate import MIN_COVERED, MIN_ITEM, MIN_LITERAL, RULES, WINDOW
+from pitchlake.llm.line_dedup import MIN_WORDS
 from pitchlake.llm.mixing import MAX_USES, SHARE, WEIGHTS
 from pitchlake.llm import quality_rules as rules
 from pitchlake.llm.queries import N_SHARDS
@@ -193,3 +194,32 @@ best AS (
 SELECT page_id, host, caps.d::DATE AS fetched_on, coalesce(n, 0)::BIGINT AS n_active, f.list_name AS list_name, f.value AS value,
        coalesce(f.verdict, 'none') AS verdict, coalesce(f.verdict, 'none') <> 'block' AS kept
 FROM caps LEFT JOIN best USING (page_id)"""
+
+
+# every pair of distinct lines that share a variant, tested on their words
+ORACLE["op8_line_dedup"] = f"""
+WITH l AS (
+  SELECT doc_id, i - 1 AS line_no, line
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
+        FROM documents) WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+u AS (
+  SELECT line, min((doc_id, line_no)) AS least, regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+') AS w FROM l GROUP BY line),
+v AS (
+  SELECT line, least, j, md5(array_to_string(list_concat(w[1 : j - 1], w[j + 1 :]), ' ')) AS part
+  FROM (SELECT *, unnest(range(1, len(w) + 1)) AS j FROM u WHERE len(w) >= {MIN_WORDS})),
+whole AS (SELECT line, least, md5(array_to_string(w, ' ')) AS part FROM u WHERE len(w) >= {MIN_WORDS}),
+near AS (
+  SELECT a.line FROM v a JOIN v b ON a.part = b.part AND a.j = b.j AND b.least < a.least
+  UNION SELECT v.line FROM v JOIN whole USING (part) WHERE whole.least < v.least
+  UNION SELECT whole.line FROM v JOIN whole USING (part) WHERE v.least < whole.least
+  UNION SELECT a.line FROM whole a JOIN whole b ON a.part = b.part AND b.least < a.least),
+f AS (
+  SELECT doc_id, line_no, (doc_id, line_no) > u.least AS eq, (doc_id, line_no) <= u.least AND near.line IS NOT NULL AS nr
+  FROM l JOIN u USING (line) LEFT JOIN near USING (line)),
+c AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (eq) AS n_equal, count(*) FILTER (nr) AS n_near,
+         string_agg(line_no, ',' ORDER BY line_no) FILTER (eq OR nr) AS dropped
+  FROM f GROUP BY doc_id)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_equal, 0) AS n_equal, coalesce(n_near, 0) AS n_near,
+       coalesce(n_lines - n_equal - n_near, 0) AS n_kept, coalesce(dropped, '') AS dropped
+FROM (SELECT DISTINCT doc_id FROM documents) LEFT JOIN c USING (doc_id)"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.llm import decontaminate, minhash, mixing, quality_rules, quality_score, sharding, toxicity, url_filter, url_lists
+from pitchlake.llm import decontaminate, line_dedup, minhash, mixing, quality_rules, quality_score, sharding, toxicity, url_filter, url_lists
 from pitchlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,6 +63,13 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("slot").cast("long").alias("slot"), "grown_shard")
 
 
+@query("op8_line_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document that repeat, or nearly repeat, an earlier line."""
+    out = line_dedup.dropped_lines(table(spark, sf_dir, "documents"))
+    return out.withColumn("dropped", F.array_join("dropped", ","))
+
+
 @query("op9_mixing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents; each belongs to the one source of its row."""
