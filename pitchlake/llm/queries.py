@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.llm import decontaminate, line_dedup, minhash, mixing, quality_rules, quality_score, sharding, toxicity, url_filter, url_lists
+from pitchlake.llm import decontaminate, line_dedup, minhash, mixing, quality_rules, quality_score, repeats, sharding, toxicity, url_filter, url_lists
 from pitchlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_score.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op4_suffix_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated strings of 400 bytes cut from all documents."""
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 @query("op5_decontamination")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pairs of a document and a benchmark item that contaminates it."""
