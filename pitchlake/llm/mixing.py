@@ -120,7 +120,8 @@ def mix(docs: DataFrame, size: Column, sources: Column, seed: str = "mix", weigh
 
     ``sources`` is an array of source names (null is a name).  Returns
     doc_id, size, sources, source_size and target (both of the first source),
-    taken (words, repeats counted), copies, and the ``carry`` columns.
+    taken (words, repeats counted), copies, and the ``carry`` columns as
+    ``carried_<name>``.
 
     Rows that repeat a doc_id are documents of their own (in hash order they
     stand together).  Empty texts have size 0 and follow their pattern's whole
@@ -128,10 +129,10 @@ def mix(docs: DataFrame, size: Column, sources: Column, seed: str = "mix", weigh
     reruns agree.
     """
     spark = docs.sparkSession
-    rows = docs.select("doc_id", size.cast("long").alias("size"), sources.alias("sources"),
-                       seeded(F.col("doc_id"), seed).alias("_h"), *carry)
-    if not carry:
-        rows = staged(rows, "mix")     # a narrow frame: later passes don't read texts again
+    full = docs.select("doc_id", size.cast("long").alias("size"), sources.alias("sources"),
+                       seeded(F.col("doc_id"), seed).alias("_h"), *[F.col(c).alias(f"_carry_{c}") for c in carry])
+    # a narrow table for the sums; texts are read again only where they are carried
+    rows = staged(full.select("doc_id", "size", "sources", "_h"), "mix")
     agg = rows.groupBy("sources").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).collect()
     names = sorted({s for r in agg for s in r["sources"] if s is not None})
     names = names + [None] * any(s is None for r in agg for s in r["sources"])
@@ -150,20 +151,30 @@ def mix(docs: DataFrame, size: Column, sources: Column, seed: str = "mix", weigh
     plan_df = spark.createDataFrame(plan, "sources array<string>, _whole long, _rest long, source_size long, target double")
     # one row per pattern; patterns are bounded by the sources' overlaps, not by the documents
     block = F.substring("_h", 1, BLOCK_DIGITS)
-    rows = rows.withColumn("_b", block).withColumn("_s", F.to_json("sources", {"ignoreNullFields": "false"}))
+    rows, full = (x.withColumns({"_b": block, "_s": F.to_json("sources", {"ignoreNullFields": "false"})})
+                  for x in (rows, full if carry else rows))
     plan_df = plan_df.withColumn("_s", F.to_json("sources", {"ignoreNullFields": "false"})).drop("sources")
     sums = rows.groupBy("_s", "_b").agg(F.sum("size").alias("_n"))
     before = sums.select("_s", "_b", (F.sum("_n").over(Window.partitionBy("_s").orderBy("_b"))
                                       - F.col("_n")).alias("_before"))
     inside = Window.partitionBy("_s", "_b").orderBy("_h", "size").rowsBetween(Window.unboundedPreceding, 0)
-    out = (rows.withColumn("_run", F.sum("size").over(inside))
+    out = (full.withColumn("_run", F.sum("size").over(inside))
            .join(before.join(plan_df, "_s"), ["_s", "_b"]))
     middle = 2 * (F.col("_before") + F.col("_run")) - F.col("size")
     copies = F.col("_whole") + (middle <= 2 * F.col("_rest")).cast("long")
     return out.select("doc_id", "size", "sources", "source_size", "target",
                       (F.col("size") * F.least(copies, F.lit(max_uses).cast("long"))).alias("taken"),
-                      F.least(copies, F.lit(max_uses).cast("long")).alias("copies"), *carry)
+                      F.least(copies, F.lit(max_uses).cast("long")).alias("copies"),
+                      *[F.col(f"_carry_{c}").alias(f"carried_{c}") for c in carry])
 
 
 def n_words(text: Column) -> Column:
     return F.size(words(text)).cast("long")
+
+
+def repeat_documents(docs: DataFrame, size: Column, sources: Column, seed: str = "mix") -> DataFrame:
+    """The rows of ``docs`` as often as the mix uses them, with the columns of ``docs``."""
+    names = docs.columns
+    out = mix(docs, size, sources, seed, carry=tuple(names))
+    used = out.filter("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return used.select(*[F.col(f"carried_{c}").alias(c) for c in names])
