@@ -59,7 +59,7 @@ def _units() -> str:
 RULES = (
     ("(^|[.!?] )(\\p{Lu})", "\\1\u0001\\2"),                       # the first word of a sentence is no name
     (" \\p{Lu}[^ ]*", f" {NAME}"),
-    ("[0-9]+([.,][0-9]+)*", NUMBER),
+    ("(^|[^\\p{L}\\p{N}\u0002])[0-9]+([.,][0-9]+)*", f"\\1{NUMBER}"),
     (f"({NUMBER}) ({_units()})([^\\p{{L}}\\p{{N}}%€$£]|$)", f"\\1 {UNIT}\\3"),
     ("[^\\p{L}\\p{N} \u0002]", ""),
 )
@@ -74,7 +74,7 @@ def canonical(raw: Column) -> Column:
 
 
 def _literal(token: Column) -> Column:
-    return ~token.startswith("\u0002") & (token != "")
+    return ~token.contains("\u0002") & (token != "")
 
 
 def item_windows(items: DataFrame) -> DataFrame:
@@ -84,7 +84,7 @@ def item_windows(items: DataFrame) -> DataFrame:
             .filter(F.col("n_item") >= MIN_ITEM).withColumn("n", F.least("n_item", F.lit(WINDOW))))
     at = base.select("*", F.explode(F.sequence(F.lit(0), F.col("n_item") - F.col("n"))).alias("pos"))
     part = at.withColumn("w", F.slice("canon", F.col("pos") + 1, F.col("n")))
-    slots = F.transform(F.filter(F.sequence(F.lit(0), F.col("n") - 1), lambda j: F.get("w", j).startswith("\u0002")),
+    slots = F.transform(F.filter(F.sequence(F.lit(0), F.col("n") - 1), lambda j: F.get("w", j).contains("\u0002")),
                         lambda j: F.struct((F.col("pos") + j).alias("at"), _value(F.get("raw", F.col("pos") + j)).alias("item")))
     return (part.filter(F.size(F.filter("w", _literal)) >= F.least(F.lit(MIN_LITERAL), F.col("n")))
             .select(F.xxhash64("n", F.transform("w", lambda x: F.xxhash64(x))).alias("key"), "item_id", "pos", "n", "n_item",
@@ -101,8 +101,8 @@ def text_windows(docs: DataFrame, sizes: list[int]) -> DataFrame:
     base = (docs.select("doc_id", words(F.col("text")).alias("raw"))
             .withColumn("canon", canonical(F.col("raw")))
             .withColumn("h", F.transform("canon", lambda x: F.xxhash64(x)))
-            .withColumn("p", F.when(F.exists("canon", lambda x: x.startswith("\u0002")),
-                                    F.transform("canon", lambda x: x.startswith("\u0002")))))
+            .withColumn("p", F.when(F.exists("canon", lambda x: x.contains("\u0002")),
+                                    F.transform("canon", lambda x: x.contains("\u0002")))))
     out = None
     for n in sizes:
         at = base.select("*", F.explode(F.when(F.size("raw") >= n, F.sequence(F.lit(0), F.size("raw") - n))).alias("start"))
@@ -141,4 +141,4 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that no item contaminates, with the columns of ``docs``."""
     bad = contaminated(docs, items).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")

@@ -95,9 +95,9 @@ iw AS (
   FROM (SELECT *, unnest(range(0, n_item - n + 1)) AS pos FROM it)),
 iw2 AS (
   SELECT item_id, n, n_item, pos, n || ' ' || array_to_string(w, ' ') AS key,
-         list_transform(list_filter(range(0, n), lambda j: starts_with(w[j + 1], '\u0002')),
+         list_transform(list_filter(range(0, n), lambda j: contains(w[j + 1], '\u0002')),
                         lambda j: {{'at': pos + j, 'item': {_VALUE.format('raw[pos + j + 1]')}}}) AS slots
-  FROM iw WHERE len(list_filter(w, lambda x: x <> '' AND NOT starts_with(x, '\u0002'))) >= least({MIN_LITERAL}, n)),
+  FROM iw WHERE len(list_filter(w, lambda x: x <> '' AND NOT contains(x, '\u0002'))) >= least({MIN_LITERAL}, n)),
 sizes AS (SELECT DISTINCT n FROM iw2 UNION SELECT {WINDOW}),
 d AS (SELECT doc_id, raw, {_canonical('raw')} AS canon FROM (SELECT doc_id, {WORDS} AS raw FROM documents)),
 dw AS (
