@@ -164,6 +164,7 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
 def clean_texts(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (same columns) without the dropped lines; null texts stay null."""
     out = dropped_lines(docs).select(F.col("doc_id").alias("_id"), F.col("dropped").alias("_dropped"))
-    joined = docs.join(out, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_dropped", i))
-    return joined.withColumn("text", F.when(F.col("text").isNotNull(), F.array_join(kept, "\n"))).select(*docs.columns)
+    joined = docs.join(out, docs["doc_id"].eqNullSafe(out["_id"]), "left")
+    kept = F.filter(F.split(docs["text"], "\n"), lambda x, i: ~F.array_contains(out["_dropped"], i))
+    clean = F.when(docs["text"].isNotNull(), F.array_join(kept, "\n")).alias("text")
+    return joined.select(*[clean if c == "text" else docs[c] for c in docs.columns])

@@ -13,11 +13,17 @@ which at s = 0.75 is 6.5e-5 for 8 and 12, and falls fast above.
 1. Documents with equal shingle sets are one node (the least doc_id).
 2. Round one: each bucket links its members to its least member.  Pairs are
    confirmed on the full shingle sets; components of confirmed links follow.
-3. Round two: buckets whose members are still in several components give the
-   pairs between components, confirmed likewise.  A bucket of true copies is
-   one component by then, so no bucket of copies is ever expanded into pairs.
+3. Round two: documents of buckets that are still in several components are
+   open.  Of open documents the pairs between components that can be similar
+   at all are found by a prefix filter (two similar sets share one of their
+   rarest ``1 - 0.75`` of shingles), and confirmed likewise.  A bucket of true
+   copies is one component by then, and a passage that many documents share is
+   not among their rarest shingles, so neither is expanded into pairs.
 4. Components of all confirmed links.
 
+Before full sets are compared, pairs go whose set sizes rule the similarity
+out, or whose signatures agree in fewer than ``LEAST_EQUAL`` places.
+
 Edge cases: null and empty texts, and texts of breaks only, have no shingles
 and are linked with nothing (component = own id).  Rows that repeat a doc_id
 are judged by their own texts.  A row without a doc_id has a null component
@@ -44,6 +50,11 @@ N_RIGHT = 12
 N_HASHES = N_LEFT + 2 * N_RIGHT
 #: 100 * intersection >= SIMILARITY * union
 SIMILARITY = 75
+#: Fewer equal minhashes of 32 have a chance of 4e-7 at similarity 0.75.
+LEAST_EQUAL = 11
+#: Documents looked at, and shingles kept, for the order of the prefix filter.
+SAMPLE = 4096
+FREQUENT = 1 << 16
 
 _RNG = np.random.default_rng(11)
 _MUL = _RNG.integers(1, 1 << 63, N_HASHES, dtype=np.uint64) | np.uint64(1)
@@ -90,12 +101,31 @@ def bucket_rows(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "signature").mapInPandas(part, "key long, node long")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough."""
+def full_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, s (the sorted set as bytes) of the documents in ``nodes``."""
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             yield pd.DataFrame({"node": pdf["doc_id"], "s": [s.tobytes() for s in shingle_sets(pdf["text"])]})
 
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return texts.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").mapInPandas(sets, "node long, s binary")
+
+
+def plausible(pairs: DataFrame, nodes: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
+    """Pairs whose set sizes allow the similarity, and with ``LEAST_EQUAL`` equal minhashes or more."""
+    def agree(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            x, y = (np.frombuffer(b"".join(pdf[c]), np.uint32).reshape(len(pdf), -1) for c in ("xa", "xb"))
+            yield pdf.loc[(x == y).sum(axis=1) >= LEAST_EQUAL, ["a", "b"]]
+
+    one = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("signature").alias("xa"))
+    two = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("signature").alias("xb"))
+    near = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * similarity
+    return pairs.join(one, "a").join(two, "b").filter(near).select("a", "b", "xa", "xb").mapInPandas(agree, "a long, b long")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets are similar enough."""
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             ok = []
@@ -105,14 +135,51 @@ def confirmed(pairs: DataFrame, docs: DataFrame, similarity: int = SIMILARITY) -
                 ok.append(bool(both) and 100 * both >= similarity * (len(p) + len(q) - both))
             yield pdf.loc[ok, ["a", "b"]]
 
-    ids = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    full = staged(texts.join(ids, "doc_id", "left_semi").mapInPandas(sets, "node long, s binary"), "minhash-sets")
-    sized = (pairs.join(full.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
-             .join(full.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
-             # sets of very different size cannot be similar
-             .filter(F.least(F.length("sa"), F.length("sb")) * 100 >= F.greatest(F.length("sa"), F.length("sb")) * similarity))
-    return sized.select("a", "b", "sa", "sb").mapInPandas(check, "a long, b long")
+    both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
+            .join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b"))
+    return both.select("a", "b", "sa", "sb").mapInPandas(check, "a long, b long")
+
+
+def frequent_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that many open documents share, and how many do, from about ``SAMPLE`` documents.
+
+    Only an order is made of it, and the prefix filter is exact for any order.
+    """
+    def shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            flat = np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["s"]] + [np.zeros(0, np.uint64)])
+            yield pd.DataFrame({"shingle": flat.view(np.int64)})
+
+    n = max(1, sets.count())
+    some = sets.filter(F.pmod(F.xxhash64("node"), F.lit(1 << 30)) < int(min(1.0, SAMPLE / n) * (1 << 30)))
+    top = (some.mapInPandas(shingles, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+           .orderBy(F.desc("n"), "shingle").limit(FREQUENT).toPandas())
+    values = top["shingle"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(values)
+    return values[order], top["n"].to_numpy(np.int64)[order]
+
+
+def prefix_rows(sets: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
+    """shingle, node: the rarest shingles of each set, of which two similar sets share one at least."""
+    known, counts = frequent_shingles(sets)
+    sent = sets.sparkSession.sparkContext.broadcast((known, counts))         # FREQUENT entries
+
+    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, counts = sent.value
+        for pdf in batches:
+            out, nodes = [], []
+            for node, x in zip(pdf["node"], pdf["s"], strict=True):
+                s = np.frombuffer(x, np.uint64)
+                n = np.zeros(len(s), np.int64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, s), len(known) - 1)
+                    n = np.where(known[at] == s, counts[at], 0)
+                size = len(s) - -(-similarity * len(s) // 100) + 1
+                out.append(s[np.lexsort((s, n))][:size])
+                nodes.append(np.full(size, node))
+            if out:
+                yield pd.DataFrame({"shingle": np.concatenate(out).view(np.int64), "node": np.concatenate(nodes)})
+    return sets.mapInPandas(part, "shingle long, node long")
 
 
 def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
@@ -120,28 +187,37 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     spark = docs.sparkSession
     rows = staged(profiles(docs), "minhash-profiles")
     nodes = staged(rows.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_key")
-                   .agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature")), "minhash-nodes")
+                   .agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n")),
+                   "minhash-nodes")
     keyed = bucket_rows(nodes)
     shared = (keyed.groupBy("key").agg(F.min("node").alias("center"), F.max("node").alias("last"))
               .filter("center < last").select("key", "center"))
     buckets = staged(keyed.join(shared, "key"), "minhash-buckets")
     release(spark)
-    first = staged(buckets.filter("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b"))
-                   .distinct(), "minhash-pairs")
-    links = staged(confirmed(first, docs, similarity), "minhash-links")
+    sets = staged(full_sets(docs, buckets.select("node").distinct()), "minhash-sets")
+    release(spark)
+    first = buckets.filter("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
+    first = staged(plausible(first, nodes, similarity), "minhash-pairs")
+    links = staged(confirmed(first, sets, similarity), "minhash-links")
     release(spark)
     found = components(links)
 
     # round two: members of one bucket that are still in different components
     placed = buckets.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c"))
     open_keys = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("key")
-    open_rows = staged(placed.join(open_keys, "key", "left_semi"), "minhash-open")
-    other = open_rows.select("key", F.col("node").alias("b"), F.col("c").alias("cb"))
-    second = (open_rows.withColumnRenamed("node", "a").join(other, "key").filter("a < b AND c <> cb")
-              .select("a", "b").distinct().join(first, ["a", "b"], "left_anti"))
-    second = staged(second, "minhash-pairs")
+    open_nodes = staged(placed.join(open_keys, "key", "left_semi").select("node", "c").distinct(), "minhash-open")
+    rare = prefix_rows(sets.join(open_nodes.select("node"), "node", "left_semi"), similarity)
+    rare = rare.join(open_nodes, "node").join(nodes.groupBy("node").agg(F.max("n").alias("n")), "node")
+    split = rare.groupBy("shingle").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("shingle")
+    rare = staged(rare.join(split, "shingle", "left_semi"), "minhash-rare")
+    other = rare.select("shingle", F.col("node").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"))
+    apart = ((F.col("a") < F.col("b")) & (F.col("c") != F.col("cb"))
+             & (F.least("n", "nb") * 100 >= F.greatest("n", "nb") * similarity))
+    second = rare.withColumnRenamed("node", "a").join(other, "shingle").filter(apart).select("a", "b").distinct()
+    second = staged(plausible(second, nodes, similarity), "minhash-pairs")
+    release(spark)
     if second.take(1):
-        links = staged(confirmed(second, docs, similarity).unionAll(links), "minhash-links")
+        links = staged(confirmed(second, sets, similarity).unionAll(links), "minhash-links")
         release(spark)
         found = components(links)
     names = nodes.join(found, "node", "left").select("set_key", F.coalesce("component", "node").alias("c"))
@@ -157,4 +233,4 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Of rows that repeat the kept doc_id, one stays.  Rows without a doc_id go.
     """
     kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
+    return docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
