@@ -26,36 +26,52 @@ def customer_summary(customers: DataFrame, orders: DataFrame) -> DataFrame:
                     "primeiro_pedido", "ultimo_pedido")
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer size estimate of a plan (None when not available)."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # noqa: BLE001  (e.g. Spark Connect sessions)
-        return None
+def estimated_bytes(df: DataFrame) -> int:
+    """Optimizer size estimate of a plan in bytes."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def smart_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_mb: float = DEFAULT_BROADCAST_MB) -> DataFrame:
     """Broadcast ``small`` only when its estimated size is below ``max_mb``.
 
-    Otherwise the join is left to the planner (sort-merge, with AQE free to
-    switch to a broadcast at runtime once the real size is known).
+    Otherwise the join carries no hint: the planner shuffles, and AQE may still
+    broadcast at runtime once the real size is known.
     """
-    size = estimated_bytes(small)
-    if size is not None and size <= max_mb * 1024 * 1024:
-        return big.join(F.broadcast(small), on, how)
-    return big.join(small.hint("merge"), on, how)
+    if estimated_bytes(small) <= max_mb * 1024 * 1024:
+        small = F.broadcast(small)
+    return big.join(small, on, how)
 
 
-def salted_join(big: DataFrame, small: DataFrame, key: str, n: int = 8,
+#: Rows of one key that a task takes before the key is split.
+ROWS_PER_SALT = 1_000_000
+
+
+def hot_keys(df: DataFrame, key: str, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """Keys with more rows than a task should take, and into how many salts to split them."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > rows_per_salt)
+    return counts.select(key, F.ceil(F.col("_rows") / F.lit(rows_per_salt)).cast("int").alias("_salts"))
+
+
+def salted_join(big: DataFrame, small: DataFrame, key: str, rows_per_salt: int = ROWS_PER_SALT,
                 how: str = "inner") -> DataFrame:
-    """Spread a hot key over ``n`` tasks.
+    """Spread the measured hot keys of ``big`` over several tasks.
 
-    Each big-side row gets a deterministic salt (hash of the row, so a retried
-    task reproduces it); the small side is replicated once per salt value.
-    The result equals the plain equi-join.
+    Only keys over ``rows_per_salt`` rows get salts, as many as their size
+    asks for; the small side is repeated for those keys alone.  A big-side
+    row's salt is a hash of the row, so a retried task reproduces it.  The
+    result equals the plain equi-join for inner, left, right and full.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(n)).cast("int")
-    b = big.withColumn("_salt", salt)
-    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    return b.join(s, [key, "_salt"], how).drop("_salt")
+    if how not in ("inner", "left", "right", "full"):
+        raise ValueError(f"salted_join does not support {how!r}")
+    hot = hot_keys(big, key, rows_per_salt)      # at most rows / rows_per_salt keys
+    salts = F.coalesce("_salts", F.lit(1))
+    b = big.join(hot, key, "left").withColumn(
+        "_salt", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), salts).cast("int")).drop("_salts")
+    s = small.join(hot, key, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    out = b.join(s, [key, "_salt"], "left" if how in ("left", "full") else "inner").drop("_salt")
+    if how in ("right", "full"):                 # a small row without any big row, once
+        alone = small.join(big.select(key).distinct(), key, "left_anti")
+        out = out.unionByName(alone, allowMissingColumns=True)
+    return out

@@ -21,11 +21,6 @@ def oracle(key: str, body: str, *ctes: str, doubles: tuple[str, ...] = (),
 
 
 def load_all() -> dict[str, str]:
-    from pitchlake.oracle import q_core_sql  # noqa: F401
-    for mod in ("q_more_sql", "q_meta_sql", "q_ops_sql", "q_io_sql", "q_ml_sql", "q_stream_sql", "q_tests_sql"):
-        try:
-            __import__(f"pitchlake.oracle.{mod}")
-        except ModuleNotFoundError as e:
-            if e.name != f"pitchlake.oracle.{mod}":
-                raise
+    from pitchlake.oracle import (q_core_sql, q_io_sql, q_meta_sql, q_ml_sql, q_more_sql, q_ops_sql,  # noqa: F401
+                                  q_stream_sql, q_tests_sql)
     return ORACLE

@@ -125,7 +125,7 @@ def _(p):
     """A full overwrite replaces an earlier, different table (schema too)."""
     from pitchlake.sources.io import overwrite
     out = _scratch(p, "s14")
-    overwrite(p.t.orders.select("o_orderkey").limit(10), out)
+    overwrite(p.t.orders.select("o_orderkey", F.col("o_totalprice").alias("preco")), out)
     overwrite(p.t.orders, out)
     return p.spark.read.parquet(out)
 
@@ -138,7 +138,7 @@ def _(p):
     out = _scratch(p, "s15")
     f = p.fct_atletas_rodada.drop("_ingestao_timestamp")
     replace_partitions(f.withColumn("pontos_num", F.lit(-1.0)), out, ["rodada_id"])      # stale first load
-    last = f.agg(F.max("rodada_id")).collect()[0][0]
+    last = f.agg(F.max("rodada_id")).scalar()
     replace_partitions(f, out, ["rodada_id"])                                              # full reload
     replace_partitions(f.filter(F.col("rodada_id") >= last - 1), out, ["rodada_id"])      # idempotent re-run
     return p.spark.read.parquet(out).select("atleta_id", "rodada_id", "pontos_num", "preco_num")
@@ -157,8 +157,9 @@ def _(p):
     o_t, c_t = f"pl_orders_b_{suffix}", f"pl_customer_b_{suffix}"
     o = p.t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
     c = p.t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_name")
-    write_bucketed(o, o_t, ["o_custkey"], 8, ["o_custkey"], path=os.path.join(base, "orders"))
-    write_bucketed(c, c_t, ["o_custkey"], 8, ["o_custkey"], path=os.path.join(base, "customer"))
+    n = int(p.spark.conf.get("spark.sql.shuffle.partitions"))       # follows the cluster and the data
+    write_bucketed(o, o_t, ["o_custkey"], n, ["o_custkey"], path=os.path.join(base, "orders"))
+    write_bucketed(c, c_t, ["o_custkey"], n, ["o_custkey"], path=os.path.join(base, "customer"))
     return p.spark.table(o_t).join(p.spark.table(c_t), "o_custkey")
 
 

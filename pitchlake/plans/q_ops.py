@@ -164,10 +164,8 @@ def _(p):
 
 @query("j15_four_way_run_cost")
 def _(p):
-    runs = _runs(p)
-    jobs = runs.select("job_id", "job_name").distinct()
     cost = R.cost_by(B.usage(p.t), B.list_prices(p.t), ["job_id"])   # pre-aggregated per job
-    r = runs.join(jobs, ["job_id", "job_name"]).groupBy("job_id", "job_name").agg(
+    r = _runs(p).groupBy("job_id", "job_name").agg(
         F.countDistinct("run_id").alias("execucoes"), R.money_avg("duration_minutes").alias("minutos_medios"))
     return r.join(cost, "job_id", "left").select("job_id", "job_name", "execucoes", "minutos_medios",
                                                 F.round(F.coalesce(F.col("custo"), F.lit(0.0)), 2).alias("custo"))
@@ -189,7 +187,7 @@ def _(p):
 def _(p):
     ev = p.t.events.select("event_id", "user_id", "value")
     users = R.user_features(p.t.events, RUNS_ASOF).select("user_id", "eventos")
-    return J.salted_join(ev, users, "user_id", 8)
+    return J.salted_join(ev, users, "user_id", rows_per_salt=100)
 
 
 # ------------------------------------------------------------------ predicates / columns

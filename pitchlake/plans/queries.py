@@ -31,16 +31,23 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*cols)
 
 
-def query(key: str, digits: int | None = 6, share: bool = True):
-    """Register ``fn(p: Pipeline) -> DataFrame`` under ``key``.
-
-    ``share=True`` for plans whose shared inputs feed many branches: those
-    frames are checkpointed once (``Tables.shared``) instead of being
-    recomputed -- and their raw inputs rescanned -- per branch.
-    """
+#: Plans that would scan the raw tables more than six times (the shared inputs feed many
+#: branches); ``Tables.shared`` writes those inputs once.  All other plans are lazy scans.
+SHARED = frozenset("""
+    a09_standings_cumulative a12_coverage_by_position a13_interval_coverage a15_coverage_pivot a16_model_distribution
+    a31_model_comparison f04_binary_encode j05_opponent_lookup j07_role_playing j09_target_join j10_club_result_join
+    j12_three_way_left l00_feature_store l02_design_matrix l03_boosted_trees_a l04_boosted_trees_b l05_poisson_glm
+    l07_overdispersed_interval l09_param_search l10_feature_importance l11_batch_score l12_prediction_table
+    l13_select_model l14_ensemble_predict l15_ensemble_coverage_col l16_final_pick_table l18_backtest p02_match_result
+    p14_total_goals q11_declared_model_tests t02_top_per_position t04_top20_value u02_label_concat u03_layer_counts
+    w04_rank_in_position""".split())
+
+
+def query(key: str, digits: int | None = 6):
+    """Register ``fn(p: Pipeline) -> DataFrame`` under ``key``."""
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            df = fn(Pipeline(spark, sf_dir, share=share))
+            df = fn(Pipeline(spark, sf_dir, share=key in SHARED))
             return round_doubles(df, digits) if digits is not None else df
         BUILDERS[key] = fn
         run.__name__ = f"q_{key}"
@@ -52,11 +59,5 @@ def query(key: str, digits: int | None = 6, share: bool = True):
 
 # Importing the query modules fills the registry.
 def load_all() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from pitchlake.plans import q_core  # noqa: F401
-    for mod in ("q_more", "q_meta", "q_ops", "q_io", "q_ml", "q_stream"):
-        try:
-            __import__(f"pitchlake.plans.{mod}")
-        except ModuleNotFoundError as e:
-            if e.name != f"pitchlake.plans.{mod}":
-                raise
+    from pitchlake.plans import q_core, q_io, q_meta, q_ml, q_more, q_ops, q_stream  # noqa: F401
     return REGISTRY

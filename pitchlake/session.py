@@ -46,14 +46,18 @@ def get_session(master: str | None = None, app: str = "pitchlake",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins; a local scratch folder is created only
-    when the session has none (tests on one machine).
+    The session's setting wins, then a folder set on the context.  A local
+    scratch folder is created only on a local master (tests on one machine);
+    anywhere else a missing shared folder is an error, since executors could
+    not see each other's files.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="pitchlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d

@@ -8,6 +8,7 @@ job leaves the previous version intact.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -46,10 +47,11 @@ def replace_partitions(df: DataFrame, path: str, partition_by: list[str], fmt: s
     """Rewrite only the partitions present in ``df`` (dynamic overwrite).
 
     Idempotent per partition: re-running a round/day replaces exactly it.
-    Rows are clustered by the partition columns first so each task writes
-    few files.
+    Rows are rebalanced by the partition columns first: each task writes few
+    files, and AQE splits a partition that is larger than the advisory size
+    over several tasks.
     """
-    (df.repartition(*[F.col(c) for c in partition_by])
+    (df.hint("rebalance", *partition_by)
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .format(fmt).partitionBy(*partition_by).save(path))
 
@@ -74,7 +76,7 @@ def copy_by_partition(df: DataFrame, out: str, partition_by: list[str], fmt: str
     (no driver loop over partition values) -- then validate the copy (Q12)."""
     from pitchlake.operators.quality import validate_copy
     spark = df.sparkSession
-    df.repartition(*[F.col(c) for c in partition_by]).write.mode("overwrite") \
+    df.hint("rebalance", *partition_by).write.mode("overwrite") \
         .format(fmt).partitionBy(*partition_by).save(out)
     copy = spark.read.format(fmt).load(out)
     return validate_copy(df, copy.select(*df.columns))
@@ -83,6 +85,16 @@ def copy_by_partition(df: DataFrame, out: str, partition_by: list[str], fmt: str
 VERSION_COL = "_v"
 
 
+def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    """A parquet table, or None if its path does not exist; any other failure is raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def versions(spark: SparkSession, base: str) -> list[int]:
     """Committed versions of a versioned table (partition values of ``_v``).
 
@@ -90,9 +102,8 @@ def versions(spark: SparkSession, base: str) -> list[int]:
     cluster mounts (no local directory listing).  The list is bounded by the
     number of versions, not by the data.
     """
-    try:
-        df = spark.read.parquet(base)
-    except Exception:  # noqa: BLE001  (no table yet)
+    df = read_if_exists(spark, base)
+    if df is None:
         return []
     return sorted(r[0] for r in df.select(VERSION_COL).distinct().collect())
 
@@ -115,3 +126,45 @@ def write_version(df: DataFrame, base: str, version: int) -> None:
     """
     df.withColumn(VERSION_COL, F.lit(version)).write.mode("append") \
         .partitionBy(VERSION_COL).parquet(base)
+
+
+# ------------------------------------------------------------------ keyed tables in buckets
+BUCKET_COL = "_k"
+
+
+def key_bucket(keys: list[str], n: int):
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n)).cast("int")
+
+
+def read_buckets(spark: SparkSession, base: str) -> DataFrame | None:
+    """The newest published version of every key bucket.
+
+    ``manifest`` has a row per (bucket, version) that was published; it is
+    bounded by buckets x batches and joined as a broadcast, which prunes the
+    partitions of ``data`` that are scanned.
+    """
+    manifest = read_if_exists(spark, f"{base}/manifest")
+    if manifest is None:
+        return None
+    newest = manifest.groupBy(BUCKET_COL).agg(F.max(VERSION_COL).alias(VERSION_COL))
+    data = spark.read.parquet(f"{base}/data")
+    return data.join(F.broadcast(newest), [BUCKET_COL, VERSION_COL])
+
+
+def published(spark: SparkSession, base: str, version: int) -> bool:
+    manifest = read_if_exists(spark, f"{base}/manifest")
+    return manifest is not None and bool(manifest.filter(F.col(VERSION_COL) == version).take(1))
+
+
+def write_buckets(df: DataFrame, base: str, version: int) -> None:
+    """Write bucket versions (``df`` has ``_k``), then publish them in the manifest.
+
+    The data is overwritten partition-wise, so a replay after a failure
+    between the two steps leaves no double rows; readers see a version only
+    once its manifest rows are there.
+    """
+    out = df.withColumn(VERSION_COL, F.lit(version))
+    replace_partitions(out, f"{base}/data", [BUCKET_COL, VERSION_COL])
+    spark = df.sparkSession
+    written = spark.read.parquet(f"{base}/data").filter(F.col(VERSION_COL) == version)
+    written.select(BUCKET_COL, VERSION_COL).distinct().coalesce(1).write.mode("append").parquet(f"{base}/manifest")

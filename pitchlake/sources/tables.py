@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
@@ -18,11 +20,10 @@ class Tables:
     """Attribute access to the driver tables of one scale-factor folder.
 
     ``shared(name, build)`` memoises a derived frame that several branches of
-    one plan consume.  With ``share=True`` it is checkpointed (reliable
-    checkpoint in ``spark.checkpoint.dir``): computed once, lineage cut, and
-    every consumer reads the same files -- otherwise column pruning gives
-    each branch its own variant of the aggregate and the input is scanned
-    once per branch.
+    one plan consume.  With ``share=True`` (plans with many branches) it is
+    written once as parquet under ``spark.checkpoint.dir`` and read back, so
+    every branch scans the same files with its own columns and filters pushed
+    down.  Otherwise the frame stays lazy and prunes its inputs.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, share: bool = False):
@@ -35,9 +36,10 @@ class Tables:
         if name not in self._memo:
             df = build()
             if self.share:
-                from pitchlake.session import ensure_checkpoint_dir
-                ensure_checkpoint_dir(self.spark)      # the session's shared folder
-                df = df.checkpoint(eager=True)
+                from pitchlake.session import scratch_path
+                path = scratch_path(self.spark, f"{name}-{uuid.uuid4().hex[:12]}")
+                df.write.parquet(path)
+                df = self.spark.read.schema(df.schema).parquet(path)
             self._memo[name] = df
         return self._memo[name]
 

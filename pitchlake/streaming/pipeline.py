@@ -1,10 +1,10 @@
-"""Structured Streaming ingestion (ST1-ST5) with batch twins.
+"""Structured Streaming ingestion (ST1-ST5).
 
 Every transformation is a plain DataFrame function, so the same code runs
 on a streaming frame (``readStream``) and on a batch frame (the "batch
-twin" the oracle checks).  State is bounded by event-time watermarks;
-sinks are checkpointed and idempotent so a restarted query (lost executor,
-failed driver) resumes from its checkpoint without duplicating rows.
+twin").  No row is dropped for arriving late or out of order.  Sinks are
+checkpointed and idempotent so a restarted query (lost executor, failed
+driver) resumes from its checkpoint without duplicating rows.
 """
 
 from __future__ import annotations
@@ -49,19 +49,23 @@ SILVER_RULES = {"valor_positivo": "value > 0", "tipo_conhecido":
                 "event_type IN ('view', 'click', 'purchase', 'signup', 'error')"}
 
 
-def silver_stream(df: DataFrame, key: str = "event_id", ts: str = "ts", delay: str = "1 day",
+def silver_stream(df: DataFrame, key: str = "event_id", ts: str = "ts", delay: str | None = None,
                   rules: dict[str, str] | None = None) -> DataFrame:
     """ST2: typed, cleaned, expectation-filtered, de-duplicated by key.
 
-    ``dropDuplicatesWithinWatermark`` keeps de-duplication state only for
-    ``delay`` of event time (the pattern without a watermark grows forever).
+    Without ``delay`` de-duplication is exact for files in any order (a
+    backlog is read by modification time, not by event time): the state has
+    one entry per key, split over the shuffle partitions; on a cluster keep it
+    in the RocksDB state store.  With ``delay`` the state is bounded, and rows
+    later than ``delay`` behind the newest are dropped: only for feeds whose
+    order is known.
     """
     conds = [F.coalesce(F.expr(r), F.lit(False)) for r in (rules or SILVER_RULES).values()]
     ok = conds[0]
     for c in conds[1:]:
         ok = ok & c
     clean = df.filter(F.col(key).isNotNull() & ok).withColumn("event_type", F.lower(F.trim("event_type")))
-    if df.isStreaming:
+    if df.isStreaming and delay:
         # watermarks need a TIMESTAMP (not TIMESTAMP_NTZ) event-time column
         return (clean.withColumn("_event_time", F.col(ts).cast("timestamp"))
                 .withWatermark("_event_time", delay).dropDuplicatesWithinWatermark([key])
@@ -69,77 +73,94 @@ def silver_stream(df: DataFrame, key: str = "event_id", ts: str = "ts", delay: s
     return clean.dropDuplicates([key])
 
 
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows that the watermarks of a finished query have dropped."""
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress
+               for op in p["stateOperators"])
+
+
 # ------------------------------------------------------------------ ST3
 def stream_merge(df: DataFrame, out: str, keys: list[str], ckpt: str,
-                 order: list[str] | None = None) -> StreamingQuery:
-    """ST3: upsert every micro-batch into a versioned silver table.
-
-    Each batch is de-duplicated (M11), merged with the newest version (M01)
-    and written as version ``batch_id`` of the table (a ``_v`` partition); a
-    replayed batch id (restart after a failure) finds its version and is
-    skipped, so the sink is idempotent.  With ``order`` the merge keeps the
-    newest row per key across batches, so late files cannot overwrite
-    newer rows.
+                 order: list[str] | None = None, buckets: int = 16) -> StreamingQuery:
+    """ST3: upsert every micro-batch into a silver table of key buckets.
+
+    Each batch is de-duplicated (M11) and merged (M01) with the newest version
+    of the buckets that its keys fall in; only those buckets are written
+    again, and published in the table's manifest.  A batch id that is in the
+    manifest (replay after a restart) is skipped, so the sink is idempotent.
+    With ``order`` the newest row per key wins across batches, so late files
+    cannot overwrite newer rows.  ``buckets`` follows the size of the table.
     """
     from pitchlake.operators.windows import latest_per_key
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        done = IO.versions(spark, out)
-        if batch_id in done:                 # replayed batch after a restart
+        if IO.published(spark, out, batch_id):       # replayed batch after a restart
             return
         src = M.dedupe_source(batch, keys, order) if order else batch.dropDuplicates(keys)
-        cur = IO.read_version(spark, out, done[-1]) if done else None
-        if cur is None:
-            merged = src
-        elif order:
-            merged = latest_per_key(cur.unionByName(src), keys, order)
-        else:
-            merged = M.merge_upsert(cur, src, keys)
-        IO.write_version(merged, out, batch_id)
+        src = src.withColumn(IO.BUCKET_COL, IO.key_bucket(keys, buckets))
+        cur = IO.read_buckets(spark, out)
+        if cur is not None:
+            touched = src.select(IO.BUCKET_COL).distinct()       # at most ``buckets`` rows
+            cur = cur.drop(IO.VERSION_COL).join(F.broadcast(touched), IO.BUCKET_COL, "left_semi").select(*src.columns)
+            src = latest_per_key(cur.unionByName(src), keys, order) if order else M.merge_upsert(cur, src, keys)
+        IO.write_buckets(src, out, batch_id)
 
     return (df.writeStream.foreachBatch(upsert).option("checkpointLocation", ckpt)
             .trigger(availableNow=True).start())
 
 
-def latest_table(spark: SparkSession, out: str) -> DataFrame:
-    """The newest committed version written by :func:`stream_merge`."""
-    return IO.read_version(spark, out)
+def latest_table(spark: SparkSession, out: str) -> DataFrame | None:
+    """The table written by :func:`stream_merge` (None before the first batch)."""
+    cur = IO.read_buckets(spark, out)
+    return None if cur is None else cur.drop(IO.BUCKET_COL, IO.VERSION_COL)
 
 
 # ------------------------------------------------------------------ ST4 / ST5
-def gold_daily(df: DataFrame, ts: str = "ts", exact: bool = False, delay: str = "1 day") -> DataFrame:
-    """ST4: daily tumbling-window events, purchase revenue and distinct users.
-
-    Streams use ``approx_count_distinct`` (bounded state); the batch twin is
-    exact.
-    """
-    d = df
-    if df.isStreaming:
-        d = df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
-    users = F.countDistinct("user_id") if exact else F.approx_count_distinct("user_id")
-    g = d.groupBy(F.window(F.col(ts), "1 day").alias("w")).agg(
+def gold_daily(df: DataFrame, ts: str = "ts") -> DataFrame:
+    """ST4: daily tumbling-window events, purchase revenue and distinct users (exact)."""
+    g = df.groupBy(F.window(F.col(ts), "1 day").alias("w")).agg(
         F.count(F.lit(1)).alias("eventos"),
         F.round(F.sum(F.when(F.col("event_type") == "purchase", F.col("value")).otherwise(0.0)), 2)
         .alias("receita"),
-        users.alias("usuarios"))
+        F.countDistinct("user_id").alias("usuarios"))
     return g.select(F.col("w.start").alias("inicio"), F.col("w.end").alias("fim"),
                     "eventos", "receita", "usuarios")
 
 
-def status_buckets(df: DataFrame, ts: str = "ts", minutes: int = 15, delay: str = "1 hour") -> DataFrame:
+def status_buckets(df: DataFrame, ts: str = "ts", minutes: int = 15) -> DataFrame:
     """ST5: one history row per 15-minute capture bucket: captures and the
     last captured status in the bucket."""
-    d = df
-    if df.isStreaming:
-        d = df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
-    g = d.groupBy(F.window(F.col(ts), f"{minutes} minutes").alias("w")).agg(
+    g = df.groupBy(F.window(F.col(ts), f"{minutes} minutes").alias("w")).agg(
         F.count(F.lit(1)).alias("capturas"),
         F.max_by(F.col("event_type"), F.struct(F.col(ts), F.col("event_id"))).alias("ultimo_status"))
     return g.select(F.col("w.start").alias("inicio"), F.col("w.end").alias("fim"),
                     "capturas", "ultimo_status")
 
 
+def windowed_stream(df: DataFrame, base: str, ckpt: str, gold, ts: str = "ts") -> StreamingQuery:
+    """ST4/ST5 as a stream: late and unordered files included, nothing dropped.
+
+    A micro-batch is added to ``base/silver`` (partitioned by event day and
+    batch, so a replay overwrites its own rows), then ``gold`` is computed
+    again for the days it touches, from all their rows, and these days of
+    ``base/gold`` are replaced.  Windows lie inside a day.
+    """
+    def refresh(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        day = F.to_date(ts).cast("string")
+        IO.replace_partitions(batch.withColumn("_day", day).withColumn("_batch", F.lit(batch_id)),
+                              f"{base}/silver", ["_day", "_batch"])
+        silver = spark.read.parquet(f"{base}/silver")
+        days = silver.filter(F.col("_batch") == batch_id).select("_day").distinct()     # bounded by the calendar
+        touched = silver.join(F.broadcast(days), "_day", "left_semi").drop("_day", "_batch")
+        out = gold(touched).withColumn("_day", F.to_date("inicio").cast("string"))
+        IO.replace_partitions(out, f"{base}/gold", ["_day"])
+
+    return (df.writeStream.foreachBatch(refresh).option("checkpointLocation", ckpt)
+            .trigger(availableNow=True).start())
+
+
 # ------------------------------------------------------------------ run helpers
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder under the session's shared checkpoint directory."""

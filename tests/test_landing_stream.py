@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from pitchlake.operators.windows import latest_per_key
@@ -58,17 +59,69 @@ def test_stream_merge_restart_equals_batch(spark, tmpdir_path):
     assert sorted(r.event_id for r in got) == sorted(r.event_id for r in want)
 
 
-def test_batch_twins_on_streaming_frames(spark, tmpdir_path):
+def _unordered_drops(spark, ev, src, files):
+    """Land events in ``files`` files per day, newest day first, and one file twice."""
+    ev = ev.withColumn("dia", F.to_date("ts").cast("string"))
+    w = lambda df: df.write.mode("append").option("timestampNTZFormat", S.TS_FORMAT).partitionBy("dia").json(src)
+    for late in (False, True):
+        w(ev.filter((F.dayofmonth("ts") <= 15) == late).repartition(files))
+    w(ev.filter(F.dayofmonth("ts") == 3))
+
+
+def _stream(spark, src, n=5):
+    return (spark.readStream.schema(S.EVENT_SCHEMA + ", dia STRING").option("timestampNTZFormat", S.TS_FORMAT)
+            .option("maxFilesPerTrigger", n).json(src).drop("dia"))
+
+
+@pytest.mark.parametrize("files", [1, 4])
+def test_no_row_is_lost_whatever_the_file_order(spark, tmpdir_path, files):
+    ev = Tables(spark, SF_SMALL).events.filter("value > 0")
+    src, out = os.path.join(tmpdir_path, "landing"), os.path.join(tmpdir_path, "silver")
+    _unordered_drops(spark, ev, src, files)
+    q = (S.silver_stream(_stream(spark, src, 20)).writeStream.format("parquet").trigger(availableNow=True)
+         .option("checkpointLocation", os.path.join(tmpdir_path, "ckpt")).start(out))
+    q.awaitTermination()
+    assert S.dropped_rows(q) == 0
+    got = spark.read.parquet(out)
+    assert got.count() == ev.count() == got.select("event_id").distinct().count()
+
+
+def test_windowed_streams_equal_the_batch(spark, tmpdir_path):
     ev = Tables(spark, SF_SMALL).events
     src = os.path.join(tmpdir_path, "landing")
-    S.land_events_by_day(ev, src)
-    st = (spark.readStream.schema(S.EVENT_SCHEMA + ", dia STRING")
-          .option("timestampNTZFormat", S.TS_FORMAT).json(src))
-    q = (S.gold_daily(st).writeStream.format("memory").queryName("gold_daily_t")
-         .outputMode("update").trigger(availableNow=True).start())
-    q.awaitTermination()
-    got = spark.sql("SELECT sum(eventos) AS n FROM gold_daily_t").collect()[0].n
-    assert got >= ev.count()
+    ev.withColumn("dia", F.to_date("ts").cast("string")).repartition(3).write.option("timestampNTZFormat", S.TS_FORMAT) \
+        .partitionBy("dia").json(src)
+    for name, gold in (("daily", S.gold_daily), ("buckets", S.status_buckets)):
+        base = os.path.join(tmpdir_path, name)
+        S.windowed_stream(_stream(spark, src, 40), base, base + "-ckpt", gold).awaitTermination()
+        got, want = spark.read.parquet(base + "/gold").drop("_day"), gold(ev)
+        assert got.count() == want.count() and got.exceptAll(want.select(*got.columns)).count() == 0
+
+
+def test_merge_rewrites_only_touched_buckets(spark, tmpdir_path):
+    out = os.path.join(tmpdir_path, "t")
+    rows = lambda ids, v: spark.createDataFrame([(i, v) for i in ids], "id long, v int")
+    tag = lambda df: df.withColumn(IO.BUCKET_COL, IO.key_bucket(["id"], 8))
+    assert S.latest_table(spark, out) is None
+    IO.write_buckets(tag(rows(range(100), 0)), out, 0)
+    one = tag(rows(range(100), 1)).filter("_k = 3")
+    IO.write_buckets(one, out, 1)
+    IO.write_buckets(one, out, 1)                      # a replay that failed before it was published
+    assert IO.published(spark, out, 1) and not IO.published(spark, out, 2)
+    got = S.latest_table(spark, out)
+    assert got.count() == 100 and got.filter("v = 1").count() == one.count() > 0
+    files = spark.read.parquet(out + "/data").filter("_v = 1").select("_k").distinct().collect()
+    assert [r["_k"] for r in files] == [3]
+
+
+def test_only_a_missing_path_is_no_table(spark, tmpdir_path):
+    assert IO.versions(spark, os.path.join(tmpdir_path, "none")) == []
+    bad = os.path.join(tmpdir_path, "bad")
+    os.makedirs(bad)
+    with open(os.path.join(bad, "part-0.parquet"), "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception):
+        IO.versions(spark, bad)
 
 
 def test_derbies_are_a_window_not_all_pairs(spark):
