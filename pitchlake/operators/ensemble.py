@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from itertools import chain
 
+from statistics import NormalDist
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -202,49 +204,69 @@ def top_per_group(df: DataFrame, group: str, order: list[Column], n: int) -> Dat
 
 
 # ------------------------------------------------------------------ L06 / L07
-def poisson_quantiles(mu: DataFrame, col: str = "mu", probs=(0.10, 0.90)) -> DataFrame:
-    """Smallest k with Poisson(max(mu, 0.01)) CDF >= p, for each distinct mu.
+#: Up to this mean the CDF is summed term by term; above it the quantile is a
+#: Cornish-Fisher expansion, which is then within one unit of the exact value.
+EXACT_MEAN = 600.0
 
-    k runs over ``sequence(0, K)`` with K = ceil(mu + 10 sqrt(mu) + 10), far
-    above the 0.9 quantile, so the search is exact.  log pmf(k) =
-    -mu + k ln mu - ln k!, with ln k! as a running sum of ln j (Spark SQL has
-    no lgamma); the CDF is a running sum of the pmf.  Work is per distinct
-    mu value, which is then joined back by the caller.
-    """
-    d = mu.select(F.col(col).alias("mu")).distinct() \
-        .withColumn("_m", F.greatest(F.col("mu"), F.lit(0.01)))
-    k = d.select("mu", "_m", F.explode(F.sequence(
-        F.lit(0), F.ceil(F.col("_m") + 10 * F.sqrt(F.col("_m")) + 10).cast("int"))).alias("k"))
-    w = Window.partitionBy("mu").orderBy("k")
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    k = k.withColumn("_lnfact", F.sum(F.when(F.col("k") > 0, F.log(F.col("k"))).otherwise(0.0)).over(run))
-    k = k.withColumn("_pmf", F.exp(-F.col("_m") + F.col("k") * F.log(F.col("_m")) - F.col("_lnfact")))
-    k = k.withColumn("_cdf", F.sum("_pmf").over(run))
-    return k.groupBy("mu").agg(*[
-        F.min(F.when(F.col("_cdf") >= p, F.col("k"))).alias(f"q{int(round(p * 100)):02d}") for p in probs])
-
-
-def negbin_quantiles(params: DataFrame, probs=(0.10, 0.90)) -> DataFrame:
-    """Quantiles of a negative binomial with mean ``mu`` and size ``r``.
-
-    pmf(k) = C(k+r-1, k) p^r (1-p)^k with p = r/(r+mu); the log binomial
-    coefficient is a running sum of ln(r+j) - ln(j+1).  Same exact search as
-    :func:`poisson_quantiles`, per distinct (mu, r).
+
+def _count_below(first: Column, ratio, last: Column, probs) -> list[Column]:
+    """Per probability the number of k in 0..last with CDF(k) < p, in one pass.
+
+    ``first`` is pmf(0) and ``ratio(k)`` is pmf(k) / pmf(k - 1).  The search is
+    an ``aggregate`` over a bounded sequence inside the row: no shuffle.
     """
-    d = params.select("mu", "r").distinct() \
-        .withColumn("_m", F.greatest(F.col("mu"), F.lit(0.01)))
-    var = F.col("_m") + F.col("_m") * F.col("_m") / F.col("r")
-    k = d.select("mu", "r", "_m", F.explode(F.sequence(
-        F.lit(0), F.ceil(F.col("_m") + 12 * F.sqrt(var) + 10).cast("int"))).alias("k"))
-    w = Window.partitionBy("mu", "r").orderBy("k")
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    step = F.when(F.col("k") > 0, F.log(F.col("r") + F.col("k") - 1) - F.log(F.col("k"))).otherwise(0.0)
-    k = k.withColumn("_lc", F.sum(step).over(run))
-    p = F.col("r") / (F.col("r") + F.col("_m"))
-    k = k.withColumn("_pmf", F.exp(F.col("_lc") + F.col("r") * F.log(p) + F.col("k") * F.log(1 - p)))
-    k = k.withColumn("_cdf", F.sum("_pmf").over(run))
-    return k.groupBy("mu", "r").agg(*[
-        F.min(F.when(F.col("_cdf") >= q, F.col("k"))).alias(f"q{int(round(q * 100)):02d}") for q in probs])
+    def state(pmf, cdf, counts):
+        return F.struct(pmf.alias("pmf"), cdf.alias("cdf"), *[n.alias(f"n{i}") for i, n in enumerate(counts)])
+
+    def below(cdf, p):
+        return (cdf < F.lit(p)).cast("long")
+
+    def step(acc, k):
+        pmf = acc["pmf"] * ratio(k)
+        cdf = acc["cdf"] + pmf
+        return state(pmf, cdf, [acc[f"n{i}"] + below(cdf, p) for i, p in enumerate(probs)])
+
+    found = F.aggregate(F.sequence(F.lit(1), last.cast("int")), state(first, first, [below(first, p) for p in probs]), step)
+    return [found[f"n{i}"] for i in range(len(probs))]
+
+
+def _expansion(mean: Column, var: Column, skew: Column, p: float) -> Column:
+    z = NormalDist().inv_cdf(p)
+    return F.round(mean + z * F.sqrt(var) + (z * z - 1) / 6 * skew * F.sqrt(var)).cast("long")
+
+
+def poisson_quantile(mu: Column, probs=(0.10, 0.90)) -> list[Column]:
+    """Smallest k with Poisson(max(mu, 0.01)) CDF >= p, per row."""
+    m = F.greatest(mu, F.lit(0.01))
+    small = F.least(m, F.lit(EXACT_MEAN))
+    exact = _count_below(F.exp(-small), lambda k: small / k, F.ceil(small + 10 * F.sqrt(small) + 10), probs)
+    return [F.when(m <= EXACT_MEAN, q).otherwise(_expansion(m, m, 1 / F.sqrt(m), p)) for q, p in zip(exact, probs, strict=True)]
+
+
+def negbin_quantile(mu: Column, r: Column, probs=(0.10, 0.90)) -> list[Column]:
+    """Smallest k whose negative-binomial CDF (mean mu, size r) reaches p, per row."""
+    m = F.greatest(mu, F.lit(0.01))
+    small = F.least(m, F.lit(EXACT_MEAN))
+    var, q = small + small * small / r, small / (r + small)
+    exact = _count_below(F.exp(r * F.log(r / (r + small))), lambda k: (r + k - 1) / k * q, F.ceil(small + 12 * F.sqrt(var) + 10), probs)
+    full = m + m * m / r
+    skew = (1 + 2 * m / r) / F.sqrt(full)
+    return [F.when(m <= EXACT_MEAN, x).otherwise(_expansion(m, full, skew, p)) for x, p in zip(exact, probs, strict=True)]
+
+
+def _names(probs) -> list[str]:
+    return [f"q{int(round(p * 100)):02d}" for p in probs]
+
+
+def poisson_quantiles(mu: DataFrame, col: str = "mu", probs=(0.10, 0.90)) -> DataFrame:
+    """L06 as a table: the quantiles of every distinct mean."""
+    d = mu.select(F.col(col).alias("mu")).distinct()
+    return with_poisson_interval(d, "mu", probs)
+
+
+def with_poisson_interval(df: DataFrame, col: str, probs=(0.10, 0.90)) -> DataFrame:
+    """Add the quantiles q10, q90 of a mean in the row."""
+    return df.withColumns(dict(zip(_names(probs), poisson_quantile(F.col(col), probs), strict=True)))
 
 
 # ------------------------------------------------------------------ L17 / L18

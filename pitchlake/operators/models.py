@@ -11,11 +11,12 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline as MLPipeline
 from pyspark.ml.feature import StringIndexer, VectorAssembler, VectorIndexer
-from pyspark.ml.regression import (GBTRegressor, GeneralizedLinearRegression,
-                                   RandomForestRegressor)
+from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pitchlake.operators.ensemble import time_folds
+
 # ----------------------------------------------------------------------------
 # The model inputs of the reference notebooks (13 numeric
 # features, the home flag and the derby flag).
@@ -58,21 +59,64 @@ def fit_gbt(train: DataFrame, **params):
     return gbt(**params).fit(assemble(train))
 
 
-def fit_gbt_categorical(train: DataFrame, num_trees: int = 40, max_depth: int = 6):
-    """Second booster with native categoricals (position, side, derby):
+CATEGORIES = ("posicao_id", "mando_campo", "classico")
+
+
+def _with_categories(df: DataFrame) -> DataFrame:
+    return df.withColumn("mando_campo", F.coalesce("mando_campo", F.lit("sem_jogo")))
+
+
+def fit_gbt_categorical(train: DataFrame, max_iter: int = 30, max_depth: int = 5):
+    """Second booster, with native categoricals (position, side, derby):
     indexed with ``handleInvalid='keep'`` (unseen level -> extra index) and
-    marked categorical by ``VectorIndexer``; a random forest gives the
-    ensemble a differently-biased member."""
-    cat_in = ["posicao_id", "mando_campo", "classico"]
-    idx = StringIndexer(inputCols=cat_in,
-                        outputCols=[f"{c}_idx" for c in cat_in], handleInvalid="keep",
-                        stringOrderType="alphabetAsc")
+    marked categorical by ``VectorIndexer``; row sampling per tree makes it a
+    differently-biased member of the ensemble."""
+    idx = StringIndexer(inputCols=list(CATEGORIES), outputCols=[f"{c}_idx" for c in CATEGORIES],
+                        handleInvalid="keep", stringOrderType="alphabetAsc")
     nums = [c for c in NUMERIC_FEATURES if c != "posicao_id"]
-    va = VectorAssembler(inputCols=nums + [f"{c}_idx" for c in cat_in], outputCol="raw", handleInvalid="keep")
+    va = VectorAssembler(inputCols=nums + [f"{c}_idx" for c in CATEGORIES], outputCol="raw", handleInvalid="keep")
     vi = VectorIndexer(inputCol="raw", outputCol="features", maxCategories=8, handleInvalid="keep")
-    rf = RandomForestRegressor(featuresCol="features", labelCol=TARGET, numTrees=num_trees,
-                               maxDepth=max_depth, seed=SEED)
-    return MLPipeline(stages=[idx, va, vi, rf]).fit(train.withColumn("mando_campo", F.coalesce("mando_campo", F.lit("sem_jogo"))))
+    booster = GBTRegressor(featuresCol="features", labelCol=TARGET, maxIter=max_iter, maxDepth=max_depth,
+                           stepSize=0.1, subsamplingRate=0.7, seed=SEED)
+    return MLPipeline(stages=[idx, va, vi, booster]).fit(_with_categories(train))
+
+
+def score_categorical(model, df: DataFrame, name: str = "lightgbm") -> DataFrame:
+    return model.transform(_with_categories(df)).select(
+        "atleta_id", "rodada_alvo", F.greatest(F.col("prediction"), F.lit(0.0)).alias("pontuacao_prevista"),
+        F.lit(name).alias("modelo"))
+
+
+def score_poisson(fitted, df: DataFrame, name: str = "poisson") -> DataFrame:
+    model, priors = fitted
+    return score(model, assemble(poisson_inputs(df, priors), POISSON_COLS), name=name)
+
+
+def predict_all(train: DataFrame, rows: DataFrame, max_iter: int = 30) -> DataFrame:
+    """L03 + L04 + L05 fitted on ``train``, their predictions of ``rows`` stacked."""
+    a = score(fit_gbt(train, max_iter=max_iter, max_depth=4), rows, name="xgboost")
+    b = score_categorical(fit_gbt_categorical(train, max_iter=max_iter), rows)
+    return a.unionByName(b).unionByName(score_poisson(fit_poisson(train), rows))
+
+
+def out_of_fold(matrix: DataFrame, n_splits: int = 2, max_iter: int = 30) -> DataFrame:
+    """Every model's predictions of rounds that it was not fitted on.
+
+    Past rounds are predicted by fits on the earlier rounds of expanding folds
+    (L08), rows without a target by fits on all past rounds.  The loop runs
+    over folds, a handful; every fit and score is a distributed job.
+    """
+    train, rows = split(matrix)
+    folds = time_folds(train, "rodada_alvo", n_splits)
+    rounds = {}
+    for r in folds.collect():                       # one row per fold, round and role
+        rounds.setdefault(r["fold"], {}).setdefault(r["papel"], []).append(r["rodada_alvo"])
+    out = predict_all(train, rows, max_iter)
+    for f in sorted(rounds):
+        past = train.filter(F.col("rodada_alvo").isin(rounds[f].get("train", [])))
+        test = train.filter(F.col("rodada_alvo").isin(rounds[f].get("test", [])))
+        out = out.unionByName(predict_all(past, test, max_iter))
+    return out
 
 
 def position_priors(train: DataFrame) -> DataFrame:

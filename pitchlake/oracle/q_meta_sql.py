@@ -109,8 +109,8 @@ JOIN cl c ON a.clube_id = c.clube_id""", "ens", "metricas_atleta", "positions_se
 def pq_sql(src: str) -> str:
     """Poisson 10 % / 90 % quantiles for each distinct mu of ``src``."""
     return f"""
-SELECT mu, CAST(min(CASE WHEN cdf >= 0.1 THEN k END) AS INTEGER) AS q10,
-       CAST(min(CASE WHEN cdf >= 0.9 THEN k END) AS INTEGER) AS q90
+SELECT mu, CAST(min(CASE WHEN cdf >= 0.1 THEN k END) AS BIGINT) AS q10,
+       CAST(min(CASE WHEN cdf >= 0.9 THEN k END) AS BIGINT) AS q90
 FROM (SELECT mu, k, sum(exp(-m + k * ln(m) - lgamma(k + 1))) OVER (
              PARTITION BY mu ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cdf
       FROM (SELECT mu, m, unnest(generate_series(0, CAST(ceil(m + 10 * sqrt(m) + 10) AS BIGINT))) AS k
@@ -165,7 +165,7 @@ oracle("j11_history_inner", "SELECT * FROM hist", "hist", doubles=HIST_D)
 
 oracle("u02_label_concat", """
 SELECT atleta_id, rodada_alvo, pontuacao_prevista, 'xgboost' AS modelo,
-       CAST(NULL AS INTEGER) AS intervalo_credibilidade_inferior, CAST(NULL AS INTEGER) AS intervalo_credibilidade_superior
+       CAST(NULL AS BIGINT) AS intervalo_credibilidade_inferior, CAST(NULL AS BIGINT) AS intervalo_credibilidade_superior
 FROM mp WHERE modelo = 'xgboost'
 UNION ALL
 SELECT atleta_id, rodada_alvo, pontuacao_prevista, 'lightgbm', NULL, NULL FROM mp WHERE modelo = 'lightgbm'
@@ -231,8 +231,8 @@ FROM l07_x x JOIN l07_q q ON x.mu = q.mu AND x.r = q.r""", "mp_real", "mp", extr
                          FROM mp_real GROUP BY posicao_id)"""),
     ("l07_x", """SELECT p.atleta_id, p.rodada_alvo, p.pontuacao_prevista + 10.0 AS mu, m.r
                  FROM (SELECT * FROM mp WHERE modelo = 'poisson') p JOIN l07_mom m ON p.posicao_id = m.posicao_id"""),
-    ("l07_q", """SELECT mu, r, CAST(min(CASE WHEN cdf >= 0.1 THEN k END) AS INTEGER) AS q10,
-                        CAST(min(CASE WHEN cdf >= 0.9 THEN k END) AS INTEGER) AS q90
+    ("l07_q", """SELECT mu, r, CAST(min(CASE WHEN cdf >= 0.1 THEN k END) AS BIGINT) AS q10,
+                        CAST(min(CASE WHEN cdf >= 0.9 THEN k END) AS BIGINT) AS q90
                  FROM (SELECT mu, r, k, sum(exp(lgamma(k + r) - lgamma(r) - lgamma(k + 1) + r * ln(r / (r + m))
                                               + k * ln(1 - r / (r + m)))) OVER (
                               PARTITION BY mu, r ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cdf

@@ -29,6 +29,10 @@ class Pipeline:
         self.sf_dir = sf_dir
         self.t = Tables(spark, sf_dir, share=share)
 
+    def trained(self) -> "TrainedPipeline":
+        """The same DAG on fitted models; shared tables are written."""
+        return TrainedPipeline(self.spark, self.sf_dir, share=True)
+
     # ------------------------------------------------------------ bronze
     @cached_property
     def raw_atletas_mercado(self) -> DataFrame:
@@ -158,6 +162,36 @@ class Pipeline:
                                self.dim_clubes)
 
 
+class TrainedPipeline(Pipeline):
+    """The DAG whose history, selection, ensemble and picks come from fitted models.
+
+    Predictions are out of fold and in the unit of the realised scores.  The
+    design matrix and the predictions are written once; fits read them.
+    """
+
+    n_splits = 2
+
+    @cached_property
+    def predictions(self) -> DataFrame:
+        from pitchlake.operators import models as MD
+        matrix = self.t.shared("design_matrix", lambda: MD.design_matrix(self.training_features))
+        out = self.t.shared("trained_predictions", lambda: MD.out_of_fold(matrix, self.n_splits))
+        return out.withColumn("pontuacao_prevista", F.col("pontuacao_prevista") / B.PREDICTION_SCALE)
+
+    @cached_property
+    def mp_long(self) -> DataFrame:
+        real = self.training_features.select("atleta_id", "rodada_alvo", "posicao_id",
+                                             (F.col("pontuacao_real") / B.PREDICTION_SCALE).alias("pontuacao_real"))
+        return real.join(self.predictions, ["atleta_id", "rodada_alvo"]).select(
+            "atleta_id", "rodada_alvo", "posicao_id", "pontuacao_real", "modelo", "pontuacao_prevista")
+
+    @cached_property
+    def mp_wide(self) -> DataFrame:
+        keys = ["atleta_id", "rodada_alvo", "posicao_id", "pontuacao_real"]
+        wide = self.mp_long.groupBy(*keys).pivot("modelo", list(B.MODEL_NAMES)).agg(F.first("pontuacao_prevista"))
+        return wide.select(*keys, *[F.col(m).alias(f"p_{m}") for m in B.MODEL_NAMES])
+
+
 def club_round_metrics(fact: DataFrame, matches: DataFrame, table: DataFrame) -> DataFrame:
     """Club fantasy metrics (A07) + round result + table row, by (club, round).
 

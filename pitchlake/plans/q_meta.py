@@ -20,8 +20,7 @@ def _(p):
 def _(p):
     """The three model tables stacked; only poisson carries intervals."""
     poi = p.model_table("poisson")
-    q = EN.poisson_quantiles(poi.select(F.col("pontuacao_prevista").alias("mu")))
-    poi = poi.join(q, poi.pontuacao_prevista == q.mu, "left").drop("mu") \
+    poi = EN.with_poisson_interval(poi, "pontuacao_prevista") \
         .withColumnRenamed("q10", "intervalo_credibilidade_inferior") \
         .withColumnRenamed("q90", "intervalo_credibilidade_superior")
     return EN.stack_models({"xgboost": p.model_table("xgboost"),
@@ -49,8 +48,7 @@ def _(p):
 @query("a13_interval_coverage")
 def _(p):
     h = p.history.filter(F.col("modelo") == "poisson")
-    q = EN.poisson_quantiles(h.select(F.col("pontuacao_prevista").alias("mu")))
-    j = h.join(q, h.pontuacao_prevista == q.mu)
+    j = EN.with_poisson_interval(h, "pontuacao_prevista")
     inside = (F.col("pontuacao_real") >= F.col("q10")) & (F.col("pontuacao_real") <= F.col("q90"))
     return j.agg(F.avg(F.when(inside, 1.0).otherwise(0.0)).alias("coverage_intervalo"),
                  F.count(F.lit(1)).alias("n"))
@@ -122,10 +120,9 @@ def _(p):
     poi = p.mp_long.filter(F.col("modelo") == "poisson").select(
         "atleta_id", "rodada_alvo", "posicao_id", (F.col("pontuacao_prevista") + NB_OFFSET).alias("mu"))
     x = poi.join(F.broadcast(mom), "posicao_id")      # one row per position
-    q = EN.negbin_quantiles(x.select("mu", "r"))
-    return x.join(q, ["mu", "r"]).select(
-        "atleta_id", "rodada_alvo", (F.col("q10") - NB_OFFSET).alias("limite_inferior"),
-        (F.col("q90") - NB_OFFSET).alias("limite_superior"))
+    low, high = EN.negbin_quantile(F.col("mu"), F.col("r"))
+    return x.select("atleta_id", "rodada_alvo", (low - NB_OFFSET).alias("limite_inferior"),
+                    (high - NB_OFFSET).alias("limite_superior"))
 
 
 @query("l08_time_folds")

@@ -28,11 +28,7 @@ def _(p):
 @query("l04_boosted_trees_b")
 def _(p):
     train, rows = MD.split(_dm(p))
-    model = MD.fit_gbt_categorical(train)
-    out = model.transform(rows.withColumn("mando_campo", F.coalesce("mando_campo", F.lit("sem_jogo"))))
-    return out.select("atleta_id", "rodada_alvo",
-                      F.greatest(F.col("prediction"), F.lit(0.0)).alias("pontuacao_prevista"),
-                      F.lit("lightgbm").alias("modelo"))
+    return MD.score_categorical(MD.fit_gbt_categorical(train), rows)
 
 
 @query("l05_poisson_glm")
@@ -43,8 +39,7 @@ def _(p):
     x = MD.assemble(MD.poisson_inputs(rows, priors), MD.POISSON_COLS)
     pred = model.transform(x).select("atleta_id", "rodada_alvo",
                                      F.greatest(F.col("prediction"), F.lit(0.0)).alias("pontuacao_prevista"))
-    q = EN.poisson_quantiles(pred.select(F.col("pontuacao_prevista").alias("mu")))
-    return pred.join(q, pred.pontuacao_prevista == q.mu, "left").select(
+    return EN.with_poisson_interval(pred, "pontuacao_prevista").select(
         "atleta_id", "rodada_alvo", "pontuacao_prevista",
         F.col("q10").alias("intervalo_credibilidade_inferior"),
         F.col("q90").alias("intervalo_credibilidade_superior"))
@@ -70,3 +65,21 @@ def _(p):
     train, _ = MD.split(_dm(p))
     model = MD.fit_gbt(train, max_iter=30, max_depth=4)
     return MD.score(model, _dm(p), name="xgboost")
+
+
+@query("a14_error_metrics_trained")
+def _(p):
+    """A14 on the out-of-fold history of the fitted models L03-L05."""
+    return EN.error_metrics(p.trained().history)
+
+
+@query("l13_select_model_trained")
+def _(p):
+    """L13 fed by the fitted models."""
+    return p.trained().selection
+
+
+@query("l16_final_pick_table_trained")
+def _(p):
+    """L16 fed by the fitted models."""
+    return p.trained().previsao_final_ranked

@@ -18,7 +18,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-from pitchlake.plans.pipeline import Pipeline
+from pitchlake.plans.pipeline import Pipeline, TrainedPipeline
 from pitchlake.session import scratch_path
 from pitchlake.sources import io as IO
 
@@ -49,10 +49,15 @@ LAYERS = (
 )
 
 
-def run_dag(spark: SparkSession, sf_dir: str, out: str | None = None) -> dict[str, str]:
-    """Materialise every layer; returns {layer: path}."""
+def run_dag(spark: SparkSession, sf_dir: str, out: str | None = None, trained: bool = True) -> dict[str, str]:
+    """Materialise every layer; returns {layer: path}.
+
+    With ``trained`` the models are fitted, and history, selection, ensemble
+    and picks come from their out-of-fold predictions; otherwise from the
+    deterministic rolling-mean baselines.
+    """
     out = out or scratch_path(spark, f"dag-{uuid.uuid4().hex[:12]}")
-    p = Pipeline(spark, sf_dir)
+    p = (TrainedPipeline if trained else Pipeline)(spark, sf_dir)
     paths = {}
     for name, parts in LAYERS:
         df = getattr(p, name)

@@ -22,8 +22,7 @@ def test_boosters_and_glm_score_every_row(spark):
     n = rows.count()
     a = MD.score(MD.fit_gbt(train, max_iter=5, max_depth=3), rows, name="xgboost")
     assert a.count() == n and a.filter("pontuacao_prevista < 0").count() == 0
-    rf = MD.fit_gbt_categorical(train, num_trees=5, max_depth=4)
-    b = rf.transform(rows.withColumn("mando_campo", F.coalesce("mando_campo", F.lit("sem_jogo"))))
+    b = MD.score_categorical(MD.fit_gbt_categorical(train, max_iter=5, max_depth=4), rows)
     assert b.count() == n
     glm, priors = MD.fit_poisson(train)
     x = MD.assemble(MD.poisson_inputs(rows, priors), MD.POISSON_COLS)
@@ -35,3 +34,39 @@ def test_grid_search_over_time_folds(spark):
     train, _ = MD.split(dm)
     res = MD.grid_search(train, EN.time_folds(train, "rodada_alvo", 2), [{"max_iter": 3, "max_depth": 2}]).collect()
     assert len(res) == 1 and res[0].folds == 2 and res[0].rmse_medio > 0
+
+
+def test_second_booster_boosts(spark):
+    from pyspark.ml.regression import GBTRegressionModel
+    dm = MD.design_matrix(Pipeline(spark, SF_SMALL).training_features)
+    model = MD.fit_gbt_categorical(MD.split(dm)[0], max_iter=3, max_depth=3)
+    assert isinstance(model.stages[-1], GBTRegressionModel) and model.stages[-1].getNumTrees == 3
+
+
+def test_dag_picks_come_from_fitted_models(spark, tmpdir_path, monkeypatch):
+    import os
+    from pitchlake.plans import pipeline as P
+    from pitchlake.plans.run import run_dag
+    calls = []
+    real = MD.predict_all
+    monkeypatch.setattr(MD, "predict_all", lambda train, rows, max_iter=30: calls.append(1) or real(train, rows, 4))
+    monkeypatch.setattr(P.TrainedPipeline, "n_splits", 1)
+    paths = run_dag(spark, SF_SMALL, os.path.join(tmpdir_path, "dag"))
+    assert len(calls) == 2                                # one fold and the rows to predict
+    hist, picks = (spark.read.parquet(paths[n]) for n in ("history", "previsao_final_ranked"))
+    assert {r.modelo for r in hist.select("modelo").distinct().collect()} == {"xgboost", "lightgbm", "poisson"}
+    assert picks.count() > 0 and hist.filter("pontuacao_prevista < 0").count() == 0
+    base = P.Pipeline(spark, SF_SMALL).mp_long
+    same = hist.join(base, ["atleta_id", "rodada_alvo", "modelo", "pontuacao_prevista"])
+    assert same.count() < 0.2 * hist.count()             # not the rolling means
+
+
+def test_intervals_without_a_shuffle(spark):
+    df = spark.createDataFrame([(3.0, 5.0), (3e9, 5.0), (590.0, 2.0), (610.0, 2.0), (0.0, 1.0)], "mu double, r double")
+    q = EN.with_poisson_interval(df, "mu")
+    assert "Exchange" not in q._jdf.queryExecution().executedPlan().toString()
+    rows = {r.mu: (r.q10, r.q90) for r in q.collect()}
+    assert rows[3.0] == (1, 5) and abs(rows[3e9][0] - (3e9 - 1.2815516 * 3e9 ** 0.5)) < 2
+    assert rows[590.0] == (559, 621) and rows[610.0][0] - rows[590.0][0] in (19, 20)
+    low, high = EN.negbin_quantile(F.col("mu"), F.col("r"))
+    assert all(r[0] <= r[1] for r in df.select(low, high).collect())
