@@ -17,11 +17,11 @@ FROM (SELECT CAST(dayofmonth(ts) AS INTEGER) AS r, max(ts) AS last, count(*) AS
       FROM events GROUP BY CAST(dayofmonth(ts) AS INTEGER))""")
 
 oracle("s02_land_athletes", """
-SELECT atleta_id, nome, apelido, foto, clube_id, posicao_id, status_id, rodada_id, pontos_num, media_num,
+SELECT atleta_id, nome, apelido, left(apelido, 4) AS apelido_abreviado, lower(apelido) AS slug, foto, clube_id, posicao_id, status_id, rodada_id, pontos_num, media_num,
        preco_num, variacao_num, jogos_num, entrou_em_campo, scout_json, _rodada_captura
 FROM market""", "market", doubles=("pontos_num", "media_num", "preco_num", "variacao_num"))
 
-oracle("s03_land_scored", "SELECT * FROM scored", "scored", doubles=("pontuacao",))
+oracle("s03_land_scored", "SELECT *, 'A' || CAST(atleta_id AS VARCHAR) AS apelido FROM scored", "scored", doubles=("pontuacao",))
 
 oracle("s04_land_matches", f"""
 SELECT partida_id, rodada_id, clube_casa_id, clube_visitante_id,

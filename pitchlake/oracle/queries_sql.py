@@ -23,4 +23,5 @@ def oracle(key: str, body: str, *ctes: str, doubles: tuple[str, ...] = (),
 def load_all() -> dict[str, str]:
     from pitchlake.oracle import (q_core_sql, q_io_sql, q_meta_sql, q_ml_sql, q_more_sql, q_ops_sql,  # noqa: F401
                                   q_stream_sql, q_tests_sql)
+    from pitchlake.oracle import q_bronze_sql  # noqa: F401  (on top of q_io_sql)
     return ORACLE

@@ -19,7 +19,7 @@ def _(p):
 
 @query("s02_land_athletes")
 def _(p):
-    return L.explode_athletes(B.landed_athletes(p.t))
+    return L.explode_athletes(B.landed_athletes(p.t)).drop("_raw_json")
 
 
 @query("s03_land_scored")

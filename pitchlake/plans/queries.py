@@ -59,5 +59,5 @@ def query(key: str, digits: int | None = 6):
 
 # Importing the query modules fills the registry.
 def load_all() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from pitchlake.plans import q_core, q_io, q_meta, q_ml, q_more, q_ops, q_stream  # noqa: F401
+    from pitchlake.plans import q_bronze, q_core, q_io, q_meta, q_ml, q_more, q_ops, q_stream  # noqa: F401
     return REGISTRY

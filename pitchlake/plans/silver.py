@@ -18,13 +18,31 @@ STAGING_RENAMES = {
     "atletas_mercado": {"foto": "foto_url"},
     "atletas_pontuados": {"_rodada_id": "rodada_id"},
     "partidas": {"local": "estadio"},
+    "pos_rodada_destaques": {"mito_nome_time": "mito_nome_cartola"},
 }
 STAGING_COLUMNS = {
-    "atletas_mercado": ("atleta_id", "nome", "apelido", "foto_url", "clube_id",
+    "atletas_mercado": ("atleta_id", "nome", "apelido", "apelido_abreviado", "slug", "foto_url", "clube_id",
                         "posicao_id", "status_id", "rodada_id", "pontos_num",
                         "media_num", "preco_num", "variacao_num", "jogos_num",
                         "entrou_em_campo", "scout_json", "_rodada_captura",
                         "_ingestao_timestamp", "_batch_id"),
+    "atletas_pontuados": ("atleta_id", "apelido", "clube_id", "posicao_id", "pontuacao", "scout_json",
+                          "entrou_em_campo", "rodada_id", "_ingestao_timestamp", "_batch_id"),
+    "clubes": ("clube_id", "nome", "abreviacao", "slug", "apelido", "nome_fantasia", "url_editoria",
+               "escudo_60x60", "escudo_45x45", "escudo_30x30", "_ingestao_timestamp", "_batch_id"),
+    "ligas": ("liga_id", "slug", "nome", "descricao", "tipo", "imagem", "criacao", "quantidade_times",
+              "vagas_restantes", "mata_mata", "sem_capitao", "_ingestao_timestamp", "_batch_id"),
+    "mercado_status": ("rodada_atual", "status_mercado", "temporada", "game_over", "times_escalados",
+                       "mercado_pos_rodada", "bola_rolando", "nome_rodada", "rodada_final", "cartoleta_inicial",
+                       "esquema_default_id", "fechamento_dia", "fechamento_mes", "fechamento_ano", "fechamento_hora",
+                       "fechamento_minuto", "fechamento_timestamp", "_ingestao_timestamp", "_batch_id"),
+    "partidas": ("partida_id", "rodada_id", "clube_casa_id", "clube_visitante_id", "clube_casa_posicao",
+                 "clube_visitante_posicao", "placar_oficial_mandante", "placar_oficial_visitante", "partida_data",
+                 "timestamp_partida", "estadio", "valida", "campeonato_id", "aproveitamento_mandante",
+                 "aproveitamento_visitante", "_ingestao_timestamp", "_batch_id"),
+    "pos_rodada_destaques": ("rodada_id", "mito_time_id", "mito_nome", "mito_nome_cartola", "mito_slug",
+                             "mito_clube_id", "media_cartoletas", "media_pontos", "_ingestao_timestamp", "_batch_id"),
+    "rodadas": ("rodada_id", "nome_rodada", "inicio", "fim", "_ingestao_timestamp", "_batch_id"),
 }
 
 
@@ -116,7 +134,18 @@ def dim_rodadas(rounds: DataFrame, status: DataFrame) -> DataFrame:
 
 
 def fct_mercado_status(status: DataFrame) -> DataFrame:
-    """Market-status fact: decoded status (P04) per capture."""
+    """Market-status fact: decoded status (P04) per capture, closing time and capture time."""
+    extra = []
+    if "fechamento_timestamp" in status.columns:
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        extra.append(F.timestamp_add("SECOND", F.col("fechamento_timestamp"), epoch).alias("fechamento_datetime"))
+    if "_ingestao_timestamp" in status.columns:
+        extra.append(F.col("_ingestao_timestamp").alias("captura_timestamp"))
     return status.select("rodada_atual", "status_mercado",
                          X.decode_market_status(F.col("status_mercado")).alias("status_descricao"),
-                         "temporada", "game_over", "times_escalados", "bola_rolando", "mercado_pos_rodada")
+                         "temporada", "game_over", "times_escalados", "bola_rolando", "mercado_pos_rodada", *extra)
+
+
+def fct_destaques_rodada(highlights: DataFrame) -> DataFrame:
+    """Highlights fact: the round's best team and averages, one row per round."""
+    return highlights.drop("_batch_id")

@@ -403,7 +403,8 @@ def landed_status(t: Tables) -> DataFrame:
 def landed_athletes(t: Tables) -> DataFrame:
     """S02 payloads: ``{"atletas": [...]}`` per (round, page of athletes)."""
     m = market_athletes(t)
-    item = F.struct("atleta_id", "nome", "apelido", "foto", "clube_id", "posicao_id", "status_id",
+    item = F.struct("atleta_id", "nome", "apelido", F.left("apelido", F.lit(4)).alias("apelido_abreviado"),
+                    F.lower("apelido").alias("slug"), "foto", "clube_id", "posicao_id", "status_id",
                     "rodada_id", "pontos_num", "media_num", "preco_num", "variacao_num", "jogos_num",
                     "entrou_em_campo", F.from_json("scout_json", "map<string,int>").alias("scout"))
     return m.groupBy("_rodada_captura", (F.col("atleta_id") / ATHLETE_PAGE).cast("int").alias("_page")) \

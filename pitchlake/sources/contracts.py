@@ -32,6 +32,37 @@ RAW_ATLETAS_MERCADO = (
     "clube_id INT, posicao_id INT, status_id INT, rodada_id INT, pontos_num DOUBLE, media_num DOUBLE, "
     "preco_num DOUBLE, variacao_num DOUBLE, jogos_num INT, entrou_em_campo BOOLEAN, scout_json STRING, "
     "_raw_json STRING, _ingestao_timestamp TIMESTAMP, _rodada_captura INT, _batch_id STRING")
+_LINEAGE = ", _ingestao_timestamp TIMESTAMP_NTZ, _batch_id STRING"
+STAGING_CONTRACTS = {
+    "atletas_mercado": (
+        "atleta_id INT, nome STRING, apelido STRING, apelido_abreviado STRING, slug STRING, foto_url STRING, "
+        "clube_id INT, posicao_id INT, status_id INT, rodada_id INT, pontos_num DOUBLE, media_num DOUBLE, "
+        "preco_num DOUBLE, variacao_num DOUBLE, jogos_num INT, entrou_em_campo BOOLEAN, scout_json STRING, "
+        "_rodada_captura INT" + _LINEAGE),
+    "atletas_pontuados": (
+        "atleta_id INT, apelido STRING, clube_id INT, posicao_id INT, pontuacao DOUBLE, scout_json STRING, "
+        "entrou_em_campo BOOLEAN, rodada_id INT" + _LINEAGE),
+    "clubes": (
+        "clube_id INT, nome STRING, abreviacao STRING, slug STRING, apelido STRING, nome_fantasia STRING, "
+        "url_editoria STRING, escudo_60x60 STRING, escudo_45x45 STRING, escudo_30x30 STRING" + _LINEAGE),
+    "ligas": (
+        "liga_id INT, slug STRING, nome STRING, descricao STRING, tipo STRING, imagem STRING, criacao STRING, "
+        "quantidade_times INT, vagas_restantes INT, mata_mata BOOLEAN, sem_capitao BOOLEAN" + _LINEAGE),
+    "mercado_status": (
+        "rodada_atual INT, status_mercado INT, temporada INT, game_over BOOLEAN, times_escalados INT, "
+        "mercado_pos_rodada BOOLEAN, bola_rolando BOOLEAN, nome_rodada STRING, rodada_final INT, "
+        "cartoleta_inicial DOUBLE, esquema_default_id INT, fechamento_dia INT, fechamento_mes INT, "
+        "fechamento_ano INT, fechamento_hora INT, fechamento_minuto INT, fechamento_timestamp BIGINT" + _LINEAGE),
+    "partidas": (
+        "partida_id INT, rodada_id INT, clube_casa_id INT, clube_visitante_id INT, clube_casa_posicao INT, "
+        "clube_visitante_posicao INT, placar_oficial_mandante INT, placar_oficial_visitante INT, "
+        "partida_data STRING, timestamp_partida BIGINT, estadio STRING, valida BOOLEAN, campeonato_id INT, "
+        "aproveitamento_mandante STRING, aproveitamento_visitante STRING" + _LINEAGE),
+    "pos_rodada_destaques": (
+        "rodada_id INT, mito_time_id INT, mito_nome STRING, mito_nome_cartola STRING, mito_slug STRING, "
+        "mito_clube_id INT, media_cartoletas DOUBLE, media_pontos DOUBLE" + _LINEAGE),
+    "rodadas": "rodada_id INT, nome_rodada STRING, inicio STRING, fim STRING" + _LINEAGE,
+}
 # ----------------------------------------------------------------------------
 
 

@@ -30,17 +30,18 @@ STATUS_SCHEMA = StructType([
     StructField("esquema_default_id", IntegerType()), StructField("fechamento", FECHAMENTO)])
 ATHLETE_ITEM = StructType([
     StructField("atleta_id", IntegerType()), StructField("nome", StringType()),
-    StructField("apelido", StringType()), StructField("foto", StringType()),
+    StructField("apelido", StringType()), StructField("apelido_abreviado", StringType()),
+    StructField("slug", StringType()), StructField("foto", StringType()),
     StructField("clube_id", IntegerType()), StructField("posicao_id", IntegerType()),
     StructField("status_id", IntegerType()), StructField("rodada_id", IntegerType()),
     StructField("pontos_num", DoubleType()), StructField("media_num", DoubleType()),
     StructField("preco_num", DoubleType()), StructField("variacao_num", DoubleType()),
     StructField("jogos_num", IntegerType()), StructField("entrou_em_campo", BooleanType()),
-    StructField("scout", MapType(StringType(), IntegerType()))])
+    StructField("scout", MapType(StringType(), StringType()))])     # as text: one odd value must not void the map
 ATHLETES_SCHEMA = StructType([StructField("atletas", ArrayType(ATHLETE_ITEM))])
 SCORED_ITEM = StructType([
     StructField("apelido", StringType()), StructField("pontuacao", DoubleType()),
-    StructField("scout", MapType(StringType(), IntegerType())), StructField("posicao_id", IntegerType()),
+    StructField("scout", MapType(StringType(), StringType())), StructField("posicao_id", IntegerType()),
     StructField("clube_id", IntegerType()), StructField("entrou_em_campo", BooleanType())])
 SCORED_SCHEMA = StructType([StructField("rodada", IntegerType()),
                             StructField("atletas", MapType(StringType(), SCORED_ITEM))])
@@ -83,6 +84,26 @@ def _parsed(df: DataFrame, schema, col: str = "payload") -> DataFrame:
     return df.withColumn("_p", F.from_json(F.col(col), schema))
 
 
+def rejected_payloads(payloads: DataFrame, schema, col: str = "payload") -> DataFrame:
+    """The landed rows whose JSON does not parse with ``schema``.
+
+    The flatteners skip such a payload; this branch keeps it, so that a run can
+    count, store and repair what it skipped.
+    """
+    text = F.col(col)
+    if isinstance(schema, StructType):
+        marked = StructType([*schema.fields, StructField("_corrupt", StringType())])
+        parsed = F.from_json(text, marked, {"columnNameOfCorruptRecord": "_corrupt"})
+        return payloads.filter(parsed.isNull() | parsed["_corrupt"].isNotNull())
+    return payloads.filter(F.from_json(text, schema).isNull())
+
+
+def _scout_json(scout: Column) -> Column:
+    """The scout object as JSON text with whole numbers; values that are none are left out."""
+    counts = F.transform_values(scout, lambda k, v: v.try_cast("int"))
+    return F.to_json(F.map_filter(counts, lambda k, v: v.isNotNull()))
+
+
 def _zero(c: Column) -> Column:
     """Numeric null -> 0.0 (the reference's ``float(x or 0)``)."""
     return F.coalesce(c.cast("double"), F.lit(0.0))
@@ -115,12 +136,13 @@ def explode_athletes(payloads: DataFrame) -> DataFrame:
     p = _parsed(payloads, ATHLETES_SCHEMA).select("_rodada_captura", F.explode("_p.atletas").alias("a"))
     a = "a."
     return p.select(
-        F.col(a + "atleta_id"), F.col(a + "nome"), F.col(a + "apelido"), F.col(a + "foto"),
+        F.col(a + "atleta_id"), F.col(a + "nome"), F.col(a + "apelido"), F.col(a + "apelido_abreviado"),
+        F.col(a + "slug"), F.col(a + "foto"),
         F.col(a + "clube_id"), F.col(a + "posicao_id"), F.col(a + "status_id"), F.col(a + "rodada_id"),
         *[_zero(F.col(a + c)).alias(c) for c in ("pontos_num", "media_num", "preco_num", "variacao_num")],
         F.coalesce(F.col(a + "jogos_num"), F.lit(0)).alias("jogos_num"),
         _false(F.col(a + "entrou_em_campo")).alias("entrou_em_campo"),
-        F.to_json(F.col(a + "scout")).alias("scout_json"),
+        _scout_json(F.col(a + "scout")).alias("scout_json"), F.to_json("a").alias("_raw_json"),
         F.col("_rodada_captura"))
 
 
@@ -128,10 +150,10 @@ def explode_scored(payloads: DataFrame) -> DataFrame:
     """Map keyed by athlete id (string) -> rows with an int id."""
     p = _parsed(payloads, SCORED_SCHEMA).select(
         F.col("_p.rodada").alias("rodada_id"), F.explode("_p.atletas").alias("k", "v"))
-    return p.select(F.col("k").cast("int").alias("atleta_id"), "rodada_id",
+    return p.select(F.col("k").cast("int").alias("atleta_id"), "rodada_id", F.col("v.apelido"),
                     F.col("v.clube_id"), F.col("v.posicao_id"),
                     _zero(F.col("v.pontuacao")).alias("pontuacao"),
-                    F.to_json(F.col("v.scout")).alias("scout_json"),
+                    _scout_json(F.col("v.scout")).alias("scout_json"),
                     _false(F.col("v.entrou_em_campo")).alias("entrou_em_campo"))
 
 
