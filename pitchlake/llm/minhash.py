@@ -53,8 +53,8 @@ SIMILARITY = 75
 #: Fewer equal minhashes of 32 have a chance of 4e-7 at similarity 0.75.
 LEAST_EQUAL = 11
 #: Documents looked at, and shingles kept, for the order of the prefix filter.
-SAMPLE = 4096
-FREQUENT = 1 << 16
+SAMPLE = 8192
+FREQUENT = 1 << 19
 
 _RNG = np.random.default_rng(11)
 _MUL = _RNG.integers(1, 1 << 63, N_HASHES, dtype=np.uint64) | np.uint64(1)
@@ -160,14 +160,14 @@ def frequent_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefix_rows(sets: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
-    """shingle, node: the rarest shingles of each set, of which two similar sets share one at least."""
+    """shingle, node, pos: the rarest shingles of each set in order, of which two similar sets share one at least."""
     known, counts = frequent_shingles(sets)
     sent = sets.sparkSession.sparkContext.broadcast((known, counts))         # FREQUENT entries
 
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, counts = sent.value
         for pdf in batches:
-            out, nodes = [], []
+            out, nodes, places = [], [], []
             for node, x in zip(pdf["node"], pdf["s"], strict=True):
                 s = np.frombuffer(x, np.uint64)
                 n = np.zeros(len(s), np.int64)
@@ -177,9 +177,11 @@ def prefix_rows(sets: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
                 size = len(s) - -(-similarity * len(s) // 100) + 1
                 out.append(s[np.lexsort((s, n))][:size])
                 nodes.append(np.full(size, node))
+                places.append(np.arange(size))
             if out:
-                yield pd.DataFrame({"shingle": np.concatenate(out).view(np.int64), "node": np.concatenate(nodes)})
-    return sets.mapInPandas(part, "shingle long, node long")
+                yield pd.DataFrame({"shingle": np.concatenate(out).view(np.int64), "node": np.concatenate(nodes),
+                                    "pos": np.concatenate(places)})
+    return sets.mapInPandas(part, "shingle long, node long, pos int")
 
 
 def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
@@ -210,9 +212,10 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     rare = rare.join(open_nodes, "node").join(nodes.groupBy("node").agg(F.max("n").alias("n")), "node")
     split = rare.groupBy("shingle").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("shingle")
     rare = staged(rare.join(split, "shingle", "left_semi"), "minhash-rare")
-    other = rare.select("shingle", F.col("node").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"))
-    apart = ((F.col("a") < F.col("b")) & (F.col("c") != F.col("cb"))
-             & (F.least("n", "nb") * 100 >= F.greatest("n", "nb") * similarity))
+    other = rare.select("shingle", F.col("node").alias("b"), F.col("c").alias("cb"), F.col("n").alias("nb"), F.col("pos").alias("posb"))
+    # at the rarest common shingle all that is common still lies ahead, and must be enough
+    ahead = F.least(F.col("n") - F.col("pos"), F.col("nb") - F.col("posb"))
+    apart = (F.col("a") < F.col("b")) & (F.col("c") != F.col("cb")) & (ahead * (100 + similarity) >= (F.col("n") + F.col("nb")) * similarity)
     second = rare.withColumnRenamed("node", "a").join(other, "shingle").filter(apart).select("a", "b").distinct()
     second = staged(plausible(second, nodes, similarity), "minhash-pairs")
     release(spark)
