@@ -14,7 +14,8 @@ construction; a difference cover keeps most suffixes out of the buckets.
    PERIOD + 1 bytes at i + d and j + d are equal too.  The sample is ranked:
    the rank that matters is whether a sample string occurs again.
 3. A suffix enters the buckets only if a sample position less than PERIOD
-   after it has a repeated rank; all other suffixes are unique at LENGTH.
+   after it has a repeated rank; all other suffixes are unique at LENGTH.  The
+   chunks are written again with the runs of these suffixes.
 4. The remaining suffixes are dealt to buckets by the leading bits of a 64-bit
    fingerprint of their first LENGTH bytes, ``BLOCKS`` blocks of buckets one
    after the other.  A task sorts one bucket at a time; equal neighbours are
@@ -43,12 +44,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitchlake.llm.common import release, staged
+from pitchlake.llm.common import discard, release, staged
 from pitchlake.llm.shingles import mix, powers
 
 LENGTH = 400
@@ -56,8 +58,8 @@ PERIOD = 273
 #: A perfect difference set modulo 273 (every residue but 0 is a difference once).
 COVER = (1, 2, 4, 8, 16, 32, 64, 91, 117, 128, 137, 182, 195, 205, 234, 239, 256)
 SAMPLE = LENGTH - PERIOD + 1
-CHUNK = 1 << 21
-BUCKET = 16 << 20
+CHUNK = 1 << 20
+BUCKET = 32 << 20
 BLOCKS = 3
 
 _BASE = 0x9E3779B97F4A7C15
@@ -116,7 +118,10 @@ class Chunk:
         return np.cumsum(step[:-1]) == 0
 
 
-def chunks(docs: DataFrame) -> DataFrame:
+_CHUNK, _CHUNK_NAMES = "chunk long, doc_ids array<long>, ends array<long>, data binary", ["chunk", "doc_ids", "ends", "data"]
+
+
+def chunks(docs: DataFrame, chunk_bytes: int = CHUNK) -> DataFrame:
     """chunk, doc_ids, ends, data (compressed) of all documents."""
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         task, n, ids, texts, size = TaskContext.get().partitionId(), 0, [], [], 0
@@ -130,7 +135,7 @@ def chunks(docs: DataFrame) -> DataFrame:
         for pdf in batches:
             for i, t in zip(pdf["doc_id"].astype("Int64"), pdf["text"], strict=True):
                 b = (t or "").encode("utf-8", "surrogatepass")
-                if texts and size + len(b) > CHUNK:
+                if texts and size + len(b) > chunk_bytes:
                     yield row()
                     n, ids, texts, size = n + 1, [], [], 0
                 ids.append(None if i is pd.NA else int(i))
@@ -140,53 +145,60 @@ def chunks(docs: DataFrame) -> DataFrame:
             yield row()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInPandas(pack, "chunk long, doc_ids array<long>, ends array<long>, data binary")
+    return rows.mapInPandas(pack, _CHUNK)
 
 
-def _open(pdf: pd.DataFrame) -> Iterator[tuple]:
+def _open(batch: pa.RecordBatch) -> Iterator[tuple[dict, Chunk]]:
+    """The rows of a batch, one at a time: small columns, and the text."""
     expand = zstandard.ZstdDecompressor()
-    for row in pdf.itertuples():
-        yield row, Chunk(expand.decompress(row.data) if len(row.ends) and row.ends[-1] else b"", row.ends)
+    small = [c for c in batch.schema.names if c != "data"]
+    data = batch.column("data")
+    for i in range(batch.num_rows):
+        row = {c: batch.column(c)[i].as_py() for c in small}
+        yield row, Chunk(expand.decompress(data[i].as_buffer()) if row["ends"] and row["ends"][-1] else b"", row["ends"])
 
 
-def _deal(chunk: int, values: np.ndarray, bits: int, kind: int, low: int = 0, high: int | None = None) -> list[tuple]:
+def _deal(chunk: int, values: np.ndarray, bits: int, low: int = 0, high: int | None = None) -> pa.RecordBatch:
     """One row per bucket in [low, high): its distinct fingerprints, and which of them the chunk has twice."""
     distinct, counts = np.unique(values, return_counts=True)
     bucket = distinct >> np.uint64(64 - bits)
     first = np.searchsorted(bucket, np.arange(low, (1 << bits if high is None else high) + 1, dtype=np.uint64))
-    return [(kind, low + k, chunk, distinct[a:b].tobytes(), np.packbits(counts[a:b] > 1).tobytes())
+    rows = [(low + k, distinct[a:b].tobytes(), np.packbits(counts[a:b] > 1).tobytes())
             for k, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist(), strict=True)) if b > a]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[0] for r in rows], pa.int32()), pa.array([chunk] * len(rows), pa.int64()),
+         pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], _DEALT_NAMES)
 
 
-_DEALT = "kind int, bucket int, chunk long, prints binary, twice binary"
-_COLUMNS = ["kind", "bucket", "chunk", "prints", "twice"]
+_DEALT, _DEALT_NAMES = "bucket int, chunk long, prints binary, twice binary", ["bucket", "chunk", "prints", "twice"]
+_ANSWER = "bucket int, chunk long, n int, bits binary"
 
 
-def sort_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
+def sort_bucket(table: pa.Table) -> pa.Table:
     """Per chunk one bit for each of its fingerprints in the bucket: does it occur again?"""
-    parts = [np.frombuffer(x, np.uint64) for x in pdf["prints"]]
-    n = [len(x) for x in parts]
-    values = np.concatenate(parts)
-    twice = np.concatenate([np.unpackbits(np.frombuffer(t, np.uint8), count=k) for t, k in zip(pdf["twice"], n, strict=True)])
+    prints = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("prints")]
+    n = [len(x) for x in prints]
+    values = np.concatenate(prints)
+    again = np.concatenate([np.unpackbits(np.frombuffer(t.as_buffer(), np.uint8), count=k)
+                            for t, k in zip(table.column("twice"), n, strict=True)]).astype(bool)
     order = np.argsort(values, kind="stable")
-    equal = values[order[1:]] == values[order[:-1]]
-    again = twice.astype(bool)
+    values = values[order]
+    equal = values[1:] == values[:-1]
     again[order[1:]] |= equal
     again[order[:-1]] |= equal
     bits = [np.packbits(x).tobytes() for x in np.split(again, np.cumsum(n)[:-1])]
-    return pd.DataFrame({"kind": pdf["kind"], "bucket": pdf["bucket"], "chunk": pdf["chunk"], "n": n, "bits": bits})
+    return pa.table({"bucket": table.column("bucket"), "chunk": table.column("chunk"),
+                     "n": pa.array(n, pa.int32()), "bits": pa.array(bits, pa.binary())})
 
 
 def _sorted(dealt: DataFrame, label: str) -> DataFrame:
-    return staged(dealt.groupBy("kind", "bucket").applyInPandas(
-        sort_bucket, "kind int, bucket int, chunk long, n int, bits binary"), label)
+    return staged(dealt.groupBy("bucket").applyInArrow(sort_bucket, _ANSWER), label)
 
 
-def _repeated(values: np.ndarray, answers, kind: int) -> np.ndarray:
+def _repeated(values: np.ndarray, answers: list[dict]) -> np.ndarray:
     """For each value, whether the buckets found it to be repeated."""
     distinct, inverse = np.unique(values, return_inverse=True)
-    parts = sorted((a for a in answers if a["kind"] == kind), key=lambda a: a["bucket"])
-    bits = [np.unpackbits(np.frombuffer(a["bits"], np.uint8), count=a["n"]) for a in parts]
+    bits = [np.unpackbits(np.frombuffer(a["bits"], np.uint8), count=a["n"]) for a in sorted(answers, key=lambda a: a["bucket"])]
     flags = np.concatenate([*bits, np.zeros(0, np.uint8)]).astype(bool)
     if len(flags) != len(distinct):
         raise ValueError(f"chunk has {len(distinct)} fingerprints, its buckets answered {len(flags)}")
@@ -195,9 +207,9 @@ def _repeated(values: np.ndarray, answers, kind: int) -> np.ndarray:
 
 def _answered(table: DataFrame, answers: DataFrame) -> DataFrame:
     """The chunks with the answers of their buckets (a bit per fingerprint)."""
-    per_chunk = answers.groupBy("chunk").agg(F.collect_list(F.struct("kind", "bucket", "n", "bits")).alias("answers"))
+    per_chunk = answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "n", "bits")).alias("answers"))
     return table.join(per_chunk, "chunk", "left").withColumn(
-        "answers", F.coalesce("answers", F.array().cast("array<struct<kind:int,bucket:int,n:int,bits:binary>>")))
+        "answers", F.coalesce("answers", F.array().cast("array<struct<bucket:int,n:int,bits:binary>>")))
 
 
 def _bits(n: float) -> int:
@@ -205,59 +217,79 @@ def _bits(n: float) -> int:
     return max(2, math.ceil(math.log2(max(1.0, 8 * n / BUCKET))))
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def _runs(positions: np.ndarray) -> bytes:
+    """Sorted positions as runs (begin, length)."""
+    first = np.flatnonzero(np.diff(positions, prepend=-2) != 1)
+    length = np.diff(np.append(first, len(positions)))
+    return np.stack([positions[first], length], axis=1).astype("<i8").tobytes()
+
+
+def _positions(runs: bytes) -> np.ndarray:
+    begin, length = np.frombuffer(runs, "<i8").reshape(-1, 2).T
+    return np.repeat(begin - np.append(0, np.cumsum(length)[:-1]), length) + np.arange(length.sum())
+
+
+def remove_repeats(docs: DataFrame, chunk_bytes: int = CHUNK) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, spans, kept_sha256 of every row of ``docs``.
 
-    ``spans`` lists the removed runs as [begin, end) byte offsets.
+    ``spans`` lists the removed runs as byte offsets begin, end, begin, end, ...
     """
     spark = docs.sparkSession
-    table = staged(chunks(docs), "repeats-chunks")
-    n_bytes = table.agg(F.sum(F.element_at("ends", -1))).first()[0] or 0
+    packed = staged(chunks(docs, chunk_bytes), "repeats-chunks")
+    n_bytes = packed.agg(F.sum(F.element_at("ends", -1))).first()[0] or 0
     sample_bits = _bits(n_bytes * len(COVER) / PERIOD)
 
-    def deal_sample(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for row, chunk in _open(pdf):
-                yield pd.DataFrame(_deal(row.chunk, chunk.fingerprints(chunk.sample(), SAMPLE), sample_bits, 1), columns=_COLUMNS)
+    def deal_sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, chunk in _open(batch):
+                yield _deal(row["chunk"], chunk.fingerprints(chunk.sample(), SAMPLE), sample_bits)
 
-    answers = _sorted(table.mapInPandas(deal_sample, _DEALT), "repeats-sample")
+    ranks = _sorted(packed.mapInArrow(deal_sample, _DEALT), "repeats-sample")
     release(spark)
 
-    def near_repeats(row, chunk: Chunk) -> np.ndarray:
-        at = chunk.sample()
-        return chunk.suffixes(at[_repeated(chunk.fingerprints(at, SAMPLE), row.answers, 1)])
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            runs = []
+            for row, chunk in _open(batch):
+                at = chunk.sample()
+                runs.append(_runs(chunk.suffixes(at[_repeated(chunk.fingerprints(at, SAMPLE), row["answers"])])))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in _CHUNK_NAMES], pa.array(runs, pa.binary())],
+                                             [*_CHUNK_NAMES, "suffixes"])
+
+    table = staged(_answered(packed, ranks).mapInArrow(choose, _CHUNK + ", suffixes binary"), "repeats-suffixes")
+    discard(packed)
+    release(spark)
 
     # as if a third of all suffixes were candidates; a larger share makes larger buckets
     bits = max(_bits(n_bytes / 3), math.ceil(math.log2(BLOCKS)))
     edges = [round((1 << bits) * k / BLOCKS) for k in range(BLOCKS + 1)]
-    found = answers
+    found = None
     for low, high in zip(edges[:-1], edges[1:], strict=True):
-        def deal_block(batches: Iterator[pd.DataFrame], low: int = low, high: int = high) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                for row, chunk in _open(pdf):
-                    prints = chunk.fingerprints(near_repeats(row, chunk), LENGTH)
+        def deal_block(batches: Iterator[pa.RecordBatch], low: int = low, high: int = high) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row, chunk in _open(batch):
+                    prints = chunk.fingerprints(_positions(row["suffixes"]), LENGTH)
                     bucket = prints >> np.uint64(64 - bits)
-                    inside = prints[(bucket >= low) & (bucket < high)]
-                    yield pd.DataFrame(_deal(row.chunk, inside, bits, 2, low, high), columns=_COLUMNS)
+                    yield _deal(row["chunk"], prints[(bucket >= low) & (bucket < high)], bits, low, high)
 
-        block = _answered(table, answers).mapInPandas(deal_block, _DEALT)
-        found = found.unionAll(_sorted(block, "repeats-block"))
+        block = _sorted(table.mapInArrow(deal_block, _DEALT), "repeats-block")
+        found = block if found is None else found.unionAll(block)
         release(spark)
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for row, chunk in _open(pdf):
-                at = near_repeats(row, chunk)
-                stays = chunk.cut(at[_repeated(chunk.fingerprints(at, LENGTH), row.answers, 2)])
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, chunk in _open(batch):
+                at = _positions(row["suffixes"])
+                stays = chunk.cut(at[_repeated(chunk.fingerprints(at, LENGTH), row["answers"])])
                 out = []
-                for doc_id, a, b in zip(row.doc_ids, chunk.starts.tolist(), chunk.ends.tolist(), strict=True):
+                for doc_id, a, b in zip(row["doc_ids"], chunk.starts.tolist(), chunk.ends.tolist(), strict=True):
                     keep = stays[a:b]
                     turns = np.flatnonzero(np.diff(np.concatenate([[1], keep, [1]]).astype(np.int8)))
                     kept = chunk.data[a:b][keep].tobytes()
-                    out.append((None if doc_id is None or doc_id != doc_id else int(doc_id), b - a, b - a - len(kept), len(turns) // 2,
-                                turns.tolist(), hashlib.sha256(kept).hexdigest()))
-                frame = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept_sha256"])
-                yield frame.astype({"doc_id": "Int64"})
+                    out.append((doc_id, b - a, b - a - len(kept), len(turns) // 2, turns.tolist(), hashlib.sha256(kept).hexdigest()))
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
+                                                 ["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept_sha256"])
 
-    return _answered(table, found).mapInPandas(
+    return _answered(table, found).mapInArrow(
         cut, "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<long>, kept_sha256 string")

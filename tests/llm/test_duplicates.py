@@ -122,9 +122,9 @@ def cut(rows):
     return sorted(out)
 
 
-def check_cut(docs):
+def check_cut(docs, **options):
     want = cut([(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()])
-    got = repeats.remove_repeats(docs).collect()
+    got = repeats.remove_repeats(docs, **options).collect()
     assert sorted(repr((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"])) for r in got) == want
 
 
@@ -136,15 +136,14 @@ def test_cut_of_the_table(spark):
     check_cut(table(spark, SF, "documents"))
 
 
-def test_cut_at_the_bound(spark, monkeypatch):
+def test_cut_at_the_bound(spark):
     """Shared strings of 399, 400 and 401 bytes at odd places, overlaps, runs of one byte; many small chunks."""
-    monkeypatch.setattr(repeats, "CHUNK", 1 << 12)
     rng = random.Random(4)
     text = "".join(rng.choice("abcdefgh é") for _ in range(3000))
     rows = [(i, prose(rng, 30 + i) + s + prose(rng, 40), None, None, None) for i, s in enumerate(
         [text[:399], text[100:500], text[100:501], text[700:1099], text[701:1101], text[900:1400], "z" * 401, "yx" * 210, text[2000:], text[1900:2600]])]
     rows += [(50, text[:399], None, None, None), (51, "q" * 400, None, None, None), (52, "q" * 399 + "r", None, None, None)]
-    check_cut(spark.createDataFrame(rows, DOCS).repartition(4))
+    check_cut(spark.createDataFrame(rows, DOCS).repartition(4), chunk_bytes=1 << 12)
 
 
 def test_cut_of_odd_rows(odd, clashing, no_docs):
