@@ -197,10 +197,16 @@ def final_ranked(final: DataFrame, athletes: DataFrame, positions: DataFrame,
         F.rank().over(w).alias("ranking_posicao"))
 
 
-def top_per_group(df: DataFrame, group: str, order: list[Column], n: int) -> DataFrame:
-    """The first ``n`` rows of each group (no global truncation first)."""
-    w = Window.partitionBy(group).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+def top_per_group(df: DataFrame, group: str, order: list[Column], n: int, salts: int = 64) -> DataFrame:
+    """The first ``n`` rows of each group (no global truncation first).
+
+    Each group is dealt over ``salts`` tasks by a hash of the row; the last
+    step ranks at most ``n * salts`` rows per group.
+    """
+    x = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
+    for w in (Window.partitionBy(group, "_salt"), Window.partitionBy(group)):
+        x = x.withColumn("_rn", F.row_number().over(w.orderBy(*order))).filter(F.col("_rn") <= n).drop("_rn")
+    return x.drop("_salt")
 
 
 # ------------------------------------------------------------------ L06 / L07

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pitchlake.operators.windows import time_slices
+
 
 def _changed(cur: list[str], prev_prefix: str) -> Column:
     diff = None
@@ -29,13 +31,14 @@ def scd2_build(history: DataFrame, key: str, check_cols: list[str], ts: str, tie
     tracked column differs (null-safe) from the previous capture, ordered by
     (``ts``, ``tie``).  ``valid_to`` is the next version's ``valid_from``;
     the open version has ``valid_to`` NULL and ``is_current`` true.
-    ``bucket`` (default: calendar month of ``ts``) only decides how the work
-    is split; results do not depend on it.
+    ``bucket`` (default: as many time slices per key as its rows ask for) only
+    decides how the work is split; results do not depend on it.
     """
     keep = keep or []
-    bucket = bucket if bucket is not None else F.date_trunc("month", F.col(ts))
+    if bucket is None:
+        history, bucket = time_slices(history, key, ts), F.col("_slice")
     cols = [key, ts, tie, *check_cols, *[c for c in keep if c not in check_cols]]
-    h = history.select(*cols).withColumn("_b", bucket)
+    h = history.withColumn("_b", bucket).select(*cols, "_b")
     order = F.struct(F.col(ts), F.col(tie))
     tracked = F.struct(*[F.col(c) for c in check_cols])
 

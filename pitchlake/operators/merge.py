@@ -87,8 +87,10 @@ def incremental(source: DataFrame, target: DataFrame | None, col: str,
     if target is None:
         return source
     bound = target.agg(F.max(col) - F.lit(lookback)).scalar()
-    cond = (F.col(col) > bound) if strict else (F.col(col) >= bound)
-    return source.filter(bound.isNull() | cond)
+    if strict:
+        return source.filter(bound.isNull() | (F.col(col) > bound))
+    # one comparison with one-row subqueries, so that partitions can be pruned; empty target: the least value
+    return source.filter(F.col(col) >= F.coalesce(bound, source.agg(F.min(col)).scalar()))
 
 
 def run_incremental(build, target: DataFrame | None, keys, col: str,

@@ -151,7 +151,7 @@ def cost_by(usage: DataFrame, prices: DataFrame, dims: list[str]) -> DataFrame:
     Usage is pre-aggregated to (sku, dims) before the price join, so the
     join sees one row per group instead of every usage record.
     """
-    pre = usage.groupBy("sku_name", *dims).agg(F.sum("usage_quantity").alias("_q"))
+    pre = usage.groupBy(*dict.fromkeys(["sku_name", *dims])).agg(F.sum("usage_quantity").alias("_q"))
     j = pre.join(prices, "sku_name", "left")
     return j.groupBy(*dims).agg(
         F.sum(F.col("_q") * F.coalesce(F.col("price"), F.lit(0.0))).alias("custo"))

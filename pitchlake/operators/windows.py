@@ -25,6 +25,28 @@ def latest_per_key(df: DataFrame, keys, order, newest: bool = True) -> DataFrame
     return df.groupBy(*keys).agg(pick.alias("_row")).select(*keys, "_row.*").select(*df.columns)
 
 
+#: Rows of one key that a window takes before the key is split into more time slices.
+ROWS_PER_SLICE = 1_000_000
+
+
+def time_slices(df: DataFrame, key: str, ts: str, rows_per_slice: int = ROWS_PER_SLICE,
+                name: str = "_slice") -> DataFrame:
+    """Add a slice number per row, rising with ``ts`` inside each key.
+
+    A key gets as many slices of its own time span as its number of rows asks
+    for, so a key with a third of all rows is spread over many tasks at any
+    size; small keys stay whole.  The counts are one aggregate with map-side
+    sums, joined back on the key.
+    """
+    from pitchlake.functions.expressions import ntz_epoch_micros
+    at = ntz_epoch_micros(F.col(ts).cast("timestamp_ntz")).cast("double")
+    stats = df.groupBy(F.col(key).alias("_sk")).agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(rows_per_slice)).alias("_n"), F.min(at).alias("_lo"), F.max(at).alias("_hi"))
+    share = (at - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1)
+    return (df.join(stats, df[key].eqNullSafe(stats["_sk"]), "left")
+            .withColumn(name, F.coalesce(F.floor(share * F.col("_n")), F.lit(-1))).drop("_sk", "_n", "_lo", "_hi"))
+
+
 def previous_in_sequence(df: DataFrame, key: str, order: list[str], cols: list[str],
                          bucket: Column) -> DataFrame:
     """``lag`` of ``cols`` per key in ``order``, without one task per key.
@@ -48,10 +70,11 @@ def previous_in_sequence(df: DataFrame, key: str, order: list[str], cols: list[s
 
 def rest_days(df: DataFrame, key: str, ts: str, tie: str, bucket: Column | None = None) -> DataFrame:
     """Days since the previous event of the same key (NULL for the first)."""
-    b = bucket if bucket is not None else F.date_trunc("month", F.col(ts))
-    x = previous_in_sequence(df, key, [ts, tie], [ts], b)
+    if bucket is None:
+        df, bucket = time_slices(df, key, ts), F.col("_slice")
+    x = previous_in_sequence(df, key, [ts, tie], [ts], bucket)
     return x.withColumn("dias_desde_ultimo", F.datediff(F.col(ts), F.col(f"_prev_{ts}"))) \
-        .drop(f"_prev_{ts}")
+        .drop(f"_prev_{ts}", "_slice")
 
 
 def run_anomalies(runs: DataFrame, bucket: Column | None = None) -> DataFrame:
@@ -61,11 +84,13 @@ def run_anomalies(runs: DataFrame, bucket: Column | None = None) -> DataFrame:
     A failed run is in a streak of length >= 3 exactly when one of the three
     3-run windows around it (i-2..i, i-1..i+1, i..i+2) is all failures, so
     only the two neighbours on each side are needed.  They come from a window
-    per (job, day); the first/last two runs of a day take their neighbours
-    from the adjacent days' edge rows (at most 2 per day, windowed per job
-    over days).  No window ever holds a whole job.
+    per (job, time slice), where a job has as many slices as its runs ask for;
+    the first/last two runs of a slice take their neighbours from the adjacent
+    slices' edge rows (at most 2 per slice, windowed per job over slices).
     """
-    b = bucket if bucket is not None else F.date_trunc("day", F.col("start_time"))
+    if bucket is None:
+        runs, bucket = time_slices(runs, "job_id", "start_time"), F.col("_slice")
+    b = bucket
     failed = (F.col("result_state") == "FAILED").cast("int")
     x = runs.select("job_id", "run_id", "start_time", "result_state", "duration_minutes",
                     failed.alias("_f"), b.alias("_b"))

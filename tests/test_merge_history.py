@@ -69,3 +69,17 @@ def test_change_feed(spark):
     new = spark.createDataFrame([(2, "B", 1), (3, "c", 1)], SCHEMA)
     got = sorted((r.k, r._change_type) for r in M.change_feed(old, new, "k").collect())
     assert got == [(1, "delete"), (2, "update_postimage"), (3, "insert")]
+
+
+def test_time_slices_split_a_hot_key_and_keep_results(spark):
+    from pyspark.sql import functions as F
+    from pitchlake.operators import windows as W
+    df = spark.range(900).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 50).alias("k"), F.col("id").alias("seq"),
+                                 F.timestamp_add("HOUR", (F.col("id") * 7).cast("int"), F.lit("2024-01-01").cast("timestamp_ntz")).alias("ts"))
+    cut = W.time_slices(df, "k", "ts", rows_per_slice=50)
+    sizes = [r["count"] for r in cut.groupBy("k", "_slice").count().collect()]
+    assert max(sizes) <= 100 and cut.count() == 900
+    whole = W.rest_days(df, "k", "ts", "seq", bucket=F.lit(0))
+    split = W.previous_in_sequence(cut, "k", ["ts", "seq"], ["ts"], F.col("_slice"))
+    split = split.withColumn("dias_desde_ultimo", F.datediff("ts", "_prev_ts")).select(*whole.columns)
+    assert whole.exceptAll(split).count() == 0
