@@ -110,8 +110,18 @@ def run_suite(df: DataFrame, row_rules: dict[str, str], unique_cols: list[str] |
     return out
 
 
-def validate_copy(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Q12: row counts, column sets and an order-insensitive content hash."""
+def text_digest(df: DataFrame, cols: list[str]):
+    """Order-insensitive digest that any engine can compute: the sum, over rows, of the
+    first 8 hex digits of the md5 of the columns' texts joined by ``|`` (null: empty)."""
+    line = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+    return df.agg(F.sum(F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("long")).alias("d")).scalar()
+
+
+def validate_copy(a: DataFrame, b: DataFrame, digest_cols: list[str] | None = None) -> DataFrame:
+    """Q12: row counts, column sets and an order-insensitive content hash.
+
+    With ``digest_cols`` both sides' :func:`text_digest` is reported as well.
+    """
     cols = sorted(a.columns)
     ha = a.agg(F.count(F.lit(1)).alias("n"),
                F.sum(F.xxhash64(*[F.col(c) for c in cols]).cast("decimal(38,0)")).alias("h"))
@@ -121,7 +131,9 @@ def validate_copy(a: DataFrame, b: DataFrame) -> DataFrame:
     return ha.select(F.col("n").alias("linhas_origem"), nb.alias("linhas_copia"),
                      F.lit(sorted(a.columns) == sorted(b.columns)).alias("colunas_iguais"),
                      (F.col("n") == nb).alias("contagem_igual"),
-                     F.col("h").eqNullSafe(hb_).alias("conteudo_igual"))
+                     F.col("h").eqNullSafe(hb_).alias("conteudo_igual"),
+                     *([text_digest(a, digest_cols).alias("hash_origem"), text_digest(b, digest_cols).alias("hash_copia")]
+                       if digest_cols else []))
 
 
 # ----------------------------------------------------------------------------

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pitchlake.oracle.bindings_sql import _cte, sround
 
+# ----------------------------------------------------------------------------
+# Scout codes and their column names, as in functions/expressions.py.
 _SCOUT_COLS = (
     ("G", "scout_gol"), ("A", "scout_assistencia"), ("FT", "scout_finalizacao_trave"),
     ("FD", "scout_finalizacao_defendida"), ("FF", "scout_finalizacao_fora"),
@@ -13,6 +15,7 @@ _SCOUT_COLS = (
     ("FC", "scout_falta_cometida"), ("PS", "scout_passe_decisivo"), ("PC", "scout_passe_completo"),
     ("PP", "scout_pre_assistencia"), ("V", "scout_vitoria"), ("GS", "scout_gol_sofrido"),
 )
+# ----------------------------------------------------------------------------
 
 
 def scouts_sql(col: str = "scout_json") -> str:

@@ -1,6 +1,7 @@
 """Oracle SQL of the bronze tables, staging views and facts: the landed statements with renames."""
 
 from pitchlake.oracle.queries_sql import ORACLE, oracle
+from pitchlake.sources import seeds
 from pitchlake.plans.silver import STAGING_COLUMNS, STAGING_RENAMES
 
 _LANDED = {"atletas_mercado": "s02_land_athletes", "atletas_pontuados": "s03_land_scored", "clubes": "s05_land_clubs",
@@ -46,3 +47,12 @@ ORACLE["m01_bronze_upsert"] = f"""
 SELECT atleta_id, _rodada_captura, CASE WHEN _rodada_captura < 15 THEN CAST(-1 AS DOUBLE) ELSE pontos_num END AS pontos_num,
        preco_num, _batch_id
 FROM {_bronze("atletas_mercado")} _b"""
+
+_POSITIONS = ", ".join(f"({i}, '{code}')" for i, _, code in seeds.POSITIONS)
+_STATUS = ", ".join(f"({i}, {free})" for i, _, free in seeds.ATHLETE_STATUS)
+oracle("s12_seeds_from_csv", f"""
+SELECT a.posicao_id, a.status_id, po.abreviacao, st.disponivel, a.atletas,
+       CAST({len(seeds.SCOUT_WEIGHTS)} AS BIGINT) AS n_pontuacao_scouts, CAST({len(seeds.DERBIES)} AS BIGINT) AS n_classicos
+FROM (SELECT posicao_id, status_id, count(*) AS atletas FROM market GROUP BY ALL) a
+LEFT JOIN (VALUES {_POSITIONS}) po(posicao_id, abreviacao) USING (posicao_id)
+LEFT JOIN (VALUES {_STATUS}) st(status_id, disponivel) USING (status_id)""", "market")

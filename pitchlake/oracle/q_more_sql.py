@@ -148,8 +148,10 @@ UNION ALL SELECT 'unique_o_orderkey', CAST(coalesce(sum(q), 0) AS BIGINT) FROM (
 UNION ALL SELECT 'relationships_o_custkey', count(*) FROM orders WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer)""")
 
 oracle("q12_validate_copy", """
-SELECT n AS linhas_origem, n AS linhas_copia, TRUE AS colunas_iguais, TRUE AS contagem_igual
-FROM (SELECT count(*) AS n FROM orders)""")
+SELECT n AS linhas_origem, n AS linhas_copia, TRUE AS colunas_iguais, TRUE AS contagem_igual, TRUE AS conteudo_igual,
+       h AS hash_origem, h AS hash_copia
+FROM (SELECT count(*) AS n, CAST(sum(CAST('0x' || substr(md5(concat_ws('|', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR),
+             o_orderstatus, o_orderpriority)), 1, 8) AS BIGINT)) AS BIGINT) AS h FROM orders)""")
 
 oracle("j18_orphan_anti", """
 SELECT l_orderkey, count(*) AS linhas_orfas FROM lineitem
