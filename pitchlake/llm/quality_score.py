@@ -57,7 +57,8 @@ STATS = ("log_words", "word_length", "symbols", "digits", "upper", "punctuation"
          "top_word", "runs", "dup_lines", "words_per_line", "symbol_words", "repeated_pairs", "longest_word",
          "short_words")
 
-_SYMBOL = re.compile(r"[#*$%&|<>~^_=+{}\[\]\\@]")
+_SYMBOLS = frozenset("#*$%&|<>~^_=+{}[]\\@")
+_SYMBOL = re.compile("[" + re.escape("".join(sorted(_SYMBOLS))) + "]")
 _PUNCT = re.compile(r"[.,;:!?]")
 _DIGIT = re.compile(r"[0-9]")
 
@@ -71,22 +72,16 @@ def text_stats(text: str | None) -> list[float]:
         return [0.0] * len(STATS)
     n_chars = max(1, len(text))
     lengths = np.fromiter(map(len, words), np.int32, n)
-    codes, counts = {}, []
-    ids = np.empty(n, np.int64)
-    for i, w in enumerate(words):
-        k = codes.setdefault(w, len(codes))
-        if k == len(counts):
-            counts.append(0)
-        counts[k] += 1
-        ids[i] = k
+    codes: dict[str, int] = {}
+    ids = np.fromiter((codes.setdefault(w, len(codes)) for w in words), np.int64, n)
     pairs = ids[:-1] * len(codes) + ids[1:]
     lines = [x for x in text.split("\n") if x and not x.isspace()]
     symbols = len(_SYMBOL.findall(text))
     upper = sum(map(str.isupper, words))
-    ends = sum(1 for w in words if _SYMBOL.match(w[-1]))
+    ends = sum(1 for w in words if w[-1] in _SYMBOLS)
     return [np.log1p(n), lengths.mean() / 2, 10.0 * symbols / n_chars, 10.0 * len(_DIGIT.findall(text)) / n_chars,
             3.0 * upper / n, 10.0 * len(_PUNCT.findall(text)) / n_chars, 5.0 * words.count("|") / n,
-            3.0 * len(codes) / n, 5.0 * max(counts) / n, 5.0 * float((ids[1:] == ids[:-1]).sum()) / n,
+            3.0 * len(codes) / n, 5.0 * int(np.bincount(ids).max()) / n, 5.0 * float((ids[1:] == ids[:-1]).sum()) / n,
             5.0 * (1 - len(set(lines)) / max(1, len(lines))), np.log1p(n / max(1, len(lines))), 3.0 * ends / n,
             5.0 * (1 - len(np.unique(pairs)) / max(1, len(pairs))), np.log1p(lengths.max()),
             3.0 * float((lengths <= 3).mean())]
