@@ -76,7 +76,8 @@ def candidates(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc"), "text").join(wanted, "doc")
     split = texts.select("doc", "wanted", F.split(text_or_empty(F.col("text")), "\n").alias("lines"))
     lines = split.select("doc", F.explode("wanted").alias("line_no"), "lines")
-    return lines.select("doc", "line_no", words(F.get("lines", F.col("line_no"))).alias("w")).distinct()
+    found = lines.select("doc", "line_no", words(F.get("lines", F.col("line_no"))).alias("w")).distinct()
+    return found.filter(F.size("w") >= MIN_WORDS)       # rows that repeat a doc_id may have a shorter line in that place
 
 
 def _xor(values: Column) -> Column:
