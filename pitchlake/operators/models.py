@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline as MLPipeline
 from pyspark.ml.feature import StringIndexer, VectorAssembler, VectorIndexer
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitchlake.operators.ensemble import time_folds
@@ -194,3 +194,32 @@ def feature_importance(model, cols=FEATURES) -> DataFrame:
     imp = model.featureImportances.toArray().tolist()
     df = spark.createDataFrame([(c, float(v)) for c, v in zip(cols, imp)], "feature string, importancia double")
     return df.orderBy(F.col("importancia").desc(), "feature")
+
+
+#: Rows among which a feature is shuffled (a window each).
+SHUFFLE_ROWS = 50_000
+
+
+def permutation_importance(model, df: DataFrame, cols=FEATURES, seed: str = "l10") -> DataFrame:
+    """Rise of the RMSE when one feature is shuffled among the rows.
+
+    A row takes the feature of the next row in the order of a seeded hash, in
+    blocks of about ``SHUFFLE_ROWS`` rows (the last takes the first one's).
+    All features are scored in one pass: each row appears once as it is and
+    once per shuffled feature.
+    """
+    keys = ("atleta_id", "rodada_alvo")
+    n_blocks = max(1, df.count() // SHUFFLE_ROWS)
+    x = df.select(*keys, TARGET, *cols).withColumn("_b", F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(n_blocks)))
+    for c in cols:
+        w = Window.partitionBy("_b").orderBy(F.xxhash64(*keys, F.lit(f"{seed}/{c}")), *keys)
+        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        x = x.withColumn(f"_s_{c}", F.coalesce(F.lead(c).over(w), F.first(c).over(whole)))
+    variants = F.array(*[F.struct(F.lit(v).alias("feature"), *[F.col(f"_s_{c}" if c == v else c).alias(c) for c in cols])
+                         for v in ("", *cols)])
+    rows = x.select(TARGET, F.inline(variants))
+    scored = model.transform(assemble(rows, cols)).groupBy("feature").agg(
+        F.sqrt(F.avg((F.col("prediction") - F.col(TARGET)) ** 2)).alias("rmse"))
+    base = scored.filter("feature = ''").select("rmse").scalar()
+    return (scored.filter("feature <> ''").select("feature", "rmse", (F.col("rmse") - base).alias("aumento_rmse"))
+            .orderBy(F.desc("aumento_rmse"), "feature"))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import functions as F
 
 from pitchlake.operators import ensemble as EN
 from pitchlake.operators import models as MD
 from pitchlake.plans.queries import query
+from pitchlake.sources import io as IO
+from pitchlake.streaming.pipeline import scratch
 
 
 def _dm(p):
@@ -56,15 +59,23 @@ def _(p):
 
 @query("l10_feature_importance")
 def _(p):
+    """Tree importances, and the rise of the out-of-sample RMSE when a feature is shuffled."""
     train, _ = MD.split(_dm(p))
-    return MD.feature_importance(MD.fit_gbt(train, max_iter=30, max_depth=4))
+    last = train.agg(F.max("rodada_alvo")).scalar()
+    model = MD.fit_gbt(train.filter(F.col("rodada_alvo") < last), max_iter=30, max_depth=4)
+    shuffled = MD.permutation_importance(model, train.filter(F.col("rodada_alvo") == last))
+    return MD.feature_importance(model).join(shuffled, "feature").orderBy(F.desc("aumento_rmse"), "feature")
 
 
 @query("l11_batch_score")
 def _(p):
+    """A stored model is loaded, scores every row, and the scores are written."""
     train, _ = MD.split(_dm(p))
-    model = MD.fit_gbt(train, max_iter=30, max_depth=4)
-    return MD.score(model, _dm(p), name="xgboost")
+    base = scratch(p.spark, "l11")
+    MD.fit_gbt(train, max_iter=30, max_depth=4).write().save(f"{base}/model")
+    scored = MD.score(GBTRegressionModel.load(f"{base}/model"), _dm(p), name="xgboost")
+    IO.overwrite(scored, f"{base}/scores")
+    return p.spark.read.parquet(f"{base}/scores")
 
 
 @query("a14_error_metrics_trained")

@@ -70,3 +70,11 @@ def test_intervals_without_a_shuffle(spark):
     assert rows[590.0] == (559, 621) and rows[610.0][0] - rows[590.0][0] in (19, 20)
     low, high = EN.negbin_quantile(F.col("mu"), F.col("r"))
     assert all(r[0] <= r[1] for r in df.select(low, high).collect())
+
+
+def test_shuffling_an_informative_feature_costs_most(spark):
+    rows = [(i, 1, float(i % 7), 0.1 * (i * 37 % 11), float(i % 7) * 3) for i in range(300)]
+    df = spark.createDataFrame(rows, f"atleta_id int, rodada_alvo int, good double, noise double, {MD.TARGET} double")
+    model = MD.gbt(max_iter=5, max_depth=3).fit(MD.assemble(df, ("good", "noise")))
+    out = {r.feature: r.aumento_rmse for r in MD.permutation_importance(model, df, ("good", "noise")).collect()}
+    assert out["good"] > 2 and abs(out["noise"]) < 0.1
