@@ -54,7 +54,7 @@ SIMILARITY = 75
 LEAST_EQUAL = 11
 #: Documents looked at, and shingles kept, for the order of the prefix filter.
 SAMPLE = 8192
-FREQUENT = 1 << 19
+FREQUENT = 1 << 17
 
 _RNG = np.random.default_rng(11)
 _MUL = _RNG.integers(1, 1 << 63, N_HASHES, dtype=np.uint64) | np.uint64(1)
