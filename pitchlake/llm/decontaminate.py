@@ -7,17 +7,26 @@ re-parameterised question ("Anna has 3 apples" / "Bert has 7 apples") has the
 template of the original.
 
 1. Every window of ``WINDOW`` canonical words of every text is hashed and
-   joined with the windows of the items.  A window counts only if
+   joined with the windows of the items.  A template window counts only if
    ``MIN_LITERAL`` of its words are no placeholders.  Items shorter than a
    window are matched whole; items under ``MIN_ITEM`` words identify nothing
-   and are left out.
+   and are left out.  A window has several readings, each with a key:
+
+   - the first one, in which a capitalised word at a sentence's start is literal;
+   - one for every set of such words (and capitalised words behind a quote or
+     bracket) that is read as names;
+   - its words as they are, in lower case and with their numbers, without
+     regard to ``MIN_LITERAL``, so that verbatim copies need no literal words.
 2. Matches are summed per (document, item, shift), where shift is the
    document position less the item position: how many item words are covered,
    and which document word fills which slot of the item.
 3. Slots are consistent if equal item values are filled with equal document
    values.  A document is contaminated by an item if, at one shift, the slots
    are consistent and ``MIN_COVERED`` words (or the whole item, if shorter)
-   are covered.
+   are covered, or as many words in one run are equal as they are.
+
+The counts of a pair are those of the first reading if it suffices, else of
+all readings together.
 
 All of it is SQL functions; the windows are exploded as positions beside the
 array of word hashes, so the hash of a window is code-generated and only
@@ -31,6 +40,8 @@ Empty tables give an empty result.  Only doc_id, item_id and text are read.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +60,8 @@ UNITS = ("mm cm dm m km in ft yd mi mg g kg t lb oz ml cl dl l ms s min h "
          "year years dollar dollars euro euros percent degree degrees").split()
 
 NUMBER, NAME, UNIT = "\u0002num", "\u0002name", "\u0002unit"
+#: Reading of a window by its words as they are.
+RAW = -1
 
 
 def _units() -> str:
@@ -77,18 +90,59 @@ def _literal(token: Column) -> Column:
     return ~token.contains("\u0002") & (token != "")
 
 
+def ambiguous(raw: Column) -> Column:
+    """Per word whether it may be a name or not: capitalised at a sentence's start or behind a quote or bracket."""
+    marked = F.split(F.regexp_replace(F.concat_ws(" ", raw), RULES[0][0], RULES[0][1].replace("\\", "$")), " ")
+    return F.transform(marked, lambda x: x.rlike("^[^\\p{L}\\p{N} ]+\\p{Lu}"))
+
+
+def verbatim(raw: Column) -> Column:
+    """The words in lower case without sentence punctuation around them, one for one; numbers and signs stay."""
+    text = F.lower(F.concat_ws(" ", raw))
+    text = F.regexp_replace(text, "(?<=[\\p{L}\\p{N}])[.,;:!?\"'()\\[\\]{}«»“”„‘’…]+(?= |$)", "")
+    return F.split(F.regexp_replace(text, "(?<= |^)[\"'()\\[\\]{}«»“”„‘’…¿¡]+(?=[\\p{L}\\p{N}])", ""), " ")
+
+
+#: Per set of ambiguous places of a window (as bits) its subsets: the places read as names.
+_READINGS = [[m for m in range(1 << WINDOW) if m & ~places == 0] for places in range(1 << WINDOW)]
+
+
+def _readings(places: Column) -> Column:
+    """The readings of a window, and RAW for its words as they are."""
+    table = F.from_json(F.lit(json.dumps([[*x, RAW] for x in _READINGS])), "array<array<int>>")
+    return F.get(table, places)
+
+
+def _bits(flags: str, start: Column, n: int) -> Column:
+    out = F.lit(0)
+    for j in range(n):
+        out = out + F.when(F.get(flags, start + j), F.lit(1 << j)).otherwise(F.lit(0))
+    return out
+
+
+def _is_set(m: Column, j: Column) -> Column:
+    return (m > 0) & (F.call_function("shiftright", m, j).bitwiseAND(F.lit(1)) == 1)
+
+
 def item_windows(items: DataFrame) -> DataFrame:
-    """key, item_id, pos, n (words in the window), n_item, slots [(pos, value)]."""
+    """key, item_id, pos, n (words in the window), n_item, raw_key, first_item, slots [(pos, value, free: may be no slot)]."""
     base = (items.select("item_id", words(F.col("text")).alias("raw"))
             .withColumn("canon", canonical(F.col("raw"))).withColumn("n_item", F.size("raw"))
+            .withColumn("amb", ambiguous(F.col("raw"))).withColumn("plain", verbatim(F.col("raw")))
             .filter(F.col("n_item") >= MIN_ITEM).withColumn("n", F.least("n_item", F.lit(WINDOW))))
     at = base.select("*", F.explode(F.sequence(F.lit(0), F.col("n_item") - F.col("n"))).alias("pos"))
-    part = at.withColumn("w", F.slice("canon", F.col("pos") + 1, F.col("n")))
-    slots = F.transform(F.filter(F.sequence(F.lit(0), F.col("n") - 1), lambda j: F.get("w", j).contains("\u0002")),
-                        lambda j: F.struct((F.col("pos") + j).alias("at"), _value(F.get("raw", F.col("pos") + j)).alias("item")))
-    return (part.filter(F.size(F.filter("w", _literal)) >= F.least(F.lit(MIN_LITERAL), F.col("n")))
-            .select(F.xxhash64("n", F.transform("w", lambda x: F.xxhash64(x))).alias("key"), "item_id", "pos", "n", "n_item",
-                    slots.alias("slots")))
+    at = at.select("*", F.explode(_readings(_bits("amb", F.col("pos"), WINDOW))).alias("m"))
+    j = F.sequence(F.lit(0), F.col("n") - 1)
+    part = at.withColumn("w", F.transform(j, lambda j: F.when(_is_set(F.col("m"), j), F.lit(NAME)).otherwise(F.get("canon", F.col("pos") + j))))
+    raw_key = F.col("m") == RAW
+    slots = F.transform(F.filter(j, lambda j: F.get("w", j).contains("\u0002")),
+                        lambda j: F.struct((F.col("pos") + j).alias("at"), _value(F.get("raw", F.col("pos") + j)).alias("item"),
+                                           _is_set(F.col("m"), j).alias("free")))
+    key = F.when(raw_key, F.xxhash64(-F.col("n"), F.transform(F.slice("plain", F.col("pos") + 1, F.col("n")), lambda x: F.xxhash64(x)))) \
+        .otherwise(F.xxhash64("n", F.transform("w", lambda x: F.xxhash64(x))))
+    return (part.filter(raw_key | (F.size(F.filter("w", _literal)) >= F.least(F.lit(MIN_LITERAL), F.col("n"))))
+            .select(key.alias("key"), "item_id", "pos", "n", "n_item", raw_key.alias("raw_key"),
+                    (F.col("m") == 0).alias("first_item"), slots.alias("slots")))
 
 
 def _value(word: Column) -> Column:
@@ -97,21 +151,27 @@ def _value(word: Column) -> Column:
 
 
 def text_windows(docs: DataFrame, sizes: list[int]) -> DataFrame:
-    """doc_id, key, start, slot_words (the words of a window that has a placeholder)."""
+    """doc_id, key, start, first_doc, slot_words (the words of a window that has a placeholder), one row per reading."""
     base = (docs.select("doc_id", words(F.col("text")).alias("raw"))
-            .withColumn("canon", canonical(F.col("raw")))
+            .withColumn("canon", canonical(F.col("raw"))).withColumn("_amb", ambiguous(F.col("raw")))
             .withColumn("h", F.transform("canon", lambda x: F.xxhash64(x)))
+            .withColumn("v", F.transform(verbatim(F.col("raw")), lambda x: F.xxhash64(x)))
+            .withColumn("amb", F.when(F.exists("_amb", lambda x: x), F.col("_amb")))
             .withColumn("p", F.when(F.exists("canon", lambda x: x.contains("\u0002")),
                                     F.transform("canon", lambda x: x.contains("\u0002")))))
     out = None
     for n in sizes:
-        at = base.select("*", F.explode(F.when(F.size("raw") >= n, F.sequence(F.lit(0), F.size("raw") - n))).alias("start"))
-        hashes = F.array(*[F.get("h", F.col("start") + j) for j in range(n)])
-        slot = F.lit(False)
+        at = base.select("doc_id", "raw", "h", "v", "amb", "p",
+                         F.explode(F.when(F.size("raw") >= n, F.sequence(F.lit(0), F.size("raw") - n))).alias("start"))
+        start, m = F.col("start"), F.col("m")
+        at = at.select("*", F.explode(_readings(F.when(F.col("amb").isNull(), F.lit(0)).otherwise(_bits("amb", start, n)))).alias("m"))
+        hashes = F.array(*[F.when(m == RAW, F.get("v", start + j)).when(m.bitwiseAND(F.lit(1 << j)) != 0, F.xxhash64(F.lit(NAME)))
+                           .otherwise(F.get("h", start + j)) for j in range(n)])
+        slot = m > 0
         for j in range(n):
-            slot = slot | F.get("p", F.col("start") + j)
-        one = at.select("doc_id", F.xxhash64(F.lit(n), hashes).alias("key"), "start",
-                        F.when(F.col("p").isNotNull() & slot, F.slice("raw", F.col("start") + 1, n)).alias("slot_words"))
+            slot = slot | F.coalesce(F.get("p", start + j), F.lit(False))
+        one = at.select("doc_id", F.xxhash64(F.when(m == RAW, F.lit(-n)).otherwise(F.lit(n)), hashes).alias("key"), "start", (m == 0).alias("first_doc"),
+                        F.when(slot & (m != RAW), F.slice("raw", start + 1, n)).alias("slot_words"))
         out = one if out is None else out.unionAll(one)
     return out
 
@@ -123,19 +183,41 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     hits = text_windows(docs, [WINDOW, *sorted(short)]).join(bench, "key")
     filled = F.transform("slots", lambda s: F.struct(
         s["at"].alias("at"), s["item"].alias("item"),
-        _value(F.get("slot_words", s["at"] - F.col("pos"))).alias("doc")))
-    by_shift = (hits.select("doc_id", "item_id", (F.col("start") - F.col("pos")).alias("shift"), "pos", "n", "n_item",
-                            filled.alias("filled"))
+        F.when(F.col("raw_key"), s["item"]).otherwise(_value(F.get("slot_words", s["at"] - F.col("pos")))).alias("doc"), s["free"].alias("free")))
+    # a word that may be no name and is the same in both is no slot
+    filled = F.transform(F.filter(filled, lambda s: ~(s["free"] & (s["item"] == s["doc"]))),
+                         lambda s: F.struct(s["at"], s["item"], s["doc"]))
+    first = F.col("first_doc") & F.col("first_item")
+    place = F.sequence("pos", F.col("pos") + F.col("n") - 1)
+
+    def union(arrays: Column) -> Column:
+        return F.array_distinct(F.flatten(F.collect_set(arrays)))
+
+    by_shift = (hits.select("doc_id", "item_id", (F.col("start") - F.col("pos")).alias("shift"), "pos", "n", "n_item", "raw_key",
+                            first.alias("first"), place.alias("place"), filled.alias("filled"))
                 .groupBy("doc_id", "item_id", "shift")
-                .agg(F.countDistinct("pos").alias("n_windows"), F.max("n_item").alias("n_item"),
-                     F.array_distinct(F.flatten(F.collect_set(F.sequence("pos", F.col("pos") + F.col("n") - 1)))).alias("cover"),
-                     F.array_distinct(F.flatten(F.collect_set("filled"))).alias("filled")))
-    pairs = F.array_distinct(F.transform("filled", lambda s: F.struct(s["item"], s["doc"])))
-    values = F.array_distinct(F.transform("filled", lambda s: s["item"]))
-    good = by_shift.filter((F.size("cover") >= F.least(F.lit(MIN_COVERED), F.col("n_item"))) & (F.size(pairs) == F.size(values)))
-    return (good.groupBy("doc_id", "item_id")
-            .agg(F.max(F.size("cover")).cast("long").alias("n_covered"), F.max("n_windows").cast("long").alias("n_windows"),
-                 F.max(F.size("filled")).cast("long").alias("n_slots")))
+                .agg(F.max("n_item").alias("n_item"), F.max("n").alias("n"),
+                     F.sort_array(F.collect_set(F.when(F.col("raw_key"), F.col("pos")))).alias("same"),
+                     F.collect_set("pos").alias("windows"), union(F.col("place")).alias("cover"), union(F.col("filled")).alias("filled"),
+                     F.collect_set(F.when(F.col("first"), F.col("pos"))).alias("windows1"),
+                     union(F.when(F.col("first"), F.col("place"))).alias("cover1"),
+                     union(F.when(F.col("first"), F.col("filled"))).alias("filled1")))
+    need = F.least(F.lit(MIN_COVERED), F.col("n_item"))
+
+    def consistent(filled: str) -> Column:
+        pairs = F.array_distinct(F.transform(filled, lambda s: F.struct(s["item"], s["doc"])))
+        return F.size(pairs) == F.size(F.array_distinct(F.transform(filled, lambda s: s["item"])))
+
+    ahead = need - F.col("n")           # so many windows later, a run of equal words is long enough
+    run = F.exists(F.transform("same", lambda x, i: F.coalesce(F.get("same", i + ahead) == x + ahead, F.lit(False))), lambda x: x)
+    by_shift = by_shift.withColumns({"ok1": (F.size("cover1") >= need) & consistent("filled1"),
+                                     "ok": (F.size("cover") >= need) & (consistent("filled") | run)})
+
+    def most(name: str) -> Column:
+        return F.coalesce(F.max(F.when(F.col("ok1"), F.size(name + "1"))), F.max(F.size(name))).cast("long")
+
+    return (by_shift.filter("ok OR ok1").groupBy("doc_id", "item_id")
+            .agg(most("cover").alias("n_covered"), most("windows").alias("n_windows"), most("filled").alias("n_slots")))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
