@@ -19,3 +19,12 @@ def test_verbatim_items_without_literal_windows(spark, item):
 def test_numbers_count_in_windows_without_literals(spark):
     item = "Compute 12 + 7 , 15 - 4 , 8 * 9 , 36 / 6 , 81 - 1"
     assert not flagged(spark, ["Compute 11 + 3 , 16 - 5 , 7 * 8 , 35 / 5 , 80 - 2"], [item])
+
+
+def test_names_at_the_start_of_sentences(spark):
+    item = "Anna has 3 apples. Anna buys 4 more. Anna eats 2 pears. Anna sells 5 plums. How many pieces does she have?"
+    new = item.replace("Anna", "Bert").replace("3", "7").replace("4", "9")
+    docs = [new, f"some words before it: {new} and after", f'they said "{new}"', "So. " + item, "Birds have wings. Trees have leaves. Cars have wheels."]
+    assert {d for d, _ in flagged(spark, docs, [item])} == {0, 1, 2, 3}
+    asked = item.replace("does she", "does Anna")
+    assert flagged(spark, [asked.replace("Anna", "Bert"), asked.replace("Anna", "Bert").replace("does Bert", "does Carl")], [asked]) == {(0, 0)}
