@@ -230,10 +230,36 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
                       F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with _n: a number of its own for every (doc_id, text), in the order of ids, null ids last.
+
+    Only ids and hashes of texts are sorted.
+    """
+    text = F.col("text").cast("string")
+    hashed = docs.withColumns({"_x": F.xxhash64(text), "_y": F.xxhash64(F.lit(1), text, text.isNull())})
+    pairs = hashed.select(F.col("doc_id").cast("long").alias("_i"), "_x", "_y").distinct()
+    numbers = pairs.orderBy(F.asc_nulls_last("_i"), "_x", "_y").withColumn("_n", F.monotonically_increasing_id())
+    numbers = staged(numbers, "minhash-numbers").select("_i", F.col("_x").alias("_x2"), F.col("_y").alias("_y2"), "_n")
+    same = hashed["doc_id"].cast("long").eqNullSafe(numbers["_i"]) & (hashed["_x"] == numbers["_x2"]) & (hashed["_y"] == numbers["_y2"])
+    return hashed.join(numbers, same).drop("_x", "_y", "_i", "_x2", "_y2")
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row per group of near-duplicates, with the columns of ``docs``.
 
-    Of rows that repeat the kept doc_id, one stays.  Rows without a doc_id go.
+    Of rows with equal doc_id and text, one stays.  Rows that repeat a doc_id
+    with other texts, and rows without a doc_id, are judged each by their own
+    text: they compete under a number of their own, rows without a doc_id
+    last.  Of rows without a doc_id those without a word go.
     """
-    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
+    text = F.col("text").cast("string")
+    odd = (docs.groupBy(F.col("doc_id").cast("long").alias("_i"))
+           .agg(F.min(F.xxhash64(text)).alias("lo"), F.max(F.xxhash64(text)).alias("hi")).filter("_i IS NULL OR lo <> hi"))
+    if not odd.take(1):
+        kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
+        return docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
+    rows = staged(_numbered(docs), "minhash-numbered")
+    found = near_duplicates(rows.select(F.col("_n").alias("doc_id"), "text")).filter("kept")
+    kept = found.select(F.col("doc_id").alias("_m"), (F.col("n_shingles") > 0).alias("_has_words")).distinct()
+    out = rows.join(kept, rows["_n"] == kept["_m"]).filter(F.col("doc_id").isNotNull() | F.col("_has_words"))
+    return out.dropDuplicates(["_n"]).select(*[rows[c] for c in docs.columns])

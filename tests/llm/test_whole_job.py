@@ -1,6 +1,10 @@
 """Cases that shorter versions of the operators lost."""
 
+import random
+
 import pytest
+from llm_rows import DOCS, prose
+from pitchlake.llm import minhash
 from test_native import flagged
 
 
@@ -28,3 +32,13 @@ def test_names_at_the_start_of_sentences(spark):
     assert {d for d, _ in flagged(spark, docs, [item])} == {0, 1, 2, 3}
     asked = item.replace("does she", "does Anna")
     assert flagged(spark, [asked.replace("Anna", "Bert"), asked.replace("Anna", "Bert").replace("does Bert", "does Carl")], [asked]) == {(0, 0)}
+
+
+def test_rows_that_repeat_an_id_or_have_none_keep_their_texts(spark):
+    rng = random.Random(12)
+    a, z, y, q, v = (prose(rng, 120, 5000) for _ in range(5))
+    rows = [(1, a), (5, a), (5, z), (3, y), (6, y + " more"), (6, q), (None, v), (None, v + " tail"), (None, a), (None, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], DOCS).repartition(4)
+    got = [(r["doc_id"], r["text"]) for r in minhash.keep_one(docs).collect()]
+    assert sorted(got[k] for k in range(len(got)) if got[k][0] is not None) == sorted([(1, a), (5, z), (3, y), (6, q)])
+    assert [t for i, t in got if i is None] in ([v], [v + " tail"])
