@@ -5,6 +5,7 @@ from __future__ import annotations
 from pitchlake.llm.decontaminate import MIN_COVERED, MIN_ITEM, MIN_LITERAL, RULES, WINDOW
 from pitchlake.llm.line_dedup import MIN_WORDS
 from pitchlake.llm.mixing import MAX_USES, SHARE, WEIGHTS
+from pitchlake.llm import filter_audit as audit
 from pitchlake.llm import quality_rules as rules
 from pitchlake.llm.queries import N_SHARDS
 from pitchlake.llm.sharding import even_tree
@@ -223,3 +224,37 @@ c AS (
 SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_equal, 0) AS n_equal, coalesce(n_near, 0) AS n_near,
        coalesce(n_lines - n_equal - n_near, 0) AS n_kept, coalesce(dropped, '') AS dropped
 FROM (SELECT DISTINCT doc_id FROM documents) LEFT JOIN c USING (doc_id)"""
+
+
+_ORDERED = " || ".join(f"{x}.f" for x in "abcde")
+_DIFFERENT = " AND ".join(f"{x}.f <> {y}.f" for i, x in enumerate("abcde") for y in "abcde"[:i])
+
+# every document under every order, by the letters of the filters that it fails
+ORACLE["op11_filter_audit"] = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, {WORDS} AS w FROM documents),
+least AS (SELECT t, min(doc_id) AS least FROM d GROUP BY t),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         CASE WHEN len(w) < {audit.MIN_WORDS} THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(w)) < {audit.MIN_DISTINCT_PERCENT} * len(w) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > {audit.MAX_UPPER_PERCENT} * length(t) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(t, '{audit.SYMBOLS}') THEN 'D' ELSE '' END
+         || CASE WHEN doc_id > least THEN 'E' ELSE '' END AS fails
+  FROM d JOIN least USING (t) LEFT JOIN l USING (doc_id)),
+g AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, fails),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+o AS (SELECT {_ORDERED} AS filter_order FROM x a, x b, x c, x d, x e WHERE {_DIFFERENT}),
+s AS (SELECT filter_order, unnest(range(1, 6)) AS step FROM o),
+s2 AS (SELECT *, filter_order[step] AS filter, filter_order[1 : step - 1] AS earlier FROM s),
+r AS (
+  SELECT part, filter_order, step::INT AS step, filter,
+         sum(CASE WHEN translate(fails, earlier || filter, '') = fails THEN n ELSE 0 END)::BIGINT AS kept,
+         sum(CASE WHEN contains(fails, filter) AND translate(fails, earlier, '') = fails THEN n ELSE 0 END)::BIGINT AS removed,
+         sum(CASE WHEN contains(fails, filter) AND translate(fails, earlier, '') <> fails THEN n ELSE 0 END)::BIGINT AS redundant,
+         sum(CASE WHEN fails = filter THEN n ELSE 0 END)::BIGINT AS unique_fails,
+         sum(CASE WHEN contains(fails, filter) AND translate(fails, earlier, '') = fails THEN good ELSE 0 END)::BIGINT AS good_lost,
+         sum(CASE WHEN contains(fails, filter) AND translate(fails, earlier, '') = fails THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM g, s2 GROUP BY ALL)
+SELECT *, sum(removed) OVER (PARTITION BY part, filter)::BIGINT AS shapley FROM r"""
