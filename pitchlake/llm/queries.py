@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.llm import decontaminate, filter_audit, line_dedup, minhash, mixing, quality_rules, quality_score, repeats, sharding, toxicity, url_filter, url_lists
+from pitchlake.llm import decontaminate, filter_audit, line_dedup, minhash, mixing, quality_rules, quality_score, repeats, sharding, simhash, toxicity, url_filter, url_lists
 from pitchlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five filters on all documents, under each of their 120 orders."""
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op12_simhash")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints and classes of all documents."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
