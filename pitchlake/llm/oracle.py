@@ -258,3 +258,32 @@ r AS (
          sum(CASE WHEN contains(fails, filter) AND translate(fails, earlier, '') = fails THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
   FROM g, s2 GROUP BY ALL)
 SELECT *, sum(removed) OVER (PARTITION BY part, filter)::BIGINT AS shapley FROM r"""
+
+
+# every prefix of every rebuilt conversation as a list of turns
+ORACLE["op13_prefix_trie"] = f"""
+WITH {CRC_TABLE}, turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, sha256(octet_length(encode(role)) || ':' || role || text)) AS t
+  FROM turns GROUP BY conv_id),
+h AS (SELECT conv_id, t, {crc32('conv_id::VARCHAR')} % 4 AS h FROM own, crc_table),
+r AS (
+  SELECT h.conv_id, list_concat(coalesce(b.t[1 : h], []), h.t[h + 1 :]) AS t
+  FROM h LEFT JOIN own b ON b.conv_id = h.conv_id - h.conv_id % 20),
+m AS (SELECT conv_id, d, t[1 : d] AS path, len(t) = d AS ends FROM (SELECT *, unnest(range(0, len(t) + 1)) AS d FROM r)),
+n AS (
+  SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '') AS e
+  FROM m GROUP BY path, d),
+kids AS (SELECT path[1 : d - 1] AS path, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+w AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children,
+         CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * len(regexp_extract_all(path[d].text, '[^\x20\x09-\x0D]+')) END AS saved
+  FROM n LEFT JOIN kids USING (path)),
+below AS (
+  SELECT path[1 : k] AS path, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM w) GROUP BY 1)
+SELECT w.conv_id, w.d::BIGINT AS depth, up.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, sha256(w.e) AS ends_sha256
+FROM w JOIN below USING (path) LEFT JOIN n up ON w.d > 0 AND up.d = w.d - 1 AND up.path = w.path[1 : w.d - 1]"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.llm import decontaminate, filter_audit, line_dedup, minhash, mixing, quality_rules, quality_score, repeats, sharding, simhash, toxicity, url_filter, url_lists
+from pitchlake.llm import decontaminate, filter_audit, line_dedup, minhash, mixing, prefix_trie, quality_rules, quality_score, repeats, sharding, simhash, toxicity, url_filter, url_lists
 from pitchlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,9 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints and classes of all documents."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op13_prefix_trie")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of all rebuilt conversations."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
