@@ -265,11 +265,11 @@ ORACLE["op13_prefix_trie"] = f"""
 WITH {CRC_TABLE}, turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
 own AS (
-  SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, sha256(octet_length(encode(role)) || ':' || role || text)) AS t
+  SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, sha256(octet_length(encode(role)) || ':' || role || text)) AS ts
   FROM turns GROUP BY conv_id),
-h AS (SELECT conv_id, t, {crc32('conv_id::VARCHAR')} % 4 AS h FROM own, crc_table),
+h AS (SELECT conv_id, ts, {crc32('conv_id::VARCHAR')} % 4 AS h FROM own, crc_table),
 r AS (
-  SELECT h.conv_id, list_concat(coalesce(b.t[1 : h], []), h.t[h + 1 :]) AS t
+  SELECT h.conv_id, list_concat(coalesce(b.ts[1 : h], []), h.ts[h + 1 :]) AS t
   FROM h LEFT JOIN own b ON b.conv_id = h.conv_id - h.conv_id % 20),
 m AS (SELECT conv_id, d, t[1 : d] AS path, len(t) = d AS ends FROM (SELECT *, unnest(range(0, len(t) + 1)) AS d FROM r)),
 n AS (
