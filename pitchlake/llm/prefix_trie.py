@@ -66,6 +66,7 @@ def turns(conversations: DataFrame) -> DataFrame:
 
 def numbered(rows: DataFrame) -> DataFrame:
     """``rows`` in the order of conversations and turns, with the gapless number ``g``."""
+    rows = staged(rows, "trie-turns")              # the sort looks at its input twice
     ordered = staged(rows.orderBy("conv_id", F.asc_nulls_first("turn"), "digest")
                      .withColumn("m", F.monotonically_increasing_id()), "trie-ordered")
     part = F.shiftright("m", 33)
