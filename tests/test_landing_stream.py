@@ -12,7 +12,7 @@ from pitchlake.sources import landing as L
 from pitchlake.sources.tables import Tables
 from pitchlake.streaming import pipeline as S
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 
 
 def test_scored_map_round_trip(spark):

@@ -6,7 +6,7 @@ from pitchlake.operators import ensemble as EN
 from pitchlake.operators import models as MD
 from pitchlake.plans.pipeline import Pipeline
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 
 
 def test_design_matrix_has_no_nulls(spark):

@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as E
 from pitchlake.sources.tables import TABLES
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 
 KEYS = ["a08_standings_round", "a09_standings_cumulative", "j01_enrich_with_scores", "a06_athlete_profile",
         "l14_ensemble_predict", "m08_scd2_from_history", "s02_land_athletes", "w14_run_anomalies"]
