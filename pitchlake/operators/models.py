@@ -15,6 +15,7 @@ from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pitchlake.operators import search as SR
 from pitchlake.operators.ensemble import time_folds
 
 # ----------------------------------------------------------------------------
@@ -55,8 +56,10 @@ def gbt(max_iter: int = 30, max_depth: int = 4, step: float = 0.1) -> GBTRegress
                         maxDepth=max_depth, stepSize=step, seed=SEED)
 
 
-def fit_gbt(train: DataFrame, **params):
-    return gbt(**params).fit(assemble(train))
+def fit_gbt(train: DataFrame, searched: dict | None = None, **params):
+    """L03; ``searched`` are the settings of L09."""
+    booster = SR.booster(searched, searched["trees"], TARGET, SEED) if searched else gbt(**params)
+    return booster.fit(assemble(train))
 
 
 CATEGORIES = ("posicao_id", "mando_campo", "classico")
@@ -66,19 +69,30 @@ def _with_categories(df: DataFrame) -> DataFrame:
     return df.withColumn("mando_campo", F.coalesce("mando_campo", F.lit("sem_jogo")))
 
 
-def fit_gbt_categorical(train: DataFrame, max_iter: int = 30, max_depth: int = 5):
-    """Second booster, with native categoricals (position, side, derby):
+def categorical_stages() -> list:
+    """Encoding of the second booster: native categoricals (position, side, derby),
     indexed with ``handleInvalid='keep'`` (unseen level -> extra index) and
-    marked categorical by ``VectorIndexer``; row sampling per tree makes it a
-    differently-biased member of the ensemble."""
+    marked categorical by ``VectorIndexer``."""
     idx = StringIndexer(inputCols=list(CATEGORIES), outputCols=[f"{c}_idx" for c in CATEGORIES],
                         handleInvalid="keep", stringOrderType="alphabetAsc")
     nums = [c for c in NUMERIC_FEATURES if c != "posicao_id"]
     va = VectorAssembler(inputCols=nums + [f"{c}_idx" for c in CATEGORIES], outputCol="raw", handleInvalid="keep")
     vi = VectorIndexer(inputCol="raw", outputCol="features", maxCategories=8, handleInvalid="keep")
-    booster = GBTRegressor(featuresCol="features", labelCol=TARGET, maxIter=max_iter, maxDepth=max_depth,
-                           stepSize=0.1, subsamplingRate=0.7, seed=SEED)
-    return MLPipeline(stages=[idx, va, vi, booster]).fit(_with_categories(train))
+    return [idx, va, vi]
+
+
+def categorical_features(train: DataFrame) -> DataFrame:
+    x = _with_categories(train)
+    return MLPipeline(stages=categorical_stages()).fit(x).transform(x)
+
+
+def fit_gbt_categorical(train: DataFrame, max_iter: int = 30, max_depth: int = 5, params: dict | None = None):
+    """Second booster; ``params`` are searched ones (L09).  Row sampling per
+    tree makes it a differently-biased member of the ensemble."""
+    gbt_b = (SR.booster(params, params["trees"], TARGET, SEED) if params else
+             GBTRegressor(featuresCol="features", labelCol=TARGET, maxIter=max_iter, maxDepth=max_depth,
+                          stepSize=0.1, subsamplingRate=0.7, seed=SEED))
+    return MLPipeline(stages=[*categorical_stages(), gbt_b]).fit(_with_categories(train))
 
 
 def score_categorical(model, df: DataFrame, name: str = "lightgbm") -> DataFrame:
@@ -92,14 +106,18 @@ def score_poisson(fitted, df: DataFrame, name: str = "poisson") -> DataFrame:
     return score(model, assemble(poisson_inputs(df, priors), POISSON_COLS), name=name)
 
 
-def predict_all(train: DataFrame, rows: DataFrame, max_iter: int = 30) -> DataFrame:
-    """L03 + L04 + L05 fitted on ``train``, their predictions of ``rows`` stacked."""
-    a = score(fit_gbt(train, max_iter=max_iter, max_depth=4), rows, name="xgboost")
-    b = score_categorical(fit_gbt_categorical(train, max_iter=max_iter), rows)
+def predict_all(train: DataFrame, rows: DataFrame, max_iter: int = 30, searched: tuple[dict, dict] | None = None) -> DataFrame:
+    """L03 + L04 + L05 fitted on ``train``, their predictions of ``rows`` stacked.
+
+    ``searched``: the settings that L09 found for the two boosters.
+    """
+    one, two = searched or (None, None)
+    a = score(fit_gbt(train, one, **({} if one else {"max_iter": max_iter, "max_depth": 4})), rows, name="xgboost")
+    b = score_categorical(fit_gbt_categorical(train, max_iter=max_iter, params=two), rows)
     return a.unionByName(b).unionByName(score_poisson(fit_poisson(train), rows))
 
 
-def out_of_fold(matrix: DataFrame, n_splits: int = 2, max_iter: int = 30) -> DataFrame:
+def out_of_fold(matrix: DataFrame, n_splits: int = 2, max_iter: int = 30, searched: tuple[dict, dict] | None = None) -> DataFrame:
     """Every model's predictions of rounds that it was not fitted on.
 
     Past rounds are predicted by fits on the earlier rounds of expanding folds
@@ -111,11 +129,12 @@ def out_of_fold(matrix: DataFrame, n_splits: int = 2, max_iter: int = 30) -> Dat
     rounds = {}
     for r in folds.collect():                       # one row per fold, round and role
         rounds.setdefault(r["fold"], {}).setdefault(r["papel"], []).append(r["rodada_alvo"])
-    out = predict_all(train, rows, max_iter)
+    more = {"searched": searched} if searched else {}
+    out = predict_all(train, rows, max_iter, **more)
     for f in sorted(rounds):
         past = train.filter(F.col("rodada_alvo").isin(rounds[f].get("train", [])))
         test = train.filter(F.col("rodada_alvo").isin(rounds[f].get("test", [])))
-        out = out.unionByName(predict_all(past, test, max_iter))
+        out = out.unionByName(predict_all(past, test, max_iter, **more))
     return out
 
 
@@ -157,36 +176,6 @@ def score(model, df: DataFrame, cols=FEATURES, name: str = "modelo") -> DataFram
                                      F.lit(name).alias("modelo"))
 
 
-def rmse(pred: DataFrame, label: str = TARGET, col: str = "prediction") -> float:
-    r = pred.agg(F.sqrt(F.avg((F.col(col) - F.col(label)) ** 2)).alias("r")).first()
-    return float(r["r"]) if r and r["r"] is not None else float("nan")
-
-
-def grid_search(train: DataFrame, folds: DataFrame, grid: list[dict]) -> DataFrame:
-    """Mean out-of-fold RMSE per parameter setting (expanding folds).
-
-    ``folds`` is the output of :func:`time_folds` (fold, rodada_alvo, papel);
-    each fit runs on the cluster; only the per-fold metric returns.
-    """
-    spark = train.sparkSession
-    x = assemble(train).cache()
-    rows = []
-    fold_ids = sorted(r["fold"] for r in folds.select("fold").distinct().collect())  # <= n_splits rows
-    for i, params in enumerate(grid):
-        errs = []
-        for f in fold_ids:
-            fr = folds.filter(F.col("fold") == f)
-            tr = x.join(fr.filter(F.col("papel") == "train").select("rodada_alvo"), "rodada_alvo", "left_semi")
-            te = x.join(fr.filter(F.col("papel") == "test").select("rodada_alvo"), "rodada_alvo", "left_semi")
-            m = gbt(**params).fit(tr)
-            errs.append(rmse(m.transform(te)))
-            rows.append((i, str(params), int(f), errs[-1]))
-    x.unpersist()
-    res = spark.createDataFrame(rows, "config int, params string, fold int, rmse double")
-    return res.groupBy("config", "params").agg(F.avg("rmse").alias("rmse_medio"),
-                                               F.count(F.lit(1)).alias("folds"))
-
-
 def feature_importance(model, cols=FEATURES) -> DataFrame:
     """Tree feature importances, largest first."""
     from pyspark.sql import SparkSession

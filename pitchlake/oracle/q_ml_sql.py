@@ -1,6 +1,7 @@
 """Oracle SQL for pitchlake.plans.q_ml (the design matrix; model fits are rows-only)."""
 
 from pitchlake.oracle.bindings_sql import _cte
+from pitchlake.operators.search import FOLDS, SPACE, TRIALS
 from pitchlake.oracle.queries_sql import oracle
 
 _cte("tf_base", """
@@ -55,3 +56,25 @@ oracle("l02_design_matrix", "SELECT atleta_id, rodada_alvo, mando_campo, pontuac
        + ", CAST(CASE WHEN mando_campo = 'casa' THEN 1 ELSE 0 END AS DOUBLE) AS mando_casa"
        + ", CAST(coalesce(CAST(eh_classico AS INTEGER), 0) AS DOUBLE) AS classico FROM training",
        "training", doubles=_FEATS + ("pontuacao_real", "mando_casa", "classico"))
+
+# every seeded draw as an md5, and the expanding folds over the ordered rounds
+_U = "((('0x' || substr(md5('l09/' || t || '/{}'), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE)"
+
+
+def _drawn(name: str) -> str:
+    kind, lo, hi = SPACE[name]
+    u = _U.format(name)
+    if kind == "log":
+        return f"round(exp(ln({lo}::DOUBLE) + {u} * (ln({hi}::DOUBLE) - ln({lo}::DOUBLE))), 6) AS {name}"
+    if kind == "int":
+        return f"floor({lo} + {u} * {hi - lo} + 0.5)::INT AS {name}"
+    return f"round({lo}::DOUBLE + {u} * ({hi}::DOUBLE - {lo}::DOUBLE), 6) AS {name}"
+
+
+oracle("l09_trial_plan", f"""
+SELECT fold, n_train::BIGINT AS n_train, n_valid::BIGINT AS n_valid, t::INT AS trial, {', '.join(map(_drawn, SPACE))}
+FROM (SELECT f.fold::INT AS fold, sum(CASE WHEN i <= n - ({FOLDS} - f.fold + 1) * (n // {FOLDS + 1}) THEN k ELSE 0 END) AS n_train,
+             sum(CASE WHEN i > n - ({FOLDS} - f.fold + 1) * (n // {FOLDS + 1}) AND i <= n - ({FOLDS} - f.fold) * (n // {FOLDS + 1}) THEN k ELSE 0 END) AS n_valid
+      FROM (SELECT rodada_alvo, count(*) AS k, row_number() OVER (ORDER BY rodada_alvo) AS i, count(*) OVER () AS n
+            FROM training WHERE pontuacao_real IS NOT NULL GROUP BY rodada_alvo) r, range(1, {FOLDS + 1}) f(fold)
+      GROUP BY f.fold), range({TRIALS}) t(t)""", "training")

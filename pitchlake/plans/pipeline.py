@@ -170,12 +170,14 @@ class TrainedPipeline(Pipeline):
     """
 
     n_splits = 2
+    #: Settings of the two boosters that L09 found (None: the library's plain ones).
+    searched: tuple[dict, dict] | None = None
 
     @cached_property
     def predictions(self) -> DataFrame:
         from pitchlake.operators import models as MD
         matrix = self.t.shared("design_matrix", lambda: MD.design_matrix(self.training_features))
-        out = self.t.shared("trained_predictions", lambda: MD.out_of_fold(matrix, self.n_splits))
+        out = self.t.shared("trained_predictions", lambda: MD.out_of_fold(matrix, self.n_splits, searched=self.searched))
         return out.withColumn("pontuacao_prevista", F.col("pontuacao_prevista") / B.PREDICTION_SCALE)
 
     @cached_property

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pitchlake.operators import ensemble as EN
 from pitchlake.operators import models as MD
+from pitchlake.operators import search as SR
 from pitchlake.plans.queries import query
 from pitchlake.sources import io as IO
 from pitchlake.streaming.pipeline import scratch
@@ -16,6 +17,27 @@ def _dm(p):
     return MD.design_matrix(p.training_features)
 
 
+#: Tree limit and patience of the registered searches (the library's defaults are 500 and 30).
+MAX_TREES, PATIENCE = 16, 1
+_SEARCHED: dict[tuple, str] = {}
+
+
+def trials(p, which: str):
+    """L09 trial table of a booster; run once per session and input, then read from where it was written."""
+    key = (p.spark.sparkContext.applicationId, p.sf_dir, which)
+    if key not in _SEARCHED:
+        matrix = p.t.shared("design_matrix", lambda: _dm(p))
+        train, _ = MD.split(matrix)
+        features = MD.assemble(train) if which == "a" else MD.categorical_features(train)
+        settings = SR.settings() if which == "a" else SR.grid_b()
+        base = scratch(p.spark, f"l09-{which}")
+        IO.overwrite(features.select("features", MD.TARGET, "rodada_alvo"), f"{base}/features")
+        written = p.spark.read.parquet(f"{base}/features")
+        IO.overwrite(SR.search(written, settings, MD.TARGET, max_trees=MAX_TREES, patience=PATIENCE), f"{base}/trials")
+        _SEARCHED[key] = f"{base}/trials"
+    return p.spark.read.parquet(_SEARCHED[key])
+
+
 @query("l02_design_matrix")
 def _(p):
     return _dm(p)
@@ -23,15 +45,18 @@ def _(p):
 
 @query("l03_boosted_trees_a")
 def _(p):
-    train, rows = MD.split(_dm(p))
-    model = MD.fit_gbt(train, max_iter=30, max_depth=4)
-    return MD.score(model, rows, name="xgboost")
+    """L03 with the settings and the number of trees that L09 found."""
+    found = SR.best(trials(p, "a"))
+    train, rows = MD.split(p.t.shared("design_matrix", lambda: _dm(p)))
+    return MD.score(MD.fit_gbt(train, found), rows, name="xgboost")
 
 
 @query("l04_boosted_trees_b")
 def _(p):
-    train, rows = MD.split(_dm(p))
-    return MD.score_categorical(MD.fit_gbt_categorical(train), rows)
+    """L04 with the settings and the number of trees that L09 found on its grid."""
+    found = SR.best(trials(p, "b"))
+    train, rows = MD.split(p.t.shared("design_matrix", lambda: _dm(p)))
+    return MD.score_categorical(MD.fit_gbt_categorical(train, params=found), rows)
 
 
 @query("l05_poisson_glm")
@@ -50,11 +75,21 @@ def _(p):
 
 @query("l09_param_search")
 def _(p):
+    """The 50 trials of the first booster, with their errors and what became of them."""
+    return trials(p, "a")
+
+
+@query("l09_param_search_b")
+def _(p):
+    """L09 on the second booster's grid."""
+    return trials(p, "b")
+
+
+@query("l09_trial_plan")
+def _(p):
+    """Settings of every trial, and the rows of every fold it may be tried on."""
     train, _ = MD.split(_dm(p))
-    folds = EN.time_folds(train, "rodada_alvo", 5)
-    grid = [{"max_iter": 5, "max_depth": 3}, {"max_iter": 10, "max_depth": 4},
-            {"max_iter": 10, "max_depth": 6}]
-    return MD.grid_search(train, folds, grid)
+    return SR.plan(train, SR.settings())
 
 
 @query("l10_feature_importance")

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from pitchlake.operators import ensemble as EN
 from pitchlake.operators import models as MD
+from pitchlake.operators import search as SR
 from pitchlake.plans.pipeline import Pipeline
 
 from sf_paths import SF_SMALL
@@ -29,11 +30,42 @@ def test_boosters_and_glm_score_every_row(spark):
     assert glm.transform(x).filter("prediction < 0").count() == 0
 
 
-def test_grid_search_over_time_folds(spark):
-    dm = MD.design_matrix(Pipeline(spark, SF_SMALL).training_features)
-    train, _ = MD.split(dm)
-    res = MD.grid_search(train, EN.time_folds(train, "rodada_alvo", 2), [{"max_iter": 3, "max_depth": 2}]).collect()
-    assert len(res) == 1 and res[0].folds == 2 and res[0].rmse_medio > 0
+def test_search_stops_early_prunes_and_ranks(spark):
+    """A signal that a slow learner cannot reach in time: the search prefers the fast one, and stops where a plain loop does."""
+    import math
+    rows = [(r, float(i % 7), float((i * 37 + r) % 11), 5.0 * (i % 7) + (i * 37 + r) % 3) for r in range(1, 13) for i in range(40)]
+    df = spark.createDataFrame(rows, f"rodada_alvo int, good double, noise double, {MD.TARGET} double").repartition(2)
+    x = MD.assemble(df, ("good", "noise"))
+    base = {"max_depth": 3, "min_child_weight": 1, "subsample": 1.0, "colsample": 1.0}
+    trials = [{**base, "learning_rate": v} for v in (0.01, 0.3, 0.05)]
+    table = SR.search(x, trials, MD.TARGET, n_splits=2, max_trees=8, patience=2, keep=3, finalists=1).orderBy("trial").collect()
+    assert [r.state for r in table] == ["pruned", "complete", "pruned"]
+    assert [(r.folds_run, r["rank"]) for r in table] == [(1, None), (2, 1), (1, None)]
+    (before, after), _ = SR.fold_rounds(x, "rodada_alvo", 2)
+    assert max(before) < min(after)
+    train, valid = x.filter(F.col("rodada_alvo").isin(before)), x.filter(F.col("rodada_alvo").isin(after))
+    errors = [SR.booster(trials[0], n, MD.TARGET).fit(train).transform(valid)
+              .agg(F.avg((F.col("prediction") - F.col(MD.TARGET)) ** 2)).first()[0] for n in (1, 2, 8)]
+    found, rmse = SR.boost(train, valid, trials[0], MD.TARGET, max_trees=8, patience=2)
+    assert found == 8 and math.isclose(rmse, math.sqrt(errors[2]), rel_tol=1e-9)
+    assert found == table[0].trees and math.isclose(rmse, table[0].rmse)
+    assert SR.best(spark.createDataFrame(table, "trial int, learning_rate double, max_depth int, min_child_weight int, subsample double, "
+                                         "colsample double, folds_run int, rmse double, trees int, state string, rank int"))["learning_rate"] == 0.3
+
+
+def test_early_stop_waits_for_patience():
+    assert SR.stop_at([5, 4, 3, 3.5, 3.2], 2) == 3
+    assert SR.stop_at([5, 4, 3, 3.5], 2) is None
+    assert SR.stop_at([5, 6, 4, 5, 5], 2) == 3
+    assert SR.stop_at([1, 2, 3], 2) == 1
+
+
+def test_settings_are_seeded_and_in_range():
+    drawn = SR.settings()
+    assert len(drawn) == 50 and drawn == SR.settings() and drawn != SR.settings(seed="other")
+    for one in drawn:
+        assert all(lo <= one[n] <= hi for n, (_, lo, hi) in SR.SPACE.items())
+    assert len({one["max_depth"] for one in drawn}) == 8
 
 
 def test_second_booster_boosts(spark):
@@ -49,7 +81,7 @@ def test_dag_picks_come_from_fitted_models(spark, tmpdir_path, monkeypatch):
     from pitchlake.plans.run import run_dag
     calls = []
     real = MD.predict_all
-    monkeypatch.setattr(MD, "predict_all", lambda train, rows, max_iter=30: calls.append(1) or real(train, rows, 4))
+    monkeypatch.setattr(MD, "predict_all", lambda train, rows, max_iter=30, **more: calls.append(1) or real(train, rows, 4))
     monkeypatch.setattr(P.TrainedPipeline, "n_splits", 1)
     paths = run_dag(spark, SF_SMALL, os.path.join(tmpdir_path, "dag"))
     assert len(calls) == 2                                # one fold and the rows to predict
