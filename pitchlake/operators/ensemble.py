@@ -11,11 +11,11 @@ from __future__ import annotations
 
 from itertools import chain
 
-from statistics import NormalDist
-
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pitchlake.operators import count_quantiles as CQ
 from pitchlake.sources.seeds import (COVERAGE_MIN, COVERAGE_THRESHOLDS, COVERAGE_WINDOW,
                                      DEFAULT_THRESHOLD)
 
@@ -210,9 +210,9 @@ def top_per_group(df: DataFrame, group: str, order: list[Column], n: int, salts:
 
 
 # ------------------------------------------------------------------ L06 / L07
-#: Up to this mean the CDF is summed term by term; above it the quantile is a
-#: Cornish-Fisher expansion, which is then within one unit of the exact value.
-EXACT_MEAN = 600.0
+#: Up to so many terms the CDF is summed in the JVM; rows with more are searched by the
+#: incomplete gamma and beta functions (``count_quantiles``).  Both are exact.
+MAX_TERMS = 4096
 
 
 def _count_below(first: Column, ratio, last: Column, probs) -> list[Column]:
@@ -236,28 +236,50 @@ def _count_below(first: Column, ratio, last: Column, probs) -> list[Column]:
     return [found[f"n{i}"] for i in range(len(probs))]
 
 
-def _expansion(mean: Column, var: Column, skew: Column, p: float) -> Column:
-    z = NormalDist().inv_cdf(p)
-    return F.round(mean + z * F.sqrt(var) + (z * z - 1) / 6 * skew * F.sqrt(var)).cast("long")
+def _by_search(mean: Column, size: Column | None, probs) -> list[Column]:
+    """Quantiles of the rows with a mean; the others get null."""
+    if size is None:
+        def found(m: pd.Series) -> pd.DataFrame:
+            return _found(probs, m, None)
+        args = [mean]
+    else:
+        def found(m: pd.Series, r: pd.Series) -> pd.DataFrame:
+            return _found(probs, m, r)
+        args = [mean, size]
+    kind = "struct<" + ",".join(f"n{i}:bigint" for i in range(len(probs))) + ">"
+    got = F.pandas_udf(found, kind)(*args)
+    return [got[f"n{i}"] for i in range(len(probs))]
+
+
+def _found(probs, m, r):
+    out = pd.DataFrame({f"n{i}": pd.Series([pd.NA] * len(m), dtype="Int64") for i in range(len(probs))})
+    rows = m.notna().to_numpy()
+    if rows.any():
+        size = None if r is None else r.to_numpy(float)[rows]
+        for i, p in enumerate(probs):
+            out.loc[rows, f"n{i}"] = CQ.quantile(p, m.to_numpy(float)[rows], size)
+    return out
+
+
+def _quantiles(mean: Column, size: Column | None, var: Column, first, ratio, probs) -> list[Column]:
+    last = F.ceil(mean + 12 * F.sqrt(var) + 10)
+    few = (last <= MAX_TERMS) & (mean <= 600)                   # pmf(0) does not vanish there
+    m = F.when(few, mean)
+    summed = _count_below(first(m), lambda k: ratio(m, k), F.when(few, last), probs)
+    searched = _by_search(F.when(~few, mean), size, probs)
+    return [F.when(few, a).otherwise(b) for a, b in zip(summed, searched, strict=True)]
 
 
 def poisson_quantile(mu: Column, probs=(0.10, 0.90)) -> list[Column]:
-    """Smallest k with Poisson(max(mu, 0.01)) CDF >= p, per row."""
+    """Smallest k with Poisson(max(mu, 0.01)) CDF >= p, per row and at any mean."""
     m = F.greatest(mu, F.lit(0.01))
-    small = F.least(m, F.lit(EXACT_MEAN))
-    exact = _count_below(F.exp(-small), lambda k: small / k, F.ceil(small + 10 * F.sqrt(small) + 10), probs)
-    return [F.when(m <= EXACT_MEAN, q).otherwise(_expansion(m, m, 1 / F.sqrt(m), p)) for q, p in zip(exact, probs, strict=True)]
+    return _quantiles(m, None, m, lambda m: F.exp(-m), lambda m, k: m / k, probs)
 
 
 def negbin_quantile(mu: Column, r: Column, probs=(0.10, 0.90)) -> list[Column]:
-    """Smallest k whose negative-binomial CDF (mean mu, size r) reaches p, per row."""
+    """Smallest k whose negative-binomial CDF (mean mu, size r) reaches p, per row and at any mean."""
     m = F.greatest(mu, F.lit(0.01))
-    small = F.least(m, F.lit(EXACT_MEAN))
-    var, q = small + small * small / r, small / (r + small)
-    exact = _count_below(F.exp(r * F.log(r / (r + small))), lambda k: (r + k - 1) / k * q, F.ceil(small + 12 * F.sqrt(var) + 10), probs)
-    full = m + m * m / r
-    skew = (1 + 2 * m / r) / F.sqrt(full)
-    return [F.when(m <= EXACT_MEAN, x).otherwise(_expansion(m, full, skew, p)) for x, p in zip(exact, probs, strict=True)]
+    return _quantiles(m, r, m + m * m / r, lambda m: F.exp(r * F.log(r / (r + m))), lambda m, k: (r + k - 1) / k * (m / (r + m)), probs)
 
 
 def _names(probs) -> list[str]:

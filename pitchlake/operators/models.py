@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline as MLPipeline
 from pyspark.ml.feature import StringIndexer, VectorAssembler, VectorIndexer
-from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pitchlake.operators import glm as GLM
 from pitchlake.operators import search as SR
 from pitchlake.operators.ensemble import time_folds
 
@@ -103,7 +104,7 @@ def score_categorical(model, df: DataFrame, name: str = "lightgbm") -> DataFrame
 
 def score_poisson(fitted, df: DataFrame, name: str = "poisson") -> DataFrame:
     model, priors = fitted
-    return score(model, assemble(poisson_inputs(df, priors), POISSON_COLS), name=name)
+    return score(model, poisson_inputs(df, priors), name=name)
 
 
 def predict_all(train: DataFrame, rows: DataFrame, max_iter: int = 30, searched: tuple[dict, dict] | None = None) -> DataFrame:
@@ -157,20 +158,15 @@ POISSON_COLS = ("media_pontos_geral", "media_ultimas_5", "media_ultimas_3", "des
                 "prior_media", "mando_casa", "classico", "pos_2", "pos_3", "pos_4", "pos_5", "pos_6")
 
 
-def fit_poisson(train: DataFrame, reg: float = 0.1):
-    """Log-link Poisson GLM on clip(y, 0), L2-regularised (Spark ML has
-    no elastic net for GLMs)."""
+def fit_poisson(train: DataFrame, alpha: float = GLM.ALPHA, l1: float = GLM.L1):
+    """Log-link Poisson GLM on clip(y, 0) with an elastic net."""
     priors = position_priors(train)
-    x = assemble(poisson_inputs(train, priors), POISSON_COLS).withColumn(
-        "_y", F.greatest(F.col(TARGET), F.lit(0.0)))
-    glm = GeneralizedLinearRegression(family="poisson", link="log", featuresCol="features", labelCol="_y",
-                                      regParam=reg, maxIter=50)
-    return glm.fit(x), priors
+    return GLM.fit(poisson_inputs(train, priors), POISSON_COLS, TARGET, alpha, l1), priors
 
 
 def score(model, df: DataFrame, cols=FEATURES, name: str = "modelo") -> DataFrame:
     """Distributed batch scoring, predictions clipped at 0."""
-    x = df if "features" in df.columns else assemble(df, cols)
+    x = df if "features" in df.columns or isinstance(model, GLM.PoissonModel) else assemble(df, cols)
     return model.transform(x).select("atleta_id", "rodada_alvo",
                                      F.greatest(F.col("prediction"), F.lit(0.0)).alias("pontuacao_prevista"),
                                      F.lit(name).alias("modelo"))

@@ -8,6 +8,8 @@ to a query body.
 
 from __future__ import annotations
 
+import re
+
 _SCOUTS = (("G", "purchase"), ("A", "signup"), ("DS", "click"),
            ("FS", "view"), ("CA", "error"))
 
@@ -217,4 +219,5 @@ def with_ctes(body: str, *names: str, extra: list[tuple[str, str]] | None = None
     parts += [f"{n} AS ({s})" for n, s in (extra or [])]
     if not parts:
         return body
-    return "WITH " + ",\n".join(parts) + "\n" + body
+    recursive = any(re.search(rf"\b{n}\b", CTES[n][0]) for n in order)
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts) + "\n" + body

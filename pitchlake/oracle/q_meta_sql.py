@@ -311,3 +311,24 @@ LEFT JOIN (SELECT * FROM mp WHERE modelo = 'lightgbm') l ON n.atleta_id = l.atle
 LEFT JOIN (SELECT * FROM mp WHERE modelo = 'poisson') p ON n.atleta_id = p.atleta_id AND n.rodada_alvo = p.rodada_alvo""",
        "nxt", "mp", "model_cov",
        doubles=("prev_xgb", "cov_xgb", "prev_lgb", "cov_lgb", "prev_poi", "cov_poi"))
+
+
+# both CDFs as sums of their log probabilities over every count
+oracle("l07_wide_interval", """
+WITH g AS (
+  SELECT c_nationkey, o_orderpriority, count(*) AS n, sum(y) / count(*)::DOUBLE AS mu, (sum(y * y) - sum(y) * (sum(y) / count(*)::DOUBLE)) / (count(*) - 1) AS v
+  FROM (SELECT o_custkey, o_orderpriority, floor(o_totalprice / 100)::BIGINT AS y FROM orders) o JOIN customer ON c_custkey = o_custkey
+  GROUP BY ALL HAVING count(*) > 1),
+s AS (SELECT *, CASE WHEN v > mu THEN mu * mu / (v - mu) ELSE 1e6::DOUBLE END AS size FROM g),
+k AS (SELECT *, unnest(range(0, (mu + 15 * sqrt(greatest(v, mu)) + 50)::BIGINT)) AS k FROM s),
+c AS (
+  SELECT c_nationkey, o_orderpriority, k,
+         sum(exp(lgamma(k + size) - lgamma(size) - lgamma(k + 1) + size * ln(size / (size + mu)) + k * ln(mu / (size + mu)))) OVER w AS nb,
+         sum(exp(k * ln(mu) - mu - lgamma(k + 1))) OVER w AS po
+  FROM k WINDOW w AS (PARTITION BY c_nationkey, o_orderpriority ORDER BY k)),
+q AS (
+  SELECT c_nationkey, o_orderpriority, min(k) FILTER (nb >= 0.1) AS nb_q10, min(k) FILTER (nb >= 0.9) AS nb_q90,
+         min(k) FILTER (po >= 0.1) AS poisson_q10, min(k) FILTER (po >= 0.9) AS poisson_q90
+  FROM c GROUP BY ALL)
+SELECT s.c_nationkey, s.o_orderpriority, n, mu, size, nb_q10, nb_q90, poisson_q10, poisson_q90
+FROM s JOIN q ON s.c_nationkey = q.c_nationkey AND s.o_orderpriority = q.o_orderpriority""", doubles=("mu", "size"))

@@ -1,6 +1,8 @@
 """Oracle SQL for pitchlake.plans.q_ml (the design matrix; model fits are rows-only)."""
 
 from pitchlake.oracle.bindings_sql import _cte
+from pitchlake.operators import models as MD
+from pitchlake.operators.glm import ALPHA, L1
 from pitchlake.operators.search import FOLDS, SPACE, TRIALS
 from pitchlake.oracle.queries_sql import oracle
 
@@ -78,3 +80,49 @@ FROM (SELECT f.fold::INT AS fold, sum(CASE WHEN i <= n - ({FOLDS} - f.fold + 1)
       FROM (SELECT rodada_alvo, count(*) AS k, row_number() OVER (ORDER BY rodada_alvo) AS i, count(*) OVER () AS n
             FROM training WHERE pontuacao_real IS NOT NULL GROUP BY rodada_alvo) r, range(1, {FOLDS + 1}) f(fold)
       GROUP BY f.fold), range({TRIALS}) t(t)""", "training")
+
+# The same convex problem solved in SQL.  One recursion step sums gradient and weighted normal equations over all
+# training rows; the lambda sweeps the coordinates of the penalised quadratic model.
+_COLS = MD.POISSON_COLS
+_P = len(_COLS) + 1
+_L1, _L2 = ALPHA * L1, ALPHA * (1 - L1)
+_SWEEPS, _STEPS = 400, 14
+_INPUT = {c: f"coalesce(t.{c}::DOUBLE, 0)" for c in _COLS} | {
+    "prior_media": "coalesce(prior_media, 0)", "mando_casa": "(CASE WHEN mando_campo = 'casa' THEN 1 ELSE 0 END)::DOUBLE",
+    "classico": "coalesce(eh_classico::INT, 0)::DOUBLE"} | {
+    f"pos_{k}": f"coalesce((t.posicao_id = {k})::INT, 0)::DOUBLE" for k in range(2, 7)}
+_SUMS = ", ".join([f"sum((mu - y) * x[{i}]) / count(*) AS g{i}" for i in range(1, _P + 1)]
+                  + [f"sum(mu * x[{i}] * x[{j}]) / count(*) AS h{i}_{j}" for i in range(1, _P + 1) for j in range(1, i + 1)])
+_G = "[" + ", ".join(f"g{i}" for i in range(1, _P + 1)) + "]"
+_H = "[" + ", ".join("[" + ", ".join(f"h{max(i, j)}_{min(i, j)}" for j in range(1, _P + 1)) + "]" for i in range(1, _P + 1)) + "]"
+_Q = "(g[i] + list_dot_product(h[i], list_transform(acc, lambda v, k: v - b[k])))"
+_SWEEP = f"""list_reduce(list_concat([b], sweeps), lambda acc, e: list_transform(acc, lambda v, i: CASE WHEN i <> e[1]::BIGINT THEN v
+  ELSE sign(h[i][i] * v - {_Q}) * greatest(0, abs(h[i][i] * v - {_Q}) - {_L1}) / (h[i][i] + {_L2}) END))"""
+
+_cte("glm_rows", f"""
+SELECT t.atleta_id, t.rodada_alvo, t.pontuacao_real, [1::DOUBLE, {', '.join(_INPUT[c] for c in _COLS)}] AS x
+FROM training t LEFT JOIN (SELECT posicao_id, avg(pontuacao_real) AS prior_media FROM training GROUP BY posicao_id) p
+  ON t.posicao_id = p.posicao_id""", "training")
+_cte("glm_train", "SELECT x, greatest(pontuacao_real, 0)::DOUBLE AS y FROM glm_rows WHERE pontuacao_real IS NOT NULL", "glm_rows")
+_cte("glm_steps", f"""
+SELECT 0 AS k, list_concat([ln((SELECT avg(y) FROM glm_train))], list_transform(range({_P - 1}), lambda i: 0::DOUBLE)) AS b
+UNION ALL
+SELECT k + 1, {_SWEEP}
+FROM (SELECT k, b, {_G} AS g, {_H} AS h,
+             flatten(list_transform(range({_SWEEPS}), lambda s: list_transform(range(1, {_P + 1}), lambda j: [j::DOUBLE]))) AS sweeps
+      FROM (SELECT k, any_value(b) AS b, {_SUMS}
+            FROM (SELECT k, b, x, y, exp(list_dot_product(b, x)) AS mu FROM glm_steps, glm_train WHERE k < {_STEPS}) GROUP BY k))""",
+     "glm_train")
+_cte("glm_fit", f"SELECT b FROM glm_steps WHERE k = {_STEPS}", "glm_steps")
+
+oracle("l05_glm_coefficients", f"SELECT unnest({['const', *_COLS]}) AS feature, unnest(b) AS coef, true AS optimal FROM glm_fit",
+       "glm_fit", doubles=("coef",))
+
+oracle("l05_poisson_glm", """
+SELECT s.atleta_id, s.rodada_alvo, mu AS pontuacao_prevista, q10 AS intervalo_credibilidade_inferior, q90 AS intervalo_credibilidade_superior
+FROM glm_scored s JOIN (
+  SELECT atleta_id, rodada_alvo, min(k) FILTER (cdf >= 0.1)::BIGINT AS q10, min(k) FILTER (cdf >= 0.9)::BIGINT AS q90
+  FROM (SELECT atleta_id, rodada_alvo, k, sum(exp(k * ln(m) - m - lgamma(k + 1))) OVER (PARTITION BY atleta_id, rodada_alvo ORDER BY k) AS cdf
+        FROM (SELECT *, greatest(mu, 0.01) AS m, unnest(range(0, (mu + 12 * sqrt(mu) + 20)::BIGINT)) AS k FROM glm_scored))
+  GROUP BY ALL) q ON q.atleta_id = s.atleta_id AND q.rodada_alvo = s.rodada_alvo""", "glm_fit", "glm_rows", doubles=("pontuacao_prevista",), extra=[
+    ("glm_scored", "SELECT atleta_id, rodada_alvo, exp(list_dot_product(b, x)) AS mu FROM glm_rows, glm_fit WHERE pontuacao_real IS NULL")])

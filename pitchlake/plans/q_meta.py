@@ -125,6 +125,27 @@ def _(p):
                     (high - NB_OFFSET).alias("limite_superior"))
 
 
+@query("l07_wide_interval")
+def _(p):
+    """L06 + L07 on large, strongly spread counts: order values in hundreds, by customer nation and priority.
+
+    Size by the method of moments, as in ``l07_overdispersed_interval``.
+    """
+    y = F.floor(F.col("o_totalprice") / 100).cast("long")
+    o = p.t.orders.select("o_custkey", "o_orderpriority", y.alias("y"))
+    nation = p.t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    g = o.join(nation, "o_custkey").groupBy("c_nationkey", "o_orderpriority").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("y").alias("s"), F.sum(F.col("y") * F.col("y")).alias("s2"))
+    mu = F.col("s") / F.col("n")
+    var = (F.col("s2") - F.col("s") * mu) / (F.col("n") - 1)
+    g = g.filter("n > 1").select("c_nationkey", "o_orderpriority", "n", mu.alias("mu"), var.alias("v"))
+    g = g.withColumn("size", F.when(F.col("v") > F.col("mu"), F.col("mu") * F.col("mu") / (F.col("v") - F.col("mu"))).otherwise(F.lit(1e6)))
+    low, high = EN.negbin_quantile(F.col("mu"), F.col("size"))
+    plow, phigh = EN.poisson_quantile(F.col("mu"))
+    return g.select("c_nationkey", "o_orderpriority", "n", "mu", "size", low.alias("nb_q10"), high.alias("nb_q90"),
+                    plow.alias("poisson_q10"), phigh.alias("poisson_q90"))
+
+
 @query("l08_time_folds")
 def _(p):
     return EN.time_folds(p.realised, "rodada_alvo", 5)

@@ -6,6 +6,7 @@ from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import functions as F
 
 from pitchlake.operators import ensemble as EN
+from pitchlake.operators import glm as GLM
 from pitchlake.operators import models as MD
 from pitchlake.operators import search as SR
 from pitchlake.plans.queries import query
@@ -59,20 +60,31 @@ def _(p):
     return MD.score_categorical(MD.fit_gbt_categorical(train, params=found), rows)
 
 
+def _poisson(p):
+    """The fitted Poisson model with its position priors, and the rows to score."""
+    train, rows = MD.split(p.t.shared("design_matrix", lambda: _dm(p)))
+    return *MD.fit_poisson(train), rows
+
+
 @query("l05_poisson_glm")
 def _(p):
     """L05 + L06: Poisson GLM predictions with their 80 % interval."""
-    train, rows = MD.split(_dm(p))
-    model, priors = MD.fit_poisson(train)
-    x = MD.assemble(MD.poisson_inputs(rows, priors), MD.POISSON_COLS)
-    pred = model.transform(x).select("atleta_id", "rodada_alvo",
-                                     F.greatest(F.col("prediction"), F.lit(0.0)).alias("pontuacao_prevista"))
+    model, priors, rows = _poisson(p)
+    pred = MD.score(model, MD.poisson_inputs(rows, priors)).drop("modelo")
     return EN.with_poisson_interval(pred, "pontuacao_prevista").select(
         "atleta_id", "rodada_alvo", "pontuacao_prevista",
         F.col("q10").alias("intervalo_credibilidade_inferior"),
         F.col("q90").alias("intervalo_credibilidade_superior"))
 
 
+@query("l05_glm_coefficients")
+def _(p):
+    """Coefficients of the elastic net, and whether each satisfies its optimality condition."""
+    model, _, _ = _poisson(p)
+    rows = [(c, b, r < 1e-6) for c, b, r in zip((GLM.INTERCEPT, *model.cols), model.coefs, model.residuals(), strict=True)]
+    return p.spark.createDataFrame(rows, "feature string, coef double, optimal boolean")
+
+
 @query("l09_param_search")
 def _(p):
     """The 50 trials of the first booster, with their errors and what became of them."""

@@ -36,7 +36,7 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
 SHARED = frozenset("""
     a09_standings_cumulative a12_coverage_by_position a13_interval_coverage a15_coverage_pivot a16_model_distribution
     a31_model_comparison f04_binary_encode j05_opponent_lookup j07_role_playing j09_target_join j10_club_result_join
-    j12_three_way_left l00_feature_store l02_design_matrix l03_boosted_trees_a l04_boosted_trees_b l05_poisson_glm
+    j12_three_way_left l00_feature_store l02_design_matrix l03_boosted_trees_a l04_boosted_trees_b l05_poisson_glm l05_glm_coefficients
     l07_overdispersed_interval l09_param_search l09_param_search_b l09_trial_plan l10_feature_importance l11_batch_score l12_prediction_table
     l13_select_model l14_ensemble_predict l15_ensemble_coverage_col l16_final_pick_table l18_backtest p02_match_result
     p14_total_goals q11_declared_model_tests t02_top_per_position t04_top20_value u02_label_concat u03_layer_counts

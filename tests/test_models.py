@@ -1,8 +1,11 @@
 """Spark ML predictors on the training features (sf0.001)."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from pitchlake.operators import count_quantiles as CQ
 from pitchlake.operators import ensemble as EN
+from pitchlake.operators import glm as GLM
 from pitchlake.operators import models as MD
 from pitchlake.operators import search as SR
 from pitchlake.plans.pipeline import Pipeline
@@ -94,14 +97,74 @@ def test_dag_picks_come_from_fitted_models(spark, tmpdir_path, monkeypatch):
 
 
 def test_intervals_without_a_shuffle(spark):
-    df = spark.createDataFrame([(3.0, 5.0), (3e9, 5.0), (590.0, 2.0), (610.0, 2.0), (0.0, 1.0)], "mu double, r double")
+    df = spark.createDataFrame([(3.0, 5.0), (3e9, 5.0), (590.0, 2.0), (610.0, 2.0), (0.0, 1.0), (601.0, 1.0), (1000.0, 5.0), (None, None)], "mu double, r double")
     q = EN.with_poisson_interval(df, "mu")
     assert "Exchange" not in q._jdf.queryExecution().executedPlan().toString()
     rows = {r.mu: (r.q10, r.q90) for r in q.collect()}
     assert rows[3.0] == (1, 5) and abs(rows[3e9][0] - (3e9 - 1.2815516 * 3e9 ** 0.5)) < 2
     assert rows[590.0] == (559, 621) and rows[610.0][0] - rows[590.0][0] in (19, 20)
     low, high = EN.negbin_quantile(F.col("mu"), F.col("r"))
-    assert all(r[0] <= r[1] for r in df.select(low, high).collect())
+    rows = {r.mu: (r.low, r.high) for r in df.select("mu", low.alias("low"), high.alias("high")).collect()}
+    assert rows[601.0] == (63, 1385) and rows[1000.0] == (485, 1600)
+    assert all(0 <= a <= b for m, (a, b) in rows.items() if m is not None)
+
+
+def _summed(log_pmf, p):
+    """Smallest k with CDF(k) >= p by summing every probability."""
+    import numpy as np
+    return int(np.searchsorted(np.cumsum(np.exp(log_pmf)), p))
+
+
+@pytest.mark.parametrize("p", [0.1, 0.9])
+def test_quantiles_at_any_mean_equal_the_summed_cdf(p):
+    import math
+    import random
+
+    import numpy as np
+    rng = random.Random(7)
+    pairs = [(10 ** rng.uniform(-2, 6), 10 ** rng.uniform(-1, 6)) for _ in range(150)] + [(1e6, 1e6), (1e6, 30.0), (0.01, 0.1), (600.0, 1.0)]
+    pairs = [(m, r) for m, r in pairs if m + 12 * math.sqrt(m + m * m / r) < 3e6]
+    mean, size = (np.array(x) for x in zip(*pairs, strict=True))
+    got = CQ.quantile(p, mean, size)
+    for g, m, r in zip(got, mean, size, strict=True):
+        k = np.arange(int(m + 12 * math.sqrt(m + m * m / r) + 50))
+        ratio = np.log((r + k[:-1]) / (k[:-1] + 1) * (m / (r + m)))
+        assert g == _summed(np.append(0, np.cumsum(ratio)) + r * math.log(r / (r + m)), p), (m, r)
+    for g, m in zip(CQ.quantile(p, mean), mean, strict=True):
+        k = np.arange(int(m + 12 * math.sqrt(m) + 50))
+        logs = k * math.log(m) - m - np.append(0, np.cumsum(np.log(k[1:])))
+        assert g == _summed(logs, p), m
+
+
+def test_both_quantile_paths_agree(spark, monkeypatch):
+    df = spark.createDataFrame([(0.01 * 1.5 ** i, 0.2 * 1.7 ** (i % 20)) for i in range(28)], "mu double, r double")
+    cols = lambda: [c.alias(f"c{i}") for i, c in enumerate([*EN.poisson_quantile(F.col("mu")), *EN.negbin_quantile(F.col("mu"), F.col("r"))])]
+    summed = df.select("mu", *cols()).collect()
+    monkeypatch.setattr(EN, "MAX_TERMS", 0)
+    assert sorted(summed) == sorted(df.select("mu", *cols()).collect())
+
+
+def test_elastic_net_is_optimal_and_does_not_depend_on_partitions(spark):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 4)) * [1, 5, 0.2, 1]
+    y = rng.poisson(np.exp(0.6 + 0.5 * x[:, 0] - 0.05 * x[:, 1])).astype(float)
+    rows = [(*map(float, r), float(v)) for r, v in zip(x, y, strict=True)] + [(None, 0.0, 0.0, 0.0, 1.0), (0.0, 0.0, 0.0, 0.0, None)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, y double")
+    fits = [GLM.fit(df.repartition(n), ("a", "b", "c", "d"), "y") for n in (1, 5)]
+    assert np.allclose(fits[0].coefs, fits[1].coefs, atol=1e-8)
+    m = fits[0]
+    assert max(m.residuals()) < 1e-7 and m.coefs[3] == 0 and m.coefs[1] > 0.2
+
+    def objective(b):
+        eta = b[0] + x @ b[1:]
+        return (np.exp(eta) - y * eta).mean() + 0.1 * (0.25 * (b @ b) + 0.5 * np.abs(b).sum())
+    best = objective(np.array(m.coefs))
+    assert abs(best - m.objective) < 1e-9
+    assert all(objective(np.array(m.coefs) + 1e-3 * rng.normal(size=5)) > best for _ in range(50))
+    heavy = GLM.fit(df, ("a", "b", "c", "d"), "y", alpha=100.0)
+    assert heavy.coefs == (0.0,) * 5
+    assert GLM.fit(df.limit(0), ("a",), "y").coefs == (0.0, 0.0)
 
 
 def test_shuffling_an_informative_feature_costs_most(spark):
