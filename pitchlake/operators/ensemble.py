@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitchlake.operators import count_quantiles as CQ
+from pitchlake.operators.windows import rank_in_groups
 from pitchlake.sources.seeds import (COVERAGE_MIN, COVERAGE_THRESHOLDS, COVERAGE_WINDOW,
                                      DEFAULT_THRESHOLD)
 
@@ -188,13 +189,12 @@ def final_ranked(final: DataFrame, athletes: DataFrame, positions: DataFrame,
     po = F.broadcast(positions.select("posicao_id", F.col("abreviacao").alias("posicao")))
     c = clubs.select("clube_id", F.col("abreviacao").alias("clube"))
     j = (final.drop("posicao_id").join(a, "atleta_id").join(po, "posicao_id").join(c, "clube_id"))
-    w = Window.partitionBy("rodada_alvo", "posicao_id").orderBy(F.col("pontuacao_prevista").desc())
-    return j.select(
+    j = j.select(
         "atleta_id", "apelido", "posicao_id", "posicao", "clube", "rodada_alvo",
         "pontuacao_prevista", "modelo_selecionado", "coverage_score_modelo", "preco_atual",
         F.when(F.col("preco_atual") > 0, F.round(F.col("pontuacao_prevista") / F.col("preco_atual"), 2))
-         .alias("pontos_por_cartoleta"),
-        F.rank().over(w).alias("ranking_posicao"))
+         .alias("pontos_por_cartoleta"))
+    return rank_in_groups(j, ["rodada_alvo", "posicao_id"], "pontuacao_prevista", "ranking_posicao")
 
 
 def top_per_group(df: DataFrame, group: str, order: list[Column], n: int, salts: int = 64) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitchlake.operators.windows import latest_per_key
+from pitchlake.sources import io as IO
 
 
 def _keys(keys) -> list[str]:
@@ -131,13 +132,15 @@ def change_feed(old: DataFrame, new: DataFrame, keys, compare=None) -> DataFrame
     return out.filter(F.col("_change_type").isNotNull())
 
 
-def overwrite_recent(existing: DataFrame, fresh: DataFrame, part_col: str, n: int) -> DataFrame:
-    """Rebuild the newest ``n`` partitions of ``existing`` from ``fresh``.
+def overwrite_recent(path: str, fresh: DataFrame, part_col: str, n: int) -> DataFrame:
+    """Rebuild the newest ``n`` daily partitions of the table at ``path`` from ``fresh``.
 
-    Returns the table as it is after a dynamic partition overwrite: rows of
-    older partitions are untouched, the newest ``n`` come from ``fresh``.
-    Written with ``replace_partitions`` only the rebuilt partitions are
-    rewritten.
+    A dynamic partition overwrite: partitions that ``fresh`` has rows for are
+    replaced, the files of all others stay.  The newest day comes from the
+    partition values alone, and the bound prunes ``fresh`` where it is read.
+    Running it again leaves the same table.
     """
-    lo = F.date_sub(existing.agg(F.max(part_col)).scalar(), n - 1)
-    return existing.filter(F.col(part_col) < lo).unionByName(fresh.filter(F.col(part_col) >= lo))
+    spark = fresh.sparkSession
+    lo = spark.read.parquet(path).agg(F.date_sub(F.max(F.col(part_col).cast("date")), n - 1)).first()[0]
+    IO.replace_partitions(fresh.filter(F.col(part_col) >= F.lit(lo)), path, [part_col])
+    return spark.read.parquet(path)

@@ -47,6 +47,45 @@ def time_slices(df: DataFrame, key: str, ts: str, rows_per_slice: int = ROWS_PER
             .withColumn(name, F.coalesce(F.floor(share * F.col("_n")), F.lit(-1))).drop("_sk", "_n", "_lo", "_hi"))
 
 
+#: Cut points that a group's values may be split at (its rows decide how many are used).
+MAX_SLICES = 1024
+
+
+def rank_in_groups(df: DataFrame, groups: list[str], value: str, name: str, values_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+    """``rank()`` of ``value`` (largest first, null last) in each group, without a window over a group.
+
+    Equal values of a group are counted first, map-side, so a value with very
+    many rows is one.  The distinct values of a large group are split at
+    approximate quantiles into slices of about ``values_per_slice``; a window
+    adds up the counts inside a slice, a second one over the slices' sums.  A
+    value's rank is one more than the rows above it, so ties across an edge
+    cannot differ.  Ranks are joined back on group and value; a hot value is
+    split by the join.  Results do not depend on the slicing.
+    """
+    v = F.col(value)
+    rows = df.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = rows.groupBy(*groups).agg(
+        F.least(F.ceil(F.count(F.lit(1)) / F.lit(values_per_slice)), F.lit(MAX_SLICES)).cast("int").alias("_k"),
+        F.percentile_approx(v.cast("double"), [i / MAX_SLICES for i in range(1, MAX_SLICES)], MAX_SLICES * 10).alias("_cuts"))
+    sizes = sizes.filter("_k > 1").select(*groups, F.transform(
+        F.sequence(F.lit(1), F.col("_k") - 1), lambda i: F.get("_cuts", (i * MAX_SLICES / F.col("_k")).cast("int") - 1)).alias("_cuts"))
+    a, b = rows.alias("a"), sizes.alias("b")
+    rows = a.join(b, [F.col(f"a.{g}").eqNullSafe(F.col(f"b.{g}")) for g in groups], "left").select(
+        *[F.col(f"a.{g}").alias(g) for g in groups], F.col(f"a.{value}").alias(value), "_n",
+        F.when(v.isNull(), F.lit(MAX_SLICES)).otherwise(
+            F.coalesce(F.size(F.filter("_cuts", lambda c: c > v.cast("double"))), F.lit(0))).alias("_slice"))
+    inside = Window.partitionBy(*groups, "_slice").orderBy(v.desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    above = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy(*groups, "_slice").agg(F.sum("_n").alias("_s"))
+    sums = sums.select(*[F.col(g).alias(f"_g_{g}") for g in groups], F.col("_slice").alias("_g_slice"), F.sum("_s").over(above).alias("_above"))
+    ranked = rows.withColumn("_in", F.sum("_n").over(inside))
+    ranked = ranked.join(sums, [*[F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups], F.col("_slice") == F.col("_g_slice")]).select(
+        *[F.col(g).alias(f"_r_{g}") for g in groups], F.col(value).alias("_r_value"),
+        (F.coalesce("_in", F.lit(0)) + F.coalesce("_above", F.lit(0)) + 1).cast("int").alias(name))
+    back = [*[df[g].eqNullSafe(ranked[f"_r_{g}"]) for g in groups], df[value].eqNullSafe(ranked["_r_value"])]
+    return df.join(ranked, back).select(*df.columns, name)
+
+
 def previous_in_sequence(df: DataFrame, key: str, order: list[str], cols: list[str],
                          bucket: Column) -> DataFrame:
     """``lag`` of ``cols`` per key in ``order``, without one task per key.

@@ -93,6 +93,21 @@ FROM (SELECT job_id, run_id, 'duration_minutes' AS metrica, duration_minutes AS
       UNION ALL SELECT job_id, run_id, 'rows_read', CAST(rows_read AS DOUBLE) FROM rn)
 GROUP BY job_id, metrica""", "rn", doubles=("melhor_valor",))
 
+oracle("l19_run_log", """
+WITH m AS (
+  SELECT 'job-' || job_id AS model, weekofyear(start_time)::INT AS version, run_id::VARCHAR AS run_id, metric, value,
+         CASE WHEN metric = 'duration_minutes' THEN -value ELSE value END AS good
+  FROM (SELECT *, 'duration_minutes' AS metric, duration_minutes::DOUBLE AS value FROM rn_q
+        UNION ALL SELECT *, 'bytes_read', bytes_read::DOUBLE FROM rn_q UNION ALL SELECT *, 'rows_read', rows_read::DOUBLE FROM rn_q)
+  WHERE value IS NOT NULL),
+b AS (
+  SELECT model, metric, version, count(*) AS runs, arg_min({'run_id': run_id, 'value': value}, (-good, run_id)) AS r, max(good) AS good
+  FROM m GROUP BY ALL)
+SELECT model, metric, version, runs, r.run_id AS run_id, r.value AS value,
+       r.value - lag(r.value) OVER (PARTITION BY model, metric ORDER BY version) AS change,
+       row_number() OVER (PARTITION BY model, metric ORDER BY good DESC, version DESC) = 1 AS is_best
+FROM b""".replace("rn_q", "rn"), "rn", doubles=("value", "change"))
+
 _ORDERS_REGION = """(SELECT o.*, r_name AS region FROM orders o JOIN customer ON o_custkey = c_custkey
      JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 

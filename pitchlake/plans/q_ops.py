@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from pitchlake.functions import expressions as X
 from pitchlake.operators import governance as G
 from pitchlake.operators import joins as J
+from pitchlake.operators import registry as REG
 from pitchlake.operators import reports as R
 from pitchlake.operators.windows import run_anomalies
 from pitchlake.plans.queries import query
 from pitchlake.sources import bindings as B
+from pitchlake.streaming.pipeline import scratch
 
 RUNS_ASOF = "2024-01-31"
 ORDERS_ASOF = "2001-12-31"
@@ -93,6 +95,22 @@ def _(p):
     return g
 
 
+@query("l19_run_log")
+def _(p):
+    """Job runs logged (twice, as a retried job would) and their versions compared.
+
+    A job's runs of one week are one version; each run logs three metrics.
+    """
+    runs = _runs(p).select(
+        F.concat(F.lit("job-"), F.col("job_id").cast("string")).alias("model"),
+        F.weekofyear("start_time").alias("version"), F.col("run_id").cast("string").alias("run_id"),
+        F.col("start_time").cast("timestamp_ntz").alias("logged_at"), "duration_minutes", "bytes_read", "rows_read")
+    rows = REG.long_metrics(runs, ["duration_minutes", "bytes_read", "rows_read"])
+    base = f"{scratch(p.spark, 'l19')}/registry"
+    REG.log_run(base, rows)
+    return REG.compare_runs(REG.log_run(base, rows))
+
+
 # ------------------------------------------------------------------ business
 @query("a20_daily_metrics")
 def _(p):
