@@ -126,45 +126,3 @@ def write_version(df: DataFrame, base: str, version: int) -> None:
     """
     df.withColumn(VERSION_COL, F.lit(version)).write.mode("append") \
         .partitionBy(VERSION_COL).parquet(base)
-
-
-# ------------------------------------------------------------------ keyed tables in buckets
-BUCKET_COL = "_k"
-
-
-def key_bucket(keys: list[str], n: int):
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n)).cast("int")
-
-
-def read_buckets(spark: SparkSession, base: str) -> DataFrame | None:
-    """The newest published version of every key bucket.
-
-    ``manifest`` has a row per (bucket, version) that was published; it is
-    bounded by buckets x batches and joined as a broadcast, which prunes the
-    partitions of ``data`` that are scanned.
-    """
-    manifest = read_if_exists(spark, f"{base}/manifest")
-    if manifest is None:
-        return None
-    newest = manifest.groupBy(BUCKET_COL).agg(F.max(VERSION_COL).alias(VERSION_COL))
-    data = spark.read.parquet(f"{base}/data")
-    return data.join(F.broadcast(newest), [BUCKET_COL, VERSION_COL])
-
-
-def published(spark: SparkSession, base: str, version: int) -> bool:
-    manifest = read_if_exists(spark, f"{base}/manifest")
-    return manifest is not None and bool(manifest.filter(F.col(VERSION_COL) == version).take(1))
-
-
-def write_buckets(df: DataFrame, base: str, version: int) -> None:
-    """Write bucket versions (``df`` has ``_k``), then publish them in the manifest.
-
-    The data is overwritten partition-wise, so a replay after a failure
-    between the two steps leaves no double rows; readers see a version only
-    once its manifest rows are there.
-    """
-    out = df.withColumn(VERSION_COL, F.lit(version))
-    replace_partitions(out, f"{base}/data", [BUCKET_COL, VERSION_COL])
-    spark = df.sparkSession
-    written = spark.read.parquet(f"{base}/data").filter(F.col(VERSION_COL) == version)
-    written.select(BUCKET_COL, VERSION_COL).distinct().coalesce(1).write.mode("append").parquet(f"{base}/manifest")

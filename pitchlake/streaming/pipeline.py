@@ -18,6 +18,7 @@ from pyspark.sql.types import StructType
 
 from pitchlake.operators import merge as M
 from pitchlake.sources import io as IO
+from pitchlake.streaming import keyed_table as KT
 
 # JSON keeps microseconds only with an explicit pattern (the default stops at ms).
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -80,31 +81,25 @@ def dropped_rows(query: StreamingQuery) -> int:
 
 
 # ------------------------------------------------------------------ ST3
-def stream_merge(df: DataFrame, out: str, keys: list[str], ckpt: str,
-                 order: list[str] | None = None, buckets: int = 16) -> StreamingQuery:
+def stream_merge(df: DataFrame, out: str, keys: list[str], ckpt: str, order: list[str] | None = None,
+                 rows_per_bucket: int = KT.ROWS_PER_BUCKET) -> StreamingQuery:
     """ST3: upsert every micro-batch into a silver table of key buckets.
 
-    Each batch is de-duplicated (M11) and merged (M01) with the newest version
-    of the buckets that its keys fall in; only those buckets are written
-    again, and published in the table's manifest.  A batch id that is in the
-    manifest (replay after a restart) is skipped, so the sink is idempotent.
-    With ``order`` the newest row per key wins across batches, so late files
-    cannot overwrite newer rows.  ``buckets`` follows the size of the table.
+    Each batch is de-duplicated (M11) and merged (M01) with the leaves of the
+    keyed table that its keys fall in; only those are written again, and split
+    when they pass ``rows_per_bucket``.  A batch id that is published already
+    (replay after a restart) is skipped, so the sink is idempotent.  With
+    ``order`` the newest row per key wins across batches, so late files cannot
+    overwrite newer rows.
     """
     from pitchlake.operators.windows import latest_per_key
 
+    def combine(current: DataFrame, new: DataFrame) -> DataFrame:
+        return latest_per_key(current.unionByName(new), keys, order) if order else M.merge_upsert(current, new, keys)
+
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if IO.published(spark, out, batch_id):       # replayed batch after a restart
-            return
         src = M.dedupe_source(batch, keys, order) if order else batch.dropDuplicates(keys)
-        src = src.withColumn(IO.BUCKET_COL, IO.key_bucket(keys, buckets))
-        cur = IO.read_buckets(spark, out)
-        if cur is not None:
-            touched = src.select(IO.BUCKET_COL).distinct()       # at most ``buckets`` rows
-            cur = cur.drop(IO.VERSION_COL).join(F.broadcast(touched), IO.BUCKET_COL, "left_semi").select(*src.columns)
-            src = latest_per_key(cur.unionByName(src), keys, order) if order else M.merge_upsert(cur, src, keys)
-        IO.write_buckets(src, out, batch_id)
+        KT.merge(src, out, batch_id, keys, combine, rows_per_bucket)
 
     return (df.writeStream.foreachBatch(upsert).option("checkpointLocation", ckpt)
             .trigger(availableNow=True).start())
@@ -112,8 +107,8 @@ def stream_merge(df: DataFrame, out: str, keys: list[str], ckpt: str,
 
 def latest_table(spark: SparkSession, out: str) -> DataFrame | None:
     """The table written by :func:`stream_merge` (None before the first batch)."""
-    cur = IO.read_buckets(spark, out)
-    return None if cur is None else cur.drop(IO.BUCKET_COL, IO.VERSION_COL)
+    cur = KT.read(spark, out)
+    return None if cur is None else cur.drop(KT.CODE, KT.VERSION)
 
 
 # ------------------------------------------------------------------ ST4 / ST5

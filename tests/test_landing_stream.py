@@ -1,15 +1,18 @@
 """Landed JSON round trips, file sinks and a restartable stream."""
 
+import glob
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from pitchlake.operators import merge as M
 from pitchlake.operators.windows import latest_per_key
 from pitchlake.sources import bindings as B
 from pitchlake.sources import io as IO
 from pitchlake.sources import landing as L
 from pitchlake.sources.tables import Tables
+from pitchlake.streaming import keyed_table as KT
 from pitchlake.streaming import pipeline as S
 
 from sf_paths import SF_SMALL
@@ -98,20 +101,57 @@ def test_windowed_streams_equal_the_batch(spark, tmpdir_path):
         assert got.count() == want.count() and got.exceptAll(want.select(*got.columns)).count() == 0
 
 
+def _keyed(spark, ids, v):
+    return spark.createDataFrame([(i, v) for i in ids], "id long, v int")
+
+
+def _put(batch, out, version, limit):
+    KT.merge(batch, out, version, ["id"], lambda cur, new: M.merge_upsert(cur, new, ["id"]), rows_per_bucket=limit)
+
+
+def test_keyed_table_splits_as_it_grows(spark, tmpdir_path):
+    """Batches of new keys and updates: the table equals a dictionary, and no leaf passes the limit."""
+    out, want = os.path.join(tmpdir_path, "t"), {}
+    assert S.latest_table(spark, out) is None
+    for v, ids in enumerate([range(5), range(3, 60), range(0, 400, 2), range(390, 400), range(350, 420)]):
+        _put(_keyed(spark, ids, v), out, v, 20)
+        want |= dict.fromkeys(ids, v)
+        got = S.latest_table(spark, out).collect()
+        assert len(got) == len(want) and {r.id: r.v for r in got} == want
+        leaves = {r[KT.CODE]: r.n_rows for r in KT.leaves(spark, out).collect()}
+        assert sum(leaves.values()) == len(want) and max(leaves.values()) <= 40
+        assert abs(sum(2.0 ** -(c.bit_length() - 1) for c in leaves) - 1) < 1e-12      # the leaves cover every hash once
+    assert len(leaves) >= 16
+
+
 def test_merge_rewrites_only_touched_buckets(spark, tmpdir_path):
     out = os.path.join(tmpdir_path, "t")
-    rows = lambda ids, v: spark.createDataFrame([(i, v) for i in ids], "id long, v int")
-    tag = lambda df: df.withColumn(IO.BUCKET_COL, IO.key_bucket(["id"], 8))
-    assert S.latest_table(spark, out) is None
-    IO.write_buckets(tag(rows(range(100), 0)), out, 0)
-    one = tag(rows(range(100), 1)).filter("_k = 3")
-    IO.write_buckets(one, out, 1)
-    IO.write_buckets(one, out, 1)                      # a replay that failed before it was published
-    assert IO.published(spark, out, 1) and not IO.published(spark, out, 2)
-    got = S.latest_table(spark, out)
-    assert got.count() == 100 and got.filter("v = 1").count() == one.count() > 0
-    files = spark.read.parquet(out + "/data").filter("_v = 1").select("_k").distinct().collect()
-    assert [r["_k"] for r in files] == [3]
+    _put(_keyed(spark, range(400), 0), out, 0, 20)
+    n = len(KT.leaves(spark, out).collect())
+    files = set(glob.glob(out + "/data/*/*/*.parquet"))
+    one = _keyed(spark, [7], 1)
+    _put(one, out, 1, 20)
+    _put(one, out, 1, 20)                                   # a replay
+    added = set(glob.glob(out + "/data/*/*/*.parquet")) - files
+    assert n >= 16 and added and {f.split("/_v=")[1][0] for f in added} == {"1"}
+    assert len({f.split("/_k=")[1].split("/")[0] for f in added}) <= 2 and files <= set(glob.glob(out + "/data/*/*/*.parquet"))
+    assert {r.id: r.v for r in S.latest_table(spark, out).collect()} == dict.fromkeys(range(400), 0) | {7: 1}
+
+
+def test_a_version_that_was_not_published_is_written_again(spark, tmpdir_path):
+    """A crash after the data and before the directory: readers see the old table, the replay the new one."""
+    out = os.path.join(tmpdir_path, "t")
+    _put(_keyed(spark, range(100), 0), out, 0, 30)
+    before = glob.glob(out + "/manifest/*.parquet")
+    _put(_keyed(spark, range(50, 150), 1), out, 1, 30)
+    for f in set(glob.glob(out + "/manifest/*.parquet")) - set(before):
+        os.remove(f)
+    assert not KT.published(spark, out, 1)
+    assert {r.id: r.v for r in S.latest_table(spark, out).collect()} == dict.fromkeys(range(100), 0)
+    _put(_keyed(spark, range(50, 150), 1), out, 1, 30)
+    assert {r.id: r.v for r in S.latest_table(spark, out).collect()} == dict.fromkeys(range(50), 0) | dict.fromkeys(range(50, 150), 1)
+    _put(_keyed(spark, [], 2), out, 2, 30)
+    assert S.latest_table(spark, out).count() == 150
 
 
 def test_only_a_missing_path_is_no_table(spark, tmpdir_path):
