@@ -92,3 +92,17 @@ def test_rules_base_counts(odd, clashing, no_docs, labels, no_labels):
     assert quality_rules.judge(no_docs, no_labels).count() == 0
     plain = quality_rules.judge(odd, no_labels)
     assert plain.filter("kept = base_failed").count() == 0
+
+
+def test_verdicts_of_long_texts_can_be_filtered(spark, odd, labels):
+    """A filter, a count and a semi-join on the verdict cost what reading it costs (30,000 words here)."""
+    import time
+    out = quality_rules.judge(odd, labels)
+    began = time.time()
+    rows = out.collect()
+    kept = out.filter("kept")
+    assert kept.count() == sum(r["kept"] for r in rows)
+    assert odd.join(kept.select("doc_id"), "doc_id", "left_semi").count() == sum(
+        r[0] in {x["doc_id"] for x in rows if x["kept"]} for r in odd_rows() if r[0] is not None)
+    assert out.filter("base_failed AND n_repeat_words > 0").count() == sum(r["base_failed"] and r["n_repeat_words"] > 0 for r in rows)
+    assert time.time() - began < 20
