@@ -126,3 +126,11 @@ FROM glm_scored s JOIN (
         FROM (SELECT *, greatest(mu, 0.01) AS m, unnest(range(0, (mu + 12 * sqrt(mu) + 20)::BIGINT)) AS k FROM glm_scored))
   GROUP BY ALL) q ON q.atleta_id = s.atleta_id AND q.rodada_alvo = s.rodada_alvo""", "glm_fit", "glm_rows", doubles=("pontuacao_prevista",), extra=[
     ("glm_scored", "SELECT atleta_id, rodada_alvo, exp(list_dot_product(b, x)) AS mu FROM glm_rows, glm_fit WHERE pontuacao_real IS NULL")])
+
+# the refreshed training table equals a full build on the final inputs
+oracle("m03_incremental_dag", """
+SELECT atleta_id, rodada_alvo, clube_id, posicao_id, media_pontos_geral, media_ultimas_5, media_ultimas_3, desvio_padrao_pontos,
+       consistencia_score, total_jogos, aproveitamento_campo, preco_atual, variacao_preco, clube_posicao_tabela, clube_aproveitamento,
+       adversario_id, adversario_posicao_tabela, mando_campo, eh_classico, pontuacao_real FROM training""", "training",
+       doubles=("media_pontos_geral", "media_ultimas_5", "media_ultimas_3", "desvio_padrao_pontos", "consistencia_score",
+                "aproveitamento_campo", "preco_atual", "variacao_preco", "clube_aproveitamento", "pontuacao_real"))

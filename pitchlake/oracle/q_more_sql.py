@@ -158,3 +158,11 @@ SELECT l_orderkey, count(*) AS linhas_orfas FROM lineitem
 WHERE l_orderkey IS NOT NULL AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')
 GROUP BY l_orderkey""")
 
+
+oracle("m08_price_snapshot", """
+SELECT atleta_id, _rodada_captura, preco_num, clube_id, status_id, posicao_id, media_num, variacao_num, ts AS valid_from,
+       lead(ts) OVER k AS valid_to, lead(ts) OVER k IS NULL AS is_current
+FROM (SELECT *, rodada_id AS _rodada_captura, _ingestao_timestamp AS ts, lag(rodada_id) OVER w IS NULL OR preco_num IS DISTINCT FROM lag(preco_num) OVER w
+             OR clube_id IS DISTINCT FROM lag(clube_id) OVER w OR status_id IS DISTINCT FROM lag(status_id) OVER w AS changed
+      FROM ar WINDOW w AS (PARTITION BY atleta_id ORDER BY _ingestao_timestamp, rodada_id))
+WHERE changed WINDOW k AS (PARTITION BY atleta_id ORDER BY ts, _rodada_captura)""", "ar", doubles=("preco_num", "media_num", "variacao_num"))

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import functions as F
 
 from pitchlake.operators import history as H
 from pitchlake.operators import merge as M
 from pitchlake.operators import quality as Q
 from pitchlake.operators.windows import latest_per_key
+from pitchlake.plans import incremental as INC
 from pitchlake.plans import silver
+from pitchlake.plans.pipeline import Pipeline
 from pitchlake.plans.queries import query
 from pitchlake.sources import bindings as B
 from pitchlake.sources import io as IO
@@ -45,6 +49,31 @@ def _(p):
     return M.run_incremental(build, target, ["atleta_id", "rodada_id"], "rodada_id", lookback=1)
 
 
+class _BeforeLateScores(Pipeline):
+    """The same inputs before the scores of every second athlete of round 15 arrived."""
+
+    @cached_property
+    def stg_atletas_pontuados(self):
+        return super().stg_atletas_pontuados.filter("rodada_id <> 15 OR atleta_id % 2 <> 0")
+
+
+@query("m03_incremental_dag")
+def _(p):
+    """M03 over the DAG: built before late scores arrived, refreshed after; the training table that results."""
+    out = scratch(p.spark, "m03")
+    INC.refresh(_BeforeLateScores(p.spark, p.sf_dir, share=False), out)
+    after = Pipeline(p.spark, p.sf_dir, share=False)
+    INC.refresh(after, out)
+    return after.training_features
+
+
+@query("m08_price_snapshot")
+def _(p):
+    """M08 on athletes: a version for every change of price, club or status between captures."""
+    return H.scd2_build(p.stg_atletas_mercado, "atleta_id", ["preco_num", "clube_id", "status_id"], "_ingestao_timestamp",
+                        "_rodada_captura", keep=["posicao_id", "media_num", "variacao_num"])
+
+
 @query("m04_merge_selected_columns")
 def _(p):
     return M.merge_update_columns(B.merge_target(p.t), B.merge_source(p.t), ORDER_KEY,
