@@ -5,42 +5,17 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitchlake.operators import merge as M
 from pitchlake.plans import silver
+from pitchlake.plans.landed import SOURCES, bronze, staging
 from pitchlake.plans.queries import query
 from pitchlake.sources import bindings as B
 from pitchlake.sources import contracts as C
 from pitchlake.sources import landing as L
 from pitchlake.sources import seeds
 
-INGEST_TS, BATCH = "2024-02-01 00:00:00", "b-0001"
-
-#: staging view -> (landed payloads, flattener)
-SOURCES = {
-    "atletas_mercado": (B.landed_athletes, L.explode_athletes),
-    "atletas_pontuados": (B.landed_scored, L.explode_scored),
-    "clubes": (B.landed_clubs, L.explode_clubs),
-    "ligas": (B.landed_leagues, L.explode_leagues),
-    "mercado_status": (B.landed_status, L.flatten_status),
-    "partidas": (B.landed_matches, L.explode_matches),
-    "pos_rodada_destaques": (B.landed_highlights, L.flatten_highlights),
-    "rodadas": (B.landed_rounds, L.explode_rounds),
-}
-
-
-def bronze(t, source: str) -> DataFrame:
-    """A bronze table: flattened payloads with ingest time and batch."""
-    landed, flatten = SOURCES[source]
-    return flatten(landed(t)).withColumns({"_ingestao_timestamp": F.lit(INGEST_TS).cast("timestamp_ntz"),
-                                           "_batch_id": F.lit(BATCH)})
-
-
-def staging(t, source: str) -> DataFrame:
-    return silver.staging_view(bronze(t, source), source)
-
 
 def _register(source: str) -> None:
     @query(f"p01_stg_{source}")

@@ -18,13 +18,14 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from pitchlake.plans.landed import BRONZE_LAYERS, LANDED_LAYERS, LandedPipeline
 from pitchlake.plans.pipeline import Pipeline, TrainedPipeline
 from pitchlake.session import scratch_path
 from pitchlake.sources import io as IO
 
 # (property of Pipeline, partition columns) in dependency order
 LAYERS = (
-    ("raw_atletas_mercado", ["_rodada_captura"]),     # bronze
+    ("stg_atletas_mercado", ["_rodada_captura"]),     # staging
     ("stg_atletas_pontuados", ["rodada_id"]),
     ("stg_partidas", ["rodada_id"]),
     ("stg_partidas_proxima", None),
@@ -49,17 +50,26 @@ LAYERS = (
 )
 
 
-def run_dag(spark: SparkSession, sf_dir: str, out: str | None = None, trained: bool = True) -> dict[str, str]:
+class _TrainedLanded(TrainedPipeline, LandedPipeline):
+    """Fitted models on landed payloads."""
+
+
+def run_dag(spark: SparkSession, sf_dir: str, out: str | None = None, trained: bool = True, landed: bool = False) -> dict[str, str]:
     """Materialise every layer; returns {layer: path}.
 
+    With ``landed`` the DAG begins at the landed payloads: eight bronze tables
+    are written first, the staging views read them, and rounds, market status
+    and highlights are layers too.
+
     With ``trained`` the models are fitted, and history, selection, ensemble
     and picks come from their out-of-fold predictions; otherwise from the
     deterministic rolling-mean baselines.
     """
     out = out or scratch_path(spark, f"dag-{uuid.uuid4().hex[:12]}")
-    p = (TrainedPipeline if trained else Pipeline)(spark, sf_dir)
+    kind = (_TrainedLanded if landed else TrainedPipeline) if trained else (LandedPipeline if landed else Pipeline)
+    p = kind(spark, sf_dir)
     paths = {}
-    for name, parts in LAYERS:
+    for name, parts in (*BRONZE_LAYERS, *LAYERS, *LANDED_LAYERS) if landed else LAYERS:
         df = getattr(p, name)
         path = f"{out}/{name}"
         if parts:

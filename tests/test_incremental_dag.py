@@ -77,3 +77,22 @@ def test_fingerprints_see_nulls_and_places(spark):
     fa, fb = INC.fingerprints(a, "r"), INC.fingerprints(b, "r")
     assert fa[1] != fb[1] and fa[2] == fb[2] and INC.fingerprints(a.orderBy(F.desc("a")), "r") == fa
     assert INC.fingerprints(None, "r") == {} and training_features is not None
+
+
+def test_the_dag_from_landed_payloads(spark, tmpdir_path):
+    """Bronze tables from payloads feed the same silver and gold; a second run gives the same tables."""
+    from pitchlake.plans.landed import BRONZE_LAYERS, LANDED_LAYERS, SOURCES
+    from pitchlake.plans.run import LAYERS, run_dag
+    out = os.path.join(tmpdir_path, "landed")
+    paths = run_dag(spark, SF_SMALL, out, trained=False, landed=True)
+    assert set(paths) == {n for n, _ in (*BRONZE_LAYERS, *LAYERS, *LANDED_LAYERS)} and len(BRONZE_LAYERS) == len(SOURCES) == 8
+    read = lambda n: spark.read.parquet(paths[n])
+    plain = Pipeline(spark, SF_SMALL, share=False)
+    for layer, keys in (("fct_atletas_rodada", ["atleta_id", "rodada_id", "pontos_num", "preco_num", "clube_id"]),
+                        ("tabela_liga", ["rodada_id", "clube_id", "posicao", "pontos"]),
+                        ("metricas_atleta", ["atleta_id", "total_jogos", "media_pontos"])):
+        assert _rows(read(layer).select(*keys)) == _rows(getattr(plain, layer).select(*keys)), layer
+    assert read("dim_rodadas").count() > 0 and read("fct_mercado_status").count() > 0 and read("fct_destaques_rodada").count() > 0
+    before = {n: _rows(read(n)) for n in ("tabela_liga", "dim_rodadas", "bronze_atletas_mercado")}
+    run_dag(spark, SF_SMALL, out, trained=False, landed=True)
+    assert before == {n: _rows(read(n)) for n in before}
