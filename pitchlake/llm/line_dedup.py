@@ -41,7 +41,7 @@ def lines_of(docs: DataFrame) -> DataFrame:
     """doc, line_no, line of every line that has a word."""
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc")
     return (docs.select(doc, F.posexplode(F.split(text_or_empty(F.col("text")), "\n")).alias("line_no", "line"))
-            .filter(F.translate("line", " \t\x0b\x0c\r", "") != ""))
+            .filter(F.col("line").rlike(r"[^ \t\x0b\x0c\r]")))          # ends at the first such character
 
 
 def _identity(line: Column) -> list[Column]:
@@ -59,10 +59,14 @@ def _half_keys() -> Column:
     return F.when(m >= MIN_WORDS, F.array(*keys))
 
 
-def distinct_lines(docs: DataFrame) -> DataFrame:
-    """h, g, doc, line_no (earliest place) and half keys of every distinct line."""
+def line_table(docs: DataFrame) -> DataFrame:
+    """doc, line_no, h, g (identity) and half keys of every line that has a word."""
     rows = lines_of(docs).withColumn("_w", F.transform(words(F.col("line")), lambda w: F.xxhash64(w)))
-    rows = rows.select("doc", "line_no", *_identity(F.col("line")), _half_keys().alias("keys"))
+    return rows.select("doc", "line_no", *_identity(F.col("line")), _half_keys().alias("keys"))
+
+
+def distinct_lines(rows: DataFrame) -> DataFrame:
+    """h, g, doc, line_no (earliest place) and half keys of every distinct line of a line table."""
     first = F.min(F.struct("doc", "line_no")).alias("at")
     return rows.groupBy("h", "g").agg(first, F.first("keys").alias("keys")).select("h", "g", "at.doc", "at.line_no", "keys")
 
@@ -139,14 +143,15 @@ def near_lines(lines: DataFrame) -> DataFrame:
 def dropped_lines(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines (with a word), n_equal, n_near, n_kept, dropped (line numbers) of every doc_id."""
     spark = docs.sparkSession
-    distinct = staged(distinct_lines(docs), "lines-distinct")
+    table = staged(line_table(docs), "lines-table")                     # every text is split and hashed once
+    distinct = staged(distinct_lines(table), "lines-distinct")
     lines = staged(candidates(docs, distinct), "lines-candidates")
     release(spark)
     near = near_lines(lines).select("doc", "line_no", F.lit(True).alias("near"))
     known = staged(distinct.select("h", "g", "doc", "line_no").join(near, ["doc", "line_no"], "left"), "lines-known")
     release(spark)
     known = known.select("h", "g", F.struct("doc", "line_no").alias("least"), F.coalesce("near", F.lit(False)).alias("near"))
-    rows = lines_of(docs).select("doc", "line_no", *_identity(F.col("line"))).join(known, ["h", "g"])
+    rows = table.select("doc", "line_no", "h", "g").join(known, ["h", "g"])
     equal = F.col("least") < F.struct("doc", "line_no")
     found = rows.select("doc", "line_no", equal.alias("equal"), (~equal & F.col("near")).alias("near"))
     found = found.withColumn("out", F.col("equal") | F.col("near"))
