@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitchlake.llm.common import release, staged, text_or_empty, words
+from pitchlake.llm.common import discard, release, staged, text_or_empty, words
 
 MIN_WORDS = 8
 _NO_ID = -(1 << 63)
@@ -126,6 +126,7 @@ def near_lines(lines: DataFrame) -> DataFrame:
     at = F.struct("doc", "line_no")
     by_word = v.groupBy("v", "j").agg(F.min(at).alias("least"), F.count(F.lit(1)).alias("n"))
     by_word = staged(by_word.withColumn("whole", F.col("j") < 0), "lines-variants")
+    release(lines.sparkSession)
     sides = by_word.groupBy("v").agg(F.min(F.when(F.col("whole"), F.col("least"))).alias("least_whole"),
                                      F.min(F.when(~F.col("whole"), F.col("least"))).alias("least_part"),
                                      F.max("n").alias("most"))
@@ -145,13 +146,17 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     table = staged(line_table(docs), "lines-table")                     # every text is split and hashed once
     distinct = staged(distinct_lines(table), "lines-distinct")
+    places = staged(table.select("doc", "line_no", "h", "g"), "lines-places")
+    discard(table)                                                      # half keys are needed for the candidates alone
+    release(spark)
     lines = staged(candidates(docs, distinct), "lines-candidates")
     release(spark)
     near = near_lines(lines).select("doc", "line_no", F.lit(True).alias("near"))
     known = staged(distinct.select("h", "g", "doc", "line_no").join(near, ["doc", "line_no"], "left"), "lines-known")
+    discard(distinct)
     release(spark)
     known = known.select("h", "g", F.struct("doc", "line_no").alias("least"), F.coalesce("near", F.lit(False)).alias("near"))
-    rows = table.select("doc", "line_no", "h", "g").join(known, ["h", "g"])
+    rows = places.join(known, ["h", "g"])
     equal = F.col("least") < F.struct("doc", "line_no")
     found = rows.select("doc", "line_no", equal.alias("equal"), (~equal & F.col("near")).alias("near"))
     found = found.withColumn("out", F.col("equal") | F.col("near"))
