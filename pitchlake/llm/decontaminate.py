@@ -28,10 +28,22 @@ template of the original.
 The counts of a pair are those of the first reading if it suffices, else of
 all readings together.
 
-All of it is SQL functions; the windows are exploded as positions beside the
-array of word hashes, so the hash of a window is code-generated and only
-matches carry words.  The join is on the window hash, unhinted: Spark
-broadcasts the items' windows where their size allows, else it shuffles.
+The rules are regular expressions and cost far more than a look at a word, so
+they run only where a window can match.  A placeholder or literal is decided by
+the word and the two before it, and of the words of a matching window at least
+``MIN_LITERAL`` (or all, word for word) are equal but for case and punctuation.
+Five of eight places hold three within four neighbours; so any matching window
+has, at one of its places i, words (i, i+1, i+2), (i, i+1, i+3) or (i, i+2,
+i+3) of the item.  Such triples of all items are marked in a table of bits; a
+place of a text whose three triples are all unmarked starts nothing.  A marked
+place is cut out with the words around it, and windows are read from the cuts.
+A triple sets three bits of one long; one that finds its bits set by others
+costs work and changes no result.  The table has 32 bits a triple or more, up
+to ``MAX_BITS``.
+
+All of it is SQL functions; triples and window hashes are code-generated over
+exploded places.  The join is on the window hash, unhinted: Spark broadcasts
+the items' windows where their size allows, else it shuffles.
 
 Edge cases: null and empty texts or items have no windows.  Rows that repeat
 an id are matched each, and summed as one document.  Null ids group together.
@@ -41,6 +53,7 @@ Empty tables give an empty result.  Only doc_id, item_id and text are read.
 from __future__ import annotations
 
 import json
+import unicodedata
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,6 +64,8 @@ WINDOW = 8
 MIN_LITERAL = 5
 MIN_ITEM = 5
 MIN_COVERED = 13
+#: Bits of the table of triples (16 MB): its bound, whatever the items.
+MAX_BITS = 1 << 27
 
 # Abbreviations and names of units that may follow a number.
 UNITS = ("mm cm dm m km in ft yd mi mg g kg t lb oz ml cl dl l ms s min h "
@@ -73,7 +88,7 @@ RULES = (
     ("(^|[.!?] )(\\p{Lu})", "\\1\u0001\\2"),                       # the first word of a sentence is no name
     (" \\p{Lu}[^ ]*", f" {NAME}"),
     ("(^|[^\\p{L}\\p{N}\u0002])[0-9]+([.,][0-9]+)*", f"\\1{NUMBER}"),
-    (f"({NUMBER}) ({_units()})([^\\p{{L}}\\p{{N}}%€$£]|$)", f"\\1 {UNIT}\\3"),
+    (f"({NUMBER}) ({_units()})([^\\p{{L}}\\p{{N}}%€$£\u0002]|$)", f"\\1 {UNIT}\\3"),
     ("[^\\p{L}\\p{N} \u0002]", ""),
 )
 
@@ -103,6 +118,54 @@ def verbatim(raw: Column) -> Column:
     return F.split(F.regexp_replace(text, "(?<= |^)[\"'()\\[\\]{}«»“”„‘’…¿¡]+(?=[\\p{L}\\p{N}])", ""), " ")
 
 
+_LATIN = [chr(c) for c in range(256) if c != 32]
+_KEPT = [c for c in _LATIN if unicodedata.category(c)[0] in "LN"]
+_DROPPED = [c for c in _LATIN if c not in _KEPT]
+
+
+def folded(raw: Column, text: Column) -> Column:
+    """The letters and digits of every word in lower case, one for one: equal wherever canonical literals or verbatim words are.
+
+    Texts within Latin-1 and common typographic marks are translated by a table, others by expressions.
+    """
+    joined = F.concat_ws(" ", raw)
+    marks = "".join(map(chr, range(0x2010, 0x2028))) + "€"
+    table = F.translate(joined, "".join([*_KEPT, *_DROPPED]) + marks, "".join(c.lower() for c in _KEPT))
+    other = F.translate(F.regexp_replace(F.lower(joined), "[^\\p{L}\\p{N} ]+", ""), "ς", "σ")
+    return F.split(F.when(text.rlike("[^\\x{0}-\\x{FF}\\x{2010}-\\x{2027}€]"), other).otherwise(table), " ")
+
+
+def _triples(fold: str, i: Column) -> list[Column]:
+    a, b, c, d = [F.get(fold, i + j) for j in range(4)]
+    return [F.xxhash64(F.lit(1), a, b, c), F.xxhash64(F.lit(2), a, b, d), F.xxhash64(F.lit(3), a, c, d)]
+
+
+def marked_triples(items: DataFrame) -> tuple[Column, int]:
+    """The table of bits as a one-row subquery (array of long), and how many longs it has."""
+    fold = items.select(folded(words(F.col("text")), F.col("text")).alias("fold")).filter(F.size("fold") >= MIN_ITEM)
+    n = fold.agg(F.sum(F.size("fold")).alias("n")).first()["n"] or 0
+    longs = min(MAX_BITS // 64, 1 << max(10, (3 * n // 2).bit_length()))
+    at = fold.select("fold", F.explode(F.sequence(F.lit(0), F.size("fold") - 1)).alias("i"))
+    bits = (at.select(F.explode(F.array(*_triples("fold", F.col("i")))).alias("k")).distinct()
+            .select(_slot(F.col("k"), longs).alias("slot"), _bits_of(F.col("k")).alias("bit"))
+            .unionAll(items.sparkSession.range(longs).select(F.col("id").cast("int"), F.lit(0).cast("long")))
+            .groupBy("slot").agg(F.bit_or("bit").alias("bit")))
+    row = bits.agg(F.sort_array(F.collect_list(F.struct("slot", "bit"))).alias("all"))
+    return row.select(F.transform("all", lambda x: x["bit"])).scalar(), longs
+
+
+def _slot(key: Column, longs: int) -> Column:
+    return key.bitwiseAND(F.lit(longs - 1)).cast("int")
+
+
+def _bits_of(key: Column) -> Column:
+    out = F.lit(0).cast("long")
+    for k in (58, 52, 46):
+        place = F.call_function("shiftrightunsigned", key, F.lit(k)).bitwiseAND(F.lit(63)).cast("int")
+        out = out.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), place))
+    return out
+
+
 #: Per set of ambiguous places of a window (as bits) its subsets: the places read as names.
 _READINGS = [[m for m in range(1 << WINDOW) if m & ~places == 0] for places in range(1 << WINDOW)]
 
@@ -150,37 +213,53 @@ def _value(word: Column) -> Column:
     return F.lower(F.regexp_replace(word, "[^\\p{L}\\p{N}]", ""))
 
 
-def text_windows(docs: DataFrame, sizes: list[int]) -> DataFrame:
-    """doc_id, key, start, first_doc, slot_words (the words of a window that has a placeholder), one row per reading."""
-    base = (docs.select("doc_id", words(F.col("text")).alias("raw"))
-            .withColumn("canon", canonical(F.col("raw"))).withColumn("_amb", ambiguous(F.col("raw")))
+def cuts(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """doc_id, place, ahead, behind, raw: the words around every marked place, two more in front for the rules.
+
+    ``ahead`` is the index in ``raw`` of the first word a window may start with, ``behind`` that of the marked place.
+    """
+    table, longs = marked_triples(items)
+    at = (docs.select("doc_id", "text", words(F.col("text")).alias("raw"))
+          .withColumn("fold", folded(F.col("raw"), F.col("text")))
+          .select("doc_id", "raw", "fold", F.explode(F.when(F.size("raw") >= MIN_ITEM, F.sequence(F.lit(0), F.size("raw") - 1))).alias("place")))
+    # keys pass a generator of one row, or the filter would be pushed below them and hash every triple seven times
+    at = at.select("doc_id", "raw", "place", F.inline(F.array(F.struct(*[k.alias(f"k{j}") for j, k in enumerate(_triples("fold", F.col("place")))]))))
+    marked = F.lit(False)
+    for key in (F.col("k0"), F.col("k1"), F.col("k2")):
+        marked = marked | (F.get(table, _slot(key, longs)).bitwiseAND(_bits_of(key)) == _bits_of(key))
+    first = F.greatest(F.col("place") - (WINDOW - 3), F.lit(0))
+    before = F.greatest(first - 2, F.lit(0))
+    return at.filter(marked).select("doc_id", "place", (first - before).alias("ahead"), (F.col("place") - before).alias("behind"),
+                                    F.slice("raw", before + 1, F.col("place") + WINDOW - before).alias("raw"))
+
+
+def text_windows(docs: DataFrame, items: DataFrame, sizes: list[int]) -> DataFrame:
+    """doc_id, key, start, first_doc, slot_words (the words of a window that has a placeholder), one row per cut and reading."""
+    base = (cuts(docs, items).withColumn("canon", canonical(F.col("raw"))).withColumn("amb", ambiguous(F.col("raw")))
             .withColumn("h", F.transform("canon", lambda x: F.xxhash64(x)))
             .withColumn("v", F.transform(verbatim(F.col("raw")), lambda x: F.xxhash64(x)))
-            .withColumn("amb", F.when(F.exists("_amb", lambda x: x), F.col("_amb")))
-            .withColumn("p", F.when(F.exists("canon", lambda x: x.contains("\u0002")),
-                                    F.transform("canon", lambda x: x.contains("\u0002")))))
-    out = None
-    for n in sizes:
-        at = base.select("doc_id", "raw", "h", "v", "amb", "p",
-                         F.explode(F.when(F.size("raw") >= n, F.sequence(F.lit(0), F.size("raw") - n))).alias("start"))
-        start, m = F.col("start"), F.col("m")
-        at = at.select("*", F.explode(_readings(F.when(F.col("amb").isNull(), F.lit(0)).otherwise(_bits("amb", start, n)))).alias("m"))
-        hashes = F.array(*[F.when(m == RAW, F.get("v", start + j)).when(m.bitwiseAND(F.lit(1 << j)) != 0, F.xxhash64(F.lit(NAME)))
-                           .otherwise(F.get("h", start + j)) for j in range(n)])
-        slot = m > 0
-        for j in range(n):
-            slot = slot | F.coalesce(F.get("p", start + j), F.lit(False))
-        one = at.select("doc_id", F.xxhash64(F.when(m == RAW, F.lit(-n)).otherwise(F.lit(n)), hashes).alias("key"), "start", (m == 0).alias("first_doc"),
-                        F.when(slot & (m != RAW), F.slice("raw", start + 1, n)).alias("slot_words"))
-        out = one if out is None else out.unionAll(one)
-    return out
+            .withColumn("p", F.transform("canon", lambda x: x.contains("\u0002"))))
+    n, at, m = F.col("n"), F.col("at"), F.col("m")
+    last = F.least(F.col("behind"), F.size("raw") - n)
+    windows = base.select("*", F.explode(F.array(*[F.lit(x) for x in sizes])).alias("n"))
+    windows = windows.select("*", F.explode(F.when(last >= F.col("ahead"), F.sequence("ahead", last))).alias("at"))
+    windows = windows.select("*", F.explode(_readings(_bits("amb", at, WINDOW).bitwiseAND(F.call_function("shiftleft", F.lit(1), n) - 1))).alias("m"))
+    # places behind the window are null, which a hash skips
+    hashes = [F.when(F.lit(j) >= n, F.lit(None).cast("long")).when(m == RAW, F.get("v", at + j))
+              .when(m.bitwiseAND(F.lit(1 << j)) != 0, F.xxhash64(F.lit(NAME))).otherwise(F.get("h", at + j)) for j in range(WINDOW)]
+    slot = m > 0
+    for j in range(WINDOW):
+        slot = slot | ((F.lit(j) < n) & F.coalesce(F.get("p", at + j), F.lit(False)))
+    return windows.select("doc_id", F.xxhash64(F.when(m == RAW, -n).otherwise(n), F.array(*hashes)).alias("key"),
+                          (F.col("place") - F.col("behind") + at).alias("start"), (m == 0).alias("first_doc"),
+                          F.when(slot & (m != RAW), F.slice("raw", at + 1, n)).alias("slot_words"))
 
 
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, item_id, n_covered, n_windows, n_slots of every contaminated pair."""
     bench = item_windows(items)
     short = [r["n"] for r in bench.filter(F.col("n") < WINDOW).select("n").distinct().collect()]   # under WINDOW values
-    hits = text_windows(docs, [WINDOW, *sorted(short)]).join(bench, "key")
+    hits = text_windows(docs, items, [WINDOW, *sorted(short)]).join(bench, "key")
     filled = F.transform("slots", lambda s: F.struct(
         s["at"].alias("at"), s["item"].alias("item"),
         F.when(F.col("raw_key"), s["item"]).otherwise(_value(F.get("slot_words", s["at"] - F.col("pos")))).alias("doc"), s["free"].alias("free")))
