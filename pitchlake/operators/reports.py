@@ -157,6 +157,26 @@ def cost_by(usage: DataFrame, prices: DataFrame, dims: list[str]) -> DataFrame:
         F.sum(F.col("_q") * F.coalesce(F.col("price"), F.lit(0.0))).alias("custo"))
 
 
+def cost_rollups(usage: DataFrame) -> DataFrame:
+    """Cost by cluster, by team and by week and SKU, from one pass over priced usage records.
+
+    A record is priced where it is read and counts in three groups at once, so
+    tasks hold the roll-ups' own groups (clusters, teams, weeks x SKUs) and
+    never the records' finest grain, which grows with the records.
+    """
+    cost = F.col("usage_quantity") * F.coalesce(F.col("price"), F.lit(0.0))
+    dims = ("cluster_id", "team", "semana", "sku_name")
+    sums = usage.select(*dims, cost.alias("custo")).groupingSets(
+        [["cluster_id"], ["team"], ["semana", "sku_name"]], *dims).agg(
+        F.grouping("cluster_id").alias("_c"), F.grouping("team").alias("_t"), F.sum("custo").alias("custo"))
+    dimension = F.when(F.col("_c") == 0, "cluster").when(F.col("_t") == 0, "time").otherwise("semana_sku")
+    key = (F.when(F.col("_c") == 0, F.col("cluster_id").cast("string")).when(F.col("_t") == 0, F.col("team"))
+           .otherwise(F.concat(F.col("semana").cast("string"), F.lit("|"), F.col("sku_name"))))
+    # groups whose key is null (no week, or no SKU) are one row
+    return (sums.select(dimension.alias("dimensao"), key.alias("chave"), "custo").groupBy("dimensao", "chave")
+            .agg(F.round(F.sum("custo"), 2).alias("custo")))
+
+
 def queue_stats(runs: DataFrame) -> DataFrame:
     """Per warehouse: queries, mean and max duration."""
     return runs.groupBy("warehouse_id").agg(

@@ -152,17 +152,8 @@ def _(p):
 @query("a27_cost_rollups")
 def _(p):
     # Monday of the week, computed on the date itself (no time-zone round trip)
-    u = B.usage(p.t).withColumn("semana", F.date_sub("usage_date", (F.dayofweek("usage_date") + 5) % 7))
-    pr = B.list_prices(p.t)
-    # usage is summed once to the finest grain, priced, and dealt to the three roll-ups
-    cost = R.cost_by(u, pr, ["cluster_id", "team", "semana", "sku_name"])
-    dims = F.array(
-        F.struct(F.lit("cluster").alias("dimensao"), F.col("cluster_id").cast("string").alias("chave")),
-        F.struct(F.lit("time").alias("dimensao"), F.col("team").alias("chave")),
-        F.struct(F.lit("semana_sku").alias("dimensao"),
-                 F.concat(F.col("semana").cast("string"), F.lit("|"), F.col("sku_name")).alias("chave")))
-    return (cost.select(F.inline(dims), "custo").groupBy("dimensao", "chave")
-            .agg(F.round(F.sum("custo"), 2).alias("custo")))
+    u = B.usage(p.t, B.list_prices(p.t)).withColumn("semana", F.date_sub("usage_date", (F.dayofweek("usage_date") + 5) % 7))
+    return R.cost_rollups(u)
 
 
 @query("t01_top_n")

@@ -1,10 +1,12 @@
 """Steps whose time or memory grew faster than their input."""
 
+import datetime as dt
 import math
 
 from pyspark.sql import functions as F
 
 from pitchlake.operators import ensemble as EN
+from pitchlake.operators import reports as R
 
 
 def negbin_quantile(p, m, r):
@@ -28,3 +30,19 @@ def test_short_sums_are_not_interpreted_per_row(spark):
         m = max(mu or 0.0, 0.01)
         want = (None, None) if r is None else (negbin_quantile(0.1, m, r), negbin_quantile(0.9, m, r))
         assert (got_low, got_high) == want, (mu, r)
+
+
+def test_cost_rollups_hold_their_own_groups_only(spark):
+    """No aggregate by cluster and SKU at once; groups without a week, a SKU or a team are rows of their own."""
+    monday, sunday = dt.date(2024, 1, 1), None
+    rows = [(1, "a", monday, "x", 2.0, 1.5), (1, "b", monday, "x", 1.0, 1.5), (2, "a", monday, "y", 4.0, None),
+            (2, None, sunday, "x", 3.0, 1.5), (None, "a", monday, None, 5.0, 2.0), (3, "c", monday, "y", None, 1.0)]
+    u = spark.createDataFrame(rows, "cluster_id long, team string, semana date, sku_name string, usage_quantity double, price double")
+    out = R.cost_rollups(u)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    by_cluster = [x for x in plan.splitlines() if "Aggregate [" in x and "cluster_id" in x]
+    assert by_cluster and all("spark_grouping_id" in x for x in by_cluster)
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([
+        ("cluster", "1", 4.5), ("cluster", "2", 4.5), ("cluster", "3", None), ("cluster", None, 10.0),
+        ("time", "a", 13.0), ("time", "b", 1.5), ("time", "c", None), ("time", None, 4.5),
+        ("semana_sku", "2024-01-01|x", 4.5), ("semana_sku", "2024-01-01|y", 0.0), ("semana_sku", None, 14.5)], key=str)
