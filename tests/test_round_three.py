@@ -60,3 +60,22 @@ def test_design_matrix_is_written_once(spark, monkeypatch):
     matrix = q_ml._dm(p)
     assert matrix.inputFiles() and q_ml._dm(p) is matrix
     assert sorted(map(tuple, matrix.collect())) == [(i, 2 * i) for i in range(4)]
+
+
+def test_patience_of_one_tree_is_one_fit(spark, monkeypatch):
+    """Spark's own early stop ends where the growing batches end, after a single fit."""
+    from pyspark.ml.linalg import Vectors
+    from pitchlake.operators import search as SR
+    rows = [(Vectors.dense([float(i % 17), float(i * 7 % 31)]), float(i % 17 + (i * 13) % 11), i // 60) for i in range(240)]
+    x = spark.createDataFrame(rows, ["features", "y", "r"]).cache()
+    train, valid = x.filter("r < 3"), x.filter("r = 3")
+    fits, plain = [], SR.booster
+    monkeypatch.setattr(SR, "booster", lambda *a: fits.append(a[1]) or plain(*a))
+    for rate, depth in ((0.05, 2), (0.9, 5)):
+        params = {"learning_rate": rate, "max_depth": depth, "min_child_weight": 1, "subsample": 0.7, "colsample": 1.0}
+        fits.clear()
+        trees, rmse = SR.boost(train, valid, params, "y", max_trees=5, patience=1)
+        assert fits == [5]
+        errors = plain(params, 5, "y").fit(train).evaluateEachIteration(valid, "squared")
+        want = SR.stop_at(errors, 1) or errors.index(min(errors)) + 1
+        assert trees == want and abs(rmse - math.sqrt(errors[want - 1])) < 1e-9
