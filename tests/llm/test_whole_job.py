@@ -42,3 +42,28 @@ def test_rows_that_repeat_an_id_or_have_none_keep_their_texts(spark):
     got = [(r["doc_id"], r["text"]) for r in minhash.keep_one(docs).collect()]
     assert sorted(got[k] for k in range(len(got)) if got[k][0] is not None) == sorted([(1, a), (5, z), (3, y), (6, q)])
     assert [t for i, t in got if i is None] in ([v], [v + " tail"])
+
+
+def test_every_trusted_document_counts(spark):
+    """op6: more documents labelled good than any bound; when all are good, target and raw corpus are equal and every weight is 0."""
+    from pitchlake.llm import quality_rules
+    n = quality_rules.MAX_TRUSTED + 800
+    docs = spark.range(n).selectExpr("id AS doc_id", "concat('word', id, ' and ', id % 7) AS text")
+    labels = docs.selectExpr("doc_id", "1 AS quality", "0 AS toxic")
+    assert quality_rules.trusted_ids(labels.union(labels)).count() == n
+    assert set(quality_rules.weights(docs, labels)) == {0}
+
+
+def test_trusted_ids_of_any_number_are_joined(spark):
+    """op6: the verdicts are the same when Spark does not broadcast the ids; null ids match nothing."""
+    from pitchlake.llm import quality_rules
+    rows = [(i % 50 if i % 9 else None, " ".join(f"w{(i * j) % 41}" for j in range(60))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0), 0) for i in range(0, 60, 2)] + [(None, 1, 0)], "doc_id long, quality int, toxic int")
+    few = quality_rules.weights(docs, labels)
+    most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert quality_rules.weights(docs, labels) == few and any(few)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
