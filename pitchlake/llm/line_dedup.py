@@ -10,9 +10,10 @@ themselves.  Lines without a word are never dropped.
    lines that share a half with another line go on (nothing else can match).
 3. Each of these emits its deletion variants: a hash of the line without word
    j for every j, and of the whole line.  The hash is the exclusive or of
-   hashes of (place, word); block-wise prefix sums make all variants of a line
-   of m words cost m * sqrt(m), not m * m.
-4. Equal variants meet.  The variants of (line without word j) with one j are
+   hashes of (place, word); block-wise running sums, made once per line, make
+   all variants of a line of m words cost m * sqrt(m), not m * m.
+4. Equal variants meet; a variant that occurs once goes before anything else
+   is done.  The variants of (line without word j) with one j are
    lines that differ in word j alone; a whole line meets the lines that have
    one word more.  Per variant only the earliest places are kept, by
    aggregation, so a variant that a third of all lines share makes no pairs.
@@ -31,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitchlake.llm.common import discard, release, staged, text_or_empty, words
+from pitchlake.llm.common import WORD_BREAKS, discard, release, staged, text_or_empty, words
 
 MIN_WORDS = 8
 _NO_ID = -(1 << 63)
@@ -48,8 +49,13 @@ def _identity(line: Column) -> list[Column]:
     return [F.xxhash64(line).alias("h"), F.xxhash64(F.lit(1), line).alias("g")]
 
 
+def _line_words(line: Column) -> Column:
+    """:func:`words` of a line; blanks other than spaces are rare, and replacing them is dear."""
+    return F.when(line.rlike(f"[{WORD_BREAKS}]"), words(line)).otherwise(F.array_remove(F.split(line, " "), ""))
+
+
 def _half_keys() -> Column:
-    """Hashes of the first and last halves, as one of m and of m - 1 words (``_w``: word hashes)."""
+    """Hashes of the first and last halves, as one of m and of m - 1 words (``_w``: the words)."""
     m = F.size("_w")
     keys = []
     for s in (m, m - 1):
@@ -61,7 +67,7 @@ def _half_keys() -> Column:
 
 def line_table(docs: DataFrame) -> DataFrame:
     """doc, line_no, h, g (identity) and half keys of every line that has a word."""
-    rows = lines_of(docs).withColumn("_w", F.transform(words(F.col("line")), lambda w: F.xxhash64(w)))
+    rows = lines_of(docs).withColumn("_w", _line_words(F.col("line")))
     return rows.select("doc", "line_no", *_identity(F.col("line")), _half_keys().alias("keys"))
 
 
@@ -84,8 +90,10 @@ def candidates(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     return found.filter(F.size("w") >= MIN_WORDS)       # rows that repeat a doc_id may have a shorter line in that place
 
 
-def _xor(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x))
+def _running(values: Column) -> Column:
+    """Exclusive or of the first 0, 1, ... values."""
+    return F.aggregate(values, F.array(F.lit(0).cast("long")),
+                       lambda a, x: F.array_append(a, F.element_at(a, -1).bitwiseXOR(x)))
 
 
 def variants(lines: DataFrame) -> DataFrame:
@@ -94,20 +102,23 @@ def variants(lines: DataFrame) -> DataFrame:
                         F.transform("w", lambda x, i: F.xxhash64(i, x)).alias("here"),           # words at their places
                         F.transform("w", lambda x, i: F.xxhash64(i - 1, x)).alias("moved"))      # one place to the left
     rows = rows.withColumn("b", F.ceil(F.sqrt("m")).cast("int"))
-    block = F.sequence(F.lit(0), F.floor((F.col("m") - 1) / F.col("b")).cast("int"))
-    rows = rows.withColumn("_here", F.transform(block, lambda k: _xor(F.slice("here", k * F.col("b") + 1, F.col("b")))))
-    rows = rows.withColumn("_moved", F.transform(block, lambda k: _xor(F.slice("moved", k * F.col("b") + 1, F.col("b")))))
-    rows = rows.withColumns({"_all_here": _xor(F.col("_here")), "_all_moved": _xor(F.col("_moved"))})
+    block = F.sequence(F.lit(0), F.floor(F.col("m") / F.col("b")).cast("int"))                   # the last may be empty
+
+    def blocks(c: str) -> Column:
+        return F.transform(block, lambda k: _running(F.slice(c, k * F.col("b") + 1, F.col("b"))))
+
+    rows = rows.withColumns({"here": blocks("here"), "moved": blocks("moved")})
+    rows = rows.withColumns({f"_{c}": _running(F.transform(c, lambda x: F.element_at(x, -1))) for c in ("here", "moved")})
     at = rows.select("*", F.explode(F.sequence(F.lit(-1), F.col("m") - 1)).alias("j"))
 
-    def before(n: Column, values: str, blocks: str) -> Column:
+    def before(n: Column, c: str) -> Column:
         """Exclusive or of the first n values."""
         k = F.floor(n / F.col("b")).cast("int")
-        return _xor(F.slice(blocks, F.lit(1), k)).bitwiseXOR(_xor(F.slice(values, k * F.col("b") + 1, n - k * F.col("b"))))
+        return F.get(f"_{c}", k).bitwiseXOR(F.get(F.get(c, k), n - k * F.col("b")))
 
-    j = F.col("j")
-    left_out = (before(j, "here", "_here").bitwiseXOR(before(j + 1, "moved", "_moved")).bitwiseXOR(F.col("_all_moved")))
-    value = F.when(j < 0, F.xxhash64("m", "_all_here")).otherwise(F.xxhash64(F.col("m") - 1, left_out))
+    j, m = F.col("j"), F.col("m")
+    left_out = before(j, "here").bitwiseXOR(before(j + 1, "moved")).bitwiseXOR(before(m, "moved"))
+    value = F.when(j < 0, F.xxhash64(m, before(m, "here"))).otherwise(F.xxhash64(m - 1, left_out))
     return at.select("doc", "line_no", value.alias("v"), "j")
 
 
@@ -123,9 +134,12 @@ def within_one_edit(a: Column, b: Column) -> Column:
 def near_lines(lines: DataFrame) -> DataFrame:
     """doc, line_no of the lines that are one edit from an earlier line."""
     v = variants(lines)
+    again = v.groupBy("v").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("v")
+    v = staged(v.join(again, "v"), "lines-variants")
+    release(lines.sparkSession)
     at = F.struct("doc", "line_no")
     by_word = v.groupBy("v", "j").agg(F.min(at).alias("least"), F.count(F.lit(1)).alias("n"))
-    by_word = staged(by_word.withColumn("whole", F.col("j") < 0), "lines-variants")
+    by_word = staged(by_word.withColumn("whole", F.col("j") < 0), "lines-met")
     release(lines.sparkSession)
     sides = by_word.groupBy("v").agg(F.min(F.when(F.col("whole"), F.col("least"))).alias("least_whole"),
                                      F.min(F.when(~F.col("whole"), F.col("least"))).alias("least_part"),

@@ -209,3 +209,29 @@ def test_lines_of_odd_rows(spark, odd, clashing, no_docs):
     assert line_dedup.dropped_lines(no_docs).count() == 0
     clean = line_dedup.clean_texts(clashing)
     assert clean.columns == clashing.columns and clean.count() == clashing.count()
+
+
+def test_variants_that_occur_once_are_not_carried_on(spark, monkeypatch):
+    """Of two near lines and 30 that share a half with another only, the common variant alone is written."""
+    rng = random.Random(8)
+    half = prose(rng, 20)
+    lines = [f"{half} {prose(rng, 20)}" for _ in range(31)]
+    lines.append(" ".join([*lines[0].split()[:-1], "other"]))
+    rows = spark.createDataFrame([(i, 0, x.split()) for i, x in enumerate(lines)], "doc long, line_no int, w array<string>")
+    sizes = {}
+
+    def staged(df, label):
+        sizes[label] = df.count()
+        return df
+
+    monkeypatch.setattr(line_dedup, "staged", staged)
+    assert [tuple(r) for r in line_dedup.near_lines(rows).collect()] == [(31, 0)]
+    assert line_dedup.variants(rows).count() == 32 * 41
+    assert max(sizes.values()) <= 4
+
+
+def test_line_words_with_any_blanks(spark):
+    texts = ["a b", " a\tb  c ", "\x0bé\x0c\rb", "\t \r", "a b c", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "line string")
+    got = [r[0] for r in df.select(line_dedup._line_words(df["line"])).collect()]
+    assert got == [re.findall(r"[^\x20\x09-\x0D]+", t) for t in texts]
