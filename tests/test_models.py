@@ -173,3 +173,24 @@ def test_shuffling_an_informative_feature_costs_most(spark):
     model = MD.gbt(max_iter=5, max_depth=3).fit(MD.assemble(df, ("good", "noise")))
     out = {r.feature: r.aumento_rmse for r in MD.permutation_importance(model, df, ("good", "noise")).collect()}
     assert out["good"] > 2 and abs(out["noise"]) < 0.1
+
+
+def test_fits_run_side_by_side(spark, monkeypatch):
+    """Each fit waits until all have begun: those of all folds, and the three models of a fold."""
+    import threading
+    matrix = spark.createDataFrame([(a, r, 1.0 if r < 6 else None) for a in range(3) for r in range(1, 7)],
+                                   f"atleta_id int, rodada_alvo int, {MD.TARGET} double")
+    real = MD.predict_all
+    folds = threading.Barrier(3, timeout=60)
+    monkeypatch.setattr(MD, "predict_all", lambda train, rows, max_iter=30: folds.wait() >= 0 and rows)
+    out = MD.out_of_fold(matrix, n_splits=2)
+    tests = [r for f in SR.fold_rounds(matrix.filter(f"{MD.TARGET} IS NOT NULL"), "rodada_alvo", 2) for r in f[1]]
+    assert sorted(r.rodada_alvo for r in out.collect()) == sorted([6, *tests] * 3)
+    models = threading.Barrier(3, timeout=60)
+    for fit in ("fit_gbt", "fit_gbt_categorical", "fit_poisson"):
+        monkeypatch.setattr(MD, fit, lambda train, *a, n=fit, **b: models.wait() >= 0 and n)
+    monkeypatch.setattr(MD, "score", lambda model, rows, name: rows.withColumn("modelo", F.lit(name)))
+    monkeypatch.setattr(MD, "score_categorical", lambda model, rows: rows.withColumn("modelo", F.lit("lightgbm")))
+    monkeypatch.setattr(MD, "score_poisson", lambda model, rows: rows.withColumn("modelo", F.lit("poisson")))
+    got = real(matrix, matrix.limit(1)).collect()
+    assert [r.modelo for r in got] == ["xgboost", "lightgbm", "poisson"]
