@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_sql_twin(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels", "pages"):
+    for t in ("documents", "benchmark", "labels", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got = QUERIES[name](spark, SF)
     cur = con.execute(ORACLE[name])
