@@ -56,6 +56,25 @@ def test_search_stops_early_prunes_and_ranks(spark):
                                          "colsample double, folds_run int, rmse double, trees int, state string, rank int"))["learning_rate"] == 0.3
 
 
+def test_search_reads_a_fold_once_for_all_its_fits(spark):
+    """However many settings and trees are tried, the training and the validation rows of a fold are read once each, and none stay cached."""
+    made = spark.sparkContext.accumulator(0)
+
+    def count(x):
+        made.add(1)
+        return x
+
+    rows = [(r, float(i % 7), 5.0 * (i % 7) + (i * 37 + r) % 3) for r in range(1, 10) for i in range(20)]
+    df = spark.createDataFrame(rows, f"rodada_alvo int, good double, {MD.TARGET} double").repartition(2)
+    x = MD.assemble(df.withColumn("good", F.udf(count, "double")("good")), ("good",))
+    trials = [{"max_depth": 2, "min_child_weight": 1, "subsample": 1.0, "colsample": 1.0, "learning_rate": v} for v in (0.1, 0.2, 0.3)]
+    left = spark.sparkContext._jsc.getPersistentRDDs().size()
+    table = SR.search(x, trials, MD.TARGET, n_splits=2, max_trees=3, patience=1, keep=1, finalists=3)
+    assert table.filter("folds_run = 2").count() == 3
+    assert made.value <= 2 * 2 * len(rows)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= left
+
+
 def test_early_stop_waits_for_patience():
     assert SR.stop_at([5, 4, 3, 3.5, 3.2], 2) == 3
     assert SR.stop_at([5, 4, 3, 3.5], 2) is None
