@@ -8,6 +8,7 @@ import pytest
 from pitchlake.operators import models as MD
 from pitchlake.operators import search as SR
 from pitchlake.plans import q_ml
+from pitchlake.plans.queries import BUILDERS
 
 
 @pytest.fixture()
@@ -58,3 +59,12 @@ def test_boost_ends_where_a_tree_by_tree_fit_ends(monkeypatch):
         want = SR.stop_at(errors, 30) or errors.index(min(errors)) + 1
         assert (trees, rmse) == (want, errors[want - 1] ** 0.5)
         assert asked == sorted(set(asked)) and asked[-1] <= 500 and sum(asked) <= most, (least, asked)
+
+
+def test_first_booster_has_all_the_trees_that_the_search_found(plan, monkeypatch):
+    """Errors that fall for 120 trees give a last fit of 120, and every row to predict is scored."""
+    plain, fitted = SR.booster, []
+    monkeypatch.setattr(SR, "boost", lambda train, valid, params, label, max_trees, patience: (min(max_trees, 120), 1.0))
+    monkeypatch.setattr(SR, "booster", lambda params, trees, label, seed: fitted.append(trees) or plain(params, 2, label, seed))
+    scored = BUILDERS["l03_boosted_trees_a"](plan)
+    assert fitted == [120] and sorted(r.atleta_id for r in scored.collect()) == [0, 1, 2, 3]
